@@ -15,17 +15,7 @@ from kerbside.operators import alerts, windows
 from kerbside.plans import oracle as O
 from kerbside.sources import testbed
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {}
-
-
-def register(name: str, sql: str | None = None):
-    def deco(fn):
-        QUERIES[name] = fn
-        if sql is not None:
-            ORACLE[name] = sql
-        return fn
-    return deco
+from kerbside.plans.registry import ORACLE, QUERIES, register  # noqa: E402,F401
 
 
 # ---------------------------------------------------------------- alerts
@@ -201,3 +191,7 @@ def a8_running_rings(spark, sf_dir):
  FROM txn GROUP BY 1 HAVING count(*) >= 3""")
 def a8_running_fast_cards(spark, sf_dir):
     return windows.fast_cards(_tx(spark, sf_dir), per_window=False)
+
+
+# race layers register themselves on import
+from kerbside.plans import race  # noqa: E402,F401
