@@ -367,3 +367,154 @@ def g9_driver_interactions(spark, sf_dir):
  FROM q WHERE nl = lap_number + 1 AND ng < 200 AND np""")
 def g13_close_alongside_ahead(spark, sf_dir):
     return graph.pattern_close_alongside_ahead(_race_graph(spark, sf_dir)[2])
+
+
+# ------------------------------------------------------------------ serving
+from kerbside.operators import serve  # noqa: E402
+
+_BOARD = """fo AS (SELECT session_id, driver_id, max(lap_number) AS laps_completed, arg_max(race_ms, lap_number) AS race_ms FROM pos GROUP BY 1, 2),
+ board AS (SELECT *, CAST(row_number() OVER (PARTITION BY session_id ORDER BY laps_completed DESC, race_ms, driver_id) AS INT) AS final_position FROM fo)"""
+
+
+@register("t3_top_overtakers", f"""{_GRAPH},
+ made AS (SELECT session_id, passer_id AS driver_id, count(*) AS overtakes FROM ovt GROUP BY 1, 2)
+ SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY session_id ORDER BY overtakes DESC, driver_id) AS rank FROM made) WHERE rank <= 3""")
+def t3_top_overtakers(spark, sf_dir):
+    return serve.top_overtakers(_race_graph(spark, sf_dir)[3], 3)
+
+
+@register("t4_rivalry_pairs", f"""{_GRAPH}
+ SELECT driver_a, driver_b, count(*) AS battles, sum(lap_count) AS battle_laps FROM btl GROUP BY 1, 2
+ ORDER BY battles DESC, battle_laps DESC, driver_a, driver_b LIMIT 10""")
+def t4_rivalry_pairs(spark, sf_dir):
+    return serve.rivalry_pairs(_race_graph(spark, sf_dir)[4], 10)
+
+
+@register("t5_leaderboard", f"{_L},\n {_POS},\n {_BOARD}\n SELECT * FROM board")
+def t5_leaderboard(spark, sf_dir):
+    return serve.leaderboard(L.with_race_order(_laps(spark, sf_dir)))
+
+
+@register("t5_team_standings", f"""{_L},\n {_POS},\n {_BOARD},
+ drv AS (SELECT driver_id, min(team_id) AS team_id FROM laps GROUP BY 1),
+ tp AS (SELECT team_id, sum(CASE WHEN final_position <= 10 THEN ([25, 18, 15, 12, 10, 8, 6, 4, 2, 1])[final_position] ELSE 0 END) AS points
+  FROM board LEFT JOIN drv USING (driver_id) GROUP BY 1)
+ SELECT *, rank() OVER (ORDER BY points DESC) AS standing FROM tp""")
+def t5_team_standings(spark, sf_dir):
+    lp = _laps(spark, sf_dir)
+    return serve.team_standings(serve.leaderboard(L.with_race_order(lp)), testbed.drivers(spark, sf_dir, lp))
+
+
+_TEAM_INT = f"""{_GRAPH},
+ drv AS (SELECT driver_id, min(team_id) AS team_id FROM laps GROUP BY 1),
+ ti AS (SELECT least(a.team_id, b.team_id) AS team_1, greatest(a.team_id, b.team_id) AS team_2,
+   sum(interaction_strength) AS intensity, count(*) AS battles
+  FROM btl JOIN drv a ON btl.driver_a = a.driver_id JOIN drv b ON btl.driver_b = b.driver_id
+  WHERE a.team_id <> b.team_id GROUP BY 1, 2)"""
+
+
+def _team_intensity(spark, sf_dir):
+    lp, pos, pairs, ovt, btl = _race_graph(spark, sf_dir)
+    return serve.team_battle_intensity(btl, testbed.drivers(spark, sf_dir, lp))
+
+
+@register("a16_team_battle_intensity", round_doubles.sql(f"{_TEAM_INT}\n SELECT * FROM ti", ["intensity"]))
+def a16_team_battle_intensity(spark, sf_dir):
+    return round_doubles(_team_intensity(spark, sf_dir))
+
+
+@register("a17_team_heatmap", round_doubles.sql(f"""{_TEAM_INT}
+ SELECT team_1, team_2, intensity FROM ti UNION ALL SELECT team_2, team_1, intensity FROM ti""", ["intensity"]))
+def a17_team_heatmap(spark, sf_dir):
+    return round_doubles(serve.team_heatmap(_team_intensity(spark, sf_dir)))
+
+
+_SUMMARY_SQL = f"""SELECT fl.*, b.final_position, i.* EXCLUDE (session_id, driver_id), pr.pagerank FROM
+ (WITH {_LT[5:]},\n {_VALID},\n {_ASOF},\n {_FACT_LAP}
+  SELECT session_id, driver_id, count(*) AS laps, min(lap_time_ms) AS best_lap_ms, avg(lap_time_ms) AS avg_lap_ms,
+   avg(avg_speed_kph) AS avg_speed_kph FROM fact_lap GROUP BY 1, 2) fl
+ LEFT JOIN ({_L},\n {_POS},\n {_BOARD}\n SELECT * FROM board) b USING (session_id, driver_id)
+ LEFT JOIN ({_GRAPH},\n {_INTERACTIONS}\n SELECT * FROM inter) i USING (session_id, driver_id)
+ LEFT JOIN ({_pagerank_sql()}) pr USING (session_id, driver_id)"""
+
+
+def _summary(spark, sf_dir):
+    lp, pos, pairs, ovt, btl = _race_graph(spark, sf_dir)
+    fl = _fact_lap(spark, sf_dir, lp)
+    board = serve.leaderboard(L.with_race_order(lp))
+    inter = graph.driver_interactions(ovt, btl, pairs)
+    return serve.driver_session_summary(fl, board, inter, _pagerank(spark, sf_dir))
+
+
+@register("a15_driver_session", round_doubles.sql(_SUMMARY_SQL, [
+    "avg_lap_ms", "avg_speed_kph", "influence_score", "overtake_success_rate", "avg_battle_duration", "pagerank"]))
+def a15_driver_session(spark, sf_dir):
+    return round_doubles(_summary(spark, sf_dir))
+
+
+@register("a19_influence_vs_result", round_doubles.sql(f"""SELECT corr(pagerank, final_position) AS corr_pagerank_position,
+  corr(influence_score, final_position) AS corr_influence_position, count(*) AS rows FROM ({_SUMMARY_SQL})""",
+                                                       ["corr_pagerank_position", "corr_influence_position"]))
+def a19_influence_vs_result(spark, sf_dir):
+    return round_doubles(serve.influence_vs_result(_summary(spark, sf_dir)))
+
+
+@register("a11_run_totals", f"""{_LT},
+ ev AS (SELECT session_id FROM laps UNION ALL SELECT session_id FROM laps WHERE pit),
+ t AS (SELECT session_id, count(*) AS telemetry FROM telemetry GROUP BY 1),
+ e AS (SELECT session_id, count(*) AS events FROM ev GROUP BY 1),
+ r AS (SELECT session_id, count(*) AS errors FROM telemetry WHERE session_id IS NULL OR speed_kph < 0 GROUP BY 1),
+ x AS (SELECT coalesce(t.session_id, e.session_id, r.session_id) AS session_id, coalesce(telemetry, 0) AS telemetry,
+   coalesce(events, 0) AS events, coalesce(errors, 0) AS errors
+  FROM t FULL JOIN e ON t.session_id IS NOT DISTINCT FROM e.session_id FULL JOIN r ON coalesce(t.session_id, e.session_id) IS NOT DISTINCT FROM r.session_id)
+ SELECT session_id, sum(telemetry) AS telemetry, sum(events) AS events, sum(errors) AS errors, count(*) AS sessions
+ FROM x GROUP BY ROLLUP (session_id)""")
+def a11_run_totals(spark, sf_dir):
+    lp = _laps(spark, sf_dir)
+    tel = testbed.telemetry(spark, sf_dir, lp)
+    return serve.run_totals(tel, testbed.race_events(spark, sf_dir, lp), L.split_valid(tel)[1])
+
+
+@register("t7_cap_per_session", f"""{_LT},\n {_VALID}
+ SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY session_id ORDER BY t_ms, driver_id) AS rn FROM clean) WHERE rn <= 100""")
+def t7_cap_per_session(spark, sf_dir):
+    return serve.cap_per_session(_clean(spark, sf_dir), 100, ["t_ms", "driver_id"])
+
+
+@register("a20_pit_efficiency", f"""{_L},
+ pits AS (SELECT session_id, driver_id, lap_number, pit_duration_ms FROM laps WHERE pit),
+ med AS (SELECT session_id, median(pit_duration_ms) AS session_median_ms FROM pits GROUP BY 1)
+ SELECT pits.*, session_median_ms, pit_duration_ms - session_median_ms AS pit_delta_ms FROM pits JOIN med USING (session_id)""")
+def a20_pit_efficiency(spark, sf_dir):
+    pits = testbed.race_events(spark, sf_dir).where(F.col("event_type") == "PIT_STOP").select(
+        "session_id", "driver_id", "lap_number", "pit_duration_ms")
+    return serve.pit_efficiency(pits)
+
+
+@register("x1_undercut_rate", round_doubles.sql(f"""{_L},\n {_POS},
+ x AS (SELECT l.session_id, (a.position < b.position)::DOUBLE AS gained FROM laps l
+  JOIN pos b ON l.session_id = b.session_id AND l.driver_id = b.driver_id AND b.lap_number = l.lap_number - 1
+  JOIN pos a ON l.session_id = a.session_id AND l.driver_id = a.driver_id AND a.lap_number = l.lap_number + 2 WHERE l.pit)
+ SELECT session_id, count(*) AS stops, avg(gained) AS undercut_rate FROM x GROUP BY 1""", ["undercut_rate"]))
+def x1_undercut_rate(spark, sf_dir):
+    lp = _laps(spark, sf_dir)
+    return round_doubles(serve.undercut_rate(lp.where(F.col("pit")), L.positions(lp)))
+
+
+@register("x2_team_gap_trend", round_doubles.sql(f"""{_L},\n {_POS},
+ drv AS (SELECT driver_id, min(team_id) AS team_id FROM laps GROUP BY 1),
+ g AS (SELECT p.session_id, d.team_id, p.lap_number, min(p.race_ms - min(p.race_ms) OVER (PARTITION BY p.session_id, p.lap_number)) AS gap_ms
+  FROM pos p JOIN drv d USING (driver_id) GROUP BY ALL)
+ SELECT session_id, team_id, regr_slope(gap_ms, lap_number) AS gap_slope_ms_per_lap, regr_intercept(gap_ms, lap_number) AS gap_intercept_ms
+ FROM g GROUP BY 1, 2""", ["gap_slope_ms_per_lap", "gap_intercept_ms"]))
+def x2_team_gap_trend(spark, sf_dir):
+    lp = _laps(spark, sf_dir)
+    return round_doubles(serve.team_gap_trend(L.with_race_order(lp), testbed.drivers(spark, sf_dir, lp)))
+
+
+@register("x3_multi_session_trend", round_doubles.sql(f"""{_L},
+ a AS (SELECT driver_id, session_id, avg(lap_time_ms) AS avg_lap_ms FROM laps GROUP BY 1, 2)
+ SELECT *, avg_lap_ms - lag(avg_lap_ms) OVER (PARTITION BY driver_id ORDER BY CAST(substr(session_id, 2) AS BIGINT)) AS delta_vs_prev_session_ms FROM a""",
+                                                     ["avg_lap_ms", "delta_vs_prev_session_ms"]))
+def x3_multi_session_trend(spark, sf_dir):
+    return round_doubles(serve.multi_session_trend(_laps(spark, sf_dir)))
