@@ -77,12 +77,16 @@ def pit_stop_id(driver: str | Column, stint: str | Column) -> Column:
     return F.concat_ws("_", F.lit("pit"), col_of(driver), col_of(stint))
 
 
-# F11 -- Python ``isoformat()`` rendering of a UTC timestamp.
-ISO_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
+# F11 -- Python ``isoformat()`` rendering of an aware UTC timestamp: microseconds only
+# when non-zero, offset written as +00:00.
+ISO_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx"
+ISO_FORMAT_WHOLE = "yyyy-MM-dd'T'HH:mm:ssxxx"
 
 
 def isoformat(c: str | Column) -> Column:
-    return F.date_format(col_of(c), ISO_FORMAT)
+    ts = col_of(c)
+    return F.when(F.unix_micros(ts) % 1000000 == 0, F.date_format(ts, ISO_FORMAT_WHOLE)).otherwise(
+        F.date_format(ts, ISO_FORMAT))
 
 
 # F12 -- replay-stable record id from the message coordinates.

@@ -503,8 +503,8 @@ def x1_undercut_rate(spark, sf_dir):
 
 @register("x2_team_gap_trend", round_doubles.sql(f"""{_L},\n {_POS},
  drv AS (SELECT driver_id, min(team_id) AS team_id FROM laps GROUP BY 1),
- g AS (SELECT p.session_id, d.team_id, p.lap_number, min(p.race_ms - min(p.race_ms) OVER (PARTITION BY p.session_id, p.lap_number)) AS gap_ms
-  FROM pos p JOIN drv d USING (driver_id) GROUP BY ALL)
+ dl AS (SELECT p.*, p.race_ms - min(p.race_ms) OVER (PARTITION BY p.session_id, p.lap_number) AS dlt FROM pos p),
+ g AS (SELECT p.session_id, d.team_id, p.lap_number, min(p.dlt) AS gap_ms FROM dl p JOIN drv d USING (driver_id) GROUP BY ALL)
  SELECT session_id, team_id, regr_slope(gap_ms, lap_number) AS gap_slope_ms_per_lap, regr_intercept(gap_ms, lap_number) AS gap_intercept_ms
  FROM g GROUP BY 1, 2""", ["gap_slope_ms_per_lap", "gap_intercept_ms"]))
 def x2_team_gap_trend(spark, sf_dir):

@@ -92,7 +92,8 @@ def laps(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def telemetry(spark: SparkSession, sf_dir: str, laps_df: DataFrame | None = None) -> DataFrame:
+def telemetry(spark: SparkSession, sf_dir: str, laps_df: DataFrame | None = None,
+              keep_origin: bool = False) -> DataFrame:
     """Eight samples per lap, a duplicate copy of laps with ``lap_time_ms % 50 == 0``,
     null sessions and negative speeds injected for the quality rules.
 
@@ -120,6 +121,7 @@ def telemetry(spark: SparkSession, sf_dir: str, laps_df: DataFrame | None = None
         (F.lit(50) + (lt + 11 * i) % 50).cast("double").alias("battery_pct"),
         "tyre_compound",
         F.col("copy_no"),
+        *([F.col("session_id").alias("origin_session"), "lap_time_ms"] if keep_origin else []),
     )
 
 
@@ -194,3 +196,65 @@ def drivers(spark: SparkSession, sf_dir: str, laps_df: DataFrame | None = None)
     number of distinct drivers, not by the lap count."""
     lp = laps_df if laps_df is not None else laps(spark, sf_dir)
     return lp.groupBy("driver_id").agg(F.min("team_id").alias("team_id"))
+
+
+# ------------------------------------------------------------------ message envelopes
+TELEMETRY_TOPIC = "telemetry.raw"
+EVENTS_TOPIC = "race.events"
+TOPIC_PARTITIONS = 3
+
+
+def _driver_no(driver_id: str | Column) -> Column:
+    c = F.col(driver_id) if isinstance(driver_id, str) else driver_id
+    return F.substring(c, 2, 10).try_cast("bigint")
+
+
+def telemetry_messages(spark: SparkSession, sf_dir: str, laps_df: DataFrame | None = None) -> DataFrame:
+    """Telemetry as message-log records (key, value JSON, topic, partition, offset,
+    timestamp) in the reference's TELEMETRY_SCHEMA layout. Partition = driver number mod 3;
+    offsets are unique and increase with (session, driver, lap, sample, copy); the record
+    time trails the event time by (lap_time_ms mod 13) * 200 ms [ours]."""
+    from kerbside.functions.scalars import stable_ingest_id
+    t = telemetry(spark, sf_dir, laps_df, keep_origin=True)
+    sn = session_no("origin_session")
+    dn = _driver_no("driver_id")
+    event_ms = session_start_ms("origin_session") + F.col("t_ms")
+    partition = (dn % TOPIC_PARTITIONS).cast("int")
+    offset = (((sn * 20 + dn) * 32 + F.col("lap_number")) * 16 + F.col("sample_no") * 2 + F.col("copy_no")).cast("bigint")
+    value = F.to_json(F.struct(
+        "session_id", "driver_id", F.substring("driver_id", 2, 10).alias("car_number"), "lap_number",
+        isoformat(F.timestamp_millis(event_ms)).alias("timestamp_utc"),
+        F.col("speed_kph"), F.col("throttle_pct"), F.col("brake").alias("brake_pressure_bar"), "drs_state",
+        "battery_pct", "fuel_mass_kg", "tyre_compound",
+        (((F.col("lap_number") - 1) % 10) + 1).alias("tyre_age_laps"),
+        F.lit("testbed").alias("source"),
+        stable_ingest_id(F.lit(TELEMETRY_TOPIC), partition, offset).alias("ingest_id")))
+    return t.select(
+        F.concat_ws("_", "driver_id", F.col("lap_number").cast("string")).alias("key"), value.alias("value"),
+        F.lit(TELEMETRY_TOPIC).alias("topic"), partition.alias("partition"), offset.alias("offset"),
+        F.timestamp_millis(event_ms + (F.col("lap_time_ms") % 13) * 200).alias("timestamp"))
+
+
+def event_messages(spark: SparkSession, sf_dir: str, laps_df: DataFrame | None = None) -> DataFrame:
+    """Race events as message-log records keyed by event id (RACE_EVENT_SCHEMA JSON)."""
+    ev = race_events(spark, sf_dir, laps_df)
+    sn = session_no("session_id")
+    dn = _driver_no("driver_id")
+    offset = (((sn * 20 + dn) * 32 + F.col("lap_number")) * 2
+              + F.when(F.col("event_type") == "PIT_STOP", 1).otherwise(0)).cast("bigint")
+    value = F.to_json(F.struct(*[F.col(c) for c in ev.columns]))
+    return ev.select(
+        F.col("event_id").alias("key"), value.alias("value"), F.lit(EVENTS_TOPIC).alias("topic"),
+        (dn % TOPIC_PARTITIONS).cast("int").alias("partition"), offset.alias("offset"),
+        F.try_to_timestamp(F.substring(F.replace(F.col("event_ts_utc"), F.lit("T"), F.lit(" ")), 1, 23)).alias("timestamp"))
+
+
+def transaction_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Card transactions as JSON records keyed by card number (one partition per
+    card-number hash bucket of 3); offsets follow event ids."""
+    tx = transactions(spark, sf_dir)
+    value = F.to_json(F.struct("card_number", "amount", "timestamp", "location", "merchant", "merchant_category"))
+    return tx.select(F.col("card_number").alias("key"), value.alias("value"),
+                     F.lit("credit_card_transactions").alias("topic"),
+                     (F.col("event_id") % TOPIC_PARTITIONS).cast("int").alias("partition"),
+                     F.col("event_id").cast("bigint").alias("offset"), F.col("transaction_time").alias("timestamp"))
