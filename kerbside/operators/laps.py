@@ -277,3 +277,42 @@ def driving_metrics(samples: DataFrame, lap_col: str = "lap_number") -> DataFram
         F.avg("__decel").alias("braking_decel_kph_s"),
         F.avg(F.when(F.col("throttle_pct") >= 90, F.col("speed_kph"))).alias("straight_speed_kph"),
         F.avg(F.when(F.col("throttle_pct") < 90, F.col("speed_kph"))).alias("corner_speed_kph"))
+
+
+# ------------------------------------------------------------------ from bronze tables
+def laps_from_events(events: DataFrame) -> DataFrame:
+    """Lap table from parsed race events: lap end time (epoch ms) from the
+    LAP_COMPLETION record, lap time and compound from its payload, pit flag and stop
+    time from PIT_STOP records of the same lap (pre-aggregated to the lap key)."""
+    keys = ["session_id", "driver_id", "lap_number"]
+    end_ms = F.unix_millis(F.col("event_ts_utc").try_cast("timestamp"))
+    p = F.from_json("payload", "lap_time_ms BIGINT, compound STRING")
+    lap = (events.where(F.col("event_type") == "LAP_COMPLETION")
+           .select(*keys, end_ms.alias("cum_ms"), p.alias("p"))
+           .select(*keys, "cum_ms", F.col("p.lap_time_ms").alias("lap_time_ms"), F.col("p.compound").alias("tyre_compound")))
+    pits = (events.where(F.col("event_type") == "PIT_STOP").groupBy(*keys)
+            .agg(F.max("pit_duration_ms").alias("pit_duration_ms")))
+    return (lap.join(pits, keys, "left")
+               .withColumn("pit", F.col("pit_duration_ms").isNotNull()))
+
+
+def samples_from_bronze(telemetry: DataFrame) -> DataFrame:
+    """Sample rows from parsed bronze telemetry: epoch-ms sample time, channels as
+    doubles, the log offset as the duplicate order (first landed copy wins)."""
+    return telemetry.select(
+        "session_id", "driver_id", "lap_number",
+        F.unix_millis(F.col("timestamp_utc").try_cast("timestamp")).alias("t_ms"),
+        F.col("speed_kph").cast("double").alias("speed_kph"), F.col("throttle_pct").cast("double").alias("throttle_pct"),
+        F.col("brake_pressure_bar").cast("double").alias("brake"), "drs_state",
+        F.col("fuel_mass_kg").cast("double").alias("fuel_mass_kg"), F.col("battery_pct").cast("double").alias("battery_pct"),
+        "tyre_compound", F.col("offset").alias("copy_no"))
+
+
+def gold_fact_lap(telemetry_parsed: DataFrame, events_parsed: DataFrame) -> DataFrame:
+    """A12 end to end from bronze: clean + dedup samples, as-of lap match on the
+    event-time clock, lap facts with payload times."""
+    lp = laps_from_events(events_parsed)
+    samples = clean_telemetry(samples_from_bronze(telemetry_parsed))
+    m = asof_forward_join(samples, lp, carry=["tyre_compound"]).drop("lap_number", "tyre_compound") \
+        .withColumnRenamed("asof_lap_number", "lap_number").withColumnRenamed("asof_tyre_compound", "tyre_compound")
+    return fact_lap(m, events_parsed)

@@ -158,3 +158,18 @@ def k4_alert_documents(spark, sf_dir):
     return doc.withColumn("ingested_at", F.current_timestamp()) \
               .withColumn("kafka_partition", F.pmod(F.hash("card_number"), F.lit(3))) \
               .withColumn("card_masked", mask_last4("card_number"))
+
+
+# ------------------------------------------------------------------ gold from bronze
+from kerbside.plans.race import _ASOF, _FACT_LAP, _LT, _VALID  # noqa: E402
+
+
+@register("s6_gold_fact_lap_from_bronze", round_doubles.sql(f"{_LT},\n {_VALID},\n {_ASOF},\n {_FACT_LAP}\n SELECT * FROM fact_lap",
+                                                            ["avg_speed_kph", "min_speed_kph", "max_speed_kph", "fuel_used_kg",
+                                                             "battery_delta_pct"]))
+def s6_gold_fact_lap_from_bronze(spark, sf_dir):
+    """fact_lap computed from the parsed bronze topics (JSON messages), not from the
+    projections: must equal ``a12_fact_lap``."""
+    tp, _ = _telemetry_topic(spark, sf_dir)
+    ep, _ = _events_topic(spark, sf_dir)
+    return round_doubles(L.gold_fact_lap(tp, ep))
