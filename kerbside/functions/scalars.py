@@ -25,7 +25,7 @@ def iso_to_ts(c: str | Column) -> Column:
     return F.try_to_timestamp(text)
 
 
-# F2 -- null-propagating concatenation (ksqlDB ``+`` on strings).
+# F2 -- null-propagating concatenation (string ``+`` of the alert rules).
 def concat_null(*parts: str | Column) -> Column:
     return F.concat(*[p if isinstance(p, Column) else F.lit(p) for p in parts])
 
@@ -99,7 +99,7 @@ def stable_ingest_id(topic: str | Column, partition: str | Column, offset: str |
 def event_matches(round_col: str | Column, name_col: str | Column, selector: str) -> Column:
     as_int = F.lit(selector).try_cast("int")
     return F.when(as_int.isNotNull(), col_of(round_col) == as_int).otherwise(
-        col_of(name_col).ilike(F.lit("%" + selector + "%")))
+        F.lower(col_of(name_col)).contains(selector.lower()))
 
 
 # F14 -- PII mask keeping the last four characters.

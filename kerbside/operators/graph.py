@@ -222,3 +222,49 @@ def driver_interactions(ovt: DataFrame, btl: DataFrame, pairs: DataFrame) -> Dat
         F.when(m + r > 0, (m - r) / (m + r)).alias("influence_score"),
         F.when(a > 0, m / a).alias("overtake_success_rate"),
         F.coalesce("battles", F.lit(0)).alias("battles"), "avg_battle_duration")
+
+
+# ------------------------------------------------------------------ rivalry communities
+def opponent_sets(ovt: DataFrame, btl: DataFrame) -> DataFrame:
+    """Per driver, the set of drivers met in an overtake or a battle (any session)."""
+    pairs = (ovt.select(F.col("passer_id").alias("a"), F.col("passed_id").alias("b"))
+             .unionByName(btl.select(F.col("driver_a").alias("a"), F.col("driver_b").alias("b"))))
+    both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    return both.groupBy(F.col("a").alias("driver_id")).agg(F.collect_set("b").alias("opponents"))
+
+
+def rivalry_communities(ovt: DataFrame, btl: DataFrame, threshold: float = 0.5, num_features: int = 1 << 12,
+                        hash_tables: int = 8, max_iterations: int = 20, seed: int = 7) -> DataFrame:
+    """G12 [ours]: drivers whose opponent sets have Jaccard distance < ``threshold``
+    are linked (MinHash LSH similarity join: only drivers sharing a hash bucket are
+    compared, never all pairs), then communities are the connected components found by
+    min-label propagation over the links (joins keyed by driver, lineage cut with
+    ``checkpoint()``; stops when no label changes or after ``max_iterations``)."""
+    from pyspark.ml.feature import MinHashLSH
+    from pyspark.ml.functions import array_to_vector
+
+    sets = opponent_sets(ovt, btl)
+    idx = F.transform("opponents", lambda o: F.pmod(F.xxhash64(o), F.lit(num_features)))
+    dense = F.transform(F.sequence(F.lit(0), F.lit(num_features - 1)),
+                        lambda i: F.when(F.array_contains(idx, i.cast("bigint")), 1.0).otherwise(0.0))
+    feats = sets.select("driver_id", array_to_vector(dense).alias("features"))
+    model = MinHashLSH(inputCol="features", outputCol="hashes", numHashTables=hash_tables, seed=seed).fit(feats)
+    links = (model.approxSimilarityJoin(feats, feats, threshold, distCol="jaccard_distance")
+             .select(F.col("datasetA.driver_id").alias("src"), F.col("datasetB.driver_id").alias("dst"),
+                     "jaccard_distance")
+             .where(F.col("src") != F.col("dst")))
+    checkpoint_dir(sets.sparkSession)
+    links = links.select("src", "dst").checkpoint(eager=True)
+    labels = sets.select("driver_id", F.col("driver_id").alias("community")).checkpoint(eager=True)
+    for _ in range(max_iterations):
+        proposals = (links.join(labels.withColumnRenamed("driver_id", "src"), "src")
+                     .groupBy(F.col("dst").alias("driver_id")).agg(F.min("community").alias("cand")))
+        new = (labels.join(proposals, "driver_id", "left")
+               .select("driver_id", F.least("community", F.coalesce("cand", "community")).alias("community"))
+               .checkpoint(eager=True))
+        changed = new.join(labels.withColumnRenamed("community", "old"), "driver_id").where(
+            F.col("community") != F.col("old")).limit(1).count()
+        labels = new
+        if changed == 0:
+            break
+    return labels

@@ -518,3 +518,31 @@ def x2_team_gap_trend(spark, sf_dir):
                                                      ["avg_lap_ms", "delta_vs_prev_session_ms"]))
 def x3_multi_session_trend(spark, sf_dir):
     return round_doubles(serve.multi_session_trend(_laps(spark, sf_dir)))
+
+
+@register("g12_rivalry_communities")
+def g12_rivalry_communities(spark, sf_dir):
+    """Rows-only: approximate (LSH) similarity links; checked against exact Jaccard in tests."""
+    lp, pos, pairs, ovt, btl = _race_graph(spark, sf_dir)
+    return graph.rivalry_communities(ovt, btl)
+
+
+@register("j3_driver_lookup", f"""{_LT},
+ drv AS (SELECT driver_id, min(team_id) AS team_id FROM laps GROUP BY 1)
+ SELECT t.session_id, t.driver_id, t.lap_number, t.sample_no, t.copy_no, d.team_id FROM telemetry t LEFT JOIN drv d USING (driver_id)""")
+def j3_driver_lookup(spark, sf_dir):
+    lp = _laps(spark, sf_dir)
+    tel = testbed.telemetry(spark, sf_dir, lp).select("session_id", "driver_id", "lap_number", "sample_no", "copy_no")
+    return L.lookup(tel, testbed.drivers(spark, sf_dir, lp), "driver_id")
+
+
+@register("q5_graph_cardinality", f"""{_EDGES},
+ nodes AS (SELECT DISTINCT driver_id AS id, 'Driver' AS label FROM laps UNION ALL SELECT DISTINCT session_id, 'Session' FROM laps
+  UNION ALL SELECT DISTINCT team_id, 'Team' FROM laps UNION ALL SELECT concat_ws('/', session_id, driver_id, lap_number::VARCHAR), 'Lap' FROM laps)
+ SELECT label AS kind, count(*) AS n FROM nodes GROUP BY 1
+ UNION ALL SELECT rel, count(*) FROM edges GROUP BY 1
+ UNION ALL SELECT 'DANGLING_ENDPOINT', count(*) FROM (SELECT src AS id FROM edges UNION ALL SELECT dst FROM edges) e ANTI JOIN nodes USING (id)""")
+def q5_graph_cardinality(spark, sf_dir):
+    from kerbside.operators import quality
+    nodes, edges = _edges(spark, sf_dir)
+    return quality.graph_cardinality(nodes, edges)

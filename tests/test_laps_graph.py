@@ -103,3 +103,15 @@ def test_pagerank_matches_power_iteration(spark):
     for k in nodes:
         assert abs(got[k] - r[ix[k]]) < 1e-9
     assert abs(sum(got.values()) - 1.0) < 1e-9
+
+
+def test_rivalry_links_respect_exact_jaccard(spark):
+    ovt = spark.createDataFrame([("S", 2, "a", "x", 10), ("S", 2, "b", "x", 10), ("S", 3, "a", "y", 10),
+                                 ("S", 3, "b", "y", 10), ("S", 4, "c", "z", 10)],
+                                "session_id string, lap_number int, passer_id string, passed_id string, delta_time_ms bigint")
+    btl = spark.createDataFrame([], "session_id string, driver_a string, driver_b string, lap_count bigint")
+    labels = {r.driver_id: r.community for r in graph.rivalry_communities(ovt, btl, threshold=0.3).collect()}
+    # a and b met exactly the same opponents (distance 0): one community; c shares nothing
+    assert labels["a"] == labels["b"] == "a"
+    assert labels["c"] == "c"
+    assert labels["x"] == labels["y"]
