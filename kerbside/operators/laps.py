@@ -316,3 +316,44 @@ def gold_fact_lap(telemetry_parsed: DataFrame, events_parsed: DataFrame) -> Data
     m = asof_forward_join(samples, lp, carry=["tyre_compound"]).drop("lap_number", "tyre_compound") \
         .withColumnRenamed("asof_lap_number", "lap_number").withColumnRenamed("asof_tyre_compound", "tyre_compound")
     return fact_lap(m, events_parsed)
+
+
+# ------------------------------------------------------------------ interval join (J5 periods)
+def interval_join(points: DataFrame, intervals: DataFrame, keys: list[str], t_col: str, start: str, end: str,
+                  carry: list[str], bucket: int, how: str = "left") -> DataFrame:
+    """Attach to each point the intervals ``[start, end)`` containing it (e.g. safety
+    car periods of the session). Intervals are replicated into the ``bucket``-wide
+    slots they overlap and equi-joined with points on (keys, slot) plus the range
+    residual, so no point is compared with intervals far from it."""
+    rk = {k: "__ik_" + k for k in keys}
+    iv = (intervals.where(F.col(start).isNotNull() & F.col(end).isNotNull() & (F.col(start) < F.col(end)))
+          .select(*[F.col(k).alias(v) for k, v in rk.items()], F.col(start).alias("__s"), F.col(end).alias("__e"),
+                  *[F.col(c) for c in carry])
+          .withColumn("__slot", F.explode(F.sequence(F.floor(F.col("__s") / bucket),
+                                                     F.floor((F.col("__e") - 1) / bucket)))))
+    p = points.withColumn("__pslot", F.floor(F.col(t_col) / bucket))
+    cond = [F.col(k) == F.col(v) for k, v in rk.items()]
+    cond += [F.col("__pslot") == F.col("__slot"), F.col(t_col) >= F.col("__s"), F.col(t_col) < F.col("__e")]
+    return p.join(iv, cond, how).select(*[F.col(c) for c in points.columns], *[F.col(c) for c in carry])
+
+
+def select_laps(df: DataFrame, sessions: DataFrame | None = None, year: int | None = None, event: str | None = None,
+                session: str | None = None, driver: str | None = None) -> DataFrame:
+    """S9 + P13 + F13: source selection on a laps/telemetry table joined to a session
+    dimension (session_id, year, round, event_name, session_name): by year, by event
+    (round number when numeric, else case-insensitive name substring), by session name
+    and by driver. Filters on partition columns prune partitions at the scan."""
+    from kerbside.functions.scalars import event_matches
+    out = df
+    if sessions is not None and (year is not None or event is not None or session is not None):
+        s = sessions
+        if year is not None:
+            s = s.where(F.col("year") == year)
+        if event is not None:
+            s = s.where(event_matches("round", "event_name", event))
+        if session is not None:
+            s = s.where(F.lower("session_name") == session.lower())
+        out = out.join(s.select("session_id"), "session_id", "left_semi")
+    if driver is not None:
+        out = out.where(F.col("driver_id") == driver)
+    return out

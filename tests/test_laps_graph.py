@@ -115,3 +115,26 @@ def test_rivalry_links_respect_exact_jaccard(spark):
     assert labels["a"] == labels["b"] == "a"
     assert labels["c"] == "c"
     assert labels["x"] == labels["y"]
+
+
+def test_interval_join_matches_brute_force(spark):
+    rnd = random.Random(3)
+    periods = [("S", s, s + rnd.randint(1, 50000), f"SC{i}") for i, s in
+               enumerate(sorted(rnd.sample(range(0, 1000000), 12)))]
+    points = [("S", rnd.randint(-1000, 1100000)) for _ in range(400)] + [("S", p[1]) for p in periods] + \
+             [("S", p[2]) for p in periods]
+    pdf = spark.createDataFrame(points, "session_id string, t_ms bigint")
+    idf = spark.createDataFrame(periods, "session_id string, start_ms bigint, end_ms bigint, label string")
+    got = sorted((r.t_ms, r.label) for r in L.interval_join(pdf, idf, ["session_id"], "t_ms", "start_ms", "end_ms",
+                                                              ["label"], 7000, "inner").collect())
+    want = sorted((t, lab) for _s, t in points for (_x, s, e, lab) in periods if s <= t < e)
+    assert got == want
+
+
+def test_select_laps(spark):
+    laps = spark.createDataFrame([("S1", "A", 1), ("S1", "B", 1), ("S2", "A", 1)],
+                                 "session_id string, driver_id string, lap_number int")
+    dim = spark.createDataFrame([("S1", 2024, 6, "Monaco Grand Prix", "Race"), ("S2", 2024, 7, "Spanish Grand Prix", "Race")],
+                                "session_id string, year int, round int, event_name string, session_name string")
+    assert L.select_laps(laps, dim, year=2024, event="MONACO").count() == 2
+    assert L.select_laps(laps, dim, event="7", driver="A").collect()[0].session_id == "S2"
