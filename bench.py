@@ -16,6 +16,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from kerbside.plans.catalog import QUERIES  # noqa: E402
 from kerbside.session import get_spark  # noqa: E402
+from kerbside.sources import testbed  # noqa: E402
 
 HEADLINE = [
     "u1_all_alerts", "a1_card_velocity", "a3_window_stats", "a6_fraud_rings", "a7_fast_cards",
@@ -36,6 +37,11 @@ def main() -> None:
     # warm-up: JIT and class loading are not part of any query's time
     QUERIES["a7_fast_cards"](spark, sf_dir).write.format("noop").mode("overwrite").save()
     times: dict[str, float] = {}
+    # the derived lap and telemetry tables are written once (under spark.checkpoint.dir)
+    # and read by the race queries; their derivation is timed as its own entry
+    t0 = time.perf_counter()
+    testbed.stored_telemetry(spark, sf_dir)
+    times["testbed_materialize"] = round(time.perf_counter() - t0, 3)
     for name in names:
         t0 = time.perf_counter()
         QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()

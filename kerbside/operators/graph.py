@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from kerbside.session import checkpoint_dir
+from kerbside.session import checkpoint_dir, reliable_checkpoint
 
 # Fixed values (design doc): proximity threshold and battle length.
 GAP_MS = 1000
@@ -175,8 +175,8 @@ def pagerank(nodes: DataFrame, edges: DataFrame, iterations: int = PAGERANK_ITER
     selfs = nodes.select("session_id", F.col("node").alias("src"), F.col("node").alias("dst"), F.lit(0.0).alias("p"))
     dangling = (nodes.join(out_w.select("session_id", F.col("src").alias("node")), ["session_id", "node"], "left_anti")
                 .select("session_id", F.col("node").alias("src"), F.lit(sink).alias("dst"), F.lit(1.0).alias("p")))
-    trans = (moves.unionByName(selfs).unionByName(dangling).join(n, "session_id")
-             .repartition("session_id", "src").checkpoint(eager=True))
+    trans = reliable_checkpoint(moves.unionByName(selfs).unionByName(dangling).join(n, "session_id")
+                                .repartition("session_id", "src"))
     ranks = nodes.join(n, "session_id").select("session_id", "node", (F.lit(1.0) / F.col("n")).alias("rank"))
     per_session = Window.partitionBy("session_id")
     for it in range(iterations):
@@ -188,7 +188,7 @@ def pagerank(nodes: DataFrame, edges: DataFrame, iterations: int = PAGERANK_ITER
                          ((F.lit(1 - damping) / F.col("n"))
                           + F.lit(damping) * (F.col("c") + F.col("__d") / F.col("n"))).alias("rank")))
         if checkpoint_every and (it + 1) % checkpoint_every == 0 and it + 1 < iterations:
-            ranks = ranks.checkpoint(eager=True)
+            ranks = reliable_checkpoint(ranks)
     return ranks
 
 
@@ -254,14 +254,14 @@ def rivalry_communities(ovt: DataFrame, btl: DataFrame, threshold: float = 0.5,
                      "jaccard_distance")
              .where(F.col("src") != F.col("dst")))
     checkpoint_dir(sets.sparkSession)
-    links = links.select("src", "dst").checkpoint(eager=True)
-    labels = sets.select("driver_id", F.col("driver_id").alias("community")).checkpoint(eager=True)
+    links = reliable_checkpoint(links.select("src", "dst"))
+    labels = reliable_checkpoint(sets.select("driver_id", F.col("driver_id").alias("community")))
     for _ in range(max_iterations):
         proposals = (links.join(labels.withColumnRenamed("driver_id", "src"), "src")
                      .groupBy(F.col("dst").alias("driver_id")).agg(F.min("community").alias("cand")))
         new = (labels.join(proposals, "driver_id", "left")
-               .select("driver_id", F.least("community", F.coalesce("cand", "community")).alias("community"))
-               .checkpoint(eager=True))
+               .select("driver_id", F.least("community", F.coalesce("cand", "community")).alias("community")))
+        new = reliable_checkpoint(new)
         changed = new.join(labels.withColumnRenamed("community", "old"), "driver_id").where(
             F.col("community") != F.col("old")).limit(1).count()
         labels = new

@@ -123,8 +123,8 @@ def a18_late_arrivals(spark, sf_dir):
  z2 AS (SELECT *, CASE WHEN rolling_sd > 0 THEN (speed_kph - rolling_mean) / rolling_sd END AS zscore FROM z)
  SELECT * FROM z2 WHERE abs(zscore) > 2""", ["rolling_mean", "rolling_sd", "zscore"]))
 def w8_zscore_anomalies(spark, sf_dir):
-    lp = testbed.laps(spark, sf_dir)
-    return round_doubles(quality.zscore_anomalies(L.clean_telemetry(testbed.telemetry(spark, sf_dir, lp))))
+    lp = testbed.stored_laps(spark, sf_dir)
+    return round_doubles(quality.zscore_anomalies(L.clean_telemetry(testbed.stored_telemetry(spark, sf_dir))))
 
 
 @register("w10_latest_message_per_key", f"""{_MSG_SQL},

@@ -16,12 +16,12 @@ _L = O.with_fixtures("laps")
 
 # ------------------------------------------------------------------ shared Spark building blocks
 def _laps(spark, sf_dir):
-    return testbed.laps(spark, sf_dir)
+    return testbed.stored_laps(spark, sf_dir)
 
 
 def _clean(spark, sf_dir, lp=None):
     lp = lp if lp is not None else _laps(spark, sf_dir)
-    return L.clean_telemetry(testbed.telemetry(spark, sf_dir, lp))
+    return L.clean_telemetry(testbed.stored_telemetry(spark, sf_dir))
 
 
 def _asof_clean(spark, sf_dir, lp=None):
@@ -101,7 +101,7 @@ _GRAPH = f"{_L},\n {_POS},\n {_PAIRS},\n {_OVT},\n {_BTL}"
  FROM telemetry t ASOF LEFT JOIN laps l ON t.session_id = l.session_id AND t.driver_id = l.driver_id AND t.t_ms <= l.cum_ms""")
 def j1_asof_lap(spark, sf_dir):
     lp = _laps(spark, sf_dir)
-    tel = testbed.telemetry(spark, sf_dir, lp).select("session_id", "driver_id", "lap_number", "sample_no", "t_ms", "copy_no")
+    tel = testbed.stored_telemetry(spark, sf_dir).select("session_id", "driver_id", "lap_number", "sample_no", "t_ms", "copy_no")
     return L.asof_forward_join(tel, lp, carry=["tyre_compound"])
 
 
@@ -114,14 +114,14 @@ def u3_clean_telemetry(spark, sf_dir):
  SELECT *, CASE WHEN session_id IS NULL THEN 'NULL_SESSION' WHEN speed_kph < 0 THEN 'NEGATIVE_SPEED' END AS reject_reason
  FROM telemetry WHERE session_id IS NULL OR speed_kph < 0""")
 def p11_quarantine(spark, sf_dir):
-    return L.split_valid(testbed.telemetry(spark, sf_dir))[1]
+    return L.split_valid(testbed.stored_telemetry(spark, sf_dir))[1]
 
 
 @register("p11_reject_counts", f"""{_LT}
  SELECT CASE WHEN session_id IS NULL THEN 'NULL_SESSION' WHEN speed_kph < 0 THEN 'NEGATIVE_SPEED' ELSE 'VALID' END AS reject_reason,
   count(*) AS n FROM telemetry GROUP BY 1""")
 def p11_reject_counts(spark, sf_dir):
-    tagged = testbed.telemetry(spark, sf_dir).withColumn("reject_reason", L.reject_reason(testbed.telemetry(spark, sf_dir)))
+    tagged = testbed.stored_telemetry(spark, sf_dir).withColumn("reject_reason", L.reject_reason(testbed.stored_telemetry(spark, sf_dir)))
     return tagged.groupBy(F.coalesce("reject_reason", F.lit("VALID")).alias("reject_reason")).agg(
         F.count(F.lit(1)).alias("n"))
 
@@ -211,7 +211,7 @@ def w9_pit_duration(spark, sf_dir):
  SELECT session_id, driver_id, arg_max(lap_number, (t, event_type)) AS lap_number, arg_max(event_type, (t, event_type)) AS event_type
  FROM ev GROUP BY 1, 2""")
 def w10_latest_event(spark, sf_dir):
-    ev = testbed.race_events(spark, sf_dir).select(
+    ev = testbed.race_events(spark, sf_dir, testbed.stored_laps(spark, sf_dir)).select(
         "session_id", "driver_id", "lap_number", "event_type", "event_ts_utc")
     return L.latest_per_key(ev, ["session_id", "driver_id"], ["event_ts_utc", "event_type"]).select(
         "session_id", "driver_id", "lap_number", "event_type")
@@ -254,7 +254,7 @@ def g2_battles(spark, sf_dir):
   LEFT JOIN drs d ON o.session_id = d.session_id AND o.passer_id = d.driver_id AND o.lap_number = d.lap_number""")
 def g4_overtake_types(spark, sf_dir):
     lp, pos, pairs, ovt, _ = _race_graph(spark, sf_dir)
-    return graph.tag_overtakes(ovt, lp, testbed.telemetry(spark, sf_dir, lp))
+    return graph.tag_overtakes(ovt, lp, testbed.stored_telemetry(spark, sf_dir))
 
 
 _EDGES = f"""{_GRAPH},
@@ -471,7 +471,7 @@ def a19_influence_vs_result(spark, sf_dir):
  FROM x GROUP BY ROLLUP (session_id)""")
 def a11_run_totals(spark, sf_dir):
     lp = _laps(spark, sf_dir)
-    tel = testbed.telemetry(spark, sf_dir, lp)
+    tel = testbed.stored_telemetry(spark, sf_dir)
     return serve.run_totals(tel, testbed.race_events(spark, sf_dir, lp), L.split_valid(tel)[1])
 
 
@@ -486,7 +486,7 @@ def t7_cap_per_session(spark, sf_dir):
  med AS (SELECT session_id, median(pit_duration_ms) AS session_median_ms FROM pits GROUP BY 1)
  SELECT pits.*, session_median_ms, pit_duration_ms - session_median_ms AS pit_delta_ms FROM pits JOIN med USING (session_id)""")
 def a20_pit_efficiency(spark, sf_dir):
-    pits = testbed.race_events(spark, sf_dir).where(F.col("event_type") == "PIT_STOP").select(
+    pits = testbed.race_events(spark, sf_dir, testbed.stored_laps(spark, sf_dir)).where(F.col("event_type") == "PIT_STOP").select(
         "session_id", "driver_id", "lap_number", "pit_duration_ms")
     return serve.pit_efficiency(pits)
 
@@ -532,7 +532,7 @@ def g12_rivalry_communities(spark, sf_dir):
  SELECT t.session_id, t.driver_id, t.lap_number, t.sample_no, t.copy_no, d.team_id FROM telemetry t LEFT JOIN drv d USING (driver_id)""")
 def j3_driver_lookup(spark, sf_dir):
     lp = _laps(spark, sf_dir)
-    tel = testbed.telemetry(spark, sf_dir, lp).select("session_id", "driver_id", "lap_number", "sample_no", "copy_no")
+    tel = testbed.stored_telemetry(spark, sf_dir).select("session_id", "driver_id", "lap_number", "sample_no", "copy_no")
     return L.lookup(tel, testbed.drivers(spark, sf_dir, lp), "driver_id")
 
 

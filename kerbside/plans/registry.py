@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
+from kerbside.session import ensure_utc
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
@@ -18,7 +21,12 @@ def register(name: str, sql: str | None = None):
     def deco(fn):
         if name in QUERIES:
             raise ValueError(f"duplicate query {name}")
-        QUERIES[name] = fn
+
+        @functools.wraps(fn)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ensure_utc(spark)  # timestamps are rendered and bucketed as UTC wall-clock time
+            return fn(spark, sf_dir)
+        QUERIES[name] = run
         if sql is not None:
             ORACLE[name] = sql
         return fn

@@ -14,6 +14,11 @@ BASE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.ansi.enabled": "true",
+    # Broadcast only what is proven small: no broadcast from plan-time size estimates
+    # (they can be far off after explode/filters); AQE still converts a join to a
+    # broadcast join once a side's shuffle output has been MEASURED under 64 MB.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
 }
 
 
@@ -67,3 +72,19 @@ def checkpoint_dir(spark: SparkSession) -> str:
     path = tempfile.mkdtemp(prefix="kerbside-ckpt-")
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir()
+
+
+def reliable_checkpoint(df):
+    """Cut lineage with a reliable checkpoint into ``spark.checkpoint.dir``.
+
+    The frame is persisted first: a reliable checkpoint otherwise computes the plan
+    twice (once for the action, once for writing the files). Never ``localCheckpoint``:
+    its blocks die with the executor that holds them.
+    """
+    from pyspark import StorageLevel
+    checkpoint_dir(df.sparkSession)
+    df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return df.checkpoint(eager=True)
+    finally:
+        df.unpersist()

@@ -9,11 +9,14 @@ so its cost grows linearly with the input tables.
 
 from __future__ import annotations
 
+import hashlib
+import os
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from kerbside.functions.scalars import isoformat, lap_event_id, pit_event_id, pit_stop_id
-from kerbside.session import ensure_utc
+from kerbside.session import checkpoint_dir, ensure_utc
 from kerbside.sources.tables import load
 
 # Fixed values (FIXTURES.md §3): lookup lists that shape the projections.
@@ -64,24 +67,26 @@ def laps(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = load(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice")
     n_sessions = li.select(F.expr("count(*) div 1000")).scalar()  # scalar subquery, one value
+    # session/driver ids are built first and used as the window keys, so later windows
+    # keyed by (session_id, driver_id) reuse this partitioning without a new shuffle
     b = li.select(
         (F.col("l_orderkey") % n_sessions).alias("sn"),
         (F.col("l_suppkey") % DRIVERS).cast("int").alias("dn"),
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice",
         (F.round(F.col("l_extendedprice") * 100).cast("bigint") % 3000).alias("jitter"),
-    )
-    order = Window.partitionBy("sn", "dn").orderBy(
+    ).withColumn("session_id", F.concat(F.lit("S"), F.col("sn"))).withColumn(
+        "driver_id", F.concat(F.lit("D"), F.col("dn")))
+    order = Window.partitionBy("session_id", "driver_id").orderBy(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice")
     b = b.withColumn("lap_number", F.row_number().over(order).cast("int")).where(
         F.col("lap_number") <= LAPS_PER_SESSION)
     lap_time = F.lit(80000) + F.col("dn") * 150 + F.col("jitter")
     pit = (F.col("lap_number") % 10 == 0) & (F.col("lap_number") < LAPS_PER_SESSION)
     compound_ix = (F.col("dn") + F.expr("(lap_number - 1) div 10")) % 3
-    running = Window.partitionBy("sn", "dn").orderBy("lap_number").rowsBetween(
+    running = Window.partitionBy("session_id", "driver_id").orderBy("lap_number").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     return b.select(
-        F.concat(F.lit("S"), F.col("sn")).alias("session_id"),
-        F.concat(F.lit("D"), F.col("dn")).alias("driver_id"),
+        "session_id", "driver_id",
         F.concat(F.lit("T"), F.col("dn") % 10).alias("team_id"),
         "lap_number",
         lap_time.alias("lap_time_ms"),
@@ -215,7 +220,8 @@ def telemetry_messages(spark: SparkSession, sf_dir: str, laps_df: DataFrame | No
     offsets are unique and increase with (session, driver, lap, sample, copy); the record
     time trails the event time by (lap_time_ms mod 13) * 200 ms [ours]."""
     from kerbside.functions.scalars import stable_ingest_id
-    t = telemetry(spark, sf_dir, laps_df, keep_origin=True)
+    t = (telemetry(spark, sf_dir, laps_df, keep_origin=True) if laps_df is not None
+         else stored_telemetry(spark, sf_dir, keep_origin=True))
     sn = session_no("origin_session")
     dn = _driver_no("driver_id")
     event_ms = session_start_ms("origin_session") + F.col("t_ms")
@@ -237,7 +243,7 @@ def telemetry_messages(spark: SparkSession, sf_dir: str, laps_df: DataFrame | No
 
 def event_messages(spark: SparkSession, sf_dir: str, laps_df: DataFrame | None = None) -> DataFrame:
     """Race events as message-log records keyed by event id (RACE_EVENT_SCHEMA JSON)."""
-    ev = race_events(spark, sf_dir, laps_df)
+    ev = race_events(spark, sf_dir, laps_df if laps_df is not None else stored_laps(spark, sf_dir))
     sn = session_no("session_id")
     dn = _driver_no("driver_id")
     offset = (((sn * 20 + dn) * 32 + F.col("lap_number")) * 2
@@ -258,3 +264,40 @@ def transaction_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
                      F.lit("credit_card_transactions").alias("topic"),
                      (F.col("event_id") % TOPIC_PARTITIONS).cast("int").alias("partition"),
                      F.col("event_id").cast("bigint").alias("offset"), F.col("transaction_time").alias("timestamp"))
+
+
+# ------------------------------------------------------------------ stored domain tables
+_STORED: dict[tuple, str] = {}
+
+
+def _stored(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The derived table ``name`` written once per application and input folder as
+    parquet under ``spark.checkpoint.dir`` (shared storage on a cluster), then read
+    back like any stored table: later queries scan it with column pruning and filter
+    pushdown instead of re-deriving it, and it survives executor loss."""
+    app = spark.sparkContext.applicationId
+    key = (app, os.path.abspath(sf_dir), name)
+    path = _STORED.get(key)
+    if path is None:
+        digest = hashlib.sha1(os.path.abspath(sf_dir).encode()).hexdigest()[:12]
+        path = "/".join([checkpoint_dir(spark).rstrip("/"), "testbed", app, digest, name])
+        if name == "laps":
+            df = laps(spark, sf_dir)
+        elif name == "telemetry":
+            df = telemetry(spark, sf_dir, stored_laps(spark, sf_dir), keep_origin=True)
+        else:
+            raise ValueError(name)
+        df.write.mode("overwrite").parquet(path)
+        _STORED[key] = path
+    return spark.read.parquet(path)
+
+
+def stored_laps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ensure_utc(spark)
+    return _stored(spark, sf_dir, "laps")
+
+
+def stored_telemetry(spark: SparkSession, sf_dir: str, keep_origin: bool = False) -> DataFrame:
+    ensure_utc(spark)
+    t = _stored(spark, sf_dir, "telemetry")
+    return t if keep_origin else t.drop("origin_session", "lap_time_ms")

@@ -154,3 +154,19 @@ def test_fraud_rings_stream_exact_distinct_and_update_mode(spark, tmp_path):
     got = spark.sql("SELECT merchant_category, max(txn_count) AS n FROM cat_update GROUP BY 1")
     want = windows.category_breakdown(tx, per_window=False).select("merchant_category", F.col("txn_count").alias("n"))
     assert _rows(got) == _rows(want)
+
+
+def test_table_stream_and_date_layout(spark, tmp_path):
+    lp = testbed.laps(spark, SMALL).where(F.col("session_id") == "S0")
+    msgs = testbed.telemetry_messages(spark, SMALL, lp)
+    land = str(tmp_path / "land")
+    _write_chunks(msgs.select([f.name for f in ENVELOPE_SCHEMA.fields]), land, "offset", 2)
+    parsed, raw = envelope.read_topic(spark, "telemetry.raw", TELEMETRY_SCHEMA, {"maxFilesPerTrigger": "1"},
+                                      path=os.path.join(land, "*"))
+    out = str(tmp_path / "tbl")
+    q = bronze.start_table_stream(parsed.withColumn("date", F.to_date(F.col("timestamp_utc").try_cast("timestamp"))),
+                                  out, str(tmp_path / "ck"), available_now=True, partition_by=["date"])
+    q.awaitTermination()
+    got = spark.read.parquet(out)
+    assert got.count() == msgs.count()
+    assert "date" in got.columns and got.select("date").distinct().count() >= 1
