@@ -104,7 +104,8 @@ def test_bronze_fan_out_and_gold(spark, tmp_path):
     _write_chunks(msgs.select([f.name for f in ENVELOPE_SCHEMA.fields]), land, "offset", 3)
     base, ck = str(tmp_path / "bronze"), str(tmp_path / "ck")
     qs = bronze.start_bronze(spark, {"telemetry.raw": TELEMETRY_SCHEMA, "race.events": RACE_EVENT_SCHEMA},
-                             {"maxFilesPerTrigger": "1"}, base, ck, path=os.path.join(land, "*"), available_now=True)
+                             {"maxFilesPerTrigger": "1"}, base, ck, path=os.path.join(land, "*"), available_now=True,
+                             partition_by={"telemetry.raw": ["session_id"], "race.events": ["session_id"]})
     for q in qs:
         q.awaitTermination()
     tel = spark.read.parquet(os.path.join(base, "telemetry_raw-parsed"))
