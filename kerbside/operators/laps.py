@@ -139,16 +139,29 @@ def lap_events(race_events: DataFrame) -> DataFrame:
                     "p.sector2_ms", "p.sector3_ms", F.col("p.compound").alias("event_compound")))
 
 
-def fact_lap(samples: DataFrame, race_events: DataFrame | None = None, lap_col: str = "lap_number") -> DataFrame:
+def fact_lap(samples: DataFrame, race_events: DataFrame | None = None, lap_col: str = "lap_number",
+             compound_per_lap: bool = False) -> DataFrame:
     """Per (session, driver, lap) speeds, fuel used (first - last by time), battery
     delta (last - first), compound; lap and sector times from the LAP_COMPLETION payload,
-    else the span of the lap's sample times [ours]."""
-    g = samples.groupBy("session_id", "driver_id", F.col(lap_col).alias("lap_number")).agg(
+    else the span of the lap's sample times [ours].
+
+    All aggregation buffers are fixed-width (doubles, longs), so Spark plans a hash
+    aggregate with map-side partial aggregation. The compound is a string: by default it
+    is the compound of the lap's last sample (``max_by``, a sort-based aggregate); with
+    ``compound_per_lap=True`` -- the samples carry their as-of matched lap's compound,
+    constant within the group -- it is a grouping key and the aggregate stays hashed."""
+    keys = ["session_id", "driver_id", F.col(lap_col).alias("lap_number")]
+    if compound_per_lap:
+        keys.append("tyre_compound")
+        compound = []
+    else:
+        compound = [F.max_by("tyre_compound", "t_ms").alias("tyre_compound")]
+    g = samples.groupBy(*keys).agg(
         F.min("speed_kph").alias("min_speed_kph"), F.avg("speed_kph").alias("avg_speed_kph"),
         F.max("speed_kph").alias("max_speed_kph"),
         (F.min_by("fuel_mass_kg", "t_ms") - F.max_by("fuel_mass_kg", "t_ms")).alias("fuel_used_kg"),
         (F.max_by("battery_pct", "t_ms") - F.min_by("battery_pct", "t_ms")).alias("battery_delta_pct"),
-        F.max_by("tyre_compound", "t_ms").alias("tyre_compound"),
+        *compound,
         (F.max("t_ms") - F.min("t_ms")).alias("sample_span_ms"),
         F.count(F.lit(1)).alias("samples"),
     )
@@ -315,7 +328,7 @@ def gold_fact_lap(telemetry_parsed: DataFrame, events_parsed: DataFrame) -> Data
     samples = clean_telemetry(samples_from_bronze(telemetry_parsed))
     m = asof_forward_join(samples, lp, carry=["tyre_compound"]).drop("lap_number", "tyre_compound") \
         .withColumnRenamed("asof_lap_number", "lap_number").withColumnRenamed("asof_tyre_compound", "tyre_compound")
-    return fact_lap(m, events_parsed)
+    return fact_lap(m, events_parsed, compound_per_lap=True)
 
 
 # ------------------------------------------------------------------ interval join (J5 periods)

@@ -33,7 +33,7 @@ def _fact_lap(spark, sf_dir, lp=None):
     lp = lp if lp is not None else _laps(spark, sf_dir)
     samples = _asof_clean(spark, sf_dir, lp).drop("lap_number", "tyre_compound") \
         .withColumnRenamed("asof_lap_number", "lap_number").withColumnRenamed("asof_tyre_compound", "tyre_compound")
-    return L.fact_lap(samples, testbed.race_events(spark, sf_dir, lp))
+    return L.fact_lap(samples, testbed.race_events(spark, sf_dir, lp), compound_per_lap=True)
 
 
 def _positions(spark, sf_dir, lp=None):

@@ -285,6 +285,8 @@ def _stored(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
             df = laps(spark, sf_dir)
         elif name == "telemetry":
             df = telemetry(spark, sf_dir, stored_laps(spark, sf_dir), keep_origin=True)
+        elif name == "telemetry_log":
+            df = telemetry_messages(spark, sf_dir, stored_laps(spark, sf_dir))
         else:
             raise ValueError(name)
         df.write.mode("overwrite").parquet(path)
@@ -301,3 +303,10 @@ def stored_telemetry(spark: SparkSession, sf_dir: str, keep_origin: bool = False
     ensure_utc(spark)
     t = _stored(spark, sf_dir, "telemetry")
     return t if keep_origin else t.drop("origin_session", "lap_time_ms")
+
+
+def stored_telemetry_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The telemetry topic as a stored message log (key, value, topic, partition, offset,
+    timestamp) -- what the bronze job consumes."""
+    ensure_utc(spark)
+    return _stored(spark, sf_dir, "telemetry_log")
