@@ -6,17 +6,11 @@ projections in ``kerbside.sources.testbed``) in full.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
 from kerbside.operators import alerts, windows
 from kerbside.plans import oracle as O
+from kerbside.plans.registry import ORACLE, QUERIES, register  # noqa: F401  (re-exported)
 from kerbside.sources import testbed
 
-from kerbside.plans.registry import ORACLE, QUERIES, register  # noqa: E402,F401
-
 
 # ---------------------------------------------------------------- alerts
 _TX = O.with_fixtures("transactions")
@@ -108,8 +102,8 @@ def a10_total_alerts(spark, sf_dir):
     return alerts.total_alerts(alerts.all_alerts(_tx(spark, sf_dir)))
 
 
-@register("t2_alert_samples", f"""SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY fraud_rule ORDER BY
-  "timestamp" ASC NULLS LAST, window_start ASC NULLS LAST, card_number, amount ASC NULLS LAST, fraud_reason) AS rn
+@register("t2_alert_samples", f"""SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY fraud_rule ORDER BY
+  "timestamp" ASC NULLS LAST, window_start ASC NULLS LAST, card_number, amount ASC NULLS LAST, fraud_reason) AS INT) AS rn
   FROM ({_ALL_ALERTS_SQL})) WHERE rn <= 5""")
 def t2_alert_samples(spark, sf_dir):
     return alerts.samples_per_rule(alerts.all_alerts(_tx(spark, sf_dir)), 5)
@@ -163,7 +157,7 @@ def a7_fast_cards(spark, sf_dir):
 
 @register("a8_running_hotspots", f"""{_TX}
  SELECT location.city AS city, location.state AS state, count(*) AS txn_count,
-  CAST(sum(amount) AS DECIMAL(18,2)) AS total_amount, {O.money_avg('sum(amount)', 'count(*)')} AS avg_amount
+  CAST(sum(amount) AS DECIMAL(18,2)) AS total_amount, {O.money_avg('sum(amount)', 'count(*)', 'DECIMAL(18,2)')} AS avg_amount
  FROM txn GROUP BY 1, 2""")
 def a8_running_hotspots(spark, sf_dir):
     return windows.location_hotspots(_tx(spark, sf_dir), per_window=False)
@@ -171,7 +165,7 @@ def a8_running_hotspots(spark, sf_dir):
 
 @register("a8_running_categories", f"""{_TX}
  SELECT merchant_category, count(*) AS txn_count, CAST(sum(amount) AS DECIMAL(18,2)) AS total_spend,
-  {O.money_avg('sum(amount)', 'count(*)')} AS avg_spend
+  {O.money_avg('sum(amount)', 'count(*)', 'DECIMAL(18,2)')} AS avg_spend
  FROM txn GROUP BY 1""")
 def a8_running_categories(spark, sf_dir):
     return windows.category_breakdown(_tx(spark, sf_dir), per_window=False)

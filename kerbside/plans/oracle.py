@@ -44,12 +44,12 @@ def with_fixtures(*names: str) -> str:
     return "WITH " + ",\n ".join(parts)
 
 
-def money_avg(total: str, count: str) -> str:
+def money_avg(total: str, count: str, to: str = "DECIMAL(10,2)") -> str:
     """Exact half-up (away from zero) rounding of total/count to 2 decimals, matching
     Spark's decimal division followed by a cast to decimal(10,2)."""
     cents = f"CAST(({total}) * 100 AS HUGEINT)"
     return (f"CAST(CAST(sign({cents}) * ((2 * abs({cents}) + ({count})) // (2 * ({count}))) AS DECIMAL(38,0))"
-            f" * CAST(0.01 AS DECIMAL(3,2)) AS DECIMAL(10,2))")
+            f" * CAST(0.01 AS DECIMAL(3,2)) AS {to})")
 
 
 def bucket(ts: str, seconds: int) -> str:

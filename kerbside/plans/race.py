@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kerbside.operators import graph, laps as L
@@ -73,7 +72,7 @@ _STINTS = """st0 AS (SELECT *, CASE WHEN lag(tyre_compound) OVER w IS NULL OR la
  stints AS (SELECT *, CAST(sum(nw) OVER (PARTITION BY session_id, driver_id ORDER BY lap_number ROWS UNBOUNDED PRECEDING) AS INT) AS stint_no FROM st0),
  stints2 AS (SELECT * EXCLUDE (nw), concat_ws('_', session_id, driver_id, CAST(stint_no AS VARCHAR)) AS stint_id FROM stints)"""
 
-_POS = """p0 AS (SELECT *, cum_ms AS race_ms, row_number() OVER (PARTITION BY session_id, lap_number ORDER BY cum_ms, driver_id) AS position FROM laps),
+_POS = """p0 AS (SELECT *, cum_ms AS race_ms, CAST(row_number() OVER (PARTITION BY session_id, lap_number ORDER BY cum_ms, driver_id) AS INT) AS position FROM laps),
  pos AS (SELECT *, lead(position) OVER (PARTITION BY session_id, driver_id ORDER BY lap_number) AS next_position,
    lead(lap_number) OVER (PARTITION BY session_id, driver_id ORDER BY lap_number) AS next_lap_number FROM p0)"""
 
@@ -176,8 +175,8 @@ def w2_race_order(spark, sf_dir):
 
 
 @register("j5_laps_events", f"""{_L}
- SELECT session_id, driver_id, lap_number, lap_time_ms, 1 + CASE WHEN pit THEN 1 ELSE 0 END AS events,
-  CASE WHEN pit THEN 1 ELSE 0 END AS pit_stops, pit_duration_ms AS pit_time_ms FROM laps""")
+ SELECT session_id, driver_id, lap_number, lap_time_ms, CAST(1 + CASE WHEN pit THEN 1 ELSE 0 END AS BIGINT) AS events,
+  CAST(CASE WHEN pit THEN 1 ELSE 0 END AS BIGINT) AS pit_stops, pit_duration_ms AS pit_time_ms FROM laps""")
 def j5_laps_events(spark, sf_dir):
     lp = _laps(spark, sf_dir)
     x = L.laps_with_events(lp.select("session_id", "driver_id", "lap_number", "lap_time_ms"),
@@ -378,13 +377,13 @@ _BOARD = """fo AS (SELECT session_id, driver_id, max(lap_number) AS laps_complet
 
 @register("t3_top_overtakers", f"""{_GRAPH},
  made AS (SELECT session_id, passer_id AS driver_id, count(*) AS overtakes FROM ovt GROUP BY 1, 2)
- SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY session_id ORDER BY overtakes DESC, driver_id) AS rank FROM made) WHERE rank <= 3""")
+ SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY session_id ORDER BY overtakes DESC, driver_id) AS INT) AS rank FROM made) WHERE rank <= 3""")
 def t3_top_overtakers(spark, sf_dir):
     return serve.top_overtakers(_race_graph(spark, sf_dir)[3], 3)
 
 
 @register("t4_rivalry_pairs", f"""{_GRAPH}
- SELECT driver_a, driver_b, count(*) AS battles, sum(lap_count) AS battle_laps FROM btl GROUP BY 1, 2
+ SELECT driver_a, driver_b, count(*) AS battles, CAST(sum(lap_count) AS BIGINT) AS battle_laps FROM btl GROUP BY 1, 2
  ORDER BY battles DESC, battle_laps DESC, driver_a, driver_b LIMIT 10""")
 def t4_rivalry_pairs(spark, sf_dir):
     return serve.rivalry_pairs(_race_graph(spark, sf_dir)[4], 10)
@@ -397,9 +396,9 @@ def t5_leaderboard(spark, sf_dir):
 
 @register("t5_team_standings", f"""{_L},\n {_POS},\n {_BOARD},
  drv AS (SELECT driver_id, min(team_id) AS team_id FROM laps GROUP BY 1),
- tp AS (SELECT team_id, sum(CASE WHEN final_position <= 10 THEN ([25, 18, 15, 12, 10, 8, 6, 4, 2, 1])[final_position] ELSE 0 END) AS points
+ tp AS (SELECT team_id, CAST(sum(CASE WHEN final_position <= 10 THEN ([25, 18, 15, 12, 10, 8, 6, 4, 2, 1])[final_position] ELSE 0 END) AS BIGINT) AS points
   FROM board LEFT JOIN drv USING (driver_id) GROUP BY 1)
- SELECT *, rank() OVER (ORDER BY points DESC) AS standing FROM tp""")
+ SELECT *, CAST(rank() OVER (ORDER BY points DESC) AS INT) AS standing FROM tp""")
 def t5_team_standings(spark, sf_dir):
     lp = _laps(spark, sf_dir)
     return serve.team_standings(serve.leaderboard(L.with_race_order(lp)), testbed.drivers(spark, sf_dir, lp))
@@ -467,7 +466,8 @@ def a19_influence_vs_result(spark, sf_dir):
  x AS (SELECT coalesce(t.session_id, e.session_id, r.session_id) AS session_id, coalesce(telemetry, 0) AS telemetry,
    coalesce(events, 0) AS events, coalesce(errors, 0) AS errors
   FROM t FULL JOIN e ON t.session_id IS NOT DISTINCT FROM e.session_id FULL JOIN r ON coalesce(t.session_id, e.session_id) IS NOT DISTINCT FROM r.session_id)
- SELECT session_id, sum(telemetry) AS telemetry, sum(events) AS events, sum(errors) AS errors, count(*) AS sessions
+ SELECT session_id, CAST(sum(telemetry) AS BIGINT) AS telemetry, CAST(sum(events) AS BIGINT) AS events,
+  CAST(sum(errors) AS BIGINT) AS errors, count(*) AS sessions
  FROM x GROUP BY ROLLUP (session_id)""")
 def a11_run_totals(spark, sf_dir):
     lp = _laps(spark, sf_dir)
