@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import threading
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -268,6 +269,7 @@ def transaction_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ------------------------------------------------------------------ stored domain tables
 _STORED: dict[tuple, str] = {}
+_STORED_LOCK = threading.RLock()
 
 
 def _stored(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -277,23 +279,29 @@ def _stored(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     pushdown instead of re-deriving it, and it survives executor loss."""
     app = spark.sparkContext.applicationId
     key = (app, os.path.abspath(sf_dir), name)
-    path = _STORED.get(key)
-    if path is None:
-        digest = hashlib.sha1(os.path.abspath(sf_dir).encode()).hexdigest()[:12]
-        path = "/".join([checkpoint_dir(spark).rstrip("/"), "testbed", app, digest, name])
-        if name == "laps":
-            df = laps(spark, sf_dir)
-        elif name == "telemetry":
-            df = telemetry(spark, sf_dir, stored_laps(spark, sf_dir), keep_origin=True)
-        elif name == "telemetry_log":
-            df = telemetry_messages(spark, sf_dir, stored_laps(spark, sf_dir))
-        else:
-            raise ValueError(name)
-        df.write.mode("overwrite").parquet(path)
-        _STORED[key] = path
+    with _STORED_LOCK:  # one writer per table even when queries are started from threads
+        path = _STORED.get(key)
+        if path is None:
+            path = _write_stored(spark, sf_dir, name, app)
+            _STORED[key] = path
     return spark.read.parquet(path)
 
 
+def _write_stored(spark: SparkSession, sf_dir: str, name: str, app: str) -> str:
+    digest = hashlib.sha1(os.path.abspath(sf_dir).encode()).hexdigest()[:12]
+    path = "/".join([checkpoint_dir(spark).rstrip("/"), "testbed", app, digest, name])
+    if name == "laps":
+        df = laps(spark, sf_dir)
+    elif name == "telemetry":
+        df = telemetry(spark, sf_dir, stored_laps(spark, sf_dir), keep_origin=True)
+    elif name == "telemetry_log":
+        df = telemetry_messages(spark, sf_dir, stored_laps(spark, sf_dir))
+    else:
+        raise ValueError(name)
+    df.write.mode("overwrite").parquet(path)
+    return path
+
+
 def stored_laps(spark: SparkSession, sf_dir: str) -> DataFrame:
     ensure_utc(spark)
     return _stored(spark, sf_dir, "laps")

@@ -27,7 +27,8 @@ def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     names = sys.argv[2:] or sorted(QUERIES)
     spark = get_spark("kerbside-plans", master="local[8]", shuffle_partitions=16,
-                      extra={"spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"})
+                      extra={"spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false",
+                             "spark.driver.memory": "16g"})
     spark.sparkContext.setLogLevel("ERROR")
     print(f"# Physical plans ({os.path.basename(sf_dir)}, AQE final plans)\n")
     print("Counts of physical operators per query after one execution; `scan` lists the pruned "
