@@ -70,10 +70,18 @@ def clean_telemetry(telemetry: DataFrame) -> DataFrame:
     return deduplicate(valid, ["session_id", "driver_id", "t_ms"], "copy_no")
 
 
+def first_sample_times(telemetry: DataFrame, keys: list[str] = KEYS, t_col: str = "t_ms") -> DataFrame:
+    """Earliest valid sample time per key: equal before and after deduplication, so it
+    can be taken from the raw rows with one partial+final hash aggregate."""
+    valid, _ = split_valid(telemetry)
+    return valid.groupBy(*keys).agg(F.min(t_col).alias("__tmin"))
+
+
 # ------------------------------------------------------------------ as-of join
 def asof_forward_join(samples: DataFrame, laps: DataFrame, keys: list[str] = KEYS, t_col: str = "t_ms",
                       lap_t: str = "cum_ms", lap_no: str = "lap_number", carry: list[str] | None = None,
-                      prefix: str = "asof_", bucket_ms: int = ASOF_BUCKET_MS) -> DataFrame:
+                      prefix: str = "asof_", bucket_ms: int = ASOF_BUCKET_MS,
+                      first_times: DataFrame | None = None) -> DataFrame:
     """Attach to each sample the first lap (in lap order) whose end time is >= the
     sample time; lap number 0 when there is none.
 
@@ -83,6 +91,10 @@ def asof_forward_join(samples: DataFrame, laps: DataFrame, keys: list[str] = KEY
     a partial+final aggregate. Laps are replicated into every ``bucket_ms`` bucket their
     interval touches (a handful per lap) and equi-joined with samples on
     (keys, bucket); the interval is the residual predicate.
+
+    ``first_times`` (keys + ``__tmin``) may supply the earliest sample time per key from
+    a cheaper source with the same minimum (e.g. the samples before deduplication), so
+    the samples' own lineage is not evaluated twice.
     """
     carry = carry or []
     rk = {k: "__k_" + k for k in keys}
@@ -90,7 +102,8 @@ def asof_forward_join(samples: DataFrame, laps: DataFrame, keys: list[str] = KEY
     lp = laps.select(*keys, F.col(lap_no).alias("__lap"), F.col(lap_t).alias("__hi"),
                      *[F.col(c).alias(prefix + c) for c in carry]).where(F.col("__hi").isNotNull())
     lp = lp.withColumn("__lo", F.max("__hi").over(lap_order))
-    first_t = samples.groupBy(*keys).agg(F.min(t_col).alias("__tmin"))
+    first_t = first_times if first_times is not None else \
+        samples.groupBy(*keys).agg(F.min(t_col).alias("__tmin"))
     lp = (lp.join(first_t, keys, "left")
             .withColumn("__lo", F.coalesce(F.col("__lo"), F.least(F.col("__tmin"), F.col("__hi")) - 1))
             .where(F.col("__lo") < F.col("__hi"))
@@ -325,8 +338,9 @@ def gold_fact_lap(telemetry_parsed: DataFrame, events_parsed: DataFrame) -> Data
     """A12 end to end from bronze: clean + dedup samples, as-of lap match on the
     event-time clock, lap facts with payload times."""
     lp = laps_from_events(events_parsed)
-    samples = clean_telemetry(samples_from_bronze(telemetry_parsed))
-    m = asof_forward_join(samples, lp, carry=["tyre_compound"]).drop("lap_number", "tyre_compound") \
+    raw = samples_from_bronze(telemetry_parsed)
+    m = asof_forward_join(clean_telemetry(raw), lp, carry=["tyre_compound"], first_times=first_sample_times(raw)) \
+        .drop("lap_number", "tyre_compound") \
         .withColumnRenamed("asof_lap_number", "lap_number").withColumnRenamed("asof_tyre_compound", "tyre_compound")
     return fact_lap(m, events_parsed, compound_per_lap=True)
 

@@ -25,7 +25,9 @@ def _clean(spark, sf_dir, lp=None):
 
 def _asof_clean(spark, sf_dir, lp=None):
     lp = lp if lp is not None else _laps(spark, sf_dir)
-    return L.asof_forward_join(_clean(spark, sf_dir, lp), lp, carry=["tyre_compound"])
+    tel = testbed.stored_telemetry(spark, sf_dir)
+    return L.asof_forward_join(L.clean_telemetry(tel), lp, carry=["tyre_compound"],
+                               first_times=L.first_sample_times(tel))
 
 
 def _fact_lap(spark, sf_dir, lp=None):
