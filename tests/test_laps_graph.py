@@ -138,3 +138,25 @@ def test_select_laps(spark):
                                 "session_id string, year int, round int, event_name string, session_name string")
     assert L.select_laps(laps, dim, year=2024, event="MONACO").count() == 2
     assert L.select_laps(laps, dim, event="7", driver="A").collect()[0].session_id == "S2"
+
+
+def test_hot_copy_group_and_hot_driver(spark):
+    """One sample copied 5000 times and one driver holding most samples: dedup keeps
+    the first copy; the as-of match of the hot driver still equals brute force and is
+    spread over many join buckets."""
+    rows = [("S", "HOT", 500, c, 1.0 * c) for c in range(5000)]
+    rows += [("S", "HOT", t, 0, 0.0) for t in range(0, 400000, 97)]
+    rows += [("S", "B", t, 0, 0.0) for t in range(0, 20000, 1000)]
+    df = spark.createDataFrame(rows, "session_id string, driver_id string, t_ms bigint, copy_no bigint, v double")
+    d = L.deduplicate(df, ["session_id", "driver_id", "t_ms"], "copy_no")
+    hot = d.where((F.col("driver_id") == "HOT") & (F.col("t_ms") == 500)).collect()
+    assert len(hot) == 1 and hot[0].copy_no == 0 and hot[0].v == 0.0
+    assert d.count() == df.select("session_id", "driver_id", "t_ms").distinct().count()
+    laps = [("S", "HOT", i, i * 90000, "SOFT") for i in range(1, 5)] + [("S", "B", 1, 15000, "HARD")]
+    ldf = spark.createDataFrame(laps, LAPS_SCHEMA)
+    samples = [(r.session_id, r.driver_id, r.t_ms) for r in d.select("session_id", "driver_id", "t_ms").collect()]
+    m = L.asof_forward_join(d.select("session_id", "driver_id", "t_ms"), ldf, bucket_ms=10000)
+    got = sorted(tuple(r) for r in m.select("session_id", "driver_id", "t_ms", "asof_lap_number").collect())
+    assert got == _brute_asof(samples, laps)
+    buckets = d.where(F.col("driver_id") == "HOT").select(F.floor(F.col("t_ms") / 10000)).distinct().count()
+    assert buckets >= 40
