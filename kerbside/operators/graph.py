@@ -239,7 +239,10 @@ def rivalry_communities(ovt: DataFrame, btl: DataFrame, threshold: float = 0.5,
     are linked (MinHash LSH similarity join: only drivers sharing a hash bucket are
     compared, never all pairs), then communities are the connected components found by
     min-label propagation over the links (joins keyed by driver, lineage cut with
-    ``checkpoint()``; stops when no label changes or after ``max_iterations``)."""
+    ``checkpoint()``; stops when no label changes or after ``max_iterations``).
+
+    The rows are drivers (one per driver over all sessions, a small bounded set), not
+    laps or samples; candidate pairs come only from shared LSH buckets."""
     from pyspark.ml.feature import MinHashLSH
     from pyspark.ml.functions import array_to_vector
 
