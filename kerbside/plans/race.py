@@ -548,3 +548,9 @@ def q5_graph_cardinality(spark, sf_dir):
     from kerbside.operators import quality
     nodes, edges = _edges(spark, sf_dir)
     return quality.graph_cardinality(nodes, edges)
+
+
+@register("t3_most_influential", round_doubles.sql(f"""SELECT driver_id, sum(pagerank) AS total_pagerank FROM ({_pagerank_sql()})
+ GROUP BY 1 ORDER BY total_pagerank DESC, driver_id LIMIT 10""", ["total_pagerank"]))
+def t3_most_influential(spark, sf_dir):
+    return round_doubles(serve.most_influential(_pagerank(spark, sf_dir), 10))
