@@ -57,7 +57,11 @@ def document_writer(path: str):
 
 def start_document_sink(records: DataFrame, schema, path: str, checkpoint: str,
                         available_now: bool = False) -> StreamingQuery:
-    """S5 + K4: a second query consuming the alert records with its own checkpoint."""
+    """S5 + K4: a second query consuming the alert records with its own checkpoint.
+    Records from a file sink carry no partition/offset; those columns are then null."""
+    for c, t in (("partition", "int"), ("offset", "bigint")):
+        if c not in records.columns:
+            records = records.withColumn(c, F.lit(None).cast(t))
     parsed = records.select(F.from_json(F.col("value").cast("string"), schema).alias("d"),
                             "partition", "offset").select("d.*", "partition", "offset")
     w = parsed.writeStream.foreachBatch(document_writer(path)).option("checkpointLocation", checkpoint)

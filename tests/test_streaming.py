@@ -186,3 +186,24 @@ def test_velocity_emit_changes_update_mode(spark, tmp_path):
     got = spark.sql("SELECT card_number, window_start, max(txn_count) AS txn_count FROM vel_update GROUP BY 1, 2")
     want = alerts.card_velocity(tx, min_txns=1).select("card_number", "window_start", "txn_count")
     assert _rows(got) == _rows(want)
+
+
+def test_alert_records_to_document_sink(spark, tmp_path):
+    """S5 + K4: a second query consumes the alert records and writes lower-cased
+    documents with ingest time, one folder per batch."""
+    tx = testbed.transactions(spark, SMALL)
+    src = str(tmp_path / "tx")
+    _write_chunks(tx, src, "transaction_time", 2)
+    out = str(tmp_path / "alerts")
+    q = salerts.start_alert_topic(salerts.alert_stream(_stream_dir(spark, src, tx.schema)), str(tmp_path / "ck1"),
+                                  path=out, available_now=True)
+    q.awaitTermination()
+    batch_schema = alerts.all_alerts(tx).schema
+    recs = spark.readStream.schema("key string, value string").json(out)
+    docs = str(tmp_path / "docs")
+    q2 = salerts.start_document_sink(recs, batch_schema, docs, str(tmp_path / "ck2"), available_now=True)
+    q2.awaitTermination()
+    d = spark.read.json(docs)
+    assert d.count() == spark.read.json(out).count() > 0
+    assert {"card_number", "fraud_rule", "fraud_reason", "ingested_at"} <= set(d.columns)
+    assert d.where(F.col("fraud_rule").isNull()).count() == 0
