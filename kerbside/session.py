@@ -22,6 +22,17 @@ BASE_CONF = {
 }
 
 
+# Cluster sizing for ~100 TB inputs: start shuffles wide enough that a reduce partition
+# stays around 1 GB of shuffle data (32k partitions for ~30 TB shuffled), and let AQE
+# coalesce them down to the advisory size when a stage is smaller. Local sessions
+# (tests, bench) keep their small explicit partition count instead.
+CLUSTER_CONF = {
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "32768",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+}
+
+
 def get_spark(app_name: str = "kerbside", master: str | None = None,
               shuffle_partitions: int | None = None, extra: dict | None = None) -> SparkSession:
     """Build (or reuse) a session with the package defaults.
@@ -38,6 +49,10 @@ def get_spark(app_name: str = "kerbside", master: str | None = None,
     for k, v in conf.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
+    if not is_local(spark):
+        for k, v in CLUSTER_CONF.items():
+            if k not in (extra or {}):
+                spark.conf.set(k, v)
     ensure_utc(spark)
     return spark
 
