@@ -88,27 +88,40 @@ def order_by_spend(breakdown: DataFrame) -> DataFrame:
 
 
 def fraud_rings(df: DataFrame, time_col: str = "transaction_time", window: str = RING_WINDOW,
-                per_window: bool = True, min_cards: int = RING_MIN_CARDS, exact: bool = True) -> DataFrame:
+                per_window: bool = True, min_cards: int = RING_MIN_CARDS, exact: bool = True,
+                streaming_distinct: str = "chained") -> DataFrame:
     """Merchants seen with >= 3 distinct cards in a window.
 
     Batch: exact ``count(DISTINCT)``, planned by Catalyst as two aggregates (first on
     merchant+card, then merchant) so a hot merchant is pre-reduced map-side.
-    Streaming: Spark refuses ``count(DISTINCT)``; ``exact=True`` then uses
-    ``size(collect_set)`` whose state is bounded by distinct cards per window;
-    ``exact=False`` uses HyperLogLog++ (``approx_count_distinct``).
+    Streaming (Spark refuses ``count(DISTINCT)`` there):
+    * ``streaming_distinct="chained"`` (exact, default for windows): two chained
+      stateful aggregates -- per (window, merchant, card), then per (window, merchant)
+      re-windowed on ``window_time`` -- so a hot merchant's cards spread over the first
+      aggregate's partitions and the second keeps only counters (append mode);
+    * ``"set"`` (exact): ``size(collect_set)``, state holds the window's distinct cards
+      in one row per merchant (also the running form, which chained aggregates cannot
+      serve in update mode);
+    * ``exact=False``: HyperLogLog++ (``approx_count_distinct``).
     """
     to = MONEY if per_window else WIDE_MONEY
-    if df.isStreaming:
-        distinct = (F.size(F.collect_set("card_number")) if exact
-                    else F.approx_count_distinct("card_number"))
+    if df.isStreaming and exact and per_window and streaming_distinct == "chained":
+        per_card = (df.groupBy(F.window(time_col, window).alias("w"), "merchant", "card_number")
+                      .agg(F.count(F.lit(1)).alias("n"), F.sum("amount").alias("s")))
+        out = (per_card.groupBy(F.window(F.window_time("w"), window).alias("w"), "merchant")
+                       .agg(F.count(F.lit(1)).alias("unique_cards"), F.sum("n").alias("total_txns"),
+                            F.sum("s").alias("s")))
     else:
-        distinct = F.count_distinct("card_number")
-    return (_group(df, ["merchant"], window, time_col, per_window)
-            .agg(distinct.alias("unique_cards"), F.count(F.lit(1)).alias("total_txns"),
-                 F.sum("amount").alias("s"))
-            .where(F.col("unique_cards") >= min_cards)
-            .select(*_bounds(per_window), "merchant", F.col("unique_cards").cast("bigint").alias("unique_cards"),
-                    "total_txns", F.col("s").try_cast(to).alias("total_amount")))
+        if df.isStreaming:
+            distinct = (F.size(F.collect_set("card_number")) if exact
+                        else F.approx_count_distinct("card_number"))
+        else:
+            distinct = F.count_distinct("card_number")
+        out = (_group(df, ["merchant"], window, time_col, per_window)
+               .agg(distinct.alias("unique_cards"), F.count(F.lit(1)).alias("total_txns"), F.sum("amount").alias("s")))
+    return (out.where(F.col("unique_cards") >= min_cards)
+               .select(*_bounds(per_window), "merchant", F.col("unique_cards").cast("bigint").alias("unique_cards"),
+                       F.col("total_txns").cast("bigint").alias("total_txns"), F.col("s").try_cast(to).alias("total_amount")))
 
 
 def fast_cards(df: DataFrame, time_col: str = "transaction_time", window: str = FAST_CARD_WINDOW,

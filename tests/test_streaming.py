@@ -141,13 +141,14 @@ def test_fraud_rings_stream_exact_distinct_and_update_mode(spark, tmp_path):
     tx = testbed.transactions(spark, SMALL)
     src = str(tmp_path / "tx")
     _write_chunks(tx, src, "transaction_time", 3)
-    stream = _stream_dir(spark, src, tx.schema)
-    q = analytics.start(analytics.windowed(stream, "fraud_rings", min_cards=2), "rings_stream", mode="append",
-                        checkpoint=str(tmp_path / "ck"), available_now=True)
-    q.awaitTermination()
     max_t = tx.agg(F.max("transaction_time")).first()[0]
     expect = analytics.final_window_cut(windows.fraud_rings(tx, min_cards=2), max_t)
-    assert _rows(spark.sql("SELECT * FROM rings_stream")) == _rows(expect)
+    for mode in ("chained", "set"):
+        q = analytics.start(analytics.windowed(_stream_dir(spark, src, tx.schema), "fraud_rings", min_cards=2,
+                                               streaming_distinct=mode),
+                            f"rings_{mode}", mode="append", checkpoint=str(tmp_path / f"ck_{mode}"), available_now=True)
+        q.awaitTermination()
+        assert _rows(spark.sql(f"SELECT * FROM rings_{mode}")) == _rows(expect), mode
     # update mode emits every changed running total; the last emission per key is final
     q2 = analytics.start(analytics.windowed(_stream_dir(spark, src, tx.schema), "category_breakdown", per_window=False),
                          "cat_update", mode="update", checkpoint=str(tmp_path / "ck2"), available_now=True)
