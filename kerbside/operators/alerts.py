@@ -74,20 +74,18 @@ def _rules() -> list[tuple[str, Column, Column]]:
     ]
 
 
-def _project(df: DataFrame) -> DataFrame:
-    """Flatten the nested location like ``location->city AS city``."""
-    return df.select("card_number", "amount", F.col("location.city").alias("city"),
-                     F.col("location.state").alias("state"), "merchant_category", "timestamp")
+def _flat_columns() -> list:
+    """The alert columns with the nested location flattened (``location->city``)."""
+    return ["card_number", "amount", F.col("location.city").alias("city"),
+            F.col("location.state").alias("state"), "merchant_category", "timestamp"]
 
 
 def single_rule(df: DataFrame, rule: str) -> DataFrame:
     """One stateless rule as its own stream."""
     for name, cond, reason in _rules():
         if name == rule:
-            return df.where(cond).select(
-                "card_number", "amount", F.col("location.city").alias("city"),
-                F.col("location.state").alias("state"), "merchant_category", "timestamp",
-                F.lit(name).alias("fraud_rule"), reason.alias("fraud_reason"))
+            return df.where(cond).select(*_flat_columns(), F.lit(name).alias("fraud_rule"),
+                                         reason.alias("fraud_reason"))
     raise ValueError(f"unknown stateless rule {rule}")
 
 
@@ -97,9 +95,7 @@ def stateless_alerts(df: DataFrame) -> DataFrame:
                      lambda s: s.isNotNull())
     pre = df.where(high_amount_cond() | unusual_location_cond() | high_risk_merchant_cond()
                    | multi_factor_cond())
-    x = pre.select("card_number", "amount", F.col("location.city").alias("city"),
-                   F.col("location.state").alias("state"), "merchant_category", "timestamp",
-                   F.explode(fired).alias("r"))
+    x = pre.select(*_flat_columns(), F.explode(fired).alias("r"))
     return x.select(*RULE_COLUMNS[:-2], "r.fraud_rule", "r.fraud_reason")
 
 

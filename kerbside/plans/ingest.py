@@ -33,7 +33,7 @@ _ISO = ("CASE WHEN event_ms % 1000 = 0 THEN strftime(make_timestamp(event_ms * 1
         "ELSE strftime(make_timestamp(event_ms * 1000), '%Y-%m-%dT%H:%M:%S.%f') || '+00:00' END")
 
 
-def _telemetry_topic(spark, sf_dir, streaming=False):
+def _telemetry_topic(spark, sf_dir):
     raw = envelope.raw_view(testbed.stored_telemetry_log(spark, sf_dir))
     return envelope.parsed_view(raw, TELEMETRY_SCHEMA, testbed.TELEMETRY_TOPIC), raw
 

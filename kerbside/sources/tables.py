@@ -12,8 +12,7 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 
 
 def table_path(sf_dir: str, name: str) -> str:
-    direct = os.path.join(sf_dir, f"{name}.parquet")
-    return direct
+    return os.path.join(sf_dir, f"{name}.parquet")
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
