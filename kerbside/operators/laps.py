@@ -40,6 +40,8 @@ def reject_reason(df: DataFrame) -> Column:
         (F.col("session_id").isNull(), "NULL_SESSION"),
         (F.col("speed_kph") < 0, "NEGATIVE_SPEED"),
     ]
+    if "t_ms" in df.columns:  # P12: a sample without a time cannot be placed on a lap
+        checks.append((F.col("t_ms").isNull(), "NULL_TIME"))
     for c in ("gps_lat", "gps_lon", "gps_alt"):
         if c in df.columns:
             checks.append((F.isnan(c) | (F.abs(F.col(c)) == float("inf")), "BAD_COORDINATES"))
