@@ -134,6 +134,24 @@ def attach_last_reading(samples: DataFrame, readings: DataFrame, key: str, ts: s
     return samples.join(last, key, "left")
 
 
+def attach_asof_reading(samples: DataFrame, readings: DataFrame, key: str, t_col: str, ts: str,
+                        fields: list[str], bucket: int) -> DataFrame:
+    """J2 without look-ahead [ours]: each sample gets the key's latest reading taken at or
+    before the sample time. Readings become intervals ``[ts, next ts)`` (``lead`` over one
+    key's readings) and are matched with the bucketed ``interval_join``; samples before
+    the first reading get nulls."""
+    w = Window.partitionBy(key).orderBy("__from")
+    # the last reading holds until the key's last sample (a per-key partial aggregate),
+    # so every interval is finite and replicates into a bounded number of buckets
+    last_t = samples.groupBy(key).agg((F.max(t_col) + 1).alias("__last"))
+    iv = (readings.select(key, F.col(ts).alias("__from"), *fields)
+          .withColumn("__next", F.lead("__from").over(w))
+          .join(last_t, key, "left")
+          .withColumn("__to", F.coalesce("__next", F.greatest(F.col("__last"), F.col("__from") + 1)))
+          .drop("__next", "__last"))
+    return interval_join(samples, iv, [key], t_col, "__from", "__to", fields, bucket)
+
+
 def lookup(df: DataFrame, dim: DataFrame, keys: list[str] | str) -> DataFrame:
     """Dimension enrichment (left join). No hint: the static planner broadcasts
     when the dimension's size estimate is under the threshold, and AQE converts to a

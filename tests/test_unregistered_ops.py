@@ -45,3 +45,14 @@ def test_null_guards_and_keyed_records(spark):
     alerts = spark.createDataFrame([("c1", "HIGH_AMOUNT")], "card_number string, fraud_rule string")
     a = as_records(alerts).first()
     assert a.key == "c1" and json.loads(a.value) == {"card_number": "c1", "fraud_rule": "HIGH_AMOUNT"}
+
+
+def test_asof_reading_without_look_ahead(spark):
+    samples = spark.createDataFrame([("S1", t) for t in (0, 5, 10, 29, 30, 1000)] + [("S2", 7)],
+                                    "session_id string, t_ms long")
+    weather = spark.createDataFrame([("S1", 5, 20.0), ("S1", 30, 22.0), ("S2", 8, 18.0)],
+                                    "session_id string, ts long, air_temp double")
+    got = sorted((r.session_id, r.t_ms, r.air_temp) for r in
+                 L.attach_asof_reading(samples, weather, "session_id", "t_ms", "ts", ["air_temp"], bucket=10).collect())
+    assert got == [("S1", 0, None), ("S1", 5, 20.0), ("S1", 10, 20.0), ("S1", 29, 20.0), ("S1", 30, 22.0),
+                   ("S1", 1000, 22.0), ("S2", 7, None)]
