@@ -94,6 +94,11 @@ def asof_forward_join(samples: DataFrame, laps: DataFrame, keys: list[str] = KEY
     interval touches (a handful per lap) and equi-joined with samples on
     (keys, bucket); the interval is the residual predicate.
 
+    Replication is (interval span / ``bucket_ms``) rows per lap: a lap of ~90 s touches
+    2-3 buckets; the first lap reaches back to the key's earliest sample, so samples
+    stamped far before the session (bad clocks) should be quarantined by the validity
+    checks first.
+
     ``first_times`` (keys + ``__tmin``) may supply the earliest sample time per key from
     a cheaper source with the same minimum (e.g. the samples before deduplication), so
     the samples' own lineage is not evaluated twice.
@@ -371,7 +376,8 @@ def interval_join(points: DataFrame, intervals: DataFrame, keys: list[str], t_co
     """Attach to each point the intervals ``[start, end)`` containing it (e.g. safety
     car periods of the session). Intervals are replicated into the ``bucket``-wide
     slots they overlap and equi-joined with points on (keys, slot) plus the range
-    residual, so no point is compared with intervals far from it."""
+    residual, so no point is compared with intervals far from it. Each interval yields
+    span / ``bucket`` rows: choose ``bucket`` near the typical interval length."""
     rk = {k: "__ik_" + k for k in keys}
     iv = (intervals.where(F.col(start).isNotNull() & F.col(end).isNotNull() & (F.col(start) < F.col(end)))
           .select(*[F.col(k).alias(v) for k, v in rk.items()], F.col(start).alias("__s"), F.col(end).alias("__e"),
