@@ -57,6 +57,8 @@ def team_standings(board: DataFrame, drivers: DataFrame) -> DataFrame:
     pts = F.when(F.col("final_position") <= len(POINTS),
                  F.element_at(F.array(*[F.lit(p) for p in POINTS]), F.col("final_position"))).otherwise(0)
     x = board.join(drivers, "driver_id", "left").groupBy("team_id").agg(F.sum(pts).alias("points"))
+    # one row per team after the aggregate: a global ranking window over a table
+    # bounded by the number of teams, not by the data
     return x.withColumn("standing", F.rank().over(Window.orderBy(F.col("points").desc())))
 
 

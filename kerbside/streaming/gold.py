@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -56,8 +56,7 @@ def upsert_versioned(spark: SparkSession, new_rows: DataFrame, path: str, key: l
     ``version=N``. Readers take the highest complete version."""
     current = latest_version(spark, path)
     merged = new_rows if current is None else current.unionByName(new_rows, allowMissingColumns=True)
-    w = Window.partitionBy(*key).orderBy(F.col(order).desc())
-    out = merged.withColumn("__rn", F.row_number().over(w)).where("__rn = 1").drop("__rn")
+    out = L.latest_per_key(merged, key, [order])  # max(struct) aggregate, reduced map-side
     out.write.mode("overwrite").parquet(os.path.join(path, f"version={version}"))
 
 
