@@ -58,3 +58,10 @@ def test_query_matches_oracle(spark, duck, name):
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLE)))
 def test_rows_only_queries_run(spark, name):
     assert QUERIES[name](spark, SMALL).count() >= 0
+
+
+def test_query_names_follow_survey_ids():
+    import re
+    for name in QUERIES:
+        assert re.match(r"^[a-z]+\d+[a-z]?_[a-z0-9_]+$", name), name
+        assert "pipeline" not in name and not re.match(r"^op\d+_", name)
