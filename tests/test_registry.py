@@ -65,3 +65,19 @@ def test_query_names_follow_survey_ids():
     for name in QUERIES:
         assert re.match(r"^[a-z]+\d+[a-z]?_[a-z0-9_]+$", name), name
         assert "pipeline" not in name and not re.match(r"^op\d+_", name)
+
+
+def test_results_pinned_to_utc_under_other_session_zone(spark, duck):
+    """Queries pin the session zone to UTC, so a session started in another zone gives
+    the oracle's UTC wall-clock windows."""
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        sdf = QUERIES["a3_window_stats"](spark, SMALL)
+        assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
+        got = sorted(tuple(_norm(x) for x in r) for r in sdf.collect())
+        cur = duck.execute(ORACLE["a3_window_stats"])
+        cols = [d[0] for d in cur.description]
+        want = sorted(tuple(_norm(r[cols.index(c)]) for c in sdf.columns) for r in cur.fetchall())
+        assert got == want
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
