@@ -112,3 +112,18 @@ def by_group(rows: DataFrame, keys: list[str], work, schema: str) -> DataFrame:
             yield pd.DataFrame(out)
 
     return rows.repartition(*keys).sortWithinPartitions(*keys).mapInPandas(run, schema)
+
+
+def shield(docs: DataFrame, *needed: str):
+    """``docs`` with every column but the needed ones under a name that no operator uses, and a function that
+    gives a result its columns back under their own names and in their order. Needed columns that are missing
+    come as null strings and go again."""
+    own = {c.lower(): c for c in docs.columns}
+    inner = {c: next((n for n in needed if n == c.lower()), f"_x{i}") for i, c in enumerate(docs.columns)}
+    plain = docs.select(*[F.col(f"`{c}`").alias(inner[c]) for c in docs.columns],
+                        *[F.lit(None).cast("string").alias(n) for n in needed if n not in own])
+
+    def back(result: DataFrame) -> DataFrame:
+        return result.select(*[F.col(inner[c]).alias(c) for c in docs.columns])
+
+    return plain, back

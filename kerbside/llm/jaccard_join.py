@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kerbside.llm.common import by_group, stored, text_batches
+from kerbside.llm.common import by_group, shield, stored, text_batches
 from kerbside.llm.components import connected
 
 SHINGLE_WORDS = 5
@@ -326,7 +326,8 @@ def join(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL)
 def keep_one(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs``, with all their columns, of which no similar document has a smaller doc_id. Rows
     without doc_id stay; of rows that share one, the one with the smallest text stays (null first)."""
-    kept = join(docs, threshold).where("doc_id = class_id").select(F.col("doc_id").alias("_kept_id"))
-    own = docs.join(kept, docs["doc_id"].cast("long") == kept["_kept_id"]).groupBy("_kept_id").agg(
-        F.min_by(F.struct(*[docs[c] for c in docs.columns]), F.struct(docs["text"])).alias("_row"))
-    return own.select("_row.*").unionByName(docs.where(docs["doc_id"].isNull()))
+    kept = join(docs, threshold).where("doc_id = class_id").select(F.col("doc_id").alias("kept_id"))
+    plain, back = shield(docs, "doc_id", "text")
+    own = plain.join(kept, plain["doc_id"].cast("long") == kept["kept_id"]).groupBy("kept_id").agg(
+        F.min_by(F.struct(*plain.columns), F.struct("text")).alias("row"))
+    return back(own.select("row.*").unionByName(plain.where("doc_id is null")))

@@ -28,7 +28,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kerbside.llm.common import stored
+from kerbside.llm.common import shield, stored
 
 LEVELS = ("domain", "lang", "source")
 SEED = 17
@@ -119,9 +119,6 @@ def seeded(seed: int, epoch: Column, doc_id: Column) -> Column:
 
 def levelled(docs: DataFrame, domain: Column) -> DataFrame:
     """``docs`` with its levels and tokens as ``_mix_*`` columns; documents without tokens go."""
-    clash = [c for c in docs.columns if c.lower().startswith("_mix_")]
-    if clash:
-        raise ValueError(f"columns named _mix_* are reserved: {clash}")
     marked = docs.withColumn("_mix_tokens", token_count(docs["text"]))
     for c, value in zip(LEVELS, (domain, F.col("lang"), F.col("source"))):
         marked = marked.withColumn(f"_mix_{c}", F.coalesce(value.cast("string"), F.lit("")))
@@ -197,15 +194,13 @@ def mix_documents(docs: DataFrame, domain: Column, budget: int | Column, weights
                   max_epochs: int = MAX_EPOCHS, seed: int = SEED, default_weight: int = DEFAULT_WEIGHT) -> DataFrame:
     """The mixture's documents with all columns of ``docs``, once for each epoch that reads them. A document
     cut at its leaf's budget keeps its first tokens, joined by single spaces, and its length is set anew."""
-    marked = levelled(docs, domain)
+    plain, back = shield(docs, "doc_id", "text", "lang", "source", "n_chars")
+    marked = levelled(plain, domain)
     narrow = stored(marked.select(*NARROW), "mixing-documents")
     plan, bases = make_plan(narrow, budget, weights, max_epochs, seed, default_weight)
     chosen = apply_plan(marked, plan, bases, seed)
     words = F.split(F.trim(F.regexp_replace("text", r"[ \t\n\r\f]+", " ")), " ")
     whole = F.col("_mix_take") >= F.col("_mix_tokens")
     cut = F.when(whole, F.col("text")).otherwise(F.array_join(F.slice(words, F.lit(1), F.col("_mix_take").cast("int")), " "))
-    shown = {"text": cut.alias("text")}
-    if "n_chars" in docs.columns:
-        shown["n_chars"] = (F.when(whole, F.col("n_chars")).otherwise(F.length(cut))
-                            .cast(docs.schema["n_chars"].dataType).alias("n_chars"))
-    return chosen.select(*[shown.get(c, F.col(f"`{c}`")) for c in docs.columns])
+    return back(chosen.withColumns({
+        "text": cut, "n_chars": F.when(whole, F.col("n_chars")).otherwise(F.length(cut).cast(plain.schema["n_chars"].dataType))}))

@@ -15,7 +15,7 @@ where both sides are shuffled from stored tables so that adaptive execution spli
 Definitions: null text stays null, empty text stays empty; a text shorter than a span is never touched;
 a text that loses every unit becomes ''. Rows with the same doc_id and text are one occurrence (none of
 them is a repeat of the others) and are treated alike. A null doc_id sorts before all others. Text that
-loses nothing is returned as it is, byte for byte. Other columns are carried along.
+loses nothing is returned as it is, byte for byte. ``drop_repeats`` carries other columns along.
 """
 
 from __future__ import annotations
@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kerbside.llm.common import fresh, stored, text_batches
+from kerbside.llm.common import shield, stored, text_batches
 
 MIN_UNITS = 3
 MIN_WORDS = 30
@@ -108,8 +108,8 @@ def spans(words: np.ndarray, hashes: np.ndarray, min_units: int = MIN_UNITS, min
     return runs[0], runs[1], value
 
 
-def find_runs(docs: DataFrame, doc_id: str, key: str, text: str) -> DataFrame:
-    """All runs of all documents: hash, id, key and first unit, end unit."""
+def find_runs(docs: DataFrame) -> DataFrame:
+    """All runs of all documents (_span_d, _span_k, text): hash, id, key and first unit, end unit."""
     text_batches(docs.sparkSession)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -124,9 +124,7 @@ def find_runs(docs: DataFrame, doc_id: str, key: str, text: str) -> DataFrame:
                 d, at, b, h = (np.concatenate(x) for x in zip(*parts))
                 yield pd.DataFrame({"hash": h, "d": d, "at": at, "b": b.astype(np.int32)})
 
-    least = F.lit(-(1 << 63)).cast("long")  # null ids come first
-    rows = (docs.select(F.coalesce(F.col(f"`{doc_id}`").cast("long"), least).alias("d"), F.col(key).alias("k"),
-                        F.col(f"`{text}`").alias("t")).where("t is not null and t <> ''"))
+    rows = docs.select(F.col("_span_d").alias("d"), F.col("_span_k").alias("k"), F.col("text").alias("t")).where("t <> ''")
     return rows.mapInPandas(run, "hash long, d long, at long, b int")
 
 
@@ -143,45 +141,41 @@ def remove(text: str, covered: list[tuple[int, int]]) -> tuple[str, int]:
     return "".join(kept).rstrip() if kept else "", int(out.sum())
 
 
-def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", removed: str | None = None) -> DataFrame:
-    """All rows and columns of ``docs`` with repeated spans cut out of ``text``; ``removed`` names a column
-    with the number of units cut."""
-    spark = docs.sparkSession
-    key, cut = fresh(docs, "_span_key"), fresh(docs, "_span_cut")
+def dedup(docs: DataFrame) -> DataFrame:
+    """``docs`` (doc_id, text and any others without names in ``_span_*``) with repeated spans cut out of
+    ``text``, and ``_span_removed``, the number of units cut."""
     least = F.lit(-(1 << 63)).cast("long")
     # the text's hash tells rows with one id apart; rows that agree in id and text are one occurrence
-    keyed = docs.withColumn(key, F.hash(F.col(f"`{text}`")))
-    runs = stored(find_runs(keyed, doc_id, key, text), "substring-runs")
+    keyed = docs.withColumn("_span_d", F.coalesce(F.col("doc_id").cast("long"), least)).withColumn("_span_k", F.hash("text"))
+    runs = stored(find_runs(keyed), "substring-runs")
     often = stored(runs.groupBy("hash").count().where("count > 1").select("hash"), "substring-often")
     found = stored(runs.join(often, "hash"), "substring-found")
     first = stored(found.groupBy("hash").agg(F.min(F.struct("d", "at")).alias("first")), "substring-first")
     later = found.join(first, "hash").where("struct(d, at) <> first")
     # `at` holds the text's hash and the first unit
-    covered = (later.groupBy("d", F.shiftright("at", 32).cast("int").alias("k"))
-               .agg(F.collect_set(F.struct(F.col("at").bitwiseAND(0xFFFFFFFF).cast("int").alias("a"), "b")).alias(cut)))
-    joined = keyed.join(covered, (F.coalesce(keyed[doc_id].cast("long"), least) == covered["d"])
-                        & (keyed[key] == covered["k"]), "left")
+    covered = (later.groupBy(F.col("d").alias("_span_d"), F.shiftright("at", 32).cast("int").alias("_span_k"))
+               .agg(F.collect_set(F.struct(F.col("at").bitwiseAND(0xFFFFFFFF).cast("int").alias("a"), "b"))
+                    .alias("_span_cut")))
 
     @F.pandas_udf("text string, gone int")
     def cleaned(texts: pd.Series, runs: pd.Series) -> pd.DataFrame:
         rows = [(t, 0) if r is None else remove(t, [(x["a"], x["b"]) for x in r]) for t, r in zip(texts, runs)]
         return pd.DataFrame(rows, columns=["text", "gone"])
 
-    done = fresh(docs, "_span_done")
-    joined = joined.withColumn(done, cleaned(F.col(f"`{text}`"), F.col(cut)))
-    out = [F.col(f"{done}.text").alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns]
-    if removed:
-        out.append(F.col(f"{done}.gone").alias(removed))
-    return joined.select(*out)
+    joined = keyed.join(covered, ["_span_d", "_span_k"], "left").withColumn("_span_done", cleaned("text", "_span_cut"))
+    return joined.select(*[F.col("_span_done.text").alias("text") if c == "text" else F.col(c) for c in docs.columns],
+                         F.col("_span_done.gone").alias("_span_removed"))
+
+
+def cut_repeats(docs: DataFrame) -> DataFrame:
+    """doc_id, text without repeated spans, removed_units of every row."""
+    return dedup(docs.select("doc_id", "text")).withColumnRenamed("_span_removed", "removed_units")
 
 
 def drop_repeats(docs: DataFrame) -> DataFrame:
-    """``docs`` with repeated spans cut out, ``n_chars`` set anew where text was cut, and without the rows that
-    lost all of their text."""
-    gone = fresh(docs, "_span_removed")
-    out = dedup(docs, removed=gone)
-    kept = out.where((F.col(gone) == 0) | (F.col("text") != ""))
-    if "n_chars" in docs.columns:
-        length = F.length("text").cast(docs.schema["n_chars"].dataType)
-        kept = kept.withColumn("n_chars", F.when(F.col(gone) > 0, length).otherwise(F.col("n_chars")))
-    return kept.drop(gone)
+    """``docs``, with all its columns, with repeated spans cut out, ``n_chars`` set anew where text was cut, and
+    without the rows that lost all of their text."""
+    plain, back = shield(docs, "doc_id", "text", "n_chars")
+    out = dedup(plain).where("_span_removed = 0 or text <> ''")
+    length = F.length("text").cast(plain.schema["n_chars"].dataType)
+    return back(out.withColumn("n_chars", F.when(F.col("_span_removed") > 0, length).otherwise(F.col("n_chars"))))
