@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MONEY = "decimal(10,2)"
-WIDE_MONEY = "decimal(18,2)"
+#: sums of amounts: no window's total overflows it
+WIDE_MONEY = "decimal(20,2)"
 
 
 def col_of(c: str | Column) -> Column:

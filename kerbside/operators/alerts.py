@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kerbside.functions.scalars import MONEY, concat_null
+from kerbside.functions.scalars import WIDE_MONEY, concat_null
 
 # Rule thresholds, lists and texts (reference alert rules, README severities).
 HIGH_AMOUNT_LIMIT = 500
@@ -89,14 +89,15 @@ def single_rule(df: DataFrame, rule: str) -> DataFrame:
     raise ValueError(f"unknown stateless rule {rule}")
 
 
-def stateless_alerts(df: DataFrame) -> DataFrame:
-    """All four stateless rules in one pass: rows tripping k rules yield k alerts."""
+def stateless_alerts(df: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
+    """All four stateless rules in one pass: rows tripping k rules yield k alerts. ``carry``
+    names further columns of the transaction that its alerts keep."""
     fired = F.filter(F.array(*[F.when(cond, _rule_struct(name, reason)) for name, cond, reason in _rules()]),
                      lambda s: s.isNotNull())
     pre = df.where(high_amount_cond() | unusual_location_cond() | high_risk_merchant_cond()
                    | multi_factor_cond())
-    x = pre.select(*_flat_columns(), F.explode(fired).alias("r"))
-    return x.select(*RULE_COLUMNS[:-2], "r.fraud_rule", "r.fraud_reason")
+    x = pre.select(*_flat_columns(), *carry, F.explode(fired).alias("r"))
+    return x.select(*RULE_COLUMNS[:-2], "r.fraud_rule", "r.fraud_reason", *carry)
 
 
 def card_velocity(df: DataFrame, time_col: str = "transaction_time", window: str = VELOCITY_WINDOW,
@@ -107,7 +108,7 @@ def card_velocity(df: DataFrame, time_col: str = "transaction_time", window: str
               .agg(F.count(F.lit(1)).alias("txn_count"), F.sum("amount").alias("total_amount"))
               .where(F.col("txn_count") >= min_txns)
               .select("card_number", "txn_count",
-                      F.col("total_amount").try_cast(MONEY).alias("total_amount"),
+                      F.col("total_amount").try_cast(WIDE_MONEY).alias("total_amount"),
                       F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end")))
 
 
@@ -126,9 +127,9 @@ def with_severity(alerts: DataFrame) -> DataFrame:
     return alerts.withColumn("severity", m[F.col("fraud_rule")])
 
 
-def all_alerts(df: DataFrame, time_col: str = "transaction_time") -> DataFrame:
+def all_alerts(df: DataFrame, time_col: str = "transaction_time", carry: tuple[str, ...] = ()) -> DataFrame:
     """The five rule outputs as one nullable-wide alert stream."""
-    stateless = stateless_alerts(df)
+    stateless = stateless_alerts(df, carry)
     vel = velocity_alerts(card_velocity(df, time_col))
     return with_severity(stateless.unionByName(vel, allowMissingColumns=True))
 

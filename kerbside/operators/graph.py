@@ -141,10 +141,10 @@ def nodes_and_edges(laps: DataFrame, pos: DataFrame, ovt: DataFrame, btl: DataFr
     return nodes, edges
 
 
-def last_n_laps(df: DataFrame, n: int = 50) -> DataFrame:
+def last_n_laps(df: DataFrame, laps: DataFrame, n: int = 50) -> DataFrame:
     """Rows from the last ``n`` laps of each session. The session's last lap comes from
-    an aggregate joined back (no window over a whole session)."""
-    last = df.groupBy("session_id").agg(F.max("lap_number").alias("__last"))
+    its laps (not from ``df``, which may end earlier), as an aggregate joined back."""
+    last = laps.groupBy("session_id").agg(F.max("lap_number").alias("__last"))
     return df.join(last, "session_id").where(F.col("lap_number") > F.col("__last") - n).drop("__last")
 
 
@@ -192,82 +192,91 @@ def pagerank(nodes: DataFrame, edges: DataFrame, iterations: int = PAGERANK_ITER
     return ranks
 
 
+def interaction_edges(ovt: DataFrame, btl: DataFrame) -> DataFrame:
+    """Directed interactions of a session with comparable weights: an overtake counts 1, from the
+    passer to the car passed; a battle has no direction, so it counts its interaction strength
+    both ways."""
+    passes = ovt.select("session_id", F.col("passer_id").alias("src"), F.col("passed_id").alias("dst"),
+                        F.lit(1.0).alias("weight"))
+    ends = F.explode(F.array(F.struct(F.col("driver_a").alias("src"), F.col("driver_b").alias("dst")),
+                             F.struct(F.col("driver_b").alias("src"), F.col("driver_a").alias("dst"))))
+    fights = btl.select("session_id", "interaction_strength", ends.alias("e")).select(
+        "session_id", "e.src", "e.dst", F.col("interaction_strength").cast("double").alias("weight"))
+    return passes.unionByName(fights)
+
+
 def weighted_degree(edges: DataFrame) -> DataFrame:
-    """in/out weighted degree per (session, node)."""
-    out_d = edges.groupBy("session_id", F.col("src").alias("node")).agg(F.sum("weight").alias("out_degree"))
-    in_d = edges.groupBy("session_id", F.col("dst").alias("node")).agg(F.sum("weight").alias("in_degree"))
-    return out_d.join(in_d, ["session_id", "node"], "full").select(
-        "session_id", "node", F.coalesce("out_degree", F.lit(0.0)).alias("out_degree"),
-        F.coalesce("in_degree", F.lit(0.0)).alias("in_degree"))
+    """in/out weighted degree per (session, node): each edge gives a row to either end, and
+    one aggregate sums them."""
+    ends = F.explode(F.array(
+        F.struct(F.col("src").alias("node"), F.col("weight").alias("o"), F.lit(0.0).alias("i")),
+        F.struct(F.col("dst").alias("node"), F.lit(0.0).alias("o"), F.col("weight").alias("i"))))
+    return edges.select("session_id", ends.alias("e")).groupBy("session_id", F.col("e.node").alias("node")).agg(
+        F.sum("e.o").alias("out_degree"), F.sum("e.i").alias("in_degree"))
 
 
 def driver_interactions(ovt: DataFrame, btl: DataFrame, pairs: DataFrame) -> DataFrame:
     """G9-G11 per (session, driver): overtakes made/received, influence
     ``(made - received) / (made + received)``, success rate = passes / laps spent within
-    the gap behind another car, and average battle duration [ours]."""
-    made = ovt.groupBy("session_id", F.col("passer_id").alias("driver_id")).agg(F.count(F.lit(1)).alias("overtakes_made"))
-    recv = ovt.groupBy("session_id", F.col("passed_id").alias("driver_id")).agg(F.count(F.lit(1)).alias("overtakes_received"))
-    att = pairs.groupBy("session_id", F.col("behind_id").alias("driver_id")).agg(F.count(F.lit(1)).alias("attempts"))
-    bt = (btl.select("session_id", F.col("driver_a").alias("driver_id"), "lap_count")
-          .unionByName(btl.select("session_id", F.col("driver_b").alias("driver_id"), "lap_count"))
-          .groupBy("session_id", "driver_id").agg(F.count(F.lit(1)).alias("battles"),
-                                                  F.avg("lap_count").alias("avg_battle_duration")))
-    x = (att.join(made, ["session_id", "driver_id"], "full").join(recv, ["session_id", "driver_id"], "full")
-            .join(bt, ["session_id", "driver_id"], "full"))
-    m = F.coalesce("overtakes_made", F.lit(0))
-    r = F.coalesce("overtakes_received", F.lit(0))
-    a = F.coalesce("attempts", F.lit(0))
+    the gap behind another car, and average battle duration [ours]. One union of narrow
+    counter rows and one aggregate, without joins."""
+    none = F.lit(0).cast("bigint")
+
+    def rows(df, driver, **counts):
+        return df.select("session_id", F.col(driver).alias("driver_id"),
+                         *[counts.get(c, none).cast("bigint").alias(c) for c in "mrabd"])
+
+    one = F.lit(1)
+    x = (rows(ovt, "passer_id", m=one).unionByName(rows(ovt, "passed_id", r=one))
+         .unionByName(rows(pairs, "behind_id", a=one))
+         .unionByName(rows(btl, "driver_a", b=one, d=F.col("lap_count")))
+         .unionByName(rows(btl, "driver_b", b=one, d=F.col("lap_count")))
+         .groupBy("session_id", "driver_id").agg(*[F.sum(c).alias(c) for c in "mrabd"]))
+    m, r, a, b = F.col("m"), F.col("r"), F.col("a"), F.col("b")
     return x.select(
         "session_id", "driver_id", m.alias("overtakes_made"), r.alias("overtakes_received"), a.alias("attempts"),
         F.when(m + r > 0, (m - r) / (m + r)).alias("influence_score"),
         F.when(a > 0, m / a).alias("overtake_success_rate"),
-        F.coalesce("battles", F.lit(0)).alias("battles"), "avg_battle_duration")
+        b.alias("battles"), F.when(b > 0, F.col("d") / b).alias("avg_battle_duration"))
 
 
 # ------------------------------------------------------------------ rivalry communities
-def opponent_sets(ovt: DataFrame, btl: DataFrame) -> DataFrame:
-    """Per driver, the set of drivers met in an overtake or a battle (any session)."""
-    pairs = (ovt.select(F.col("passer_id").alias("a"), F.col("passed_id").alias("b"))
-             .unionByName(btl.select(F.col("driver_a").alias("a"), F.col("driver_b").alias("b"))))
-    both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    return both.groupBy(F.col("a").alias("driver_id")).agg(F.collect_set("b").alias("opponents"))
-
-
-def rivalry_communities(ovt: DataFrame, btl: DataFrame, threshold: float = 0.5, num_features: int = 1 << 12,
-                        hash_tables: int = 8, max_iterations: int = 20, seed: int = 7) -> DataFrame:
-    """G12 [ours]: drivers whose opponent sets have Jaccard distance < ``threshold``
-    are linked (MinHash LSH similarity join: only drivers sharing a hash bucket are
-    compared, never all pairs), then communities are the connected components found by
-    min-label propagation over the links (joins keyed by driver, lineage cut with
-    ``checkpoint()``; stops when no label changes or after ``max_iterations``).
-
-    The rows are drivers (one per driver over all sessions, a small bounded set), not
-    laps or samples; candidate pairs come only from shared LSH buckets."""
-    from pyspark.ml.feature import MinHashLSH
-    from pyspark.ml.functions import array_to_vector
-
-    sets = opponent_sets(ovt, btl)
-    idx = F.transform("opponents", lambda o: F.pmod(F.xxhash64(o), F.lit(num_features)))
-    dense = F.transform(F.sequence(F.lit(0), F.lit(num_features - 1)),
-                        lambda i: F.when(F.array_contains(idx, i.cast("bigint")), 1.0).otherwise(0.0))
-    feats = sets.select("driver_id", array_to_vector(dense).alias("features"))
-    model = MinHashLSH(inputCol="features", outputCol="hashes", numHashTables=hash_tables, seed=seed).fit(feats)
-    links = (model.approxSimilarityJoin(feats, feats, threshold, distCol="jaccard_distance")
-             .select(F.col("datasetA.driver_id").alias("src"), F.col("datasetB.driver_id").alias("dst"),
-                     "jaccard_distance")
-             .where(F.col("src") != F.col("dst")))
-    checkpoint_dir(sets.sparkSession)
-    links = reliable_checkpoint(links.select("src", "dst"))
-    labels = reliable_checkpoint(sets.select("driver_id", F.col("driver_id").alias("community")))
-    for _ in range(max_iterations):
-        proposals = (links.join(labels.withColumnRenamed("driver_id", "src"), "src")
-                     .groupBy(F.col("dst").alias("driver_id")).agg(F.min("community").alias("cand")))
-        new = (labels.join(proposals, "driver_id", "left")
-               .select("driver_id", F.least("community", F.coalesce("cand", "community")).alias("community")))
-        new = reliable_checkpoint(new)
-        changed = new.join(labels.withColumnRenamed("community", "old"), "driver_id").where(
-            F.col("community") != F.col("old")).limit(1).count()
-        labels = new
-        if changed == 0:
-            break
-    return labels
+def rivalry_links(btl: DataFrame, threshold: float = 0.5) -> DataFrame:
+    """Drivers of a session whose sets of battle opponents have Jaccard similarity of at least
+    ``threshold``, exactly: drivers meet over an opponent they share (an inverted index keyed by
+    session and opponent), the meetings count the intersection, set sizes give the union."""
+    both = (btl.select("session_id", F.col("driver_a").alias("driver_id"), F.col("driver_b").alias("opponent"))
+            .unionByName(btl.select("session_id", F.col("driver_b").alias("driver_id"), F.col("driver_a").alias("opponent")))
+            .distinct())
+    size = both.groupBy("session_id", "driver_id").agg(F.count(F.lit(1)).alias("n"))
+    left = both.select("session_id", "opponent", F.col("driver_id").alias("src"))
+    right = both.select("session_id", "opponent", F.col("driver_id").alias("dst"))
+    common = (left.join(right, ["session_id", "opponent"]).where(F.col("src") < F.col("dst"))
+              .groupBy("session_id", "src", "dst").agg(F.count(F.lit(1)).alias("c")))
+    x = (common.join(size.withColumnRenamed("driver_id", "src").withColumnRenamed("n", "n1"), ["session_id", "src"])
+         .join(size.withColumnRenamed("driver_id", "dst").withColumnRenamed("n", "n2"), ["session_id", "dst"]))
+    jaccard = F.col("c") / (F.col("n1") + F.col("n2") - F.col("c"))
+    return x.withColumn("jaccard", jaccard).where(F.col("jaccard") >= threshold).select(
+        "session_id", "src", "dst", "jaccard")
+
+
+def rivalry_communities(btl: DataFrame, threshold: float = 0.5) -> DataFrame:
+    """G12 [ours]: communities of rivals per session: connected components of ``rivalry_links``,
+    named by their smallest driver; drivers without a battle are in none. Smallest labels travel
+    along links until none changes, which takes as many rounds as the longest chain of a
+    session's drivers; lineage is cut with ``checkpoint()`` every round."""
+    checkpoint_dir(btl.sparkSession)
+    links = rivalry_links(btl, threshold)
+    links = reliable_checkpoint(links.select("session_id", "src", "dst").unionByName(
+        links.select("session_id", F.col("dst").alias("src"), F.col("src").alias("dst"))))
+    ends = btl.select("session_id", F.explode(F.array("driver_a", "driver_b")).alias("driver_id")).distinct()
+    labels = reliable_checkpoint(ends.withColumn("community", F.col("driver_id")))
+    while True:
+        proposals = (links.join(labels.withColumnRenamed("driver_id", "src"), ["session_id", "src"])
+                     .groupBy("session_id", F.col("dst").alias("driver_id")).agg(F.min("community").alias("cand")))
+        moved = reliable_checkpoint(labels.join(proposals, ["session_id", "driver_id"], "left").select(
+            "session_id", "driver_id", F.least("community", F.coalesce("cand", "community")).alias("community"),
+            (F.col("cand") < F.col("community")).alias("changed")))
+        labels = moved.drop("changed")
+        if moved.where("changed").isEmpty():
+            return labels

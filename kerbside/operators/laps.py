@@ -17,6 +17,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from kerbside.functions.scalars import null_safe_double
+
 KEYS = ["session_id", "driver_id"]
 ASOF_BUCKET_MS = 60000
 
@@ -24,8 +26,8 @@ ASOF_BUCKET_MS = 60000
 # ------------------------------------------------------------------ cleansing
 def deduplicate(df: DataFrame, keys: list[str], order_col: str) -> DataFrame:
     """Keep, per key, the row with the smallest ``order_col`` (e.g. copy number or
-    (partition, offset)). A hash aggregate over ``min(struct(order, row))``: partial
-    aggregation reduces duplicates map-side and no group is sorted."""
+    (partition, offset)). A ``min(struct(order, row))`` aggregate: copies are reduced map-side
+    before the shuffle. Rows with strings make it a sort-based aggregate, which spills."""
     rest = [c for c in df.columns if c not in keys]
     packed = F.min(F.struct(F.col(order_col).alias("__o"), *[F.col(c) for c in rest])).alias("__r")
     return df.groupBy(*keys).agg(packed).select(*keys, *[F.col("__r." + c).alias(c) for c in rest]).select(*df.columns)
@@ -38,7 +40,7 @@ def reject_reason(df: DataFrame) -> Column:
     impossible here."""
     checks = [
         (F.col("session_id").isNull(), "NULL_SESSION"),
-        (F.col("speed_kph") < 0, "NEGATIVE_SPEED"),
+        (F.isnan("speed_kph") | (F.col("speed_kph") < 0), "NEGATIVE_SPEED"),
     ]
     if "t_ms" in df.columns:  # P12: a sample without a time cannot be placed on a lap
         checks.append((F.col("t_ms").isNull(), "NULL_TIME"))
@@ -72,36 +74,21 @@ def clean_telemetry(telemetry: DataFrame) -> DataFrame:
     return deduplicate(valid, ["session_id", "driver_id", "t_ms"], "copy_no")
 
 
-def first_sample_times(telemetry: DataFrame, keys: list[str] = KEYS, t_col: str = "t_ms") -> DataFrame:
-    """Earliest valid sample time per key: equal before and after deduplication, so it
-    can be taken from the raw rows with one partial+final hash aggregate."""
-    valid, _ = split_valid(telemetry)
-    return valid.groupBy(*keys).agg(F.min(t_col).alias("__tmin"))
-
-
 # ------------------------------------------------------------------ as-of join
 def asof_forward_join(samples: DataFrame, laps: DataFrame, keys: list[str] = KEYS, t_col: str = "t_ms",
                       lap_t: str = "cum_ms", lap_no: str = "lap_number", carry: list[str] | None = None,
-                      prefix: str = "asof_", bucket_ms: int = ASOF_BUCKET_MS,
-                      first_times: DataFrame | None = None) -> DataFrame:
+                      prefix: str = "asof_", bucket_ms: int = ASOF_BUCKET_MS) -> DataFrame:
     """Attach to each sample the first lap (in lap order) whose end time is >= the
     sample time; lap number 0 when there is none.
 
     A lap L matches time t iff ``max(end of laps before L) < t <= end of L``, so each lap
-    owns a half-open interval and a sample falls in at most one. The first lap's
-    interval is opened down to the earliest sample of its (session, driver), taken from
-    a partial+final aggregate. Laps are replicated into every ``bucket_ms`` bucket their
-    interval touches (a handful per lap) and equi-joined with samples on
-    (keys, bucket); the interval is the residual predicate.
-
-    Replication is (interval span / ``bucket_ms``) rows per lap: a lap of ~90 s touches
-    2-3 buckets; the first lap reaches back to the key's earliest sample, so samples
-    stamped far before the session (bad clocks) should be quarantined by the validity
-    checks first.
-
-    ``first_times`` (keys + ``__tmin``) may supply the earliest sample time per key from
-    a cheaper source with the same minimum (e.g. the samples before deduplication), so
-    the samples' own lineage is not evaluated twice.
+    owns a half-open interval and a sample falls in at most one. Laps but the first are
+    replicated into every ``bucket_ms`` bucket their interval touches (a lap of ~90 s
+    touches 2-3) and equi-joined with samples on (keys, bucket); the interval is the
+    residual predicate. The first lap of a key takes every sample up to its end, however
+    far back a bad clock has put it: one row per key, joined on the key and never
+    replicated. That side has as many rows as there are keys; where it is large, adaptive
+    execution splits a hot key's samples.
     """
     carry = carry or []
     rk = {k: "__k_" + k for k in keys}
@@ -109,22 +96,22 @@ def asof_forward_join(samples: DataFrame, laps: DataFrame, keys: list[str] = KEY
     lp = laps.select(*keys, F.col(lap_no).alias("__lap"), F.col(lap_t).alias("__hi"),
                      *[F.col(c).alias(prefix + c) for c in carry]).where(F.col("__hi").isNotNull())
     lp = lp.withColumn("__lo", F.max("__hi").over(lap_order))
-    first_t = first_times if first_times is not None else \
-        samples.groupBy(*keys).agg(F.min(t_col).alias("__tmin"))
-    lp = (lp.join(first_t, keys, "left")
-            .withColumn("__lo", F.coalesce(F.col("__lo"), F.least(F.col("__tmin"), F.col("__hi")) - 1))
-            .where(F.col("__lo") < F.col("__hi"))
-            .withColumn("__lb", F.explode(F.sequence(F.floor(F.col("__lo") / bucket_ms),
-                                                     F.floor(F.col("__hi") / bucket_ms))))
-            .drop("__tmin"))
-    lp = lp.select(*[F.col(k).alias(v) for k, v in rk.items()],
-                   *[c for c in lp.columns if c not in keys])
+    first = (lp.where(F.col("__lo").isNull())
+             .select(*[F.col(k).alias("__f_" + k) for k in keys], F.col("__hi").alias("__f_hi"),
+                     F.struct("__lap", *[prefix + c for c in carry]).alias("__f")))
+    later = (lp.where(F.col("__lo") < F.col("__hi"))
+             .withColumn("__lb", F.explode(F.sequence(F.floor(F.col("__lo") / bucket_ms),
+                                                      F.floor(F.col("__hi") / bucket_ms)))))
+    later = later.select(*[F.col(k).alias(v) for k, v in rk.items()], "__lo", "__hi", "__lb",
+                         F.struct("__lap", *[prefix + c for c in carry]).alias("__l"))
     s = samples.withColumn("__sb", F.floor(F.col(t_col) / bucket_ms))
+    s = s.join(first, [F.col(k) == F.col("__f_" + k) for k in keys], "left")
     cond = [F.col(k) == F.col(v) for k, v in rk.items()]
     cond += [F.col("__sb") == F.col("__lb"), F.col(t_col) > F.col("__lo"), F.col(t_col) <= F.col("__hi")]
-    joined = s.join(lp, cond, "left")
-    out = [F.col(c) for c in samples.columns] + [F.coalesce(F.col("__lap"), F.lit(0)).alias(prefix + lap_no)]
-    out += [F.col(prefix + c) for c in carry]
+    joined = s.join(later, cond, "left")
+    hit = F.when(F.col(t_col) <= F.col("__f_hi"), F.col("__f")).otherwise(F.col("__l"))
+    out = [F.col(c) for c in samples.columns] + [F.coalesce(hit["__lap"], F.lit(0)).alias(prefix + lap_no)]
+    out += [hit[prefix + c].alias(prefix + c) for c in carry]
     return joined.select(*out)
 
 
@@ -166,12 +153,26 @@ def lookup(df: DataFrame, dim: DataFrame, keys: list[str] | str) -> DataFrame:
 
 
 # ------------------------------------------------------------------ lap facts
+def distinct_events(race_events: DataFrame) -> DataFrame:
+    """U3 on events: logs deliver at least once, so of the copies of an event (same event_id) the
+    first in the log stays. Rows are dealt by lap, which the joins and counts of events need as
+    well, so the copies meet without a shuffle of their own."""
+    order = [c for c in ("partition", "offset") if c in race_events.columns]
+    keys = ["session_id", "driver_id", "lap_number", "event_id"]
+    dealt = race_events.repartition("session_id", "driver_id", "lap_number")
+    if not order:
+        return dealt.dropDuplicates(keys)
+    rest = [c for c in race_events.columns if c not in keys and c not in order]
+    one = dealt.groupBy(*keys).agg(F.min(F.struct(*order, *rest)).alias("__r"))
+    return one.select(*[F.col("__r." + c).alias(c) if c not in keys else F.col(c) for c in race_events.columns])
+
+
 def lap_events(race_events: DataFrame) -> DataFrame:
-    """LAP_COMPLETION payloads parsed into lap-time and sector columns."""
+    """LAP_COMPLETION payloads parsed into lap-time and sector columns, one row per lap."""
     schema = ("lap_time_ms BIGINT, sector1_ms BIGINT, sector2_ms BIGINT, sector3_ms BIGINT, "
               "compound STRING, tyre_life INT, stint INT, fresh_tyre BOOLEAN")
     p = F.from_json("payload", schema)
-    return (race_events.where(F.col("event_type") == "LAP_COMPLETION")
+    return (distinct_events(race_events.where(F.col("event_type") == "LAP_COMPLETION"))
             .select("session_id", "driver_id", "lap_number", p.alias("p"))
             .select("session_id", "driver_id", "lap_number", "p.lap_time_ms", "p.sector1_ms",
                     "p.sector2_ms", "p.sector3_ms", F.col("p.compound").alias("event_compound")))
@@ -288,7 +289,7 @@ def positions(laps: DataFrame) -> DataFrame:
 def laps_with_events(laps: DataFrame, race_events: DataFrame) -> DataFrame:
     """Per (session, driver, lap) event counts and pit time, left-joined to the laps.
     The events are pre-aggregated to the lap key so the join is one-to-one."""
-    ev = race_events.groupBy("session_id", "driver_id", "lap_number").agg(
+    ev = distinct_events(race_events).groupBy("session_id", "driver_id", "lap_number").agg(
         F.count(F.when(F.col("event_type") == "PIT_STOP", 1)).alias("pit_stops"),
         F.sum("pit_duration_ms").alias("pit_time_ms"),
         F.sum("penalty_seconds").alias("penalty_seconds"),
@@ -308,7 +309,8 @@ def corrected_pit_duration(laps: DataFrame, pit_in: str = "pit_in_ms", pit_out:
 
 def latest_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """The latest row per key (compacted-topic view) by (timestamp, partition, offset).
-    A ``max(struct(order..., row))`` hash aggregate, so a hot key is pre-reduced map-side."""
+    A ``max(struct(order..., row))`` aggregate (sort-based where rows hold strings), so a hot
+    key is pre-reduced map-side."""
     rest = [c for c in df.columns if c not in keys]
     packed = F.max(F.struct(*[F.col(c).alias("__o%d" % i) for i, c in enumerate(order)],
                             *[F.col(c) for c in rest])).alias("__r")
@@ -338,6 +340,7 @@ def laps_from_events(events: DataFrame) -> DataFrame:
     keys = ["session_id", "driver_id", "lap_number"]
     end_ms = F.unix_millis(F.col("event_ts_utc").try_cast("timestamp"))
     p = F.from_json("payload", "lap_time_ms BIGINT, compound STRING")
+    events = distinct_events(events)
     lap = (events.where(F.col("event_type") == "LAP_COMPLETION")
            .select(*keys, end_ms.alias("cum_ms"), p.alias("p"))
            .select(*keys, "cum_ms", F.col("p.lap_time_ms").alias("lap_time_ms"), F.col("p.compound").alias("tyre_compound")))
@@ -349,13 +352,14 @@ def laps_from_events(events: DataFrame) -> DataFrame:
 
 def samples_from_bronze(telemetry: DataFrame) -> DataFrame:
     """Sample rows from parsed bronze telemetry: epoch-ms sample time, channels as
-    doubles, the log offset as the duplicate order (first landed copy wins)."""
+    doubles with NaN turned to null (F7), the log offset as the duplicate order (first
+    landed copy wins)."""
     return telemetry.select(
         "session_id", "driver_id", "lap_number",
         F.unix_millis(F.col("timestamp_utc").try_cast("timestamp")).alias("t_ms"),
-        F.col("speed_kph").cast("double").alias("speed_kph"), F.col("throttle_pct").cast("double").alias("throttle_pct"),
-        F.col("brake_pressure_bar").cast("double").alias("brake"), "drs_state",
-        F.col("fuel_mass_kg").cast("double").alias("fuel_mass_kg"), F.col("battery_pct").cast("double").alias("battery_pct"),
+        null_safe_double("speed_kph").alias("speed_kph"), null_safe_double("throttle_pct").alias("throttle_pct"),
+        null_safe_double("brake_pressure_bar").alias("brake"), "drs_state",
+        null_safe_double("fuel_mass_kg").alias("fuel_mass_kg"), null_safe_double("battery_pct").alias("battery_pct"),
         "tyre_compound", F.col("offset").alias("copy_no"))
 
 
@@ -364,7 +368,7 @@ def gold_fact_lap(telemetry_parsed: DataFrame, events_parsed: DataFrame) -> Data
     event-time clock, lap facts with payload times."""
     lp = laps_from_events(events_parsed)
     raw = samples_from_bronze(telemetry_parsed)
-    m = asof_forward_join(clean_telemetry(raw), lp, carry=["tyre_compound"], first_times=first_sample_times(raw)) \
+    m = asof_forward_join(clean_telemetry(raw), lp, carry=["tyre_compound"]) \
         .drop("lap_number", "tyre_compound") \
         .withColumnRenamed("asof_lap_number", "lap_number").withColumnRenamed("asof_tyre_compound", "tyre_compound")
     return fact_lap(m, events_parsed, compound_per_lap=True)

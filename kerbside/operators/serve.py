@@ -48,6 +48,9 @@ def leaderboard(pos: DataFrame) -> DataFrame:
     return f.withColumn("final_position", F.row_number().over(w).cast("int"))
 
 
+#: [ours] session numbers of a range in the trend over sessions
+SESSIONS_PER_RANGE = 1000
+
 # Fixed values [ours]: points for classified positions 1-10.
 POINTS = [25, 18, 15, 12, 10, 8, 6, 4, 2, 1]
 
@@ -133,17 +136,20 @@ def blue_flag_exposure(samples: DataFrame, flag_col: str = "flag_state") -> Data
             .groupBy("session_id", "driver_id", "lap_number").agg(F.coalesce(F.sum("__dt"), F.lit(0)).alias("blue_flag_ms")))
 
 
-def undercut_rate(pit_laps: DataFrame, pos: DataFrame) -> DataFrame:
+def undercut_rate(pos: DataFrame) -> DataFrame:
     """X1 [ours]: per session, the share of stops after which the driver's position two
-    laps later is better than on the lap before the stop."""
-    p = pos.select("session_id", "driver_id", "lap_number", "position")
-    before = p.select("session_id", "driver_id", (F.col("lap_number") + 1).alias("lap_number"),
-                      F.col("position").alias("pos_before"))
-    after = p.select("session_id", "driver_id", (F.col("lap_number") - 2).alias("lap_number"),
-                     F.col("position").alias("pos_after"))
-    x = pit_laps.select("session_id", "driver_id", "lap_number") \
-        .join(before, ["session_id", "driver_id", "lap_number"]) \
-        .join(after, ["session_id", "driver_id", "lap_number"])
+    laps later is better than on the lap before the stop. Both positions come from the
+    driver's neighbouring rows (the window that orders laps), checked by their lap numbers."""
+    w = Window.partitionBy("session_id", "driver_id").orderBy("lap_number")
+
+    def at(shift):
+        row = F.lag(F.struct("lap_number", "position"), 1).over(w) if shift < 0 else \
+            F.lead(F.struct("lap_number", "position"), shift).over(w)
+        return F.when(row["lap_number"] == F.col("lap_number") + shift, row["position"])
+
+    x = (pos.select("session_id", "driver_id", "lap_number", "position", "pit")
+         .withColumn("pos_before", at(-1)).withColumn("pos_after", at(2))
+         .where(F.col("pit") & F.col("pos_before").isNotNull() & F.col("pos_after").isNotNull()))
     return x.groupBy("session_id").agg(
         F.count(F.lit(1)).alias("stops"),
         F.avg((F.col("pos_after") < F.col("pos_before")).cast("double")).alias("undercut_rate"))
@@ -151,21 +157,33 @@ def undercut_rate(pit_laps: DataFrame, pos: DataFrame) -> DataFrame:
 
 def team_gap_trend(pos: DataFrame, drivers: DataFrame) -> DataFrame:
     """X2 [ours]: per (session, team), slope and intercept of the gap to the leader over
-    laps (best car of the team per lap), i.e. a linear extrapolation of the gap."""
+    laps (best car of the team per lap), and the gap that the line predicts for the lap after
+    the team's last."""
     x = pos.select("session_id", "driver_id", "lap_number", "delta_vs_leader_ms").join(drivers, "driver_id").groupBy("session_id", "team_id", "lap_number").agg(
         F.min("delta_vs_leader_ms").alias("gap_ms"))
     return x.groupBy("session_id", "team_id").agg(
         F.regr_slope("gap_ms", "lap_number").alias("gap_slope_ms_per_lap"),
-        F.regr_intercept("gap_ms", "lap_number").alias("gap_intercept_ms"))
+        F.regr_intercept("gap_ms", "lap_number").alias("gap_intercept_ms"),
+        F.max("lap_number").alias("last")).withColumn(
+        "predicted_gap_ms", F.col("gap_intercept_ms") + F.col("gap_slope_ms_per_lap") * (F.col("last") + 1)).drop("last")
 
 
 def multi_session_trend(fact_lap: DataFrame) -> DataFrame:
     """Per-driver average lap per session and the change from the previous session
-    (sessions ordered by number). Window groups are one driver's sessions."""
+    (sessions ordered by number). A driver's sessions are split into ranges of session
+    numbers, so a few drivers with very many sessions spread over many tasks; the first
+    row of a range takes the last row of the driver's range before it."""
     x = fact_lap.groupBy("driver_id", "session_id").agg(F.avg("lap_time_ms").alias("avg_lap_ms"))
-    sno = F.substring("session_id", 2, 20).try_cast("bigint")
-    w = Window.partitionBy("driver_id").orderBy(sno)
-    return x.withColumn("delta_vs_prev_session_ms", F.col("avg_lap_ms") - F.lag("avg_lap_ms").over(w))
+    x = x.withColumn("__no", F.substring("session_id", 2, 20).try_cast("bigint"))
+    x = x.withColumn("__range", F.expr(f"__no div {SESSIONS_PER_RANGE}"))
+    last = x.groupBy("driver_id", "__range").agg(F.max_by("avg_lap_ms", "__no").alias("__last"))
+    ranges = Window.partitionBy("driver_id").orderBy("__range")
+    before = last.select("driver_id", "__range", F.lag("__last").over(ranges).alias("__before"))
+    inside = Window.partitionBy("driver_id", "__range").orderBy("__no")
+    previous = F.coalesce(F.lag("avg_lap_ms").over(inside), F.col("__before"))
+    return (x.join(before, ["driver_id", "__range"])
+            .withColumn("delta_vs_prev_session_ms", F.col("avg_lap_ms") - previous)
+            .drop("__no", "__range", "__before"))
 
 
 def plan_vs_actual(plan: DataFrame, pit_laps: DataFrame) -> DataFrame:

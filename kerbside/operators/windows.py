@@ -6,9 +6,8 @@ by the window as the comments of the reference describe; ``per_window=False`` is
 literal reading of its SQL (queries 2-5 group by key only: an unbounded running
 aggregate, A8).
 
-Money sums are cast back to decimal(10,2) like the reference; averages are the exact
-decimal ``sum / count`` rounded once. Running (unwindowed) sums are unbounded, so they
-use decimal(18,2) [ours].
+Amounts are decimal(10,2); their sums keep decimal(20,2), so that no total turns null however
+many payments a window holds [ours]; averages are the exact decimal ``sum / count`` rounded once.
 """
 
 from __future__ import annotations
@@ -50,7 +49,7 @@ def window_stats(df: DataFrame, time_col: str = "transaction_time", window: str
               .agg(F.count(F.lit(1)).alias("transaction_count"), F.sum("amount").alias("s"),
                    F.min("amount").alias("mn"), F.max("amount").alias("mx"))
               .select(*_bounds(True), "transaction_count",
-                      F.col("s").try_cast(MONEY).alias("total_amount"),
+                      F.col("s").try_cast(WIDE_MONEY).alias("total_amount"),
                       money_avg("s", "transaction_count").alias("avg_amount"),
                       F.col("mn").cast(MONEY).alias("min_amount"),
                       F.col("mx").cast(MONEY).alias("max_amount")))
@@ -64,7 +63,7 @@ def location_hotspots(df: DataFrame, time_col: str = "transaction_time", window:
     out = (_group(df, [F.col("location.city").alias("city"), F.col("location.state").alias("state")],
                   window, time_col, per_window)
            .agg(F.count(F.lit(1)).alias("txn_count"), F.sum("amount").alias("s")))
-    cols = [*_bounds(per_window), "city", "state", "txn_count", F.col("s").try_cast(to).alias("total_amount")]
+    cols = [*_bounds(per_window), "city", "state", "txn_count", F.col("s").try_cast(WIDE_MONEY).alias("total_amount")]
     if with_avg:
         cols.append(money_avg("s", "txn_count", to).alias("avg_amount"))
     return out.select(*cols)
@@ -77,7 +76,7 @@ def category_breakdown(df: DataFrame, time_col: str = "transaction_time", window
     return (_group(df, ["merchant_category"], window, time_col, per_window)
             .agg(F.count(F.lit(1)).alias("txn_count"), F.sum("amount").alias("s"))
             .select(*_bounds(per_window), "merchant_category", "txn_count",
-                    F.col("s").try_cast(to).alias("total_spend"),
+                    F.col("s").try_cast(WIDE_MONEY).alias("total_spend"),
                     money_avg("s", "txn_count", to).alias("avg_spend")))
 
 
@@ -104,7 +103,6 @@ def fraud_rings(df: DataFrame, time_col: str = "transaction_time", window: str =
       serve in update mode);
     * ``exact=False``: HyperLogLog++ (``approx_count_distinct``).
     """
-    to = MONEY if per_window else WIDE_MONEY
     if df.isStreaming and exact and per_window and streaming_distinct == "chained":
         per_card = (df.groupBy(F.window(time_col, window).alias("w"), "merchant", "card_number")
                       .agg(F.count(F.lit(1)).alias("n"), F.sum("amount").alias("s")))
@@ -121,7 +119,7 @@ def fraud_rings(df: DataFrame, time_col: str = "transaction_time", window: str =
                .agg(distinct.alias("unique_cards"), F.count(F.lit(1)).alias("total_txns"), F.sum("amount").alias("s")))
     return (out.where(F.col("unique_cards") >= min_cards)
                .select(*_bounds(per_window), "merchant", F.col("unique_cards").cast("bigint").alias("unique_cards"),
-                       F.col("total_txns").cast("bigint").alias("total_txns"), F.col("s").try_cast(to).alias("total_amount")))
+                       F.col("total_txns").cast("bigint").alias("total_txns"), F.col("s").try_cast(WIDE_MONEY).alias("total_amount")))
 
 
 def fast_cards(df: DataFrame, time_col: str = "transaction_time", window: str = FAST_CARD_WINDOW,
@@ -133,7 +131,7 @@ def fast_cards(df: DataFrame, time_col: str = "transaction_time", window: str =
                  F.max("amount").alias("mx"))
             .where(F.col("txn_count") >= min_txns)
             .select(*_bounds(per_window), "card_number", "txn_count",
-                    F.col("s").try_cast(to).alias("total_spend"),
+                    F.col("s").try_cast(WIDE_MONEY).alias("total_spend"),
                     F.col("mx").try_cast(to).alias("max_single_txn")))
 
 

@@ -7,71 +7,21 @@ projections in ``kerbside.sources.testbed``) in full.
 from __future__ import annotations
 
 from kerbside.operators import alerts, windows
-from kerbside.plans import oracle as O
+from kerbside.plans import alert_sql, oracle as O
 from kerbside.plans.registry import ORACLE, QUERIES, register  # noqa: F401  (re-exported)
 from kerbside.sources import testbed
 
 
 # ---------------------------------------------------------------- alerts
-_TX = O.with_fixtures("transactions")
-_RULE_SELECT = ("SELECT card_number, amount, location.city AS city, location.state AS state, "
-                "merchant_category, \"timestamp\", ")
-
-
-def _stateless_sql() -> str:
-    return f"""
- SELECT card_number, amount, location.city AS city, location.state AS state, merchant_category, "timestamp",
-  'HIGH_AMOUNT' AS fraud_rule, 'Transaction amount exceeds $500 threshold' AS fraud_reason FROM txn WHERE amount > 500
- UNION ALL
- SELECT card_number, amount, location.city, location.state, merchant_category, "timestamp",
-  'UNUSUAL_LOCATION', 'Transaction from unusual location: ' || location.city || ', ' || location.state FROM txn
-  WHERE location.state NOT IN ('CA','NY','IL','TX','FL','WA','OR','NV','AZ','CO','PA','OH','GA','NC','MI','NJ','VA','MA','IN','MN')
- UNION ALL
- SELECT card_number, amount, location.city, location.state, merchant_category, "timestamp",
-  'HIGH_RISK_MERCHANT', 'Transaction at high-risk merchant category: ' || merchant_category FROM txn
-  WHERE merchant_category IN ('gambling','crypto_exchange','wire_transfer')
- UNION ALL
- SELECT card_number, amount, location.city, location.state, merchant_category, "timestamp",
-  'MULTI_FACTOR', 'HIGH SEVERITY: Amount $' || CAST(amount AS VARCHAR) || ' at ' || merchant_category FROM txn
-  WHERE amount > 300 AND merchant_category IN ('gambling','crypto_exchange','wire_transfer','jewelry')"""
-
-
-_VELOCITY_SQL = f"""
- SELECT card_number, count(*) AS txn_count, CAST(sum(amount) AS DECIMAL(10,2)) AS total_amount,
-  {O.bucket('transaction_time', 120)} AS window_start, {O.bucket_end('transaction_time', 120)} AS window_end
- FROM txn GROUP BY card_number, 4, 5 HAVING count(*) >= 3"""
-
-_ALL_ALERTS_SQL = f"""{_TX},
- stateless AS ({_stateless_sql()}),
- vel AS ({_VELOCITY_SQL}),
- u AS (
-  SELECT card_number, amount, city, state, merchant_category, "timestamp", fraud_rule, fraud_reason,
-   NULL::BIGINT AS txn_count, NULL::DECIMAL(10,2) AS total_amount, NULL::TIMESTAMP AS window_start, NULL::TIMESTAMP AS window_end
-  FROM stateless
-  UNION ALL
-  SELECT card_number, NULL, NULL, NULL, NULL, NULL, 'VELOCITY',
-   'Card used ' || CAST(txn_count AS VARCHAR) || ' times in 2-minute window', txn_count, total_amount, window_start, window_end
-  FROM vel)
- SELECT *, CASE fraud_rule WHEN 'HIGH_AMOUNT' THEN 'Medium' WHEN 'VELOCITY' THEN 'High' WHEN 'UNUSUAL_LOCATION' THEN 'Medium'
-  WHEN 'HIGH_RISK_MERCHANT' THEN 'High' WHEN 'MULTI_FACTOR' THEN 'Critical' END AS severity FROM u"""
+_TX, _VELOCITY_SQL, _ALL_ALERTS_SQL = alert_sql.TX, alert_sql.VELOCITY, alert_sql.ALL_ALERTS
 
 
 def _tx(spark, sf_dir):
     return testbed.transactions(spark, sf_dir)
 
 
-for _rule, _cond_sql, _reason_sql in [
-    ("HIGH_AMOUNT", "amount > 500", "'Transaction amount exceeds $500 threshold'"),
-    ("UNUSUAL_LOCATION", "location.state NOT IN ('CA','NY','IL','TX','FL','WA','OR','NV','AZ','CO','PA','OH','GA','NC','MI','NJ','VA','MA','IN','MN')",
-     "'Transaction from unusual location: ' || location.city || ', ' || location.state"),
-    ("HIGH_RISK_MERCHANT", "merchant_category IN ('gambling','crypto_exchange','wire_transfer')",
-     "'Transaction at high-risk merchant category: ' || merchant_category"),
-    ("MULTI_FACTOR", "amount > 300 AND merchant_category IN ('gambling','crypto_exchange','wire_transfer','jewelry')",
-     "'HIGH SEVERITY: Amount $' || CAST(amount AS VARCHAR) || ' at ' || merchant_category"),
-]:
-    _key = {"HIGH_AMOUNT": "p5_high_amount", "UNUSUAL_LOCATION": "p6_unusual_location",
-            "HIGH_RISK_MERCHANT": "p7_high_risk_merchant", "MULTI_FACTOR": "p8_multi_factor"}[_rule]
-    register(_key, f"{_TX}\n {_RULE_SELECT}'{_rule}' AS fraud_rule, {_reason_sql} AS fraud_reason FROM txn WHERE {_cond_sql}")(
+for _key, _rule, _cond_sql, _reason_sql in alert_sql.RULES:
+    register(_key, f"{_TX}\n {alert_sql.rule(_rule, _cond_sql, _reason_sql)}")(
         (lambda r: lambda spark, sf_dir: alerts.single_rule(_tx(spark, sf_dir), r))(_rule))
 
 
@@ -116,7 +66,7 @@ def _win(seconds: int) -> str:
 
 
 @register("a3_window_stats", f"""{_TX}
- SELECT {_win(10)}, count(*) AS transaction_count, CAST(sum(amount) AS DECIMAL(10,2)) AS total_amount,
+ SELECT {_win(10)}, count(*) AS transaction_count, CAST(sum(amount) AS DECIMAL(20,2)) AS total_amount,
   {O.money_avg('sum(amount)', 'count(*)')} AS avg_amount, min(amount) AS min_amount, max(amount) AS max_amount
  FROM txn GROUP BY 1, 2""")
 def a3_window_stats(spark, sf_dir):
@@ -125,14 +75,14 @@ def a3_window_stats(spark, sf_dir):
 
 @register("a4_location_hotspots", f"""{_TX}
  SELECT {_win(30)}, location.city AS city, location.state AS state, count(*) AS txn_count,
-  CAST(sum(amount) AS DECIMAL(10,2)) AS total_amount, {O.money_avg('sum(amount)', 'count(*)')} AS avg_amount
+  CAST(sum(amount) AS DECIMAL(20,2)) AS total_amount, {O.money_avg('sum(amount)', 'count(*)')} AS avg_amount
  FROM txn GROUP BY 1, 2, 3, 4""")
 def a4_location_hotspots(spark, sf_dir):
     return windows.location_hotspots(_tx(spark, sf_dir))
 
 
 @register("a5_category_breakdown", f"""{_TX}
- SELECT {_win(30)}, merchant_category, count(*) AS txn_count, CAST(sum(amount) AS DECIMAL(10,2)) AS total_spend,
+ SELECT {_win(30)}, merchant_category, count(*) AS txn_count, CAST(sum(amount) AS DECIMAL(20,2)) AS total_spend,
   {O.money_avg('sum(amount)', 'count(*)')} AS avg_spend
  FROM txn GROUP BY 1, 2, 3 ORDER BY window_start, total_spend DESC, merchant_category""")
 def a5_category_breakdown(spark, sf_dir):
@@ -141,14 +91,14 @@ def a5_category_breakdown(spark, sf_dir):
 
 @register("a6_fraud_rings", f"""{_TX}
  SELECT {_win(60)}, merchant, count(DISTINCT card_number) AS unique_cards, count(*) AS total_txns,
-  CAST(sum(amount) AS DECIMAL(10,2)) AS total_amount
+  CAST(sum(amount) AS DECIMAL(20,2)) AS total_amount
  FROM txn GROUP BY 1, 2, 3 HAVING count(DISTINCT card_number) >= 3""")
 def a6_fraud_rings(spark, sf_dir):
     return windows.fraud_rings(_tx(spark, sf_dir))
 
 
 @register("a7_fast_cards", f"""{_TX}
- SELECT {_win(60)}, card_number, count(*) AS txn_count, CAST(sum(amount) AS DECIMAL(10,2)) AS total_spend,
+ SELECT {_win(60)}, card_number, count(*) AS txn_count, CAST(sum(amount) AS DECIMAL(20,2)) AS total_spend,
   CAST(max(amount) AS DECIMAL(10,2)) AS max_single_txn
  FROM txn GROUP BY 1, 2, 3 HAVING count(*) >= 3""")
 def a7_fast_cards(spark, sf_dir):
@@ -157,15 +107,15 @@ def a7_fast_cards(spark, sf_dir):
 
 @register("a8_running_hotspots", f"""{_TX}
  SELECT location.city AS city, location.state AS state, count(*) AS txn_count,
-  CAST(sum(amount) AS DECIMAL(18,2)) AS total_amount, {O.money_avg('sum(amount)', 'count(*)', 'DECIMAL(18,2)')} AS avg_amount
+  CAST(sum(amount) AS DECIMAL(20,2)) AS total_amount, {O.money_avg('sum(amount)', 'count(*)', 'DECIMAL(20,2)')} AS avg_amount
  FROM txn GROUP BY 1, 2""")
 def a8_running_hotspots(spark, sf_dir):
     return windows.location_hotspots(_tx(spark, sf_dir), per_window=False)
 
 
 @register("a8_running_categories", f"""{_TX}
- SELECT merchant_category, count(*) AS txn_count, CAST(sum(amount) AS DECIMAL(18,2)) AS total_spend,
-  {O.money_avg('sum(amount)', 'count(*)', 'DECIMAL(18,2)')} AS avg_spend
+ SELECT merchant_category, count(*) AS txn_count, CAST(sum(amount) AS DECIMAL(20,2)) AS total_spend,
+  {O.money_avg('sum(amount)', 'count(*)', 'DECIMAL(20,2)')} AS avg_spend
  FROM txn GROUP BY 1""")
 def a8_running_categories(spark, sf_dir):
     return windows.category_breakdown(_tx(spark, sf_dir), per_window=False)
@@ -173,15 +123,15 @@ def a8_running_categories(spark, sf_dir):
 
 @register("a8_running_rings", f"""{_TX}
  SELECT merchant, count(DISTINCT card_number) AS unique_cards, count(*) AS total_txns,
-  CAST(sum(amount) AS DECIMAL(18,2)) AS total_amount
+  CAST(sum(amount) AS DECIMAL(20,2)) AS total_amount
  FROM txn GROUP BY 1 HAVING count(DISTINCT card_number) >= 3""")
 def a8_running_rings(spark, sf_dir):
     return windows.fraud_rings(_tx(spark, sf_dir), per_window=False)
 
 
 @register("a8_running_fast_cards", f"""{_TX}
- SELECT card_number, count(*) AS txn_count, CAST(sum(amount) AS DECIMAL(18,2)) AS total_spend,
-  CAST(max(amount) AS DECIMAL(18,2)) AS max_single_txn
+ SELECT card_number, count(*) AS txn_count, CAST(sum(amount) AS DECIMAL(20,2)) AS total_spend,
+  CAST(max(amount) AS DECIMAL(20,2)) AS max_single_txn
  FROM txn GROUP BY 1 HAVING count(*) >= 3""")
 def a8_running_fast_cards(spark, sf_dir):
     return windows.fast_cards(_tx(spark, sf_dir), per_window=False)

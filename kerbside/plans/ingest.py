@@ -26,7 +26,7 @@ _MSG_SQL = O.with_fixtures("laps", "telemetry") + """,
   FROM laps CROSS JOIN (SELECT unnest(range(8)) AS i) CROSS JOIN (SELECT unnest(range(2)) AS r) WHERE r=0 OR lap_time_ms%50=0),
  msg AS (SELECT *, 1709294400000 + CAST(substr(origin_session, 2) AS BIGINT) * 3600000 + t_ms AS event_ms,
    CAST(CAST(substr(driver_id, 2) AS BIGINT) % 3 AS INT) AS partition,
-   ((CAST(substr(origin_session, 2) AS BIGINT) * 20 + CAST(substr(driver_id, 2) AS BIGINT)) * 32 + lap_number) * 16 + sample_no * 2 + copy_no AS "offset"
+   ((CAST(substr(origin_session, 2) AS BIGINT) * 20 + CAST(substr(driver_id, 2) AS BIGINT)) * 1048576 + lap_number) * 16 + sample_no * 2 + copy_no AS "offset"
   FROM tel_o)"""
 
 _ISO = ("CASE WHEN event_ms % 1000 = 0 THEN strftime(make_timestamp(event_ms * 1000), '%Y-%m-%dT%H:%M:%S') || '+00:00' "
@@ -66,7 +66,7 @@ _EVT_SQL = O.with_fixtures("laps") + """,
  ev AS (SELECT session_id, driver_id, lap_number, 'LAP_COMPLETION' AS event_type, 0 AS k FROM laps
   UNION ALL SELECT session_id, driver_id, lap_number, 'PIT_STOP', 1 FROM laps WHERE pit),
  evm AS (SELECT *, CAST(CAST(substr(driver_id, 2) AS BIGINT) % 3 AS INT) AS partition,
-   ((CAST(substr(session_id, 2) AS BIGINT) * 20 + CAST(substr(driver_id, 2) AS BIGINT)) * 32 + lap_number) * 2 + k AS "offset" FROM ev)"""
+   ((CAST(substr(session_id, 2) AS BIGINT) * 20 + CAST(substr(driver_id, 2) AS BIGINT)) * 1048576 + lap_number) * 2 + k AS "offset" FROM ev)"""
 
 
 @register("q1_topic_partition_counts", f"""SELECT topic, partition, count(*) AS messages, min("offset") AS min_offset,
@@ -78,14 +78,27 @@ def q1_topic_partition_counts(spark, sf_dir):
     return quality.topic_partition_counts(raw)
 
 
-@register("q2_parse_loss", f"""SELECT 'telemetry.raw' AS topic, count(*) AS raw, count(*) AS parsed, 0::BIGINT AS unparsed, 0::BIGINT AS lost
-  FROM ({_MSG_SQL} SELECT * FROM msg)
- UNION ALL SELECT 'race.events', count(*), count(*), 0, 0 FROM ({_EVT_SQL} SELECT * FROM evm)""")
+# Q2 reads a log with damage: messages that are no JSON, and messages that the parsed table lacks
+_DAMAGED, _MISSING = 211, (1009, 5)
+
+
+def _loss_sql(topic: str, rows: str) -> str:
+    gone = f'("offset" % {_MISSING[0]} = {_MISSING[1]})'
+    return f"""SELECT '{topic}' AS topic, count(*) AS raw, count(*) FILTER (NOT {gone}) AS parsed,
+  count(*) FILTER ("offset" % {_DAMAGED} = 0 AND NOT {gone}) AS unparsed, count(*) FILTER ({gone}) AS lost FROM ({rows})"""
+
+
+@register("q2_parse_loss", f"""{_loss_sql('telemetry.raw', f'{_MSG_SQL} SELECT * FROM msg')}
+ UNION ALL {_loss_sql('race.events', f'{_EVT_SQL} SELECT * FROM evm')}""")
 def q2_parse_loss(spark, sf_dir):
-    tp, tr = _telemetry_topic(spark, sf_dir)
-    ep, er = _events_topic(spark, sf_dir)
-    return (quality.parse_loss(tr, tp, [f.name for f in TELEMETRY_SCHEMA.fields])
-            .unionByName(quality.parse_loss(er, ep, [f.name for f in RACE_EVENT_SCHEMA.fields])))
+    def topic(raw, schema, name):
+        raw = raw.withColumn("kafka_value", F.when(F.col("offset") % _DAMAGED == 0, F.concat(F.lit("#"), "kafka_value"))
+                             .otherwise(F.col("kafka_value")))
+        parsed = envelope.parsed_view(raw, schema, name).where(F.col("offset") % _MISSING[0] != _MISSING[1])
+        return quality.parse_loss(raw, parsed, [f.name for f in schema.fields])
+
+    return (topic(_telemetry_topic(spark, sf_dir)[1], TELEMETRY_SCHEMA, testbed.TELEMETRY_TOPIC)
+            .unionByName(topic(_events_topic(spark, sf_dir)[1], RACE_EVENT_SCHEMA, testbed.EVENTS_TOPIC)))
 
 
 _NULL_COLS = [f.name for f in TELEMETRY_SCHEMA.fields]
@@ -140,24 +153,52 @@ def w10_latest_message_per_key(spark, sf_dir):
     return L.latest_per_key(x, ["kafka_key"], ["kafka_timestamp", "partition", "offset"])
 
 
-# ------------------------------------------------------------------ alert sink shapes (K3, K4)
-@register("k3_alert_records")
+# ------------------------------------------------------------------ transactions log and alert sinks
+from kerbside.plans.alert_sql import ALL_ALERTS, TX, all_alerts as _alerts_sql  # noqa: E402
+
+_ALERT_FIELDS = ("card_number string, amount decimal(10,2), city string, state string, merchant_category string, "
+                 "timestamp string, fraud_rule string, fraud_reason string, txn_count bigint, total_amount decimal(20,2), "
+                 "window_start timestamp, window_end timestamp, severity string")
+
+
+def _logged_transactions(spark, sf_dir):
+    """Transactions parsed from the messages of their log, with the record's coordinates."""
+    raw = envelope.raw_view(testbed.transaction_messages(spark, sf_dir)).select("kafka_value", "partition", "offset")
+    return envelope.transactions_from_json(raw)
+
+
+@register("s4_transactions_from_json", f"""{TX}
+ SELECT card_number, amount, location.city AS city, location.state AS state, merchant, merchant_category, "timestamp",
+  date_trunc('millisecond', transaction_time) AS transaction_time, CAST(event_id % 3 AS INT) AS partition, event_id AS "offset" FROM txn""")
+def s4_transactions_from_json(spark, sf_dir):
+    return _logged_transactions(spark, sf_dir).select(
+        "card_number", F.col("amount").cast("decimal(10,2)").alias("amount"), "location.city", "location.state", "merchant",
+        "merchant_category", "timestamp", "transaction_time", "partition", "offset")
+
+
+@register("k3_alert_records", f"SELECT card_number AS key, * FROM ({ALL_ALERTS})")
 def k3_alert_records(spark, sf_dir):
-    """K3: alerts as keyed JSON records for the shared alert topic."""
+    """K3: alerts as keyed JSON records for the shared alert topic, read back as a consumer does."""
     a = alerts.all_alerts(testbed.transactions(spark, sf_dir))
-    return a.select(F.col("card_number").alias("key"), F.to_json(F.struct(*a.columns)).alias("value"))
+    records = a.select(F.col("card_number").alias("key"), F.to_json(F.struct(*a.columns)).alias("value"))
+    return records.select("key", F.from_json("value", _ALERT_FIELDS).alias("v")).select("key", "v.*")
 
 
-@register("k4_alert_documents")
+_RECORD = ", CAST(event_id % 3 AS INT) AS kafka_partition, event_id AS kafka_offset"
+
+
+@register("k4_alert_documents", f"""SELECT *, '...' || right(card_number, 4) AS card_masked, true AS stamped FROM (
+ {_alerts_sql(_RECORD, ", NULL::INT, NULL::BIGINT", ", kafka_partition, kafka_offset")})""")
 def k4_alert_documents(spark, sf_dir):
-    """K4 + P14 + F14: upper-case alert fields lower-cased, ingest time, partition and
-    offset of the alert record, and a masked card for display."""
-    a = alerts.all_alerts(testbed.transactions(spark, sf_dir))
-    a = a.toDF(*[c.upper() for c in a.columns])
-    doc = lower_columns(a)
-    return doc.withColumn("ingested_at", F.current_timestamp()) \
-              .withColumn("kafka_partition", F.pmod(F.hash("card_number"), F.lit(3))) \
-              .withColumn("card_masked", mask_last4("card_number"))
+    """K4 + P14 + F14: alerts as documents: fields in lower case, the partition and offset of the
+    transaction's record (a velocity alert has several records, so none), a masked card for
+    display and the time of ingestion, of which only the presence can be compared."""
+    tx = (_logged_transactions(spark, sf_dir).withColumn("amount", F.col("amount").cast("decimal(10,2)"))
+          .withColumnsRenamed({"partition": "kafka_partition", "offset": "kafka_offset"}))
+    a = alerts.all_alerts(tx, carry=("kafka_partition", "kafka_offset"))
+    doc = lower_columns(a.toDF(*[c.upper() for c in a.columns])).withColumn("ingested_at", F.current_timestamp())
+    return (doc.withColumn("card_masked", mask_last4("card_number"))
+            .withColumn("stamped", F.col("ingested_at").isNotNull()).drop("ingested_at"))
 
 
 # ------------------------------------------------------------------ gold from bronze

@@ -18,12 +18,13 @@ TRANSACTIONS = """transactions AS (
 
 LAPS = """n AS (SELECT count(*) // 1000 AS ns FROM lineitem),
  b AS (SELECT l_orderkey%ns AS sn, CAST(l_suppkey%20 AS INT) AS dn, CAST(row_number() OVER (PARTITION BY l_orderkey%ns, l_suppkey%20 ORDER BY l_orderkey,l_linenumber,l_partkey,l_suppkey,l_shipdate,l_extendedprice) AS INT) AS lap_number,
+  count(*) OVER (PARTITION BY l_orderkey%ns, l_suppkey%20) AS last_lap,
   CAST(round(l_extendedprice*100) AS BIGINT)%3000 AS jitter FROM lineitem CROSS JOIN n),
  laps AS (SELECT concat('S',sn) AS session_id, concat('D',dn) AS driver_id, concat('T',dn%10) AS team_id, lap_number, 80000+dn*150+jitter AS lap_time_ms,
   CASE (dn+((lap_number-1) // 10))%3 WHEN 0 THEN 'SOFT' WHEN 1 THEN 'MEDIUM' ELSE 'HARD' END AS tyre_compound,
-  (lap_number%10=0 AND lap_number<30) AS pit, CASE WHEN lap_number%10=0 AND lap_number<30 THEN 20000+jitter END AS pit_duration_ms,
+  (lap_number%10=0 AND lap_number<last_lap) AS pit, CASE WHEN lap_number%10=0 AND lap_number<last_lap THEN 20000+jitter END AS pit_duration_ms,
   CAST(sum(80000+dn*150+jitter) OVER (PARTITION BY sn,dn ORDER BY lap_number ROWS UNBOUNDED PRECEDING) AS BIGINT) AS cum_ms
- FROM b WHERE lap_number<=30)"""
+ FROM b)"""
 
 TELEMETRY = """telemetry AS (
  SELECT CASE WHEN lap_time_ms%101=0 THEN NULL ELSE session_id END AS session_id, driver_id, lap_number, i AS sample_no,

@@ -26,8 +26,7 @@ def _clean(spark, sf_dir, lp=None):
 def _asof_clean(spark, sf_dir, lp=None):
     lp = lp if lp is not None else _laps(spark, sf_dir)
     tel = testbed.stored_telemetry(spark, sf_dir)
-    return L.asof_forward_join(L.clean_telemetry(tel), lp, carry=["tyre_compound"],
-                               first_times=L.first_sample_times(tel))
+    return L.asof_forward_join(L.clean_telemetry(tel), lp, carry=["tyre_compound"])
 
 
 def _fact_lap(spark, sf_dir, lp=None):
@@ -147,7 +146,7 @@ _STINT_COLS = ["avg_pace_ms", "degradation_rate_ms_per_lap", "total_fuel_used_kg
 @register("a13_fact_stint", round_doubles.sql(f"""{_LT},\n {_VALID},\n {_ASOF},\n {_FACT_LAP},\n {_STINTS}
  SELECT s.stint_id, s.session_id, s.driver_id, s.stint_no, arg_min(s.tyre_compound, s.lap_number) AS tyre_compound,
   min(s.lap_number) AS start_lap, max(s.lap_number) AS end_lap, count(*) AS lap_count, avg(s.lap_time_ms) AS avg_pace_ms,
-  regr_slope(s.lap_time_ms, s.lap_number) AS degradation_rate_ms_per_lap, sum(f.fuel_used_kg) AS total_fuel_used_kg,
+  CASE WHEN count(*) > 1 THEN regr_slope(s.lap_time_ms, s.lap_number) END AS degradation_rate_ms_per_lap, sum(f.fuel_used_kg) AS total_fuel_used_kg,
   CASE WHEN count(*) > 1 THEN 1 - stddev_samp(s.lap_time_ms) / avg(s.lap_time_ms) END AS consistency_score,
   CASE WHEN count(*) > 1 THEN avg(s.lap_time_ms) - 1.96 * stddev_samp(s.lap_time_ms) / sqrt(count(*)) END AS pace_ci_low,
   CASE WHEN count(*) > 1 THEN avg(s.lap_time_ms) + 1.96 * stddev_samp(s.lap_time_ms) / sqrt(count(*)) END AS pace_ci_high
@@ -289,17 +288,21 @@ def g5_node_counts(spark, sf_dir):
 
 
 @register("g6_last_laps_overtakes", f"""{_GRAPH},
- last AS (SELECT session_id, max(lap_number) AS last_lap FROM ovt GROUP BY 1)
- SELECT o.* FROM ovt o JOIN last USING (session_id) WHERE o.lap_number > last.last_lap - 10""")
+ last AS (SELECT session_id, max(lap_number) AS last_lap FROM laps GROUP BY 1)
+ SELECT o.* FROM ovt o JOIN last USING (session_id) WHERE o.lap_number > last.last_lap - 50""")
 def g6_last_laps_overtakes(spark, sf_dir):
-    return graph.last_n_laps(_race_graph(spark, sf_dir)[3], 10)
+    lp, _, _, ovt, _ = _race_graph(spark, sf_dir)
+    return graph.last_n_laps(ovt, lp)
 
 
 def _pagerank_sql(iterations: int = graph.PAGERANK_ITERATIONS, d: float = graph.DAMPING) -> str:
     parts = [f"""{_GRAPH},
  nodes AS (SELECT DISTINCT session_id, driver_id AS node FROM laps),
  nn AS (SELECT session_id, count(*)::DOUBLE AS n FROM nodes GROUP BY 1),
- e0 AS (SELECT session_id, passed_id AS src, passer_id AS dst, count(*)::DOUBLE AS w FROM ovt GROUP BY 1, 2, 3),
+ ie AS (SELECT session_id, passed_id AS src, passer_id AS dst, 1.0::DOUBLE AS w FROM ovt
+   UNION ALL SELECT session_id, driver_a, driver_b, interaction_strength FROM btl
+   UNION ALL SELECT session_id, driver_b, driver_a, interaction_strength FROM btl),
+ e0 AS (SELECT session_id, src, dst, sum(w) AS w FROM ie GROUP BY 1, 2, 3),
  ow AS (SELECT session_id, src, sum(w) AS out_w FROM e0 GROUP BY 1, 2),
  e AS (SELECT e0.session_id, e0.src, e0.dst, w / out_w AS p FROM e0 JOIN ow USING (session_id, src)),
  dangling AS (SELECT nodes.* FROM nodes ANTI JOIN ow ON nodes.session_id = ow.session_id AND nodes.node = ow.src),
@@ -316,8 +319,9 @@ def _pagerank_sql(iterations: int = graph.PAGERANK_ITERATIONS, d: float = graph.
 def _pagerank(spark, sf_dir):
     lp, pos, pairs, ovt, btl = _race_graph(spark, sf_dir)
     nodes = lp.select("session_id", F.col("driver_id").alias("node")).distinct()
-    edges = ovt.select("session_id", F.col("passed_id").alias("src"), F.col("passer_id").alias("dst"),
-                       F.lit(1.0).alias("weight"))
+    # rank flows to the driver who passes, and both ways in a battle
+    edges = graph.interaction_edges(ovt.select("session_id", F.col("passed_id").alias("passer_id"),
+                                               F.col("passer_id").alias("passed_id")), btl)
     return graph.pagerank(nodes, edges).select("session_id", F.col("node").alias("driver_id"),
                                                F.round("rank", 6).alias("pagerank"))
 
@@ -327,15 +331,19 @@ def g7_pagerank(spark, sf_dir):
     return _pagerank(spark, sf_dir)
 
 
-@register("g8_weighted_degree", f"""{_EDGES},
- od AS (SELECT session_id, src AS node, sum(weight) AS out_degree FROM edges WHERE rel IN ('OVERTOOK','BATTLED') GROUP BY 1, 2),
- idg AS (SELECT session_id, dst AS node, sum(weight) AS in_degree FROM edges WHERE rel IN ('OVERTOOK','BATTLED') GROUP BY 1, 2)
- SELECT coalesce(od.session_id, idg.session_id) AS session_id, coalesce(od.node, idg.node) AS node,
-  coalesce(out_degree, 0) AS out_degree, coalesce(in_degree, 0) AS in_degree
- FROM od FULL JOIN idg ON od.session_id = idg.session_id AND od.node = idg.node""")
+@register("g8_weighted_degree", round_doubles.sql(f"""{_GRAPH},
+ drvs AS (SELECT session_id, passer_id AS node FROM ovt UNION SELECT session_id, passed_id FROM ovt
+   UNION SELECT session_id, driver_a FROM btl UNION SELECT session_id, driver_b FROM btl),
+ fights AS (SELECT d.session_id, d.node, sum(b.interaction_strength) AS s FROM drvs d JOIN btl b
+   ON d.session_id = b.session_id AND d.node IN (b.driver_a, b.driver_b) GROUP BY 1, 2),
+ wins AS (SELECT session_id, passer_id AS node, count(*) AS n FROM ovt GROUP BY 1, 2),
+ losses AS (SELECT session_id, passed_id AS node, count(*) AS n FROM ovt GROUP BY 1, 2)
+ SELECT d.session_id, d.node, coalesce(w.n, 0) + coalesce(f.s, 0) AS out_degree, coalesce(l.n, 0) + coalesce(f.s, 0) AS in_degree
+ FROM drvs d LEFT JOIN wins w USING (session_id, node) LEFT JOIN losses l USING (session_id, node)
+  LEFT JOIN fights f USING (session_id, node)""", ["out_degree", "in_degree"]))
 def g8_weighted_degree(spark, sf_dir):
-    edges = _edges(spark, sf_dir)[1].where(F.col("rel").isin("OVERTOOK", "BATTLED"))
-    return graph.weighted_degree(edges)
+    _, _, _, ovt, btl = _race_graph(spark, sf_dir)
+    return round_doubles(graph.weighted_degree(graph.interaction_edges(ovt, btl)))
 
 
 _INTERACTIONS = """made AS (SELECT session_id, passer_id AS driver_id, count(*) AS m FROM ovt GROUP BY 1, 2),
@@ -499,16 +507,16 @@ def a20_pit_efficiency(spark, sf_dir):
   JOIN pos a ON l.session_id = a.session_id AND l.driver_id = a.driver_id AND a.lap_number = l.lap_number + 2 WHERE l.pit)
  SELECT session_id, count(*) AS stops, avg(gained) AS undercut_rate FROM x GROUP BY 1""", ["undercut_rate"]))
 def x1_undercut_rate(spark, sf_dir):
-    lp = _laps(spark, sf_dir)
-    return round_doubles(serve.undercut_rate(lp.where(F.col("pit")), L.positions(lp)))
+    return round_doubles(serve.undercut_rate(_positions(spark, sf_dir)))
 
 
 @register("x2_team_gap_trend", round_doubles.sql(f"""{_L},\n {_POS},
  drv AS (SELECT driver_id, min(team_id) AS team_id FROM laps GROUP BY 1),
  dl AS (SELECT p.*, p.race_ms - min(p.race_ms) OVER (PARTITION BY p.session_id, p.lap_number) AS dlt FROM pos p),
  g AS (SELECT p.session_id, d.team_id, p.lap_number, min(p.dlt) AS gap_ms FROM dl p JOIN drv d USING (driver_id) GROUP BY ALL)
- SELECT session_id, team_id, regr_slope(gap_ms, lap_number) AS gap_slope_ms_per_lap, regr_intercept(gap_ms, lap_number) AS gap_intercept_ms
- FROM g GROUP BY 1, 2""", ["gap_slope_ms_per_lap", "gap_intercept_ms"]))
+ SELECT session_id, team_id, regr_slope(gap_ms, lap_number) AS gap_slope_ms_per_lap, regr_intercept(gap_ms, lap_number) AS gap_intercept_ms,
+  regr_intercept(gap_ms, lap_number) + regr_slope(gap_ms, lap_number) * (max(lap_number) + 1) AS predicted_gap_ms
+ FROM g GROUP BY 1, 2""", ["gap_slope_ms_per_lap", "gap_intercept_ms", "predicted_gap_ms"]))
 def x2_team_gap_trend(spark, sf_dir):
     lp = _laps(spark, sf_dir)
     return round_doubles(serve.team_gap_trend(L.with_race_order(lp), testbed.drivers(spark, sf_dir, lp)))
@@ -522,11 +530,19 @@ def x3_multi_session_trend(spark, sf_dir):
     return round_doubles(serve.multi_session_trend(_laps(spark, sf_dir)))
 
 
-@register("g12_rivalry_communities")
+_RIVALS = f"""{_GRAPH.replace("WITH ", "WITH RECURSIVE ", 1)},
+ opp AS (SELECT session_id, driver_a AS d, driver_b AS o FROM btl UNION SELECT session_id, driver_b, driver_a FROM btl),
+ sets AS (SELECT session_id, d, list(o) AS os FROM opp GROUP BY 1, 2),
+ lk AS (SELECT a.session_id, a.d AS src, b.d AS dst FROM sets a JOIN sets b ON a.session_id = b.session_id AND a.d <> b.d
+   WHERE len(list_intersect(a.os, b.os)) / len(list_distinct(list_concat(a.os, b.os))) >= 0.5),
+ reach AS (SELECT session_id, d AS src, d AS dst FROM sets UNION SELECT r.session_id, r.src, lk.dst FROM reach r
+   JOIN lk ON r.session_id = lk.session_id AND r.dst = lk.src)"""
+
+
+@register("g12_rivalry_communities", f"""{_RIVALS}
+ SELECT session_id, src AS driver_id, min(dst) AS community FROM reach GROUP BY 1, 2""")
 def g12_rivalry_communities(spark, sf_dir):
-    """Rows-only: approximate (LSH) similarity links; checked against exact Jaccard in tests."""
-    lp, pos, pairs, ovt, btl = _race_graph(spark, sf_dir)
-    return graph.rivalry_communities(ovt, btl)
+    return graph.rivalry_communities(_race_graph(spark, sf_dir)[4])
 
 
 @register("j3_driver_lookup", f"""{_LT},

@@ -32,8 +32,9 @@ TIME_COMPRESSION = 60             # event time is compressed 60x so short window
 # [ours] race sessions start at 2024-03-01T12:00:00Z plus one hour per session number.
 SESSION_EPOCH_MS = 1709294400000
 
-LAPS_PER_SESSION = 30
 DRIVERS = 20
+# [ours] room for a driver's laps and sessions in message offsets
+LAP_ROOM = 1 << 20
 
 
 def _pick(values: list[str], one_based_index: Column) -> Column:
@@ -61,7 +62,8 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def laps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lap table: 30 laps per (session, driver); sessions = lineitem rows / 1000.
+    """Lap table: every ``lineitem`` row is one lap; sessions = rows / 1000, so a (session,
+    driver) has about 50 laps at any size. Pits fall on every tenth lap but the last.
 
     ``cum_ms`` is the session time at the end of the lap (the source's ``Time``).
     """
@@ -79,10 +81,10 @@ def laps(spark: SparkSession, sf_dir: str) -> DataFrame:
         "driver_id", F.concat(F.lit("D"), F.col("dn")))
     order = Window.partitionBy("session_id", "driver_id").orderBy(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice")
-    b = b.withColumn("lap_number", F.row_number().over(order).cast("int")).where(
-        F.col("lap_number") <= LAPS_PER_SESSION)
+    b = b.withColumn("lap_number", F.row_number().over(order).cast("int")).withColumn(
+        "last_lap", F.count(F.lit(1)).over(Window.partitionBy("session_id", "driver_id")))
     lap_time = F.lit(80000) + F.col("dn") * 150 + F.col("jitter")
-    pit = (F.col("lap_number") % 10 == 0) & (F.col("lap_number") < LAPS_PER_SESSION)
+    pit = (F.col("lap_number") % 10 == 0) & (F.col("lap_number") < F.col("last_lap"))
     compound_ix = (F.col("dn") + F.expr("(lap_number - 1) div 10")) % 3
     running = Window.partitionBy("session_id", "driver_id").orderBy("lap_number").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
@@ -149,7 +151,7 @@ def race_events(spark: SparkSession, sf_dir: str, laps_df: DataFrame | None = No
     lp = laps_df if laps_df is not None else laps(spark, sf_dir)
     start = session_start_ms("session_id")
     lap_end = F.timestamp_millis(start + F.col("cum_ms"))
-    # [ours] stint number = pit stops before this lap + 1 (pits at laps 10 and 20)
+    # [ours] stint number = pit stops before this lap + 1 (pits on every tenth lap)
     stint = (F.expr("(lap_number - 1) div 10") + 1).cast("int")
     pit_in = F.timestamp_millis(start + F.col("cum_ms"))
     pit_out = F.timestamp_millis(start + F.col("cum_ms") + F.col("pit_duration_ms"))
@@ -227,7 +229,8 @@ def telemetry_messages(spark: SparkSession, sf_dir: str, laps_df: DataFrame | No
     dn = _driver_no("driver_id")
     event_ms = session_start_ms("origin_session") + F.col("t_ms")
     partition = (dn % TOPIC_PARTITIONS).cast("int")
-    offset = (((sn * 20 + dn) * 32 + F.col("lap_number")) * 16 + F.col("sample_no") * 2 + F.col("copy_no")).cast("bigint")
+    offset = (((sn * DRIVERS + dn) * LAP_ROOM + F.col("lap_number")) * 16 + F.col("sample_no") * 2
+              + F.col("copy_no")).cast("bigint")
     value = F.to_json(F.struct(
         "session_id", "driver_id", F.substring("driver_id", 2, 10).alias("car_number"), "lap_number",
         isoformat(F.timestamp_millis(event_ms)).alias("timestamp_utc"),
@@ -247,7 +250,7 @@ def event_messages(spark: SparkSession, sf_dir: str, laps_df: DataFrame | None =
     ev = race_events(spark, sf_dir, laps_df if laps_df is not None else stored_laps(spark, sf_dir))
     sn = session_no("session_id")
     dn = _driver_no("driver_id")
-    offset = (((sn * 20 + dn) * 32 + F.col("lap_number")) * 2
+    offset = (((sn * DRIVERS + dn) * LAP_ROOM + F.col("lap_number")) * 2
               + F.when(F.col("event_type") == "PIT_STOP", 1).otherwise(0)).cast("bigint")
     value = F.to_json(F.struct(*[F.col(c) for c in ev.columns]))
     return ev.select(

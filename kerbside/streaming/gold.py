@@ -2,15 +2,17 @@
 
 Analytic windows (lag/lead/row_number) are refused on streams, and laps, stints and
 overtakes span micro-batches. The job therefore uses ``foreachBatch``: every batch of
-new bronze rows names the sessions it touched; those sessions' rows are re-read from
-the bronze tables (an IN filter on the session_id partition column, so only their
-partitions are scanned) and their gold rows are recomputed as batch DataFrames, then
-written with dynamic partition overwrite by ``session_id``. A replayed batch rewrites
-the same partitions, so the job is idempotent and survives executor loss.
-
-Nodes are upserted (K8) as versions: union of the current version and the batch's
-nodes, latest row per id, written as a new ``version=N`` folder; edges are appended
-per batch (``batch_id=N`` overwrite).
+new bronze rows, telemetry as well as events, names the sessions it touched; those
+sessions' rows are re-read from the bronze tables (a semi-join on the session_id
+partition column: the sessions stay a DataFrame, and the scan is pruned to their
+partitions at run time) and their gold rows are recomputed as batch DataFrames, then
+written with dynamic partition overwrite by ``session_id``. A replayed batch, repeated
+messages or late telemetry rewrite the same partitions, so the job is idempotent and
+survives executor loss. Only bronze batches whose write is complete are read.
+
+Facts and edges of a session overwrite the session's partition. Nodes are upserted (K8)
+as versions: union of the current version and the batch's nodes, latest row per id,
+written as a new ``version=N`` folder.
 """
 
 from __future__ import annotations
@@ -34,6 +36,8 @@ def _write_sessions(df: DataFrame, path: str) -> None:
 
 def gold_tables(telemetry: DataFrame, events: DataFrame) -> dict[str, DataFrame]:
     """Gold facts from parsed bronze rows of some sessions (batch DataFrames)."""
+    telemetry = L.deduplicate(telemetry, ["partition", "offset"], "kafka_timestamp") \
+        if {"partition", "offset", "kafka_timestamp"} <= set(telemetry.columns) else telemetry
     lp = L.laps_from_events(events)
     laps_w = lp.select("session_id", "driver_id", "lap_number", "lap_time_ms", "tyre_compound", "pit")
     fact_lap = L.gold_fact_lap(telemetry, events)
@@ -73,40 +77,91 @@ def latest_version(spark: SparkSession, path: str) -> DataFrame | None:
     return spark.read.parquet(os.path.join(path, f"version={max(versions)}"))
 
 
+def read_complete(spark: SparkSession, path: str) -> DataFrame:
+    """A bronze table without the batch folders that a writer has not finished (no ``_SUCCESS``);
+    tables without batch folders are read as they are."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    batches = [s.getPath() for s in fs.listStatus(root) if s.getPath().getName().startswith("batch_id=")]
+    if not batches:
+        return spark.read.parquet(path)
+    done = [b.toString() for b in batches if fs.exists(spark._jvm.org.apache.hadoop.fs.Path(b, "_SUCCESS"))]
+    return spark.read.option("basePath", path).parquet(*done)
+
+
+def gold_edges(tables: dict[str, DataFrame]) -> DataFrame:
+    """Edges of the recomputed sessions: overtakes, battles, laps in order and their drivers."""
+    lap = lambda no: F.concat_ws("/", "session_id", "driver_id", F.col(no).cast("string"))
+
+    def rel(df, src, dst, name, lap_no, weight):
+        return df.select(src.alias("src"), dst.alias("dst"), F.lit(name).alias("rel"), "session_id",
+                         lap_no.cast("int").alias("lap_number"), weight.cast("double").alias("weight"))
+
+    pos, c = tables["lap_positions"], F.col
+    drove = pos.groupBy("session_id", "driver_id").agg(F.min("lap_number").alias("lap_number"))
+    parts = [rel(tables["fact_overtakes"], c("passer_id"), c("passed_id"), "OVERTOOK", c("lap_number"), c("delta_time_ms")),
+             rel(tables["fact_battles"], c("driver_a"), c("driver_b"), "BATTLED", c("start_lap"), c("lap_count")),
+             rel(pos.where("next_lap_number is not null"), lap("lap_number"), lap("next_lap_number"), "NEXT",
+                 c("lap_number"), F.lit(1.0)),
+             rel(pos, lap("lap_number"), c("driver_id"), "COMPLETED_BY", c("lap_number"), F.lit(1.0)),
+             rel(drove, c("driver_id"), c("session_id"), "DROVE_IN", F.lit(None), F.lit(1.0))]
+    edges = parts[0]
+    for p in parts[1:]:
+        edges = edges.unionByName(p)
+    return edges
+
+
+def gold_nodes(pos: DataFrame, batch_id: int) -> DataFrame:
+    """Driver, Session and Lap nodes of the recomputed sessions, stamped with the batch."""
+    lap = F.concat_ws("/", "session_id", "driver_id", F.col("lap_number").cast("string"))
+    rows = F.explode(F.array(F.struct(F.col("driver_id").alias("id"), F.lit("Driver").alias("label")),
+                             F.struct(F.col("session_id").alias("id"), F.lit("Session").alias("label")),
+                             F.struct(lap.alias("id"), F.lit("Lap").alias("label"))))
+    return pos.select(rows.alias("n")).select("n.id", "n.label").distinct().withColumn("seen_batch", F.lit(batch_id))
+
+
 def gold_writer(spark: SparkSession, bronze_telemetry: str, bronze_events: str, gold_base: str):
     """The ``foreachBatch`` function: recompute the touched sessions from bronze."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        # the touched-session ids of one micro-batch are few (sessions live during one
-        # trigger interval); as a literal IN list they prune the session_id partitions of
-        # the bronze tables at the scan
-        ids = [r.session_id for r in
-               batch.select("session_id").where(F.col("session_id").isNotNull()).distinct().collect()]
-        if not ids:
-            return
-        tel = spark.read.parquet(bronze_telemetry).where(F.col("session_id").isin(ids))
-        ev = spark.read.parquet(bronze_events).where(F.col("session_id").isin(ids))
-        tables = gold_tables(tel, ev)
-        for name, df in tables.items():
-            _write_sessions(df, os.path.join(gold_base, name))
-        drivers = (ev.select("driver_id", "session_id").distinct()
-                   .withColumn("seen_batch", F.lit(batch_id)))
-        upsert_versioned(spark, drivers.select(F.col("driver_id").alias("id"), F.lit("Driver").alias("label"),
-                                               "seen_batch"),
-                         os.path.join(gold_base, "nodes"), ["id"], "seen_batch", batch_id)
-        edges = tables["fact_overtakes"].select(
-            F.col("passer_id").alias("src"), F.col("passed_id").alias("dst"), F.lit("OVERTOOK").alias("rel"),
-            "session_id", "lap_number", F.col("delta_time_ms").cast("double").alias("weight"))
-        edges.write.mode("overwrite").parquet(os.path.join(gold_base, "edges", f"batch_id={batch_id}"))
+        sessions = batch.select("session_id").where(F.col("session_id").isNotNull()).distinct().persist()
+        try:
+            if sessions.isEmpty():
+                return
+            tel = read_complete(spark, bronze_telemetry).join(sessions, "session_id", "left_semi")
+            ev = read_complete(spark, bronze_events).join(sessions, "session_id", "left_semi")
+            tables = gold_tables(tel, ev)
+            for name, df in tables.items():
+                _write_sessions(df, os.path.join(gold_base, name))
+            # what follows reads the facts just written, not their derivation
+            stored = {name: spark.read.parquet(os.path.join(gold_base, name)).join(sessions, "session_id", "left_semi")
+                      for name in ("fact_overtakes", "fact_battles", "lap_positions")}
+            _write_sessions(gold_edges(stored), os.path.join(gold_base, "edges"))
+            upsert_versioned(spark, gold_nodes(stored["lap_positions"], batch_id),
+                             os.path.join(gold_base, "nodes"), ["id", "label"], "seen_batch", batch_id)
+            rejected = L.split_valid(L.samples_from_bronze(tel))[1]
+            _write_sessions(rejected.where("session_id is not null"), os.path.join(gold_base, "quarantine"))
+        finally:
+            sessions.unpersist()
     return write
 
 
-def start_gold(spark: SparkSession, bronze_events_stream: DataFrame, bronze_telemetry: str, bronze_events: str,
+def touched_sessions(*streams: DataFrame) -> DataFrame:
+    """Session ids of new rows in any of the bronze streams: telemetry that lands after its lap's
+    event recomputes its session as well."""
+    ids = [s.select("session_id") for s in streams]
+    out = ids[0]
+    for more in ids[1:]:
+        out = out.unionByName(more)
+    return out
+
+
+def start_gold(spark: SparkSession, touched: DataFrame, bronze_telemetry: str, bronze_events: str,
                gold_base: str, checkpoint: str, trigger: str = GOLD_TRIGGER,
                available_now: bool = False) -> StreamingQuery:
-    """S6 + R12: drive the gold recomputation from the bronze race-event stream (lap
-    completions close laps; telemetry of a lap has landed by then)."""
-    w = bronze_events_stream.writeStream.foreachBatch(gold_writer(spark, bronze_telemetry, bronze_events, gold_base))
+    """S6 + R12: drive the gold recomputation from a stream whose rows name the sessions to
+    recompute: a bronze stream, or ``touched_sessions`` of several."""
+    w = touched.writeStream.foreachBatch(gold_writer(spark, bronze_telemetry, bronze_events, gold_base))
     w = w.option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=trigger)
     return w.start()

@@ -68,3 +68,18 @@ def test_running_vs_windowed(spark):
     df = _tx(spark, rows)
     assert windows.fast_cards(df).count() == 0
     assert windows.fast_cards(df, per_window=False).collect()[0].txn_count == 3
+
+
+def test_totals_beyond_the_amounts_range(spark):
+    """Three payments of 90,000,000 sum up beyond decimal(10,2)."""
+    from kerbside.operators import windows
+    rows = [("c", "90000000.00", f"2024-01-01T00:00:0{i}", "X", "CA", "grocery") for i in range(3)]
+    df = spark.createDataFrame(rows, "card_number string, amount string, timestamp string, city string, state string, "
+                               "merchant_category string").select(
+        "card_number", F.col("amount").cast("decimal(10,2)").alias("amount"), "timestamp",
+        F.to_timestamp("timestamp").alias("transaction_time"), F.struct("city", "state").alias("location"),
+        "merchant_category", F.lit("m").alias("merchant"))
+    assert str(alerts.card_velocity(df).first().total_amount) == "270000000.00"
+    assert str(windows.window_stats(df).first().total_amount) == "270000000.00"
+    assert str(windows.fast_cards(df).first().total_spend) == "270000000.00"
+    assert str(windows.location_hotspots(df).first().total_amount) == "270000000.00"

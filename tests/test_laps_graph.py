@@ -105,16 +105,62 @@ def test_pagerank_matches_power_iteration(spark):
     assert abs(sum(got.values()) - 1.0) < 1e-9
 
 
-def test_rivalry_links_respect_exact_jaccard(spark):
-    ovt = spark.createDataFrame([("S", 2, "a", "x", 10), ("S", 2, "b", "x", 10), ("S", 3, "a", "y", 10),
-                                 ("S", 3, "b", "y", 10), ("S", 4, "c", "z", 10)],
-                                "session_id string, lap_number int, passer_id string, passed_id string, delta_time_ms bigint")
-    btl = spark.createDataFrame([], "session_id string, driver_a string, driver_b string, lap_count bigint")
-    labels = {r.driver_id: r.community for r in graph.rivalry_communities(ovt, btl, threshold=0.3).collect()}
-    # a and b met exactly the same opponents (distance 0): one community; c shares nothing
-    assert labels["a"] == labels["b"] == "a"
-    assert labels["c"] == "c"
-    assert labels["x"] == labels["y"]
+def test_rivalry_communities_by_exact_jaccard(spark):
+    fights = [("S", "a", "x"), ("S", "a", "y"), ("S", "b", "x"), ("S", "b", "y"), ("S", "c", "z"), ("T", "a", "q")]
+    btl = spark.createDataFrame(fights, "session_id string, driver_a string, driver_b string")
+    got = {(r.session_id, r.driver_id): r.community for r in graph.rivalry_communities(btl).collect()}
+    # in S, a and b fought the same two cars, and x and y too; c and z fought only each other
+    assert got == {("S", "a"): "a", ("S", "b"): "a", ("S", "x"): "x", ("S", "y"): "x", ("S", "c"): "c", ("S", "z"): "z",
+                   ("T", "a"): "a", ("T", "q"): "q"}
+    links = {(r.src, r.dst): r.jaccard for r in graph.rivalry_links(btl, 0.1).collect()}
+    assert links == {("a", "b"): 1.0, ("x", "y"): 1.0}
+
+
+def test_asof_with_a_sample_at_epoch_zero_is_not_replicated(spark):
+    day = 1_700_000_000_000
+    laps = [("S", "A", i, day + i * 90_000, "SOFT") for i in range(1, 6)]
+    samples = [("S", "A", 0), ("S", "A", day), ("S", "A", day + 90_000), ("S", "A", day + 90_001), ("S", "A", day + 10**6)]
+    sdf = spark.createDataFrame(samples, "session_id string, driver_id string, t_ms bigint")
+    m = L.asof_forward_join(sdf, spark.createDataFrame(laps, LAPS_SCHEMA), carry=["tyre_compound"])
+    assert sorted((r.t_ms, r.asof_lap_number) for r in m.collect()) == [
+        (0, 1), (day, 1), (day + 90_000, 1), (day + 90_001, 2), (day + 10**6, 0)]
+
+
+def test_last_laps_are_those_of_the_session(spark):
+    ovt = spark.createDataFrame([("S", 3), ("S", 20)], "session_id string, lap_number int")
+    laps = spark.createDataFrame([("S", i) for i in range(1, 41)], "session_id string, lap_number int")
+    assert [r.lap_number for r in graph.last_n_laps(ovt, laps, 25).collect()] == [20]
+    assert graph.last_n_laps(ovt, laps, 10).count() == 0
+
+
+def test_degrees_count_passes_and_battles_both_ways(spark):
+    ovt = spark.createDataFrame([("S", "a", "b"), ("S", "a", "b")], "session_id string, passer_id string, passed_id string")
+    btl = spark.createDataFrame([("S", "b", "c", 2.5)],
+                                "session_id string, driver_a string, driver_b string, interaction_strength double")
+    got = {r.node: (r.out_degree, r.in_degree) for r in graph.weighted_degree(graph.interaction_edges(ovt, btl)).collect()}
+    assert got == {"a": (2.0, 0.0), "b": (2.5, 4.5), "c": (2.5, 2.5)}
+
+
+def test_repeated_event_changes_nothing(spark):
+    from conftest import SMALL
+    from kerbside.sources import envelope, testbed
+    from kerbside.sources.schemas import RACE_EVENT_SCHEMA, TELEMETRY_SCHEMA
+    lp = testbed.laps(spark, SMALL).where(F.col("session_id") == "S0")
+    ev = envelope.parsed_view(envelope.raw_view(testbed.event_messages(spark, SMALL, lp)), RACE_EVENT_SCHEMA, "race.events")
+    tel = envelope.parsed_view(envelope.raw_view(testbed.telemetry_messages(spark, SMALL, lp)), TELEMETRY_SCHEMA, "telemetry.raw")
+    twice = ev.unionByName(ev.where("lap_number = 5").withColumn("offset", F.col("offset") + 10**12))
+    for f in (lambda e: L.gold_fact_lap(tel, e), lambda e: L.laps_with_events(lp, e)):
+        assert sorted(map(str, f(twice).collect())) == sorted(map(str, f(ev).collect()))
+
+
+def test_nan_channels_are_null(spark):
+    rows = [("S", "A", 1, "2024-03-01T12:00:00+00:00", float("nan"), 1.0, 0.0, "0", 5.0, 50.0, "SOFT", 1)]
+    t = spark.createDataFrame(rows, "session_id string, driver_id string, lap_number int, timestamp_utc string, speed_kph double, "
+                              "throttle_pct double, brake_pressure_bar double, drs_state string, fuel_mass_kg double, "
+                              "battery_pct double, tyre_compound string, offset bigint")
+    assert L.samples_from_bronze(t).first().speed_kph is None
+    bad = t.withColumn("t_ms", F.lit(1)).select("session_id", "speed_kph", "t_ms")
+    assert L.split_valid(bad)[1].count() == 1
 
 
 def test_interval_join_matches_brute_force(spark):
