@@ -77,10 +77,54 @@ QUERIES = {f.__name__: f for f in (
     op8_jaccard_join, op9_toxicity, op10_warc)}
 
 
-def _words_sql(column: str) -> str:
-    return f"len(regexp_extract_all(coalesce({column}, ''), '[^ \\t\\n\\r\\f]+'))"
-
-
-#: Queries with a SQL form: the Jaccard join exactly, by an inverted index of shingles (see its test), would
-#: be too slow on whole tables, so it is tested against brute force like the others.
-ORACLE: dict[str, str] = {}
+def _level_sql(k: int) -> str:
+    """Budgets of a level of the mixture's tree from those of the level above."""
+    family, name = list(mixing.LEVELS[:k]), mixing.LEVELS[k]
+    keys, siblings = ", ".join([*family, name]), f"PARTITION BY {', '.join(family)}" if family else ""
+    path = " || '/' || ".join([*family, name])
+    weights = " ".join(f"WHEN '{p}' THEN {w}" for p, w in sorted(WEIGHTS.items()))
+    above = f"JOIN b{k - 1} USING ({', '.join(family)})" if k else "CROSS JOIN b_all"
+    order = f"{siblings} ORDER BY cap // greatest(w, 1), (cap % greatest(w, 1))::DOUBLE / greatest(w, 1), {name}"
+    return f"""
+ n{k} AS (SELECT {keys}, sum(tokens * {mixing.MAX_EPOCHS})::BIGINT AS cap0, CASE {path} {weights} ELSE {mixing.DEFAULT_WEIGHT} END AS w0
+  FROM leaves GROUP BY {keys}),
+ w{k} AS (SELECT n{k}.*, given AS budget, CASE WHEN sum(w0) OVER ({siblings}) = 0 THEN 1 ELSE w0 END AS w FROM n{k} {above}),
+ c{k} AS (SELECT *, CASE WHEN w = 0 THEN 0 ELSE cap0 END AS cap FROM w{k}),
+ m{k} AS (SELECT *, coalesce(sum(cap) OVER ({order} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS met,
+   sum(w) OVER ({order} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS left_w FROM c{k}),
+ f{k} AS (SELECT *, cap::HUGEINT * left_w <= w::HUGEINT * greatest(budget - met, 0) AS filled FROM m{k}),
+ o{k} AS (SELECT *, sum(CASE WHEN filled THEN 0 ELSE w END) OVER ({order} ROWS UNBOUNDED PRECEDING) AS upto,
+   sum(CASE WHEN filled THEN 0 ELSE w END) OVER ({siblings}) AS whole,
+   greatest(budget - sum(CASE WHEN filled THEN cap ELSE 0 END) OVER ({siblings}), 0)::HUGEINT AS share FROM f{k}),
+ b{k} AS (SELECT {keys}, CASE WHEN filled THEN cap ELSE share * upto // whole - share * (upto - w) // whole END::BIGINT AS given FROM o{k})"""
+
+
+_DOMAIN_SQL = "CASE " + " ".join(f"WHEN number < {below} THEN '{name}'" for name, below in DOMAINS) + " ELSE 'other' END"
+
+#: Each leaf's documents in the seeded order, as one running sum; the buckets of the Spark form are not needed here.
+_MIXTURE_SQL = f"""WITH d0 AS (SELECT doc_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+   TRY_CAST(regexp_extract(coalesce(source, ''), '^src([0-9]{{1,6}})$', 1) AS INT) AS number,
+   len(regexp_extract_all(coalesce(text, ''), '{mixing.TOKEN}')) AS doc_tokens FROM documents),
+ d AS (SELECT doc_id, {_DOMAIN_SQL} AS domain, lang, source, doc_tokens FROM d0 WHERE doc_tokens > 0),
+ leaves AS (SELECT domain, lang, source, sum(doc_tokens)::BIGINT AS tokens FROM d GROUP BY ALL),
+ b_all AS (SELECT least(sum(tokens), sum(tokens * {mixing.MAX_EPOCHS}))::BIGINT AS given FROM leaves),
+ {",".join(_level_sql(k) for k in range(len(mixing.LEVELS)))},
+ plan AS (SELECT domain, lang, source, given // tokens AS epochs, given % tokens AS rest FROM leaves JOIN b2 USING (domain, lang, source)
+  WHERE given > 0),
+ k AS (SELECT d.*, epochs, rest FROM d JOIN plan USING (domain, lang, source)),
+ part AS (SELECT *, coalesce(sum(doc_tokens) OVER (PARTITION BY domain, lang, source
+   ORDER BY md5(concat_ws(':', '{mixing.SEED}', epochs::VARCHAR, coalesce(doc_id::VARCHAR, ''))), doc_id, doc_tokens
+   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start FROM k)
+ SELECT doc_id, domain, lang, source, doc_tokens::BIGINT AS doc_tokens, epoch::BIGINT AS epoch, doc_tokens::BIGINT AS take_tokens
+  FROM k, unnest(range(epochs)) AS u(epoch)
+ UNION ALL SELECT doc_id, domain, lang, source, doc_tokens, epochs::BIGINT, least(doc_tokens, rest - start)::BIGINT FROM part WHERE start < rest"""
+
+_WARC_SQL = f"""WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS n, sha256(coalesce(html, '')) AS digest FROM pages),
+ f AS (SELECT *, min(page_id) OVER (PARTITION BY digest) AS first FROM p)
+ SELECT page_id, n::BIGINT AS payload_bytes, digest AS payload_digest,
+  CASE WHEN n >= {warc.MIN_REVISIT} AND first < page_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN n >= {warc.MIN_REVISIT} AND first < page_id THEN first END AS refers_to FROM f"""
+
+#: The other operators use trained models, min-hash values, graphs or token ids, which SQL cannot express (or, like the
+#: exact Jaccard join of all texts, not at an acceptable cost); their tests compare them with brute force.
+ORACLE = {"op1_mixture": _MIXTURE_SQL, "op10_warc": _WARC_SQL}
