@@ -68,6 +68,13 @@ def non_null(df: DataFrame, cols: list[str]) -> DataFrame:
     return df.where(cond)
 
 
+def split_required(df: DataFrame, cols: list[str]) -> tuple[DataFrame, DataFrame]:
+    """P10: (rows with all of ``cols``, the others with the first missing one as ``reject_reason``)."""
+    reason = F.coalesce(*[F.when(F.col(c).isNull(), F.lit("MISSING_" + c.upper())) for c in cols])
+    tagged = df.withColumn("reject_reason", reason)
+    return tagged.where("reject_reason is null").drop("reject_reason"), tagged.where("reject_reason is not null")
+
+
 def clean_telemetry(telemetry: DataFrame) -> DataFrame:
     """Valid, deduplicated samples (one per session, driver and sample time)."""
     valid, _ = split_valid(telemetry)
@@ -285,6 +292,26 @@ def positions(laps: DataFrame) -> DataFrame:
     return x.withColumn("next_position", F.lead("position").over(per_driver))
 
 
+def rolling_trends(fact: DataFrame, laps: int = 3) -> DataFrame:
+    """W7 [ours]: mean change of the lap time from lap to lap, and mean fuel used per lap, over the
+    last ``laps`` laps of a driver."""
+    order = Window.partitionBy(*KEYS).orderBy("lap_number")
+    last = order.rowsBetween(1 - laps, 0)
+    x = fact.withColumn("__step", F.col("lap_time_ms") - F.lag("lap_time_ms").over(order))
+    return x.select(*KEYS, "lap_number", F.avg("__step").over(last).alias("degradation_ms_per_lap"),
+                    F.avg("fuel_used_kg").over(last).alias("fuel_per_lap_kg"))
+
+
+def lap_metrics(fact: DataFrame, stints: DataFrame, full_samples: int = 8) -> DataFrame:
+    """Lap facts in the lap-metrics layout, with their stint, the time of making and a tag that tells
+    whether the lap has all of its samples [ours]."""
+    from kerbside.sources.schemas import LAP_METRICS_SCHEMA
+    tag = F.when(F.col("samples") < full_samples, "PARTIAL").otherwise("COMPLETE")
+    x = (fact.join(stints.select(*KEYS, "lap_number", "stint_id"), [*KEYS, "lap_number"], "left")
+         .withColumn("generated_at", F.current_timestamp()).withColumn("metadata", F.array(tag)))
+    return x.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in LAP_METRICS_SCHEMA.fields])
+
+
 # ------------------------------------------------------------------ events joined to laps
 def laps_with_events(laps: DataFrame, race_events: DataFrame) -> DataFrame:
     """Per (session, driver, lap) event counts and pit time, left-joined to the laps.

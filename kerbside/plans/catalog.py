@@ -138,4 +138,4 @@ def a8_running_fast_cards(spark, sf_dir):
 
 
 # race layers register themselves on import
-from kerbside.plans import ingest, race  # noqa: E402,F401
+from kerbside.plans import enrich, ingest, race, streams  # noqa: E402,F401

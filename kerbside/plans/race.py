@@ -36,16 +36,25 @@ def _fact_lap(spark, sf_dir, lp=None):
     return L.fact_lap(samples, testbed.race_events(spark, sf_dir, lp), compound_per_lap=True)
 
 
-def _positions(spark, sf_dir, lp=None):
-    lp = lp if lp is not None else _laps(spark, sf_dir)
-    return L.positions(lp)
+def _gold_fact_lap(spark, sf_dir):
+    return _stored(spark, sf_dir, "fact_lap", lambda: _fact_lap(spark, sf_dir))
+
+
+def _stored(spark, sf_dir, name, build):
+    """A gold table that several queries read, made once for each state of the input."""
+    return testbed.stored_table(spark, sf_dir, "gold_" + name, build)
+
+
+def _positions(spark, sf_dir):
+    return _stored(spark, sf_dir, "positions", lambda: L.positions(_laps(spark, sf_dir)))
 
 
 def _race_graph(spark, sf_dir):
-    lp = _laps(spark, sf_dir)
-    pos = _positions(spark, sf_dir, lp)
-    pairs = graph.close_pairs(pos)
-    return lp, pos, pairs, graph.overtakes(pairs), graph.battles(pairs)
+    """Laps, and the gold tables of race order, close pairs, overtakes and battles."""
+    pos = _positions(spark, sf_dir)
+    pairs = _stored(spark, sf_dir, "pairs", lambda: graph.close_pairs(pos))
+    battles = _stored(spark, sf_dir, "battles", lambda: graph.battles(pairs))
+    return _laps(spark, sf_dir), pos, pairs, graph.overtakes(pairs), battles
 
 
 # ------------------------------------------------------------------ SQL building blocks
@@ -154,7 +163,7 @@ _STINT_COLS = ["avg_pace_ms", "degradation_rate_ms_per_lap", "total_fuel_used_kg
  GROUP BY 1, 2, 3, 4""", _STINT_COLS))
 def a13_fact_stint(spark, sf_dir):
     lp = _laps(spark, sf_dir)
-    fuel = _fact_lap(spark, sf_dir, lp).select("session_id", "driver_id", "lap_number", "fuel_used_kg")
+    fuel = _gold_fact_lap(spark, sf_dir).select("session_id", "driver_id", "lap_number", "fuel_used_kg")
     return round_doubles(L.fact_stint(L.with_stints(lp), fuel))
 
 
@@ -401,7 +410,7 @@ def t4_rivalry_pairs(spark, sf_dir):
 
 @register("t5_leaderboard", f"{_L},\n {_POS},\n {_BOARD}\n SELECT * FROM board")
 def t5_leaderboard(spark, sf_dir):
-    return serve.leaderboard(L.with_race_order(_laps(spark, sf_dir)))
+    return serve.leaderboard(_positions(spark, sf_dir))
 
 
 @register("t5_team_standings", f"""{_L},\n {_POS},\n {_BOARD},
@@ -411,7 +420,7 @@ def t5_leaderboard(spark, sf_dir):
  SELECT *, CAST(rank() OVER (ORDER BY points DESC) AS INT) AS standing FROM tp""")
 def t5_team_standings(spark, sf_dir):
     lp = _laps(spark, sf_dir)
-    return serve.team_standings(serve.leaderboard(L.with_race_order(lp)), testbed.drivers(spark, sf_dir, lp))
+    return serve.team_standings(serve.leaderboard(_positions(spark, sf_dir)), testbed.drivers(spark, sf_dir, lp))
 
 
 _TEAM_INT = f"""{_GRAPH},
@@ -449,8 +458,8 @@ _SUMMARY_SQL = f"""SELECT fl.*, b.final_position, i.* EXCLUDE (session_id, drive
 
 def _summary(spark, sf_dir):
     lp, pos, pairs, ovt, btl = _race_graph(spark, sf_dir)
-    fl = _fact_lap(spark, sf_dir, lp)
-    board = serve.leaderboard(L.with_race_order(lp))
+    fl = _gold_fact_lap(spark, sf_dir)
+    board = serve.leaderboard(pos)
     inter = graph.driver_interactions(ovt, btl, pairs)
     return serve.driver_session_summary(fl, board, inter, _pagerank(spark, sf_dir))
 
@@ -519,7 +528,7 @@ def x1_undercut_rate(spark, sf_dir):
  FROM g GROUP BY 1, 2""", ["gap_slope_ms_per_lap", "gap_intercept_ms", "predicted_gap_ms"]))
 def x2_team_gap_trend(spark, sf_dir):
     lp = _laps(spark, sf_dir)
-    return round_doubles(serve.team_gap_trend(L.with_race_order(lp), testbed.drivers(spark, sf_dir, lp)))
+    return round_doubles(serve.team_gap_trend(_positions(spark, sf_dir), testbed.drivers(spark, sf_dir, lp)))
 
 
 @register("x3_multi_session_trend", round_doubles.sql(f"""{_L},

@@ -22,12 +22,13 @@ BASE_CONF = {
 }
 
 
-# Cluster sizing for ~100 TB inputs: start shuffles wide enough that a reduce partition
-# stays around 1 GB of shuffle data (32k partitions for ~30 TB shuffled), and let AQE
-# coalesce them down to the advisory size when a stage is smaller. Local sessions
-# (tests, bench) keep their small explicit partition count instead.
+# Cluster sizing: let AQE coalesce reduce partitions to the advisory size instead of keeping
+# as many as there are cores. They apply only where the user has set nothing. The number of
+# initial shuffle partitions stays with the job: for 30 TB shuffled,
+# spark.sql.adaptive.coalescePartitions.initialPartitionNum=32768 keeps one near 1 GB; stateful
+# streams are not coalesced and take spark.sql.shuffle.partitions as it is.
 CLUSTER_CONF = {
-    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "32768",
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
     "spark.sql.files.maxPartitionBytes": "256m",
 }
@@ -46,12 +47,16 @@ def get_spark(app_name: str = "kerbside", master: str | None = None,
     if shuffle_partitions is not None:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
+    running = SparkSession.getActiveSession()
     for k, v in conf.items():
-        builder = builder.config(k, v)
+        # a session that runs already, or spark-submit --conf, has the last word on defaults
+        if running is None or k in (extra or {}) or not running.sparkContext.getConf().contains(k):
+            builder = builder.config(k, v)
     spark = builder.getOrCreate()
     if not is_local(spark):
+        given = spark.sparkContext.getConf()
         for k, v in CLUSTER_CONF.items():
-            if k not in (extra or {}):
+            if k not in (extra or {}) and not given.contains(k):
                 spark.conf.set(k, v)
     ensure_utc(spark)
     return spark

@@ -10,8 +10,8 @@ so its cost grows linearly with the input tables.
 from __future__ import annotations
 
 import hashlib
-import os
 import threading
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -41,10 +41,11 @@ def _pick(values: list[str], one_based_index: Column) -> Column:
     return F.element_at(F.array(*[F.lit(v) for v in values]), one_based_index.cast("int"))
 
 
-def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Card transactions (8-field layout) from ``events``; money as decimal(10,2)."""
+def transactions(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) -> DataFrame:
+    """Card transactions (8-field layout) from ``events`` (the table, or a stream of its rows);
+    money as decimal(10,2)."""
     ensure_utc(spark)
-    ev = load(spark, sf_dir, "events").select("event_id", "ts", "user_id", "value", "props")
+    ev = (load(spark, sf_dir, "events") if events is None else events).select("event_id", "ts", "user_id", "value", "props")
     city_ix = F.col("event_id") % 9 + 1
     cat_ix = F.expr("event_id div 9") % 12 + 1
     tt = F.timestamp_micros(F.lit(EPOCH_2024_US) + F.expr(
@@ -275,49 +276,47 @@ _STORED: dict[tuple, str] = {}
 _STORED_LOCK = threading.RLock()
 
 
-def _stored(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The derived table ``name`` written once per application and input folder as
-    parquet under ``spark.checkpoint.dir`` (shared storage on a cluster), then read
-    back like any stored table: later queries scan it with column pruning and filter
-    pushdown instead of re-deriving it, and it survives executor loss."""
+def _input_state(spark: SparkSession, sf_dir: str, table: str) -> tuple[int, int, int]:
+    """Size, number of files and last change of an input table: derived tables are made anew
+    when it changes."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{table}.parquet")
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    summary = fs.getContentSummary(path)
+    return summary.getLength(), summary.getFileCount(), fs.getFileStatus(path).getModificationTime()
+
+
+def stored_table(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame],
+                 source: str = "lineitem") -> DataFrame:
+    """The derived table ``name``, written once for each state of its input as parquet under
+    ``spark.checkpoint.dir`` (shared storage on a cluster) and read back like any stored table:
+    later queries scan it with column pruning and filter pushdown instead of deriving it again,
+    and it survives the loss of executors."""
+    ensure_utc(spark)
     app = spark.sparkContext.applicationId
-    key = (app, os.path.abspath(sf_dir), name)
+    state = _input_state(spark, sf_dir, source)
+    key = (app, sf_dir, name, state)
     with _STORED_LOCK:  # one writer per table even when queries are started from threads
         path = _STORED.get(key)
         if path is None:
-            path = _write_stored(spark, sf_dir, name, app)
+            digest = hashlib.sha1(repr((sf_dir, state)).encode()).hexdigest()[:12]
+            path = "/".join([checkpoint_dir(spark).rstrip("/"), "testbed", app, digest, name])
+            build().write.mode("overwrite").parquet(path)
             _STORED[key] = path
     return spark.read.parquet(path)
 
 
-def _write_stored(spark: SparkSession, sf_dir: str, name: str, app: str) -> str:
-    digest = hashlib.sha1(os.path.abspath(sf_dir).encode()).hexdigest()[:12]
-    path = "/".join([checkpoint_dir(spark).rstrip("/"), "testbed", app, digest, name])
-    if name == "laps":
-        df = laps(spark, sf_dir)
-    elif name == "telemetry":
-        df = telemetry(spark, sf_dir, stored_laps(spark, sf_dir), keep_origin=True)
-    elif name == "telemetry_log":
-        df = telemetry_messages(spark, sf_dir, stored_laps(spark, sf_dir))
-    else:
-        raise ValueError(name)
-    df.write.mode("overwrite").parquet(path)
-    return path
-
-
 def stored_laps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ensure_utc(spark)
-    return _stored(spark, sf_dir, "laps")
+    return stored_table(spark, sf_dir, "laps", lambda: laps(spark, sf_dir))
 
 
 def stored_telemetry(spark: SparkSession, sf_dir: str, keep_origin: bool = False) -> DataFrame:
-    ensure_utc(spark)
-    t = _stored(spark, sf_dir, "telemetry")
+    t = stored_table(spark, sf_dir, "telemetry",
+                     lambda: telemetry(spark, sf_dir, stored_laps(spark, sf_dir), keep_origin=True))
     return t if keep_origin else t.drop("origin_session", "lap_time_ms")
 
 
 def stored_telemetry_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The telemetry topic as a stored message log (key, value, topic, partition, offset,
     timestamp) -- what the bronze job consumes."""
-    ensure_utc(spark)
-    return _stored(spark, sf_dir, "telemetry_log")
+    return stored_table(spark, sf_dir, "telemetry_log",
+                        lambda: telemetry_messages(spark, sf_dir, stored_laps(spark, sf_dir)))

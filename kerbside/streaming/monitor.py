@@ -1,30 +1,29 @@
-"""Streaming progress capture for the reconciliation checks.
+"""Streaming progress for the reconciliation checks.
 
-A ``StreamingQueryListener`` keeps the progress JSON of each finished micro-batch (a
-few hundred bytes per batch, bounded by ``keep``); ``progress_frame`` turns them into a
-DataFrame for ``quality.progress_offsets`` / ``quality.falling_behind``.
+Every finished micro-batch adds one row to a progress table in the shared folder, however long a
+query runs: ``recorder`` gives a ``StreamingQueryListener`` that appends the progress JSON, and
+``progress_frame`` reads the table for ``quality.progress_offsets`` / ``batch_metrics`` for
+``quality.falling_behind``.
 """
 
 from __future__ import annotations
 
-import datetime as dt
-import json
-from collections import deque
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQueryListener
 
 
 class ProgressRecorder(StreamingQueryListener):
-    def __init__(self, keep: int = 10000):
-        self.events: deque[str] = deque(maxlen=keep)
+    """Appends each progress event to the table at ``path``."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
 
     def onQueryStarted(self, event):  # noqa: N802
         pass
 
     def onQueryProgress(self, event):  # noqa: N802
-        self.events.append(event.progress.json)
+        self.spark.createDataFrame([(event.progress.json,)], "json string").coalesce(1).write.mode("append").text(self.path)
 
     def onQueryIdle(self, event):  # noqa: N802
         pass
@@ -33,24 +32,21 @@ class ProgressRecorder(StreamingQueryListener):
         pass
 
 
-def attach(spark: SparkSession, keep: int = 10000) -> ProgressRecorder:
-    rec = ProgressRecorder(keep)
+def attach(spark: SparkSession, path: str) -> ProgressRecorder:
+    rec = ProgressRecorder(spark, path)
     spark.streams.addListener(rec)
     return rec
 
 
-def progress_frame(spark: SparkSession, progress_json: list[str]) -> DataFrame:
-    """Progress events as a one-column (``json``) DataFrame."""
-    return spark.createDataFrame([(j,) for j in progress_json], "json string")
+def progress_frame(spark: SparkSession, path: str) -> DataFrame:
+    """Recorded progress events as a one-column (``json``) DataFrame."""
+    return spark.read.text(path).withColumnRenamed("value", "json")
 
 
-def batch_metrics(spark: SparkSession, progress_json: list[str]) -> DataFrame:
+def batch_metrics(progress: DataFrame) -> DataFrame:
     """(name, batch_ts, duration_ms, checked_at) per batch for ``quality.falling_behind``."""
-    rows = []
-    now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    for j in progress_json:
-        p = json.loads(j)
-        rows.append((p.get("name") or p.get("id"), p.get("timestamp"),
-                     int(p.get("durationMs", {}).get("triggerExecution", 0)), now))
-    df = spark.createDataFrame(rows, "name string, ts string, duration_ms long, checked_at timestamp")
-    return df.select("name", F.col("ts").try_cast("timestamp").alias("batch_ts"), "duration_ms", "checked_at")
+    p = F.from_json("json", "name string, id string, timestamp string, durationMs map<string, bigint>")
+    return progress.select(p.alias("p")).select(
+        F.coalesce("p.name", "p.id").alias("name"), F.col("p.timestamp").try_cast("timestamp").alias("batch_ts"),
+        F.coalesce(F.try_element_at("p.durationMs", F.lit("triggerExecution")), F.lit(0)).alias("duration_ms"),
+        F.current_timestamp().alias("checked_at"))
