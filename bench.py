@@ -14,6 +14,7 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from kerbside.plans import race  # noqa: E402
 from kerbside.plans.catalog import QUERIES  # noqa: E402
 from kerbside.session import get_spark  # noqa: E402
 from kerbside.sources import testbed  # noqa: E402
@@ -22,6 +23,8 @@ HEADLINE = [
     "u1_all_alerts", "a1_card_velocity", "a3_window_stats", "a6_fraud_rings", "a7_fast_cards",
     "p2_parsed_telemetry", "u3_clean_telemetry", "j1_asof_lap", "a12_fact_lap", "a13_fact_stint",
     "w2_race_order", "g1_overtakes", "g2_battles", "g7_pagerank", "a15_driver_session", "q2_parse_loss",
+    "s6_gold_fact_lap_from_bronze", "g9_driver_interactions", "a19_influence_vs_result", "q5_graph_cardinality",
+    "x1_undercut_rate", "x3_multi_session_trend",
 ]
 
 
@@ -43,6 +46,11 @@ def main() -> None:
     testbed.stored_telemetry(spark, sf_dir)
     testbed.stored_telemetry_log(spark, sf_dir)
     times["testbed_materialize"] = round(time.perf_counter() - t0, 3)
+    # so are the gold tables (lap facts, race order, close pairs, battles) that several queries read
+    t0 = time.perf_counter()
+    race._gold_fact_lap(spark, sf_dir)
+    race._race_graph(spark, sf_dir)
+    times["gold_materialize"] = round(time.perf_counter() - t0, 3)
     for name in names:
         t0 = time.perf_counter()
         QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()

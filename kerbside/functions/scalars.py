@@ -36,10 +36,6 @@ def safe_cast(c: str | Column, to: str) -> Column:
     return col_of(c).try_cast(to)
 
 
-def money(c: str | Column) -> Column:
-    return safe_cast(c, MONEY)
-
-
 def money_avg(total: str | Column, count: str | Column, to: str = MONEY) -> Column:
     """Exact decimal mean rounded half-up once to the money scale (sum / count)."""
     return safe_cast(col_of(total) / col_of(count), to)

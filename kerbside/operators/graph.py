@@ -111,14 +111,19 @@ def pattern_close_alongside_ahead(pairs: DataFrame, alongside_ms: int = 200) ->
 
 # ------------------------------------------------------------------ node / edge tables
 def nodes_and_edges(laps: DataFrame, pos: DataFrame, ovt: DataFrame, btl: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Node table (id, label, props...) and edge table (src, dst, rel, session_id,
-    lap_number, weight). ``laps`` needs team_id; ``pos`` the race order."""
+    """Node table (id, label and properties: a driver's team, a session's and a team's number
+    of drivers, a lap's number, time and compound) and edge table (src, dst, rel, session_id,
+    lap_number, weight, and a battle's mean gap). ``laps`` needs team_id; ``pos`` the race order."""
     drivers = laps.groupBy("driver_id").agg(F.min("team_id").alias("team_id"))
-    nodes = (drivers.select(F.col("driver_id").alias("id"), F.lit("Driver").alias("label"))
-             .unionByName(laps.select(F.col("session_id").alias("id")).distinct().withColumn("label", F.lit("Session")))
-             .unionByName(laps.select(F.col("team_id").alias("id")).distinct().withColumn("label", F.lit("Team")))
+    sessions = laps.select("session_id", "driver_id").distinct().groupBy(F.col("session_id").alias("id")).agg(
+        F.count(F.lit(1)).alias("drivers"))
+    teams = drivers.groupBy(F.col("team_id").alias("id")).agg(F.count(F.lit(1)).alias("drivers"))
+    nodes = (drivers.select(F.col("driver_id").alias("id"), F.lit("Driver").alias("label"), "team_id")
+             .unionByName(sessions.withColumn("label", F.lit("Session")), allowMissingColumns=True)
+             .unionByName(teams.withColumn("label", F.lit("Team")), allowMissingColumns=True)
              .unionByName(laps.select(F.concat_ws("/", "session_id", "driver_id", F.col("lap_number").cast("string"))
-                                      .alias("id")).withColumn("label", F.lit("Lap"))))
+                                      .alias("id"), F.lit("Lap").alias("label"), F.col("lap_number").cast("int"),
+                                      "lap_time_ms", "tyre_compound"), allowMissingColumns=True))
     lap_id = lambda lap: F.concat_ws("/", "session_id", "driver_id", lap.cast("string"))
     e_drove = laps.select("driver_id", "session_id").distinct().select(
         F.col("driver_id").alias("src"), F.col("session_id").alias("dst"), F.lit("DROVE_IN").alias("rel"),
@@ -130,14 +135,16 @@ def nodes_and_edges(laps: DataFrame, pos: DataFrame, ovt: DataFrame, btl: DataFr
                        "session_id", F.col("lap_number").cast("int"), F.col("delta_time_ms").cast("double").alias("weight"))
     e_btl = btl.select(F.col("driver_a").alias("src"), F.col("driver_b").alias("dst"), F.lit("BATTLED").alias("rel"),
                        "session_id", F.col("start_lap").cast("int").alias("lap_number"),
-                       F.col("lap_count").cast("double").alias("weight"))
+                       F.col("lap_count").cast("double").alias("weight"), "avg_gap_ms")
     e_next = pos.where(F.col("next_lap_number").isNotNull()).select(
         lap_id(F.col("lap_number")).alias("src"), lap_id(F.col("next_lap_number")).alias("dst"),
         F.lit("NEXT").alias("rel"), "session_id", F.col("lap_number").cast("int"), F.lit(1.0).alias("weight"))
     e_done = laps.select(lap_id(F.col("lap_number")).alias("src"), F.col("driver_id").alias("dst"),
                          F.lit("COMPLETED_BY").alias("rel"), "session_id", F.col("lap_number").cast("int"),
                          F.lit(1.0).alias("weight"))
-    edges = e_drove.unionByName(e_races).unionByName(e_ovt).unionByName(e_btl).unionByName(e_next).unionByName(e_done)
+    edges = e_drove.withColumn("avg_gap_ms", F.lit(None).cast("double"))
+    for more in (e_races, e_ovt, e_btl, e_next, e_done):
+        edges = edges.unionByName(more, allowMissingColumns=True)
     return nodes, edges
 
 

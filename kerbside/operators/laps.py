@@ -359,6 +359,16 @@ def driving_metrics(samples: DataFrame, lap_col: str = "lap_number") -> DataFram
         F.avg(F.when(F.col("throttle_pct") < 90, F.col("speed_kph"))).alias("corner_speed_kph"))
 
 
+def acceleration_times(samples: DataFrame, low_kph: float = 0, high_kph: float = 200) -> DataFrame:
+    """F17 per (session, driver, lap) [ours]: shortest time from a sample at or below ``low_kph`` to
+    the next one at or above ``high_kph``; laps without such a run have no row."""
+    w = Window.partitionBy("session_id", "driver_id", "lap_number").orderBy("t_ms").rowsBetween(Window.unboundedPreceding, 0)
+    slow = F.last(F.when(F.col("speed_kph") <= low_kph, F.col("t_ms")), ignorenulls=True).over(w)
+    return (samples.withColumn("__slow", slow).where((F.col("speed_kph") >= high_kph) & F.col("__slow").isNotNull())
+            .groupBy("session_id", "driver_id", "lap_number")
+            .agg(F.min(F.col("t_ms") - F.col("__slow")).alias("acceleration_ms")))
+
+
 # ------------------------------------------------------------------ from bronze tables
 def laps_from_events(events: DataFrame) -> DataFrame:
     """Lap table from parsed race events: lap end time (epoch ms) from the

@@ -215,3 +215,16 @@ def k10_lap_metrics(spark, sf_dir):
     m = L.lap_metrics(_gold_fact_lap(spark, sf_dir), L.with_stints(_laps(spark, sf_dir)))
     assert [(f.name, f.dataType) for f in m.schema] == [(f.name, f.dataType) for f in LAP_METRICS_SCHEMA]
     return m.drop("generated_at").withColumn("tag", F.element_at("metadata", 1)).drop("metadata")
+
+
+ACCELERATION = (150, 250)
+
+
+@register("f17_acceleration", f"""{_LT},\n {_VALID},
+ a AS (SELECT *, last_value(CASE WHEN speed_kph <= {ACCELERATION[0]} THEN t_ms END IGNORE NULLS) OVER (PARTITION BY session_id, driver_id, lap_number
+   ORDER BY t_ms ROWS UNBOUNDED PRECEDING) AS slow FROM clean)
+ SELECT session_id, driver_id, lap_number, min(t_ms - slow) AS acceleration_ms FROM a WHERE speed_kph >= {ACCELERATION[1]} AND slow IS NOT NULL
+ GROUP BY 1, 2, 3""")
+def f17_acceleration(spark, sf_dir):
+    """From 150 to 250 kph: the derived samples never stand still."""
+    return L.acceleration_times(L.clean_telemetry(testbed.stored_telemetry(spark, sf_dir)), *ACCELERATION)

@@ -269,13 +269,14 @@ def g4_overtake_types(spark, sf_dir):
 _EDGES = f"""{_GRAPH},
  drv AS (SELECT driver_id, min(team_id) AS team_id FROM laps GROUP BY 1),
  edges AS (
-  SELECT DISTINCT driver_id AS src, session_id AS dst, 'DROVE_IN' AS rel, session_id, NULL::INT AS lap_number, 1.0::DOUBLE AS weight FROM laps
-  UNION ALL SELECT driver_id, team_id, 'RACES_FOR', NULL, NULL, 1.0 FROM drv
-  UNION ALL SELECT passer_id, passed_id, 'OVERTOOK', session_id, lap_number, delta_time_ms FROM ovt
-  UNION ALL SELECT driver_a, driver_b, 'BATTLED', session_id, start_lap, lap_count FROM btl
+  SELECT DISTINCT driver_id AS src, session_id AS dst, 'DROVE_IN' AS rel, session_id, NULL::INT AS lap_number, 1.0::DOUBLE AS weight,
+   NULL::DOUBLE AS avg_gap_ms FROM laps
+  UNION ALL SELECT driver_id, team_id, 'RACES_FOR', NULL, NULL, 1.0, NULL FROM drv
+  UNION ALL SELECT passer_id, passed_id, 'OVERTOOK', session_id, lap_number, delta_time_ms, NULL FROM ovt
+  UNION ALL SELECT driver_a, driver_b, 'BATTLED', session_id, start_lap, lap_count, avg_gap_ms FROM btl
   UNION ALL SELECT concat_ws('/', session_id, driver_id, lap_number::VARCHAR), concat_ws('/', session_id, driver_id, next_lap_number::VARCHAR),
-   'NEXT', session_id, lap_number, 1.0 FROM pos WHERE next_lap_number IS NOT NULL
-  UNION ALL SELECT concat_ws('/', session_id, driver_id, lap_number::VARCHAR), driver_id, 'COMPLETED_BY', session_id, lap_number, 1.0 FROM laps)"""
+   'NEXT', session_id, lap_number, 1.0, NULL FROM pos WHERE next_lap_number IS NOT NULL
+  UNION ALL SELECT concat_ws('/', session_id, driver_id, lap_number::VARCHAR), driver_id, 'COMPLETED_BY', session_id, lap_number, 1.0, NULL FROM laps)"""
 
 
 def _edges(spark, sf_dir):
@@ -283,9 +284,20 @@ def _edges(spark, sf_dir):
     return graph.nodes_and_edges(lp, pos, ovt, btl)
 
 
-@register("g5_edges", f"{_EDGES}\n SELECT * FROM edges")
+@register("g5_edges", round_doubles.sql(f"{_EDGES}\n SELECT * FROM edges", ["weight", "avg_gap_ms"]))
 def g5_edges(spark, sf_dir):
-    return _edges(spark, sf_dir)[1]
+    return round_doubles(_edges(spark, sf_dir)[1])
+
+
+@register("g5_nodes", f"""{_L},
+ drv AS (SELECT driver_id, min(team_id) AS team_id FROM laps GROUP BY 1)
+ SELECT driver_id AS id, 'Driver' AS label, team_id, NULL::BIGINT AS drivers, NULL::INT AS lap_number, NULL::BIGINT AS lap_time_ms,
+  NULL::VARCHAR AS tyre_compound FROM drv
+ UNION ALL SELECT session_id, 'Session', NULL, count(DISTINCT driver_id), NULL, NULL, NULL FROM laps GROUP BY 1
+ UNION ALL SELECT team_id, 'Team', NULL, count(*), NULL, NULL, NULL FROM drv GROUP BY 1
+ UNION ALL SELECT concat_ws('/', session_id, driver_id, lap_number::VARCHAR), 'Lap', NULL, NULL, lap_number, lap_time_ms, tyre_compound FROM laps""")
+def g5_nodes(spark, sf_dir):
+    return _edges(spark, sf_dir)[0]
 
 
 @register("g5_node_counts", f"""{_L},

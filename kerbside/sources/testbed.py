@@ -276,7 +276,7 @@ _STORED: dict[tuple, str] = {}
 _STORED_LOCK = threading.RLock()
 
 
-def _input_state(spark: SparkSession, sf_dir: str, table: str) -> tuple[int, int, int]:
+def input_state(spark: SparkSession, sf_dir: str, table: str) -> tuple[int, int, int]:
     """Size, number of files and last change of an input table: derived tables are made anew
     when it changes."""
     path = spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{table}.parquet")
@@ -293,7 +293,7 @@ def stored_table(spark: SparkSession, sf_dir: str, name: str, build: Callable[[]
     and it survives the loss of executors."""
     ensure_utc(spark)
     app = spark.sparkContext.applicationId
-    state = _input_state(spark, sf_dir, source)
+    state = input_state(spark, sf_dir, source)
     key = (app, sf_dir, name, state)
     with _STORED_LOCK:  # one writer per table even when queries are started from threads
         path = _STORED.get(key)

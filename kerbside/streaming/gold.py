@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from kerbside.operators import graph, laps as L
+from kerbside.operators import graph, laps as L, quality
 
 # Gold trigger interval (design doc).
 GOLD_TRIGGER = "60 seconds"
@@ -50,8 +50,10 @@ def gold_tables(telemetry: DataFrame, events: DataFrame) -> dict[str, DataFrame]
     fact_lap = fact_lap.join(stints.select("session_id", "driver_id", "lap_number", "stint_id"),
                              ["session_id", "driver_id", "lap_number"], "left").withColumn(
         "generated_at", F.current_timestamp())
+    samples = L.clean_telemetry(L.samples_from_bronze(telemetry))
     return {"fact_lap": fact_lap, "fact_stint": fact_stint, "fact_overtakes": ovt, "fact_battles": btl,
-            "lap_positions": pos}
+            "lap_positions": pos, "speed_anomalies": quality.zscore_anomalies(samples),
+            "fact_passes": graph.pattern_close_alongside_ahead(pairs)}
 
 
 def upsert_versioned(spark: SparkSession, new_rows: DataFrame, path: str, key: list[str], order: str,

@@ -42,7 +42,8 @@ def main() -> None:
         plan = df._jdf.queryExecution().executedPlan()
         # execute once through the same QueryExecution so AQE finalises the plan
         df._jdf.queryExecution().toRdd().count()
-        text = df._jdf.queryExecution().executedPlan().toString()
+        # the final plan only: the initial plan, printed after it, would count everything twice
+        text = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
         c = Counter()
         for op in OPS:
             c[op] = len(re.findall(r"(?<![A-Za-z])" + op + r"(?![A-Za-z])", text))
