@@ -136,7 +136,9 @@ def gold_writer(spark: SparkSession, bronze_telemetry: str, bronze_events: str,
             for name, df in tables.items():
                 _write_sessions(df, os.path.join(gold_base, name))
             # what follows reads the facts just written, not their derivation
-            stored = {name: spark.read.parquet(os.path.join(gold_base, name)).join(sessions, "session_id", "left_semi")
+            # (a table may have no rows and so no files yet: its schema is declared)
+            stored = {name: spark.read.schema(tables[name].schema).parquet(os.path.join(gold_base, name))
+                      .join(sessions, "session_id", "left_semi")
                       for name in ("fact_overtakes", "fact_battles", "lap_positions")}
             _write_sessions(gold_edges(stored), os.path.join(gold_base, "edges"))
             upsert_versioned(spark, gold_nodes(stored["lap_positions"], batch_id),

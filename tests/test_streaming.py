@@ -278,3 +278,57 @@ def test_replayed_bronze_batch_is_read_once_as_a_stream(spark, tmp_path):
     q = analytics.start(s, "replayed", checkpoint=str(tmp_path / "ck"), available_now=True)
     q.awaitTermination()
     assert spark.sql("SELECT * FROM replayed").count() == raw.count()
+
+
+def test_bronze_and_gold_resume_from_their_checkpoints(spark, tmp_path):
+    """Files landed between two runs are read once by the second run, and gold follows."""
+    lp = testbed.laps(spark, SMALL).where(F.col("session_id").isin("S0", "S1"))
+    base, land = str(tmp_path / "b"), str(tmp_path / "land")
+    topics = {"telemetry.raw": TELEMETRY_SCHEMA, "race.events": RACE_EVENT_SCHEMA}
+    msgs = testbed.telemetry_messages(spark, SMALL, lp).unionByName(testbed.event_messages(spark, SMALL, lp))
+    msgs = msgs.select([f.name for f in ENVELOPE_SCHEMA.fields])
+    tel_path, ev_path = (os.path.join(base, "bronze", bronze.table_name(t, "parsed")) for t in topics)
+
+    def run():
+        qs = bronze.start_bronze(spark, topics, {}, os.path.join(base, "bronze"), os.path.join(base, "ck"), path=land,
+                                 available_now=True, partition_by={t: ["session_id"] for t in topics})
+        for q in qs:
+            q.awaitTermination()
+        bronze.await_all(spark, qs)
+        ids = [spark.readStream.schema("session_id string").parquet(p) for p in (tel_path, ev_path)]
+        gold.start_gold(spark, gold.touched_sessions(*ids), tel_path, ev_path, os.path.join(base, "gold"),
+                        os.path.join(base, "gold-ck"), available_now=True).awaitTermination()
+
+    first = F.col("offset") % 3 > 0
+    msgs.where(first).coalesce(1).write.parquet(land)
+    run()
+    msgs.where(~first).coalesce(1).write.mode("append").parquet(land)
+    run()
+    tel, ev = gold.read_complete(spark, tel_path), gold.read_complete(spark, ev_path)
+    assert tel.count() == tel.select("offset").distinct().count() == msgs.where("topic = 'telemetry.raw'").count()
+    want = gold.gold_tables(tel, ev)["fact_lap"]
+    cols = [c for c in want.columns if c != "generated_at"]
+    assert _rows(spark.read.parquet(os.path.join(base, "gold", "fact_lap")).select(*cols)) == _rows(want.select(*cols))
+
+
+def test_progress_goes_to_a_table(spark, tmp_path):
+    from kerbside.operators import quality
+    from kerbside.streaming import monitor
+    tx = testbed.transactions(spark, SMALL)
+    src, path = str(tmp_path / "tx"), str(tmp_path / "progress")
+    _write_chunks(tx, src, "transaction_time", 2)
+    rec = monitor.attach(spark, path)
+    try:
+        q = analytics.start(analytics.windowed(_stream_dir(spark, src, tx.schema), "window_stats"), "watched",
+                            checkpoint=str(tmp_path / "ck"), available_now=True)
+        q.awaitTermination()
+        for _ in range(100):  # listeners are told after the batch
+            if os.path.isdir(path) and monitor.progress_frame(spark, path).count() >= 2:
+                break
+            __import__("time").sleep(0.2)
+    finally:
+        spark.streams.removeListener(rec)
+    metrics = monitor.batch_metrics(monitor.progress_frame(spark, path))
+    assert metrics.where("name = 'watched' AND duration_ms > 0 AND batch_ts is not null").count() >= 2
+    row = quality.falling_behind(metrics, trigger_ms=10**9).where("name = 'watched'").first()
+    assert not row.falling_behind and not row.stalled
