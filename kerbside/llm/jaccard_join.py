@@ -41,8 +41,9 @@ COORDINATES = 64
 #: Coordinates that a bucket chooses, and depth after which its sets are compared anyway.
 CHOSEN = 2
 DEPTH = 3
-#: Sets of a bucket that are compared without splitting, and of a block of a larger one.
-SMALL, BLOCK = 256, 512
+#: Sets of a bucket that are compared without splitting, embeddings of a block of a larger one, and whole sets of
+#: a block of a candidate group.
+SMALL, BLOCK, EXACT_BLOCK = 256, 512, 128
 #: Average similarity of a bucket's sets from which they are compared rather than split.
 TIGHT = 0.3
 #: Estimated similarity (share of equal min-hash values) from which sets become candidates: more than three
@@ -294,7 +295,7 @@ def verify(docs: DataFrame, members: DataFrame, threshold: float) -> DataFrame:
 
     sets = rows.mapInPandas(sets_of, "candidate long, id long, copies long, count long, hashes binary")
     keys = ["candidate", "first", "second"]
-    return by_group(in_blocks(sets, "count", "id").select(*keys, "own", "id", "copies", "hashes"), keys,
+    return by_group(in_blocks(sets, "count", "id", EXACT_BLOCK).select(*keys, "own", "id", "copies", "hashes"), keys,
                     lambda cols: exact_block(cols, threshold), "id long, linked long, to array<long>")
 
 
