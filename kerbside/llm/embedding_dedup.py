@@ -29,7 +29,7 @@ from kerbside.llm.vectors import bounded_sample, matrix, usable
 
 THRESHOLD = 0.9
 #: Vectors that the centroids are fitted on, vectors per shard aimed at, and the most shards.
-SAMPLE, SHARD_ROWS, MOST_SHARDS = 8192, 1000, 128
+SAMPLE, SHARD_ROWS, MOST_SHARDS = 8192, 1000, 512
 #: Vectors of a block; two blocks meet in a task.
 BLOCK = 1500
 #: Clusters that a vector goes to, candidates and degree of its list, and width of the beam.
