@@ -1,10 +1,11 @@
 """Toxicity by cumulative-link ordinal regression on sparse text features.
 
 Severity grades are ordered: 0 not toxic, 1 to 3 toxic. The labels say only toxic or not; a toxic training
-text is graded by the share of its words that are toxic terms (words whose document frequency is much higher
-among toxic texts), at the two terciles of that share over the toxic training texts. The model has one weight
-per feature, shared by all thresholds, and ordered thresholds: P(grade > k) = sigmoid(w.x - t[k]). Features
-are words, as logarithms of their counts. The result is the expected severity, the sum of P(grade > k).
+text is graded by how much it holds of toxic terms (words whose document frequency is much higher among toxic
+texts): the sum of the logarithms of their counts, at its two terciles over the toxic training texts. The model
+has one weight per feature, shared by all thresholds, and ordered thresholds: P(grade > k) = sigmoid(w.x - t[k]).
+Features are words that tell the classes apart clearly, as logarithms of their counts. The result is the
+expected severity, the sum of P(grade > k).
 
 The fit uses at most SAMPLE labelled documents of each class (by hash of doc_id); identical texts count once.
 Document frequencies are counted by Spark; only the chosen terms and the sample's sparse rows reach the
@@ -32,8 +33,9 @@ from kerbside.llm.common import stored, text_batches
 
 #: Labelled documents of each class that the fit reads, and terms that it keeps.
 SAMPLE, MAX_TERMS = 8000, 4000
-#: Documents that a term must occur in, and the log odds from which it counts as a toxic term.
-MIN_DOCUMENTS, TOXIC_ODDS = 6, 2.0
+#: Documents that a term must occur in, the log odds (either way) that make it a feature, those from which it
+#: counts as a toxic term, and how many standard errors they must be from zero.
+MIN_DOCUMENTS, CLEAR_ODDS, TOXIC_ODDS, CLEAR_ERRORS = 6, 1.0, 2.0, 3.0
 GRADES = 4
 PENALTY, ROUNDS, RATE = 1e-4, 400, 0.05
 #: A document is called toxic from this probability of a grade above 0.
@@ -119,11 +121,9 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, max_terms: i
     def rows_of(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             found = [terms_of(t) for t in frame["text"]]
-            yield pd.DataFrame({"key": frame["key"], "toxic": frame["toxic"], "words": [sum(c.values()) for c in found],
-                                "terms": [list(c) for c in found], "counts": [list(c.values()) for c in found]})
+            yield pd.DataFrame({"key": frame["key"], "toxic": frame["toxic"], "terms": [list(c) for c in found], "counts": [list(c.values()) for c in found]})
 
-    rows = stored(texts.mapInPandas(rows_of, "key long, toxic int, words long, terms array<string>, counts array<int>"),
-                  "toxicity-sample")
+    rows = stored(texts.mapInPandas(rows_of, "key long, toxic int, terms array<string>, counts array<int>"), "toxicity-sample")
     classes = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     if not classes.get(0) or not classes.get(1):
         return nothing
@@ -132,19 +132,20 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, max_terms: i
     odds = F.log((F.col("toxic") + 0.5) / (classes[1] + 1)) - F.log((F.col("docs") - F.col("toxic") + 0.5) / (classes[0] + 1))
     error = F.sqrt(1 / (F.col("toxic") + 0.5) + 1 / (F.col("docs") - F.col("toxic") + 0.5))
     chosen = (seen.withColumn("odds", odds).withColumn("z", F.abs(F.col("odds")) / error)
+              .where((F.abs("odds") >= CLEAR_ODDS) & (F.col("z") >= CLEAR_ERRORS))
               .orderBy(F.desc("z"), "term").limit(max_terms).collect())
     terms = {r["term"]: k for k, r in enumerate(chosen)}
-    strong = {r["term"] for r in chosen if r["odds"] >= TOXIC_ODDS and r["z"] >= 3}
+    strong = {r["term"] for r in chosen if r["odds"] >= TOXIC_ODDS}
     shared = docs.sparkSession.sparkContext.broadcast((terms, strong))
 
     def sparse(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         places, marks = shared.value
         for frame in frames:
             out = []
-            for toxic, words, own, counts in zip(frame["toxic"], frame["words"], frame["terms"], frame["counts"]):
+            for toxic, own, counts in zip(frame["toxic"], frame["terms"], frame["counts"]):
                 kept = [(places[t], int(n)) for t, n in zip(own, counts) if t in places]
-                hits = sum(int(n) for t, n in zip(own, counts) if t in marks)
-                out.append((int(toxic), hits / max(int(words), 1), [k for k, _ in kept], [n for _, n in kept]))
+                hits = sum(math.log1p(int(n)) for t, n in zip(own, counts) if t in marks)
+                out.append((int(toxic), hits, [k for k, _ in kept], [n for _, n in kept]))
             yield pd.DataFrame(out, columns=["toxic", "hits", "at", "n"])
 
     data = rows.orderBy("key").mapInPandas(sparse, "toxic int, hits double, at array<int>, n array<int>").toPandas()
