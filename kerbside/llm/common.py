@@ -50,6 +50,20 @@ def text_batches(spark: SparkSession) -> None:
         spark.conf.set(key, str(BATCH_ROWS))
 
 
+def give_back() -> None:
+    """At the end of a task that held much: a Python worker lives on for later tasks, so what it has freed
+    goes back to the system."""
+    import ctypes
+
+    import pyarrow
+
+    pyarrow.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):
+        pass  # another C library keeps it for itself
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """A column name that ``df`` does not have yet."""
     taken = {c.lower() for c in df.columns}

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kerbside.llm.common import by_group, shield, stored, text_batches
+from kerbside.llm.common import by_group, give_back, shield, stored, text_batches
 from kerbside.llm.components import connected
 
 SHINGLE_WORDS = 5
@@ -67,7 +67,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 class WordHashes(dict):
     """64-bit hash of a word; starts anew when it has grown large."""
 
-    MOST = 500_000
+    MOST = 200_000
 
     def __missing__(self, word: str) -> int:
         if len(self) >= self.MOST:
@@ -117,6 +117,8 @@ def embedded(docs: DataFrame) -> DataFrame:
                 "doc_id": frame["doc_id"], "n": [len(s) for s in sets],
                 "set_key": [key_of(s) for s in sets],
                 "sketch": [embed(s).tobytes() if len(s) else b"" for s in sets]})
+        del words
+        give_back()
 
     return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null")
             .mapInPandas(run, "doc_id long, n int, set_key binary, sketch binary"))
@@ -292,6 +294,8 @@ def verify(docs: DataFrame, members: DataFrame, threshold: float) -> DataFrame:
             own = [key_of(s) == bytes(k) for s, k in zip(sets, frame.pop("set_key"))]
             frame["hashes"] = [s.tobytes() for s in sets]
             yield frame[own]
+        del words
+        give_back()
 
     sets = rows.mapInPandas(sets_of, "candidate long, id long, copies long, count long, hashes binary")
     keys = ["candidate", "first", "second"]

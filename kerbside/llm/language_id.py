@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbside.llm.common import fresh, stored, text_batches
+from kerbside.llm.common import fresh, give_back, stored, text_batches
 
 #: Bounds of the fit: labelled documents read for each language, and entries kept in the model.
 SAMPLE_PER_LANGUAGE = 3000
@@ -32,7 +32,7 @@ UNDETERMINED = "und"
 
 WORD = re.compile(r"[^\W\d_]+")
 #: Smoothing of frequencies, and rows of the word cache of a Python worker.
-ALPHA, CACHE_ROWS = 0.5, 400_000
+ALPHA, CACHE_ROWS = 0.5, 100_000
 
 
 def words_of(text: str | None) -> list[str]:
@@ -90,26 +90,24 @@ def train(labelled: DataFrame, sample_per_language: int = SAMPLE_PER_LANGUAGE, m
     summed = stored(counted.groupBy("kind", "token", "lang").agg(F.sum("n").alias("n")), "language-counts")
     totals = {(r["kind"], r["lang"]): r["n"] for r in
               summed.groupBy("kind", "lang").agg(F.sum("n").alias("n")).collect()}
+    # one count column for each language
     tokens = (summed.groupBy("kind", "token").agg(
-        F.sum("n").alias("total"), F.collect_list(F.struct("lang", "n")).alias("by_lang")).where("total > 1"))
-    top = [tokens.where(which).orderBy(F.desc("total"), "kind", "token").limit(k).collect()
-           for which, k in (("kind = 0", max_words), ("kind > 0", max_grams))]
-    column = {lang: i for i, lang in enumerate(languages)}
-    scores = np.zeros((sum(map(len, top)), len(languages)))
+        F.sum("n").alias("total"), *[F.sum(F.when(F.col("lang") == lang, F.col("n")).otherwise(0)).alias(f"n{i}")
+                                     for i, lang in enumerate(languages)]).where("total > 1"))
     size = np.array([[totals.get((k, lang), 0) for lang in languages] for k in range(LONGEST_GRAM + 1)], float)
-    index: list[dict[str, int]] = [{}, {}]
+    index: list[dict[str, int]] = []
+    scores = []
     row = 0
-    kept = Counter(r["kind"] for part in top for r in part)
-    for which, part in enumerate(top):
-        for r in part:
-            n = np.full(len(languages), ALPHA)
-            for x in r["by_lang"]:
-                n[column[x["lang"]]] += x["n"]
-            s = np.log(n) - np.log(size[r["kind"]] + ALPHA * kept[r["kind"]])
-            scores[row] = s - np.logaddexp.reduce(s)
-            index[which][r["token"]] = row
-            row += 1
-    return Model(languages, index[0], index[1], scores)
+    for which, most in (("kind = 0", max_words), ("kind > 0", max_grams)):
+        top = tokens.where(which).orderBy(F.desc("total"), "kind", "token").limit(most).toPandas()
+        kind = top["kind"].to_numpy()
+        n = top[[f"n{i}" for i in range(len(languages))]].to_numpy(float) + ALPHA
+        kept = np.bincount(kind, minlength=LONGEST_GRAM + 1)[kind]
+        s = np.log(n) - np.log(size[kind] + ALPHA * kept[:, None])
+        scores.append(s - np.logaddexp.reduce(s, axis=1, keepdims=True))
+        index.append(dict(zip(top["token"], range(row, row + len(top)))))
+        row += len(top)
+    return Model(languages, index[0], index[1], np.concatenate(scores))
 
 
 class WordRows(dict):
@@ -166,8 +164,11 @@ def predictor(spark: SparkSession, model: Model):
         rows = WordRows(shared.value)
         for texts in batches:
             yield pd.DataFrame([predict_text(t, rows) for t in texts], columns=["lang_pred", "score"])
+        del rows
+        give_back()
 
-    return run
+    # else a filter on the result is pushed below it and the texts are read twice, by twice as many workers
+    return run.asNondeterministic()
 
 
 def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:

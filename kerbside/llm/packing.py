@@ -21,13 +21,14 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from kerbside.llm.common import stored, text_batches
+from kerbside.llm.common import give_back, stored, text_batches
 
 WINDOW = 1024
 END_ID = 0
@@ -45,13 +46,14 @@ class Encoder:
 
     def __init__(self, vocabulary: str = TOKENIZER):
         import base64
+        import json
         import os
 
         import public_tokenizers
-        from tokenizers import Tokenizer
 
-        self.slow = Tokenizer.from_file(public_tokenizers.path(vocabulary))
-        self.special = [t.content for t in self.slow.get_added_tokens_decoder().values()]
+        self.file = public_tokenizers.path(vocabulary)
+        with open(self.file, encoding="utf-8") as f:
+            self.special = [t["content"] for t in json.load(f)["added_tokens"]]
         self.fast = None
         ranks_file = public_tokenizers.path(vocabulary.replace(".json", ".tiktoken"))
         if os.path.exists(ranks_file):
@@ -61,6 +63,12 @@ class Encoder:
             self.fast = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks,
                                           special_tokens={})
 
+    @cached_property
+    def slow(self):
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self.file)
+
     def encode(self, text: str) -> list[int]:
         if self.fast is None or any(s in text for s in self.special):
             return self.slow.encode(text, add_special_tokens=False).ids
@@ -84,6 +92,8 @@ def tokenise(docs: DataFrame, window: int = WINDOW, vocabulary: str = TOKENIZER)
             yield pd.DataFrame({"doc_id": frame["doc_id"], "doc_tokens": [r[0] for r in rows],
                                 "full_crcs": [r[1] for r in rows], "tail_length": [r[2] for r in rows],
                                 "tail": [r[3] for r in rows]})
+        del encoder
+        give_back()
 
     # the id travels as text so that null ids survive pandas
     narrow = docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text")
