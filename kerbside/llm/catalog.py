@@ -56,7 +56,7 @@ def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return substring_dedup.cut_repeats(table(spark, sf_dir, "documents"))
+    return substring_dedup.cut_repeats(table(spark, sf_dir, "documents"), substring_dedup.PASSAGE_WORDS)
 
 
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

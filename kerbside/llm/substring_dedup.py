@@ -9,6 +9,13 @@ Each run is hashed (lower-case words, white space ignored). All runs of all docu
 hash; the first occurrence (smallest doc_id, then position) stays, and every unit that is covered by any
 later occurrence is removed. Repeats inside one document count like those between documents.
 
+Units that touch a passage's ends also hold the text around it. With ``passage_words`` (the queries ask for
+PASSAGE_WORDS), every stretch of so many words that occurs before is cut too, by its exact words, wherever it
+begins and ends. For that, runs of SHINGLE words are hashed; the smallest hash of a stretch, its anchor, is the same
+in every copy. Neighbouring stretches with one anchor are a block. A block that occurs before goes whole; where an
+anchor has several different blocks, the first of each is opened and its stretches are compared one by one. Of a
+stretch that overlaps its own first occurrence only the words behind that go.
+
 A hot passage is one key of the grouping, which is pre-aggregated, and of the join back to the runs,
 where both sides are shuffled from stored tables so that adaptive execution splits the key.
 
@@ -34,6 +41,8 @@ from kerbside.llm.common import shield, stored, text_batches
 MIN_UNITS = 3
 MIN_WORDS = 30
 LONG_WORDS = 45
+#: Words of a stretch that is cut exactly, and of the runs that candidates are found by.
+PASSAGE_WORDS, SHINGLE = 50, 20
 #: One word in so many ends a sentence by its own hash.
 CUT_ONE_IN = 16
 
@@ -74,6 +83,23 @@ def units(text: str) -> tuple[list[int], np.ndarray, np.ndarray]:
     return starts, np.array(words, np.int64), np.array(hashes, np.uint64)
 
 
+def run_hashes(hashes: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A hash of the items from each ``begin`` to each ``end``."""
+    n = len(hashes)
+    with np.errstate(over="ignore"):
+        power = np.concatenate([[np.uint64(1)], np.cumprod(np.full(n, _BASE, np.uint64))])
+        prefix = np.zeros(n + 1, np.uint64)
+        # prefix[k+1] = prefix[k] * B + h[k]; as a sum of h[k] * B^-(k+1), scaled: B is odd, so it has an inverse
+        inverse = np.uint64(pow(int(_BASE), -1, 1 << 64))
+        inverses = np.cumprod(np.full(n, inverse, np.uint64))
+        prefix[1:] = np.cumsum(hashes * inverses)
+        value = (prefix[end] - prefix[begin]) * power[end]
+        value ^= value >> np.uint64(31)
+        value = value * np.uint64(0xBF58476D1CE4E5B9) + (end - begin).astype(np.uint64)
+        value ^= value >> np.uint64(29)
+    return value
+
+
 def spans(words: np.ndarray, hashes: np.ndarray, min_units: int = MIN_UNITS, min_words: int = MIN_WORDS,
           long_words: int = LONG_WORDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """First unit, end unit and hash of each distinct shortest run that starts or ends at a unit."""
@@ -94,20 +120,95 @@ def spans(words: np.ndarray, hashes: np.ndarray, min_units: int = MIN_UNITS, min
     backward = np.stack([begin, stop])[:, begin >= 0]
     codes = np.unique(np.concatenate([forward[0] * (n + 1) + forward[1], backward[0] * (n + 1) + backward[1]]))
     runs = np.stack(np.divmod(codes, n + 1))
-    with np.errstate(over="ignore"):
-        power = np.concatenate([[np.uint64(1)], np.cumprod(np.full(n, _BASE, np.uint64))])
-        prefix = np.zeros(n + 1, np.uint64)
-        # prefix[k+1] = prefix[k] * B + h[k]; as a sum of h[k] * B^-(k+1), scaled: B is odd, so it has an inverse
-        inverse = np.uint64(pow(int(_BASE), -1, 1 << 64))
-        inverses = np.cumprod(np.full(n, inverse, np.uint64))
-        prefix[1:] = np.cumsum(hashes * inverses)
-        value = (prefix[runs[1]] - prefix[runs[0]]) * power[runs[1]]
-        value ^= value >> np.uint64(31)
-        value = value * np.uint64(0xBF58476D1CE4E5B9) + (runs[1] - runs[0]).astype(np.uint64)
-        value ^= value >> np.uint64(29)
+    value = run_hashes(hashes, runs[0], runs[1])
     return runs[0], runs[1], value
 
 
+def sliding(x: np.ndarray, width: int, best) -> np.ndarray:
+    """``best`` (np.minimum or np.maximum) of each ``width`` neighbours."""
+    done = 1
+    while done * 2 <= width:
+        x = best(x[:-done], x[done:])
+        done *= 2
+    return best(x[:len(x) - (width - done)], x[width - done:]) if width > done else x
+
+
+def word_hashes(text: str) -> np.ndarray:
+    return np.array([xxhash.xxh3_64_intdigest(w) for w in text.lower().split()], np.uint64)
+
+
+def blocks_of(hashes: np.ndarray, passage_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Anchor, hash, first stretch and number of stretches of each block of a text's words."""
+    at = np.arange(len(hashes) - SHINGLE + 1)
+    shingles = run_hashes(hashes, at, at + SHINGLE)
+    order = np.argsort(shingles, kind="stable")  # of equal hashes the leftmost
+    rank = np.empty_like(order)
+    rank[order] = at
+    where = order[sliding(rank, passage_words - SHINGLE + 1, np.minimum)]
+    begin = np.concatenate([[0], np.flatnonzero(where[1:] != where[:-1]) + 1])
+    end = np.append(begin[1:], len(where))
+    return shingles[where[begin]], run_hashes(hashes, begin, end - 1 + passage_words), begin, end - begin
+
+
+def find_blocks(docs: DataFrame, passage_words: int) -> DataFrame:
+    """All blocks of all documents: anchor, hash, id, key and first stretch, number of stretches."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            parts = []
+            for d, k, t in zip(frame["d"], frame["k"], frame["t"]):
+                words = word_hashes(t)
+                if len(words) >= passage_words:
+                    anchor, block, begin, n = blocks_of(words, passage_words)
+                    parts.append((anchor.view(np.int64), block.view(np.int64), np.full(len(n), d),
+                                  (np.int64(k) << np.int64(32)) + begin, n))
+            if parts:
+                anchor, block, d, at, n = (np.concatenate(x) for x in zip(*parts))
+                yield pd.DataFrame({"anchor": anchor, "block": block, "d": d, "at": at, "n": n.astype(np.int32)})
+
+    return docs.mapInPandas(run, "anchor long, block long, d long, at long, n int")
+
+
+def find_passages(docs: DataFrame, passage_words: int) -> DataFrame:
+    """The stretches of ``passage_words`` words that occur before: id, key, and first and end word of the words to
+    be cut."""
+    rows = docs.select(F.col("_span_d").alias("d"), F.col("_span_k").alias("k"), F.col("text").alias("t")).where("t <> ''")
+    blocks = stored(find_blocks(rows, passage_words), "substring-blocks")
+    often = stored(blocks.groupBy("anchor").count().where("count > 1").select("anchor"), "substring-anchors")
+    found = stored(blocks.join(often, "anchor"), "substring-blocks-found")
+    first = stored(found.groupBy("anchor", "block").agg(F.min(F.struct("d", "at")).alias("first"), F.max("n").alias("n")),
+                   "substring-blocks-first")
+    again = (found.join(first.drop("n"), ["anchor", "block"]).where("struct(d, at) <> first")
+             .select("d", "at", "first", "n"))
+    several = stored(first.groupBy("anchor").count().where("count > 1").select("anchor"), "substring-anchors-several")
+    opened = stored(first.join(several, "anchor").select("first.d", F.shiftright("first.at", 32).cast("int").alias("k"),
+                                                         F.col("first.at").bitwiseAND(0xFFFFFFFF).cast("int").alias("a"), "n")
+                    .groupBy("d", "k").agg(F.collect_list("a").alias("a"), F.collect_list("n").alias("n")), "substring-opened")
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            parts = []
+            for d, k, t, a, n in zip(frame["d"], frame["k"], frame["t"], frame["a"], frame["n"]):
+                words = word_hashes(t)
+                at = np.concatenate([np.arange(x, x + y) for x, y in zip(a, n)])
+                h = run_hashes(words, at, at + passage_words)
+                parts.append((h.view(np.int64), np.full(len(at), d), (np.int64(k) << np.int64(32)) + at))
+            if parts:
+                h, d, at = (np.concatenate(x) for x in zip(*parts))
+                yield pd.DataFrame({"hash": h, "d": d, "at": at})
+
+    stretches = stored(rows.join(opened, ["d", "k"]).mapInPandas(run, "hash long, d long, at long"), "substring-stretches")
+    earliest = stored(stretches.groupBy("hash").agg(F.count("*").alias("n"), F.min(F.struct("d", "at")).alias("first"))
+                      .where("n > 1").select("hash", "first"), "substring-stretches-first")
+    later = (stretches.join(earliest, "hash").where("struct(d, at) <> first")
+             .select("d", "at", "first", F.lit(1).alias("n")).unionByName(again))
+    begin, same = F.col("at").bitwiseAND(0xFFFFFFFF), F.expr("d = first.d and shiftright(at, 32) = shiftright(first.at, 32)")
+    kept = F.when(same, F.col("first.at").bitwiseAND(0xFFFFFFFF) + passage_words).otherwise(0)
+    return later.select(F.col("d").alias("_span_d"), F.shiftright("at", 32).cast("int").alias("_span_k"),
+                        F.greatest(begin, kept).cast("int").alias("a"),
+                        (begin + F.col("n") - 1 + passage_words).cast("int").alias("b"))
+
+
 def find_runs(docs: DataFrame) -> DataFrame:
     """All runs of all documents (_span_d, _span_k, text): hash, id, key and first unit, end unit."""
     text_batches(docs.sparkSession)
@@ -128,22 +229,33 @@ def find_runs(docs: DataFrame) -> DataFrame:
     return rows.mapInPandas(run, "hash long, d long, at long, b int")
 
 
-def remove(text: str, covered: list[tuple[int, int]]) -> tuple[str, int]:
-    """The text without the units in the covered runs, and how many went."""
+def remove(text: str, covered: list[tuple[int, int]], passages: list[tuple[int, int]] = ()) -> tuple[str, int]:
+    """The text without the units in the covered runs and the words of the passages, and how many units lost words."""
     starts, words, _ = units(text)
-    gone = np.zeros(len(words) + 1, np.int64)
-    for a, b in covered:
-        gone[a] += 1
-        gone[b] -= 1
-    out = np.cumsum(gone)[:-1] > 0
+
+    def inside(runs: list[tuple[int, int]], n: int) -> np.ndarray:
+        gone = np.zeros(n + 1, np.int64)
+        for a, b in runs:
+            gone[a] += 1
+            gone[b] -= 1
+        return np.cumsum(gone)[:-1] > 0
+
+    out = inside(covered, len(words))
+    if len(passages):
+        unit = np.repeat(np.arange(len(words)), words)
+        gone = out[unit] | inside(passages, len(unit))
+        lost = len(np.unique(unit[gone]))
+        starts, out = [m.start() for m in WORD.finditer(text)], gone
+    else:
+        lost = int(out.sum())
     ends = [*starts[1:], len(text)]
     kept = [text[s:e] for s, e, g in zip(starts, ends, out) if not g]
-    return "".join(kept).rstrip() if kept else "", int(out.sum())
+    return "".join(kept).rstrip() if kept else "", lost
 
 
-def dedup(docs: DataFrame) -> DataFrame:
+def dedup(docs: DataFrame, passage_words: int | None = None) -> DataFrame:
     """``docs`` (doc_id, text and any others without names in ``_span_*``) with repeated spans cut out of
-    ``text``, and ``_span_removed``, the number of units cut."""
+    ``text``, and ``_span_removed``, the number of units that lost words."""
     least = F.lit(-(1 << 63)).cast("long")
     # the text's hash tells rows with one id apart; rows that agree in id and text are one occurrence
     keyed = docs.withColumn("_span_d", F.coalesce(F.col("doc_id").cast("long"), least)).withColumn("_span_k", F.hash("text"))
@@ -153,30 +265,36 @@ def dedup(docs: DataFrame) -> DataFrame:
     first = stored(found.groupBy("hash").agg(F.min(F.struct("d", "at")).alias("first")), "substring-first")
     later = found.join(first, "hash").where("struct(d, at) <> first")
     # `at` holds the text's hash and the first unit
-    covered = (later.groupBy(F.col("d").alias("_span_d"), F.shiftright("at", 32).cast("int").alias("_span_k"))
-               .agg(F.collect_set(F.struct(F.col("at").bitwiseAND(0xFFFFFFFF).cast("int").alias("a"), "b"))
-                    .alias("_span_cut")))
+    cuts = later.select(F.col("d").alias("_span_d"), F.shiftright("at", 32).cast("int").alias("_span_k"),
+                        F.col("at").bitwiseAND(0xFFFFFFFF).cast("int").alias("a"), "b", F.lit(False).alias("exact"))
+    if passage_words is not None:
+        passages = find_passages(keyed, passage_words).where("a < b")
+        cuts = cuts.unionByName(passages.withColumn("exact", F.lit(True)))
+    cut = F.struct("a", "b")
+    covered = cuts.groupBy("_span_d", "_span_k").agg(F.collect_set(F.when(~F.col("exact"), cut)).alias("_span_cut"),
+                                                     F.collect_set(F.when(F.col("exact"), cut)).alias("_span_words"))
 
     @F.pandas_udf("text string, gone int")
-    def cleaned(texts: pd.Series, runs: pd.Series) -> pd.DataFrame:
-        rows = [(t, 0) if r is None else remove(t, [(x["a"], x["b"]) for x in r]) for t, r in zip(texts, runs)]
+    def cleaned(texts: pd.Series, runs: pd.Series, passages: pd.Series) -> pd.DataFrame:
+        rows = [(t, 0) if r is None else remove(t, [(x["a"], x["b"]) for x in r], [(x["a"], x["b"]) for x in p])
+                for t, r, p in zip(texts, runs, passages)]
         return pd.DataFrame(rows, columns=["text", "gone"])
 
     cleaned = cleaned.asNondeterministic()  # else a filter on the result makes Spark cut every text twice
-    joined = keyed.join(covered, ["_span_d", "_span_k"], "left").withColumn("_span_done", cleaned("text", "_span_cut"))
+    joined = keyed.join(covered, ["_span_d", "_span_k"], "left").withColumn("_span_done", cleaned("text", "_span_cut", "_span_words"))
     return joined.select(*[F.col("_span_done.text").alias("text") if c == "text" else F.col(c) for c in docs.columns],
                          F.col("_span_done.gone").alias("_span_removed"))
 
 
-def cut_repeats(docs: DataFrame) -> DataFrame:
-    """doc_id, text without repeated spans, removed_units of every row."""
-    return dedup(docs.select("doc_id", "text")).withColumnRenamed("_span_removed", "removed_units")
+def cut_repeats(docs: DataFrame, passage_words: int | None = None) -> DataFrame:
+    """doc_id, text without repeated spans (and repeated passages), removed_units of every row."""
+    return dedup(docs.select("doc_id", "text"), passage_words).withColumnRenamed("_span_removed", "removed_units")
 
 
 def drop_repeats(docs: DataFrame) -> DataFrame:
-    """``docs``, with all its columns, with repeated spans cut out, ``n_chars`` set anew where text was cut, and
+    """``docs``, with all its columns, with repeated spans and passages cut out, ``n_chars`` set anew where text was cut, and
     without the rows that lost all of their text."""
     plain, back = shield(docs, "doc_id", "text", "n_chars")
-    out = dedup(plain).where("_span_removed = 0 or text <> ''")
+    out = dedup(plain, PASSAGE_WORDS).where("_span_removed = 0 or text <> ''")
     length = F.length("text").cast(plain.schema["n_chars"].dataType)
     return back(out.withColumn("n_chars", F.when(F.col("_span_removed") > 0, length).otherwise(F.col("n_chars"))))

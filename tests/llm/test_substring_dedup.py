@@ -102,3 +102,52 @@ def test_units_cut_glued_sentences():
     assert [text[s:e].strip() for s, e in zip(starts, [*starts[1:], len(text)])] == [
         "one two three,", "Passage begins here.", "then goes on!", "Next line"]
     assert words.tolist() == [3, 3, 3, 2]
+
+
+def first_stays(rows, width):
+    """Texts without the words of every later occurrence of a stretch of words, by trying every stretch."""
+    first = {}
+    for d, t in sorted(rows):
+        words = t.lower().split()
+        for i in range(len(words) - width + 1):
+            first.setdefault(tuple(words[i:i + width]), (d, i))
+    out = {}
+    for d, t in rows:
+        words, gone = t.lower().split(), set()
+        for i in range(len(words) - width + 1):
+            doc, at = first[tuple(words[i:i + width])]
+            if (doc, at) != (d, i):
+                gone |= set(range(max(i, at + width) if doc == d else i, i + width))
+        out[d] = " ".join(w for k, w in enumerate(t.split()) if k not in gone)
+    return out
+
+
+def test_glued_passages_go_by_their_exact_words(spark):
+    rng = random.Random(11)
+    rows = []
+    for k in range(120):
+        n = 50 + k % 12
+        passage = [f"q{k}x{i}" for i in range(n)]  # no sentence ends inside
+        for copy in range(2):
+            own = [f"o{k}y{copy}z{i}" for i in range(40)]
+            at = rng.randint(1, 39)
+            rows.append((2 * k + copy, " ".join(own[:at] + passage + own[at:])))
+    periodic = " ".join(f"t{i % 7}" for i in range(200))
+    rows.append((1000, periodic))
+    want = first_stays(rows, S.PASSAGE_WORDS)
+    assert len(want[1000].split()) == 50 and all(len(want[2 * k + 1].split()) == 40 for k in range(120))
+    docs = frame(spark, [(d, t, "", "", 1) for d, t in rows])
+    got = {r["doc_id"]: r for r in S.cut_repeats(docs, S.PASSAGE_WORDS).collect()}
+    for d, _ in rows[:-1]:
+        assert got[d]["text"] == want[d] and (got[d]["removed_units"] > 0) == (d % 2 == 1)
+    assert got[1000]["text"] and set(got[1000]["text"].split()) <= set(periodic.split())
+    kept = {r["doc_id"]: r["text"] for r in S.drop_repeats(docs).collect()}
+    assert all(kept[d] == want[d] for d, _ in rows[:-1])
+
+
+def test_stretches_below_the_length_stay(spark):
+    rng = random.Random(12)
+    passage = [f"q{i}" for i in range(49)]
+    rows = [(k, " ".join([f"a{k}"] * 3 + passage[rng.randint(0, 9):30] + [f"b{k}"] * 3), "", "", 1) for k in range(20)]
+    got = S.cut_repeats(frame(spark, rows), S.PASSAGE_WORDS).collect()
+    assert all(r["text"] == rows[r["doc_id"]][1] and r["removed_units"] == 0 for r in got)
