@@ -1,6 +1,6 @@
 """Near-duplicate embeddings by a robust-pruned flat graph.
 
-Equal vectors are one class. Centroids are fitted on a bounded sample; every class goes to its nearest
+Vectors of one direction (equal when scaled to length 1) are one class. Centroids are fitted on a bounded sample; every class goes to its nearest
 clusters, so that clusters overlap. In each shard a flat graph is built: of a vector's nearest candidates
 robust pruning keeps those that no kept one is much closer to. The adjacency lists of all shards are united.
 On the united graph every vector is searched in each of its shards, from the shard's medoid: a greedy beam
@@ -266,13 +266,13 @@ def audit(classes: DataFrame, counts: DataFrame, threshold: float, most: int = A
 
 
 def dedup(rows: DataFrame, id_column: str = "vec_id", vector: str = "embedding", threshold: float = THRESHOLD) -> DataFrame:
-    """vec_id, n_links, component_id, kept, and the class (smallest id of equal vectors) of every row."""
+    """vec_id, n_links, component_id, kept, and the class (smallest id of its direction) of every row."""
     vecs = usable(rows, id_column, vector)
     norm = F.sqrt(F.aggregate("vec", F.lit(0.0), lambda a, v: a + v * v))
-    # equal directions of equal vectors: classes are of equal vectors, scaled to length 1
+    # classes are of vectors that are equal when scaled to length 1
     whole = stored(vecs.withColumn("_norm", norm).withColumn("unit", F.transform("vec", lambda v: v / F.col("_norm")))
-                   .select("id", F.xxhash64("vec").alias("key"), "unit"), "graph-vectors")
-    classes = stored(whole.groupBy("key", "unit").agg(F.min("id").alias("id"), F.count("*").alias("copies"))
+                   .select("id", "unit"), "graph-vectors")
+    classes = stored(whole.groupBy("unit").agg(F.min("id").alias("id"), F.count("*").alias("copies"))
                      .select("id", "copies", F.col("unit").alias("vec")), "graph-classes")
     total = classes.count()
     _, x = bounded_sample(classes, SAMPLE)

@@ -111,3 +111,13 @@ def test_near_duplicates_of_blocks_and_nothing(spark, monkeypatch):
     assert embedding_dedup.dedup(frame(spark, [])).collect() == []
     only = embedding_dedup.dedup(frame(spark, [(3, [0.0, 0.0], 1), (3, [0.0, 0.0], 1)])).collect()
     assert [(r["vec_id"], r["n_links"], r["component_id"], r["kept"]) for r in only] == [(3, 0, 3, True)] * 2
+
+
+def test_scaled_copies_give_one_row_each(spark):
+    rng = random.Random(6)
+    base = [rng.gauss(0, 1) for _ in range(12)]
+    rows = [(i, [v * 2.0 ** i for v in base], 0) for i in range(3)]  # v, 2v and 4v
+    rows += [(10 + i, [rng.gauss(0, 1) for _ in range(12)], 0) for i in range(5)]
+    got = embedding_dedup.dedup(frame(spark, rows)).collect()
+    assert sorted(r["vec_id"] for r in got) == sorted(i for i, _, _ in rows)
+    assert {(r["n_links"], r["component_id"], r["class_id"]) for r in got if r["vec_id"] < 3} == {(2, 0, 0)}
