@@ -5,8 +5,9 @@ clusters, so that clusters overlap. In each shard a flat graph is built: of a ve
 robust pruning keeps those that no kept one is much closer to. The adjacency lists of all shards are united.
 On the united graph every vector is searched in each of its shards, from the shard's medoid: a greedy beam
 search finds the way to it, then the search expands through every vector within the range. What is found is
-verified by cosine in double precision. Recall is audited on a sample of vectors against all others; below
-the target, the join is repeated with wider beams, degrees and overlap.
+verified by cosine in double precision. Recall is audited on a sample of vectors against all others, as a mean
+over vectors, apart for those with few links and with many; below the target, the join is repeated with wider
+beams, degrees and overlap, and if the widest one misses it too, all vectors are compared in blocks.
 
 Shards beyond a bounded size are dealt into pairs of blocks. A link is counted in the first shard that its
 two ends share, and a shard gives out only counts and a spanning forest, so no pairs are written.
@@ -37,6 +38,8 @@ OVERLAP, CANDIDATES, DEGREE, BEAM = 3, 48, 24, 16
 ALPHA = 1.2
 #: Audited vectors, and the recall below which the join is repeated wider.
 AUDIT, TARGET_RECALL = 256, 0.995
+#: Of so many times AUDIT vectors all with at most FEW links are audited, so that large groups do not hide them.
+AUDIT_FEW, FEW = 4, 16
 
 
 def centroids(x: np.ndarray, k: int, rounds: int = 10, seed: int = 3) -> np.ndarray:
@@ -242,9 +245,42 @@ def attempt(classes: DataFrame, centres: np.ndarray, threshold: float, widen: in
             found.select(F.explode("to").alias("a"), F.col("id").alias("b")))
 
 
+def block_links(cols: dict, threshold: float) -> tuple | None:
+    """Counts of links, and a spanning forest, of a block pair by comparing all."""
+    order = np.argsort(cols["id"])
+    ids, x, own, copies = cols["id"][order], matrix(cols["vec"][order]), cols["own"][order], cols["copies"][order]
+    near = x @ x.T >= threshold
+    np.fill_diagonal(near, False)
+    near |= near.T
+    every = near
+    if cols["first"][0] != cols["second"][0]:
+        near = near & (own[:, None] != own[None, :])
+    if not near.any():
+        return None
+    forest = Forest(len(ids))
+    for i in range(1, len(ids)):
+        before = np.flatnonzero(every[i, :i])
+        if len(before):
+            forest.add(i, before)
+    to: list[list[int]] = [[] for _ in ids]
+    for p, q in forest.links:
+        to[q].append(int(ids[p]))
+    return [int(i) for i in ids], [int(v) for v in near @ copies], to
+
+
+def compare_all(classes: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """Links' counts (id, linked) and forest (a, b) of all classes by comparing every block with every other."""
+    dealt = in_blocks(classes.withColumn("count", F.lit(classes.count())), "count", "id", BLOCK)
+    found = stored(by_group(dealt.select("first", "second", "own", "id", "copies", "vec"), ["first", "second"],
+                            lambda cols: block_links(cols, threshold), "id long, linked long, to array<long>"), "graph-exact")
+    return (found.groupBy("id").agg(F.sum("linked").alias("linked")),
+            found.select(F.explode("to").alias("a"), F.col("id").alias("b")))
+
+
 def audit(classes: DataFrame, counts: DataFrame, threshold: float, most: int = AUDIT) -> float:
-    """Share of the links of a bounded sample of classes, by brute force against all, that were found."""
-    ids, x = bounded_sample(classes, most)
+    """Mean share of a class's links, by brute force against all, that were found: of a bounded sample of classes,
+    the smaller mean of those with few links and those with many."""
+    ids, x = bounded_sample(classes, AUDIT_FEW * most)
     if not len(ids):
         return 1.0
     shared = classes.sparkSession.sparkContext.broadcast((ids, x))
@@ -261,8 +297,9 @@ def audit(classes: DataFrame, counts: DataFrame, threshold: float, most: int = A
         yield pd.DataFrame({"id": asked, "true": total})
 
     true = classes.mapInPandas(count, "id long, true long").groupBy("id").agg(F.sum("true").alias("true"))
-    got = true.join(counts, "id", "left").agg(F.sum("true").alias("true"), F.sum(F.least("true", F.coalesce("linked", F.lit(0)))).alias("found")).first()
-    return got["found"] / got["true"] if got["true"] else 1.0
+    means = (true.join(counts, "id", "left").where(F.col("true") > 0).groupBy(F.col("true") <= FEW)
+             .agg(F.avg(F.least("true", F.coalesce("linked", F.lit(0))) / F.col("true")).alias("recall")).collect())
+    return min((r["recall"] for r in means), default=1.0)
 
 
 def dedup(rows: DataFrame, id_column: str = "vec_id", vector: str = "embedding", threshold: float = THRESHOLD) -> DataFrame:
@@ -284,6 +321,8 @@ def dedup(rows: DataFrame, id_column: str = "vec_id", vector: str = "embedding",
             counts, forest = attempt(classes, centres, threshold, widen)
             if audit(classes, counts, threshold) >= TARGET_RECALL:
                 break
+        else:
+            counts, forest = compare_all(classes, threshold)
         component = connected(forest)
     own = whole.join(classes.select(F.col("id").alias("class_id"), "copies", F.col("vec").alias("unit")), "unit").select(
         "id", "class_id", "copies")

@@ -121,3 +121,29 @@ def test_scaled_copies_give_one_row_each(spark):
     got = embedding_dedup.dedup(frame(spark, rows)).collect()
     assert sorted(r["vec_id"] for r in got) == sorted(i for i, _, _ in rows)
     assert {(r["n_links"], r["component_id"], r["class_id"]) for r in got if r["vec_id"] < 3} == {(2, 0, 0)}
+
+
+def test_audit_sees_lost_pairs_beside_a_dense_group(spark):
+    rng = np.random.default_rng(8)
+    dense = rng.normal(size=24) + 0.01 * rng.normal(size=(300, 24))
+    pairs = np.repeat(rng.normal(size=(40, 24)), 2, axis=0) + 0.01 * rng.normal(size=(80, 24))
+    x = np.concatenate([dense, pairs])
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    classes = spark.createDataFrame([(i, 1, v.tolist()) for i, v in enumerate(x)], "id long, copies long, vec array<double>")
+    full = [(i, 299 if i < 300 else 1) for i in range(380)]
+    frame_of = lambda rows: spark.createDataFrame(rows, "id long, linked long")
+    assert embedding_dedup.audit(classes, frame_of(full), 0.9) == 1.0
+    assert embedding_dedup.audit(classes, frame_of(full[:300]), 0.9) < embedding_dedup.TARGET_RECALL
+    assert embedding_dedup.audit(classes, frame_of(full[300:]), 0.9) < embedding_dedup.TARGET_RECALL
+
+
+def test_all_are_compared_when_no_search_reaches_the_target(spark, monkeypatch):
+    rows, vecs = rows_of(150, copies=4)
+    x = np.array([vecs[i] for i in sorted(vecs)], float)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    linked = (x @ x.T >= 0.9).sum(axis=1) - 1
+    none = (spark.createDataFrame([], "id long, linked long"), spark.createDataFrame([], "a long, b long"))
+    monkeypatch.setattr(embedding_dedup, "attempt", lambda *_: none)  # a search that finds nothing
+    monkeypatch.setattr(embedding_dedup, "BLOCK", 40)
+    got = {r["vec_id"]: r["n_links"] for r in embedding_dedup.dedup(frame(spark, rows)).collect()}
+    assert linked.sum() > 100 and [got[i] for i in sorted(vecs)] == linked.tolist()
