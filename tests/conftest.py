@@ -4,8 +4,9 @@ import sys
 import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-SMALL = "/root/testdata/sf0.001"
+from paths import SMALL  # noqa: E402
 
 
 @pytest.fixture(scope="session")

@@ -142,7 +142,7 @@ def test_degrees_count_passes_and_battles_both_ways(spark):
 
 
 def test_repeated_event_changes_nothing(spark):
-    from conftest import SMALL
+    from paths import SMALL
     from kerbside.sources import envelope, testbed
     from kerbside.sources.schemas import RACE_EVENT_SCHEMA, TELEMETRY_SCHEMA
     lp = testbed.laps(spark, SMALL).where(F.col("session_id") == "S0")

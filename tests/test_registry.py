@@ -7,7 +7,7 @@ import math
 import pytest
 
 import __spark_entry__ as entry
-from conftest import SMALL
+from paths import SMALL
 from kerbside.plans.catalog import QUERIES as BASE
 
 QUERIES = {k: v for k, v in entry.queries().items() if k in BASE}

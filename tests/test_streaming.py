@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from conftest import SMALL
+from paths import SMALL
 from kerbside.operators import alerts, laps as L, windows
 from kerbside.sources import envelope, testbed
 from kerbside.sources.schemas import ENVELOPE_SCHEMA, RACE_EVENT_SCHEMA, TELEMETRY_SCHEMA
