@@ -20,10 +20,13 @@ def col_of(c: str | Column) -> Column:
 
 # F1 -- ISO-8601 text -> timestamp with millisecond precision.
 def iso_to_ts(c: str | Column) -> Column:
-    """``TO_TIMESTAMP(SUBSTR(REPLACE(ts,'T',' '),1,23))``: keep date, time and at most
-    three fraction digits; unparseable text gives null instead of failing the task."""
-    text = F.substring(F.replace(col_of(c), F.lit("T"), F.lit(" ")), 1, 23)
-    return F.try_to_timestamp(text)
+    """The time of an ISO-8601 text (``T`` or a space between date and time), to the millisecond: later
+    fraction digits are cut, not rounded. A zone (``Z``, ``+02:00``, ``+0200``) is honoured, behind whole
+    seconds as well; without one the session's zone (UTC) holds. Other text gives null instead of failing
+    the task."""
+    text = F.trim(col_of(c))
+    cut = F.regexp_replace(text, r"(\.[0-9]{3})[0-9]+", "$1")
+    return F.when(text.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}([T ][0-9]{2}:|$)"), cut.try_cast("timestamp"))
 
 
 # F2 -- null-propagating concatenation (string ``+`` of the alert rules).

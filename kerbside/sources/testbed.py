@@ -16,7 +16,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from kerbside.functions.scalars import isoformat, lap_event_id, pit_event_id, pit_stop_id
+from kerbside.functions.scalars import iso_to_ts, isoformat, lap_event_id, pit_event_id, pit_stop_id
 from kerbside.session import checkpoint_dir, ensure_utc
 from kerbside.sources.tables import load
 
@@ -257,7 +257,7 @@ def event_messages(spark: SparkSession, sf_dir: str, laps_df: DataFrame | None =
     return ev.select(
         F.col("event_id").alias("key"), value.alias("value"), F.lit(EVENTS_TOPIC).alias("topic"),
         (dn % TOPIC_PARTITIONS).cast("int").alias("partition"), offset.alias("offset"),
-        F.try_to_timestamp(F.substring(F.replace(F.col("event_ts_utc"), F.lit("T"), F.lit(" ")), 1, 23)).alias("timestamp"))
+        iso_to_ts("event_ts_utc").alias("timestamp"))
 
 
 def transaction_messages(spark: SparkSession, sf_dir: str) -> DataFrame:

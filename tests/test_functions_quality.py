@@ -47,3 +47,18 @@ def test_progress_offsets_and_falling_behind(spark):
                               "name string, batch_ts timestamp, duration_ms long, checked_at timestamp")
     r = quality.falling_behind(m, 30000).first()
     assert r.falling_behind and r.stalled
+
+
+def test_iso_times_with_zones_and_fractions(spark):
+    noon = dt.datetime(2024, 3, 1, 12)
+    cases = {"2024-03-01T12:00:00+00:00": noon, "2024-03-01T12:00:00Z": noon, "2024-03-01 12:00:00": noon,
+             "2024-03-01T14:00:00+02:00": noon, "2024-03-01T14:00:00+0200": noon, "2024-03-01T06:30:00.250000-05:30":
+             noon + dt.timedelta(milliseconds=250), "junk": None, "T12:00": None, "2024-02-30T10:00:00": None, "": None}
+    for digits in range(1, 10):
+        text = "123456789"[:digits]
+        ms = int((text + "00")[:3])
+        for zone in ("", "Z", "+00:00"):
+            cases[f"2024-03-01T12:00:00.{text}{zone}"] = noon + dt.timedelta(milliseconds=ms)
+    df = spark.createDataFrame([(k,) for k in cases] + [(None,)], "s string")
+    got = {r.s: r.t for r in df.select("s", S.iso_to_ts("s").alias("t")).collect()}
+    assert got == {**cases, None: None}
