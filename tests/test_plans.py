@@ -4,7 +4,7 @@ Python UDF, and scans read only the columns they need."""
 import pytest
 
 import __spark_entry__ as entry
-from conftest import SMALL
+from paths import SMALL
 from kerbside.plans.catalog import QUERIES as BASE
 
 BANNED = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython")
@@ -41,3 +41,10 @@ def test_trend_over_sessions_spans_ranges(spark, monkeypatch):
     for d in ("A", "B"):
         for i in range(0, 30, 3):
             assert got[d, f"S{i}"] == (None if i == 0 else i * i - (i - 3) ** 2)
+
+
+@pytest.mark.parametrize("name,parses", [("p2_parsed_telemetry", 1), ("q2_parse_loss", 2)])
+def test_messages_are_parsed_once(spark, name, parses):
+    df = entry.queries()[name](spark, SMALL)
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json(") == parses, plan[:3000]
