@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbside.llm import (ann, embedding_dedup, html_wrappers, jaccard_join, language_id, mixing, packing,
-                          substring_dedup, toxicity, warc)
+from kerbside.llm import (ann, cuckoo_dedup, embedding_dedup, html_wrappers, jaccard_join, language_id, merkle, mixing,
+                          packing, substring_dedup, token_alignment, toxicity, warc)
+from kerbside.llm.common import cut_key
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -72,9 +73,26 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_and_read(table(spark, sf_dir, "pages"))
 
 
+#: Rows of op11 whose texts are tampered with: one in so many by the checksum of their ids.
+TAMPERED_ONE_IN = 5
+
+
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verify(table(spark, sf_dir, "documents"), cut_key() % TAMPERED_ONE_IN == 0)
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.align(table(spark, sf_dir, "documents"))
+
+
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = cuckoo_dedup.dedup(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_mixture, op2_packing, op3_language, op4_neighbours, op5_main_text, op6_embedding_dedup, op7_substring_dedup,
-    op8_jaccard_join, op9_toxicity, op10_warc)}
+    op8_jaccard_join, op9_toxicity, op10_warc, op11_merkle, op12_token_alignment, op13_exact_dedup)}
 
 
 def _level_sql(k: int) -> str:
@@ -125,6 +143,69 @@ _WARC_SQL = f"""WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS n, sha2
   CASE WHEN n >= {warc.MIN_REVISIT} AND first < page_id THEN 'revisit' ELSE 'response' END AS record_type,
   CASE WHEN n >= {warc.MIN_REVISIT} AND first < page_id THEN first END AS refers_to FROM f"""
 
+#: Levels that the SQL of op11 can climb: 16^6 leaves a source, 16^4 sources.
+_LEAF_LEVELS, _TOP_LEVELS = 6, 4
+
+
+def _field_sql(x: str) -> str:
+    return f"coalesce(strlen({x}) || ':' || {x}, '-')"
+
+
+def _leaf_sql(text: str) -> str:
+    fields = ["doc_id::VARCHAR", "source", "lang", "n_chars::VARCHAR", text]
+    return f"sha256({' || '.join(_field_sql(x) for x in fields)})"
+
+
+def _crc32_sql(x: str) -> str:
+    """The unsigned checksum of a text of ASCII characters: eight steps (-1) after each character's code."""
+    codes = f"flatten(list_transform(string_split({x}, ''), lambda c: [ascii(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))"
+    step = "CASE WHEN k >= 0 THEN xor(c, k) ELSE xor(c >> 1, CASE WHEN c & 1 = 1 THEN 3988292384 ELSE 0 END) END"
+    return f"xor(list_reduce(list_concat([4294967295::BIGINT], {codes}), lambda c, k: {step}), 4294967295)"
+
+
+def _levels_sql(name: str, most: int) -> str:
+    """The levels over ``name``0 (tree, idx, n, digest)."""
+    a = merkle.ARITY
+    return ", ".join(f"""{name}{k} AS (SELECT tree, idx // {a} AS idx, (n + {a - 1}) // {a} AS n, sha256(string_agg(digest, '' ORDER BY idx)) AS digest,
+  list(digest ORDER BY idx) AS run FROM {name}{k - 1} WHERE n > 1 GROUP BY tree, idx // {a}, (n + {a - 1}) // {a})""" for k in range(1, most + 1))
+
+
+def _climb_sql(start: str, name: str, most: int, out: str) -> str:
+    """``out``: the rows of ``start`` (tree, idx, now, others) with the siblings (_s) and the fold (now) of all levels."""
+    a, parts, last = merkle.ARITY, [], start
+    for k in range(1, most + 1):
+        slot = f"(p.idx // {a ** (k - 1)}) % {a}"
+        left, right = f"array_to_string(run[1:{slot}], '')", f"array_to_string(run[{slot} + 2:], '')"
+        parts.append(f"""{out}{k} AS (SELECT p.* REPLACE (CASE WHEN run IS NULL THEN now ELSE sha256({left} || now || {right}) END AS now,
+   CASE WHEN run IS NULL THEN _s ELSE _s || {left} || {right} END AS _s)
+  FROM {last} p LEFT JOIN {name}{k} l ON l.tree = p.tree AND l.idx = p.idx // {a ** k})""")
+        last = f"{out}{k}"
+    return ", ".join(parts)
+
+
+_MERKLE_SQL = f"""WITH d AS (SELECT doc_id, coalesce('+' || source, '') AS tree, {_leaf_sql('text')} AS leaf,
+   CASE WHEN {_crc32_sql('doc_id::VARCHAR')} % {TAMPERED_ONE_IN} = 0 THEN {_leaf_sql(f"translate(text, '{merkle.UPPER}', '{merkle.LOWER}')")}
+    ELSE {_leaf_sql('text')} END AS now FROM documents),
+ p0 AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx, count(*) OVER (PARTITION BY tree) AS n,
+   '' AS _s FROM d),
+ l0 AS (SELECT tree, idx, n, leaf AS digest FROM p0),
+ {_levels_sql('l', _LEAF_LEVELS)},
+ roots AS ({' UNION ALL '.join(f'SELECT tree, digest FROM l{k} WHERE n = 1' for k in range(_LEAF_LEVELS + 1))}),
+ r AS (SELECT tree AS name, digest, row_number() OVER (ORDER BY tree) - 1 AS idx, count(*) OVER () AS n FROM roots),
+ t0 AS (SELECT '' AS tree, idx, n, digest FROM r),
+ {_levels_sql('t', _TOP_LEVELS)},
+ root AS ({' UNION ALL '.join(f'SELECT digest FROM t{k} WHERE n = 1' for k in range(_TOP_LEVELS + 1))}),
+ {_climb_sql('p0', 'l', _LEAF_LEVELS, 'p')},
+ q0 AS (SELECT p.doc_id, p.leaf, p.now, p._s, r.digest AS subroot, '' AS tree, r.idx FROM p{_LEAF_LEVELS} p JOIN r ON r.name = p.tree),
+ {_climb_sql('q0', 't', _TOP_LEVELS, 'q')}
+ SELECT doc_id, leaf, subroot, digest AS root, sha256(_s) AS proof_sha256, now AS folded_root, now = digest AS verified
+ FROM q{_TOP_LEVELS}, root"""
+
+_DEDUP_SQL = """WITH d AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS t, length(coalesce(text, '')) AS n FROM documents),
+ k AS (SELECT *, sha256(t) AS text_sha256, count(*) OVER (PARTITION BY t) AS group_size, row_number() OVER o AS place,
+   first_value(doc_id) OVER o AS keep_id FROM d WINDOW o AS (PARTITION BY t ORDER BY n DESC, doc_id NULLS LAST))
+ SELECT doc_id, keep_id, group_size::BIGINT AS group_size, place = 1 AS kept, text_sha256 FROM k"""
+
 #: The other operators use trained models, min-hash values, graphs or token ids, which SQL cannot express (or, like the
 #: exact Jaccard join of all texts, not at an acceptable cost); their tests compare them with brute force.
-ORACLE = {"op1_mixture": _MIXTURE_SQL, "op10_warc": _WARC_SQL}
+ORACLE = {"op1_mixture": _MIXTURE_SQL, "op10_warc": _WARC_SQL, "op11_merkle": _MERKLE_SQL, "op13_exact_dedup": _DEDUP_SQL}
