@@ -3,9 +3,8 @@
 Every text is tokenised whole by both. Where a token of A and a token of B that begin with a space start at the
 same byte, all tokens before end together: an anchor, verified by the byte offsets, never assumed. Anchors
 split a document into windows, pairs of id tuples, and equal windows are aligned alike wherever they occur,
-so a window's alignment is remembered by its ids. Inside a window two pointers walk over the token ends: an
-end that both share closes a group, and every stretch between two neighbouring ends is one link, the pair of
-tokens that lie over it.
+so a window's alignment is remembered by its ids. Inside a window an end that both share closes a group, and
+every stretch between two neighbouring ends is one link, the pair of tokens that lie over it.
 
 How often an id pair is linked in all texts needs a count over the table, and the counts must come back to
 the documents. Documents are handled in blocks of bounded text. A block emits its documents (figures, and the
@@ -23,6 +22,7 @@ each. An empty table gives no rows; a null doc_id stays null; other columns are
 from __future__ import annotations
 
 import hashlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,8 +35,10 @@ from kerbside.llm.common import give_back, stored, text_batches
 VOCABULARY_A, VOCABULARY_B = "byte_bpe_50k.tiktoken", "piece_bpe_32k.model"
 #: Characters and documents of a block, about: it is closed when it reaches either.
 BLOCK_CHARS, BLOCK_DOCS = 8_000_000, 4096
-#: Windows of more tokens are aligned but not remembered; a worker remembers so many at most.
-MEMO_TOKENS, MEMO_WINDOWS = 24, 150_000
+#: Characters of documents that are aligned together, about.
+PART_CHARS = 500_000
+#: Windows of more tokens are aligned but not remembered; beyond so many, a worker forgets them all and begins anew.
+MEMO_TOKENS, MEMO_WINDOWS = 24, 300_000
 
 _ROWS = pa.schema([("block", pa.int64()), ("doc_id", pa.int64()), ("n_a", pa.int64()), ("n_b", pa.int64()), ("n_groups", pa.int64()),
                    ("n_links", pa.int64()), ("groups_sha256", pa.string()), ("pairs", pa.binary()), ("times", pa.binary()),
@@ -55,7 +57,7 @@ class Vocabulary:
         self.spaced = np.array([t[:1] == b" " for t in tokens], bool)
 
     def joined(self, ids: list[int]) -> bytes:
-        return b"".join([self.tokens[i] for i in ids])
+        return b"".join(map(self.tokens.__getitem__, ids))
 
 
 class BytePairs(Vocabulary):
@@ -74,6 +76,9 @@ class BytePairs(Vocabulary):
     def encode(self, text: str) -> list[int]:
         return self.coder.encode_ordinary(" " + text)
 
+    def joined(self, ids: list[int]) -> bytes:
+        return self.coder.decode_bytes(ids)
+
 
 class Pieces(Vocabulary):
     def __init__(self, name: str = VOCABULARY_B):
@@ -92,69 +97,99 @@ class Pieces(Vocabulary):
         return self.coder.encode(text)
 
 
-def aligned(a: tuple, b: tuple, a_lengths, b_lengths) -> tuple[int, tuple, str]:
-    """A window's groups: how many, the id pair (a << 32 | b) of each link in order, and ``a1,a2|b1;...``."""
-    pairs, groups = [], []
-    i = j = first_a = first_b = 0
-    end_a, end_b = a_lengths[a[0]], b_lengths[b[0]]
-    while True:
-        pairs.append(a[i] << 32 | b[j])
-        if end_a < end_b:
-            i += 1
-            end_a += a_lengths[a[i]]
-        elif end_b < end_a:
-            j += 1
-            end_b += b_lengths[b[j]]
-        else:
-            i, j = i + 1, j + 1
-            groups.append(f"{','.join(map(str, a[first_a:i]))}|{','.join(map(str, b[first_b:j]))}")
-            if i == len(a):
-                return len(groups), tuple(pairs), ";".join(groups)
-            first_a, first_b = i, j
-            end_a += a_lengths[a[i]]
-            end_b += b_lengths[b[j]]
+#: Ids of B in a window's ids begin here.
+B_FROM = 1 << 20
 
 
 class Aligner:
     def __init__(self, a: Vocabulary | None = None, b: Vocabulary | None = None):
         self.a, self.b = a or BytePairs(), b or Pieces()
-        self.memo: dict[tuple, tuple] = {}
-        self.a_lengths, self.b_lengths = self.a.lengths.tolist(), self.b.lengths.tolist()
-
-    def windows(self, a: list[int], b: list[int]) -> tuple[list[int], list[int]]:
+        size = len(self.a.tokens)
+        self.names = np.array([str(i) for i in (*range(size), *range(len(self.b.tokens)))], object)
+        #: alignments by the bytes of a window's ids, A's and then B's from B_FROM on: groups, links, text
+        self.memo: dict[bytes, tuple[int, bytes, str]] = {}
+
+    def aligned(self, windows: list[bytes]) -> Iterator[tuple[int, bytes, str]]:
+        """Each window's groups: how many, the id pair (a << 32 | b) of each link in order as 64-bit numbers, and
+        ``a1,a2|b1;...``. The windows are laid end to end, so that one pass over the token ends does for all."""
+        ids = np.frombuffer(b"".join(windows), np.uint32)
+        window = np.repeat(np.arange(len(windows)), [len(w) // 4 for w in windows])
+        of_b = ids >= B_FROM
+        a, b = ids[~of_b].astype(np.int64), ids[of_b].astype(np.int64) - B_FROM
+        ends_a, ends_b = np.cumsum(self.a.lengths[a]), np.cumsum(self.b.lengths[b])
+        ends = np.zeros((2, ends_a[-1] + 1), bool)
+        ends[0, ends_a] = True
+        ends[1, ends_b] = True
+        # links: every stretch up to an end lies in the token of A and the token of B that end there or next
+        stretch = np.flatnonzero(ends[0] | ends[1])
+        in_a, in_b = np.searchsorted(ends_a, stretch), np.searchsorted(ends_b, stretch)
+        links = (a[in_a] << 32 | b[in_b]).tobytes()
+        cuts = np.concatenate([[0], np.cumsum(np.bincount(window[~of_b][in_a], minlength=len(windows)))]) * 8
+        # groups: a token's is the number of shared ends before its own end
+        shared = ends[0] & ends[1]
+        before = np.cumsum(shared)
+        group = np.concatenate([before[ends_a - 1] * 2, before[ends_b - 1] * 2 + 1])
+        groups = np.bincount(window[~of_b][shared[ends_a]], minlength=len(windows))
+        order = np.argsort(group, kind="stable")
+        group, place = group[order], np.concatenate([window[~of_b], window[of_b]])[order]
+        after = np.full(len(order), ",", object)
+        last = np.append(group[1:] != group[:-1], True)
+        after[last] = "|"
+        after[last & (group % 2 == 1)] = ";"
+        after[np.append(place[1:] != place[:-1], True)] = "\n"
+        text = np.empty(2 * len(order), object)
+        text[::2] = self.names[np.concatenate([a, b + len(self.a.tokens)])[order]]
+        text[1::2] = after
+        cuts = cuts.tolist()
+        return zip(groups.tolist(), [links[x:y] for x, y in zip(cuts, cuts[1:])], "".join(text.tolist()).split("\n"))
+
+    def windows(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Where windows begin among the tokens of A and of B, and the two lengths at the end."""
-        at_a, at_b = np.array(a), np.array(b)
-        ends_a, ends_b = np.cumsum(self.a.lengths[at_a]), np.cumsum(self.b.lengths[at_b])
-        # starts of tokens that begin with a space, but the first: its start is the document's
-        marked_a = np.flatnonzero(self.a.spaced[at_a[1:]]) + 1
-        marked_b = np.flatnonzero(self.b.spaced[at_b[1:]]) + 1
-        _, in_a, in_b = np.intersect1d(ends_a[marked_a - 1], ends_b[marked_b - 1], assume_unique=True, return_indices=True)
-        return [0, *marked_a[in_a].tolist(), len(a)], [0, *marked_b[in_b].tolist(), len(b)]
-
-    def align(self, text: str | None) -> tuple[int, int, int, str, list[int]] | None:
-        """n_a, n_b, n_groups, the groups' text and the id pairs of all links; None for a text without tokens."""
+        starts_a, starts_b = np.cumsum(self.a.lengths[a]), np.cumsum(self.b.lengths[b])  # of the next tokens
+        marked_a, marked_b = self.a.spaced[a[1:]], self.b.spaced[b[1:]]
+        there = np.zeros((2, starts_a[-1] + 1), bool)
+        there[0, starts_a[:-1][marked_a]] = True
+        there[1, starts_b[:-1][marked_b]] = True
+        both = there[0] & there[1]  # a token of either that begins with a space starts here
+        return (np.concatenate([[0], np.flatnonzero(marked_a & both[starts_a[:-1]]) + 1, [len(a)]]),
+                np.concatenate([[0], np.flatnonzero(marked_b & both[starts_b[:-1]]) + 1, [len(b)]]))
+
+    def tokens(self, text: str | None) -> tuple[int, int, list[bytes]] | None:
+        """n_a, n_b and the windows of a text; None for a text without tokens."""
         if not text:
             return None
         a, b = self.a.encode(text), self.b.encode(text)
         whole = b" " + text.encode()
         if self.a.joined(a) != whole or self.b.joined(b) != whole:
             return None
-        n, pairs, groups = 0, [], []
-        a, b, memo = tuple(a), tuple(b), self.memo
+        a, b = (np.frombuffer(array("I", x), np.uint32) for x in (a, b))
         at_a, at_b = self.windows(a, b)
-        for i, k, j, m in zip(at_a, at_a[1:], at_b, at_b[1:]):
-            window = a[i:k], b[j:m]
-            found = memo.get(window)
-            if found is None:
-                found = aligned(*window, self.a_lengths, self.b_lengths)
-                if k - i + m - j <= MEMO_TOKENS:
-                    if len(memo) >= MEMO_WINDOWS:
-                        memo.clear()
-                    memo[window] = found
-            n += found[0]
-            pairs += found[1]
-            groups.append(found[2])
-        return len(a), len(b), n, ";".join(groups), pairs
+        # the ids of each window side by side
+        ids = np.empty(len(a) + len(b), np.uint32)
+        ids[np.arange(len(a)) + np.repeat(at_b[:-1], np.diff(at_a))] = a
+        ids[np.arange(len(b)) + np.repeat(at_a[1:], np.diff(at_b))] = b + np.uint32(B_FROM)
+        raw, cuts = ids.tobytes(), ((at_a + at_b) * 4).tolist()
+        return len(a), len(b), [raw[x:y] for x, y in zip(cuts, cuts[1:])]
+
+    def align(self, texts: list[str | None]) -> Iterator[tuple[int, int, int, str, np.ndarray] | None]:
+        """Per text n_a, n_b, n_groups, the groups' text and the id pairs of all links; None for a text without tokens."""
+        memo = self.memo
+        if len(memo) >= MEMO_WINDOWS:
+            memo.clear()
+        tokens = [self.tokens(t) for t in texts]
+        new = list({w for t in tokens if t for w in t[2] if w not in memo})
+        if new:
+            memo.update(zip(new, self.aligned(new)))
+        for t in tokens:
+            if t is None:
+                yield None
+            else:
+                found = list(map(memo.__getitem__, t[2]))
+                links = np.frombuffer(b"".join([f[1] for f in found]), np.int64)
+                yield t[0], t[1], sum([f[0] for f in found]), ";".join([f[2] for f in found]), links
+        for w in new:
+            if len(w) > 4 * MEMO_TOKENS:
+                del memo[w]
 
 
 class Block:
@@ -174,7 +209,7 @@ class Block:
         else:
             n_a, n_b, n_groups, groups, links = done
             self.rows.append((doc_id, n_a, n_b, n_groups, len(links), hashlib.sha256(groups.encode()).hexdigest()))
-            pairs, times = np.unique(np.array(links, np.int64), return_counts=True)
+            pairs, times = np.unique(links, return_counts=True)
         self.pairs.append(pairs)
         self.times.append(times)
 
@@ -219,6 +254,16 @@ def batch(n: int, **columns) -> pa.RecordBatch:
                                       schema=_ROWS)
 
 
+def parts(ids: list, texts: list) -> Iterator[tuple[list, list]]:
+    """Documents that are aligned together: as many as bring about PART_CHARS characters, one at least."""
+    start = chars = 0
+    for k, text in enumerate(texts):
+        chars += len(text or "")
+        if chars >= PART_CHARS or k == len(texts) - 1:
+            yield ids[start:k + 1], texts[start:k + 1]
+            start, chars = k + 1, 0
+
+
 def blocks(docs: DataFrame) -> DataFrame:
     """The documents and id pairs of all blocks, as rows of ``ROWS``."""
     text_batches(docs.sparkSession)
@@ -229,9 +274,9 @@ def blocks(docs: DataFrame) -> DataFrame:
         aligner, block = Aligner(), Block()
         number = TaskContext.get().partitionId() << 32
         for frame in frames:
-            for doc_id, text in zip(frame.column(0), frame.column(1)):
-                text = text.as_py()
-                block.add(doc_id.as_py(), text, aligner.align(text))
+            for ids, texts in parts(frame.column(0).to_pylist(), frame.column(1).to_pylist()):
+                for doc_id, text, done in zip(ids, texts, aligner.align(texts)):
+                    block.add(doc_id, text, done)
                 if block.full():
                     yield from block.rows_of(number)
                     block, number = Block(), number + 1

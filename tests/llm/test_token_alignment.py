@@ -4,6 +4,7 @@ import hashlib
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 from llm_tables import documents, frame
 
@@ -90,6 +91,8 @@ def test_equals_brute_force(spark, tokenizers):
 def test_small_blocks_give_the_same(spark, tokenizers, monkeypatch):
     monkeypatch.setattr(T, "BLOCK_DOCS", 3)
     monkeypatch.setattr(T, "MEMO_WINDOWS", 10)
+    monkeypatch.setattr(T, "MEMO_TOKENS", 3)
+    monkeypatch.setattr(T, "PART_CHARS", 700)
     check(spark, tokenizers, [r for r in documents(30) if r[1] is None or len(r[1]) < 3000])
 
 
@@ -118,17 +121,16 @@ def test_windows_are_anchored_and_remembered():
     aligner = T.Aligner()
     text = "the river runs under the river runs"
     a, b = aligner.a.encode(text), aligner.b.encode(text)
-    at_a, at_b = aligner.windows(a, b)
+    at_a, at_b = aligner.windows(np.array(a), np.array(b))
     assert len(at_a) == len(at_b) == 8
     for i, j in zip(at_a[:-1], at_b[:-1]):
         assert aligner.a.spaced[a[i]] and aligner.b.spaced[b[j]]
         assert aligner.a.lengths[a[:i]].sum() == aligner.b.lengths[b[:j]].sum()
-    aligner.align(text)
+    list(aligner.align([text, None, text]))
     assert len(aligner.memo) == 4  # the, river, runs, under
 
 
 def test_packed_numbers():
-    import numpy as np
     for x in ([], [0], [5, 6, 300, 70000], [0, 1 << 20]):
         x = np.array(x, np.int64)
         assert (T.summed(T.deltas(x)) == x).all() and (T.large(T.small(x)) == x).all()
