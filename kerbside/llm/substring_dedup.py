@@ -16,8 +16,10 @@ in every copy. Neighbouring stretches with one anchor are a block. A block that
 anchor has several different blocks, the first of each is opened and its stretches are compared one by one. Of a
 stretch that overlaps its own first occurrence only the words behind that go.
 
-A hot passage is one key of the grouping, which is pre-aggregated, and of the join back to the runs,
-where both sides are shuffled from stored tables so that adaptive execution splits the key.
+Texts are read once for runs and blocks. What is found in a few megabytes of text travels as packed columns, one row
+for each bucket of hashes, and a bucket's occurrences meet sorted in one task; buckets are as many as the texts need.
+Of the occurrences inside one such part of the table all but the first are known to be later at once, so a passage
+that a third of all documents share comes to its bucket once a part.
 
 Definitions: null text stays null, empty text stays empty; a text shorter than a span is never touched;
 a text that loses every unit becomes ''. Rows with the same doc_id and text are one occurrence (none of
@@ -36,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kerbside.llm.common import shield, stored, text_batches
+from kerbside.llm.common import give_back, shield, stored, text_batches
 
 MIN_UNITS = 3
 MIN_WORDS = 30
@@ -46,41 +48,68 @@ PASSAGE_WORDS, SHINGLE = 50, 20
 #: One word in so many ends a sentence by its own hash.
 CUT_ONE_IN = 16
 
+#: Characters of texts whose occurrences are packed together, and of the texts whose hashes share a bucket, about.
+PART_CHARS, BUCKET_CHARS = 3_000_000, 16_000_000
+
 WORD = re.compile(r"\S+")
 STOP = re.compile(r"[.!?…。！？][\"'»”’)\]]*$")
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
+#: What a word's low bits tell in a parse: whether it begins in upper or lower case, ends a sentence, or is a cut by its hash.
+UPPER, LOWER, STOPS, CUTS = (np.uint64(1 << k) for k in range(4))
+_HASH = ~np.uint64(15)
+
+
+class Words(dict):
+    """Hash (of the lower-case word) and marks of a word; begins anew when it has grown large."""
+
+    MOST = 150_000
+
+    def __missing__(self, word: str) -> int:
+        if len(self) >= self.MOST:
+            self.clear()
+        h = xxhash.xxh3_64_intdigest(word.lower())
+        first = word[0]
+        marks = (first.isupper() | first.islower() << 1 | (not word[-1].isalnum() and STOP.search(word) is not None) << 2
+                 | (h % CUT_ONE_IN == 0) << 3)
+        found = self[word] = h & ~15 | marks
+        return found
+
+
+def parse(texts: list[str], known: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of all words of the texts, the first word of each unit, and the first word of each text (and their number)."""
+    words: list[str] = []
+    lines, texts_at = [], []
+    for text in texts:
+        texts_at.append(len(words))
+        for line in text.split("\n"):
+            here = line.split()
+            if here:
+                lines.append(len(words))
+                words += here
+    found = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+    texts_at = np.array([*texts_at, len(words)])
+    new = np.zeros(len(words), bool)
+    new[lines] = True
+    new[1:] |= (found[:-1] & STOPS > 0) | (found[:-1] & LOWER > 0) & (found[1:] & UPPER > 0)
+    # a cut needs four words before it since the unit's start, which an earlier cut may be
+    at = np.flatnonzero(~new & (found & CUTS > 0))
+    starts = np.flatnonzero(new)
+    last = -1
+    for word, start in zip(at.tolist(), starts[np.searchsorted(starts, at) - 1].tolist() if len(at) else []):
+        if word - max(start, last) >= 4:
+            new[word] = True
+            last = word
+    return found & _HASH, np.flatnonzero(new), texts_at
+
+
 def units(text: str) -> tuple[list[int], np.ndarray, np.ndarray]:
     """Offsets where units start (a unit reaches to the next one's start), words and hash of each."""
-    starts, words, hashes = [], [], []
-    own: list[str] = []
-    last, last_end, stopped, lower_before = "", 0, True, False
-
-    def close() -> None:
-        if own:
-            words.append(len(own))
-            hashes.append(xxhash.xxh3_64_intdigest(" ".join(own)))
-            own.clear()
-
-    for m in WORD.finditer(text):
-        word = m.group()
-        first = word[0]
-        new = (stopped or "\n" in text[last_end:m.start()]
-               or (lower_before and first.isupper()))
-        low = word.lower()
-        if not new and len(own) >= 4 and xxhash.xxh3_64_intdigest(low) % CUT_ONE_IN == 0:
-            new = True
-        if new:
-            close()
-            starts.append(m.start())
-        own.append(low)
-        tail = word[-1]
-        stopped = not tail.isalnum() and STOP.search(word) is not None
-        lower_before = first.islower()
-        last_end = m.end()
-    close()
-    return starts, np.array(words, np.int64), np.array(hashes, np.uint64)
+    hashes, starts, _ = parse([text], Words())
+    at = [m.start() for m in WORD.finditer(text)]
+    ends = np.append(starts[1:], len(hashes)) if len(starts) else starts
+    return [at[k] for k in starts], ends - starts, run_hashes(hashes, starts, ends)
 
 
 def run_hashes(hashes: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
@@ -100,28 +129,30 @@ def run_hashes(hashes: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.nda
     return value
 
 
-def spans(words: np.ndarray, hashes: np.ndarray, min_units: int = MIN_UNITS, min_words: int = MIN_WORDS,
-          long_words: int = LONG_WORDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """First unit, end unit and hash of each distinct shortest run that starts or ends at a unit."""
+def spans(words: np.ndarray, hashes: np.ndarray, firsts: np.ndarray | None = None, min_units: int = MIN_UNITS,
+          min_words: int = MIN_WORDS, long_words: int = LONG_WORDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First unit, end unit and hash of each distinct shortest run that starts or ends at a unit. ``firsts``: the first
+    units of several texts, and the number of units; a run lies in one text."""
     n = len(words)
     if not n:
         none = np.zeros(0, np.int64)
         return none, none, np.zeros(0, np.uint64)
+    firsts = np.array([0, n]) if firsts is None else firsts
+    low, high = (np.repeat(x, np.diff(firsts)) for x in (firsts[:-1], firsts[1:]))
     total = np.concatenate([[0], np.cumsum(words)])
     at = np.arange(n)
     # shortest run from i: enough units and words, or many words
     end = np.minimum(np.maximum(np.searchsorted(total, total[:-1] + min_words), at + min_units),
                      np.searchsorted(total, total[:-1] + long_words))
-    forward = np.stack([at, end])[:, end <= n]
+    forward = np.stack([at, end])[:, end <= high]
     # shortest run that ends before unit j (exclusive end j = 1..n)
     stop = at + 1
     begin = np.maximum(np.minimum(np.searchsorted(total, total[1:] - min_words, side="right") - 1, stop - min_units),
                        np.searchsorted(total, total[1:] - long_words, side="right") - 1)
-    backward = np.stack([begin, stop])[:, begin >= 0]
+    backward = np.stack([begin, stop])[:, begin >= low]
     codes = np.unique(np.concatenate([forward[0] * (n + 1) + forward[1], backward[0] * (n + 1) + backward[1]]))
     runs = np.stack(np.divmod(codes, n + 1))
-    value = run_hashes(hashes, runs[0], runs[1])
-    return runs[0], runs[1], value
+    return runs[0], runs[1], run_hashes(hashes, runs[0], runs[1])
 
 
 def sliding(x: np.ndarray, width: int, best) -> np.ndarray:
@@ -133,124 +164,240 @@ def sliding(x: np.ndarray, width: int, best) -> np.ndarray:
     return best(x[:len(x) - (width - done)], x[width - done:]) if width > done else x
 
 
-def word_hashes(text: str) -> np.ndarray:
-    return np.array([xxhash.xxh3_64_intdigest(w) for w in text.lower().split()], np.uint64)
-
-
-def blocks_of(hashes: np.ndarray, passage_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Anchor, hash, first stretch and number of stretches of each block of a text's words."""
+def blocks_of(hashes: np.ndarray, texts_at: np.ndarray, passage_words: int) -> tuple[np.ndarray, ...]:
+    """Anchor, hash, first stretch (its first word) and number of stretches of each block of the texts' words."""
+    n = len(hashes) - passage_words + 1
+    if n < 1:
+        none = np.zeros(0, np.int64)
+        return none.astype(np.uint64), none.astype(np.uint64), none, none
     at = np.arange(len(hashes) - SHINGLE + 1)
     shingles = run_hashes(hashes, at, at + SHINGLE)
     order = np.argsort(shingles, kind="stable")  # of equal hashes the leftmost
     rank = np.empty_like(order)
     rank[order] = at
     where = order[sliding(rank, passage_words - SHINGLE + 1, np.minimum)]
-    begin = np.concatenate([[0], np.flatnonzero(where[1:] != where[:-1]) + 1])
-    end = np.append(begin[1:], len(where))
-    return shingles[where[begin]], run_hashes(hashes, begin, end - 1 + passage_words), begin, end - begin
-
-
-def find_blocks(docs: DataFrame, passage_words: int) -> DataFrame:
-    """All blocks of all documents: anchor, hash, id, key and first stretch, number of stretches."""
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            parts = []
-            for d, k, t in zip(frame["d"], frame["k"], frame["t"]):
-                words = word_hashes(t)
-                if len(words) >= passage_words:
-                    anchor, block, begin, n = blocks_of(words, passage_words)
-                    parts.append((anchor.view(np.int64), block.view(np.int64), np.full(len(n), d),
-                                  (np.int64(k) << np.int64(32)) + begin, n))
-            if parts:
-                anchor, block, d, at, n = (np.concatenate(x) for x in zip(*parts))
-                yield pd.DataFrame({"anchor": anchor, "block": block, "d": d, "at": at, "n": n.astype(np.int32)})
-
-    return docs.mapInPandas(run, "anchor long, block long, d long, at long, n int")
-
-
-def find_passages(docs: DataFrame, passage_words: int) -> DataFrame:
-    """The stretches of ``passage_words`` words that occur before: id, key, and first and end word of the words to
-    be cut."""
-    rows = docs.select(F.col("_span_d").alias("d"), F.col("_span_k").alias("k"), F.col("text").alias("t")).where("t <> ''")
-    blocks = stored(find_blocks(rows, passage_words), "substring-blocks")
-    often = stored(blocks.groupBy("anchor").count().where("count > 1").select("anchor"), "substring-anchors")
-    found = stored(blocks.join(often, "anchor"), "substring-blocks-found")
-    first = stored(found.groupBy("anchor", "block").agg(F.min(F.struct("d", "at")).alias("first"), F.max("n").alias("n")),
-                   "substring-blocks-first")
-    again = (found.join(first.drop("n"), ["anchor", "block"]).where("struct(d, at) <> first")
-             .select("d", "at", "first", "n"))
-    several = stored(first.groupBy("anchor").count().where("count > 1").select("anchor"), "substring-anchors-several")
-    opened = stored(first.join(several, "anchor").select("first.d", F.shiftright("first.at", 32).cast("int").alias("k"),
-                                                         F.col("first.at").bitwiseAND(0xFFFFFFFF).cast("int").alias("a"), "n")
-                    .groupBy("d", "k").agg(F.collect_list("a").alias("a"), F.collect_list("n").alias("n")), "substring-opened")
+    # stretches that lie in one text; the anchor's place tells texts apart
+    whole = np.repeat(texts_at[1:], np.diff(texts_at))[:n] >= at[:n] + passage_words
+    start = np.flatnonzero(whole)
+    if not len(start):
+        return shingles[:0], shingles[:0], start, start
+    where = where[start]
+    first = np.concatenate([[0], np.flatnonzero(where[1:] != where[:-1]) + 1])
+    begin, length = start[first], np.diff(np.append(first, len(start)))
+    return shingles[where[first]], run_hashes(hashes, begin, begin + length - 1 + passage_words), begin, length
+
+
+#: Kinds of packed rows: runs, blocks and stretches to be compared; runs and words that are cut; stretches to be opened.
+RUN, BLOCK, STRETCH, CUT_RUN, CUT_WORDS, OPEN = range(6)
+PACKED = "bucket int, kind int, n int, data binary"
+FOUND = "d long, k int, kind int, data binary"
+_COLUMNS = {"key": "<u8", "block": "<u8", "d": "<i8", "k": "<i4", "a": "<i4", "b": "<i4"}
+
+
+def pack(columns: dict[str, np.ndarray]) -> bytes:
+    return b"".join(columns[c].astype(kind).tobytes() for c, kind in _COLUMNS.items())
+
+
+def unpack(n: list[int], data: list[bytes]) -> dict[str, np.ndarray]:
+    """The columns of several packed rows, one after the other."""
+    out, parts = {}, {c: [] for c in _COLUMNS}
+    for rows, raw in zip(n, data):
+        at = 0
+        for c, kind in _COLUMNS.items():
+            parts[c].append(np.frombuffer(raw, kind, rows, at))
+            at += rows * int(kind[-1])
+    for c, kind in _COLUMNS.items():
+        out[c] = np.concatenate(parts[c]) if parts[c] else np.zeros(0, kind)
+    return out
+
+
+def first_of(rows: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The order of the rows by key, block and place, and for each row in that order the place of its group's first."""
+    order = np.lexsort((rows["a"], rows["k"], rows["d"], rows["block"], rows["key"]))
+    new = np.ones(len(order), bool)
+    key, block = rows["key"][order], rows["block"][order]
+    new[1:] = (key[1:] != key[:-1]) | (block[1:] != block[:-1])
+    return order, np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))
+
+
+def later(rows: dict[str, np.ndarray], kind: int, passage_words: int) -> tuple[dict[str, np.ndarray], dict[str, np.ndarray]]:
+    """(Cuts, the rest): the rows that come after the first with their key and block, as what they cut; and the others.
+    ``rest`` also has ``group``, the number of its key and block."""
+    order, first = first_of(rows)
+    rows = {c: v[order] for c, v in rows.items()}
+    same_text = (rows["d"] == rows["d"][first]) & (rows["k"] == rows["k"][first])
+    after = ~(same_text & (rows["a"] == rows["a"][first]))
+    cuts = {c: v[after] for c, v in rows.items()}
+    if kind != RUN:  # a and b are the first word and the number of stretches; the first occurrence's words stay
+        kept = np.where(same_text, rows["a"][first] + passage_words, 0)[after]
+        cuts["b"] = cuts["a"] + cuts["b"] - 1 + passage_words
+        cuts["a"] = np.maximum(cuts["a"], kept)
+        some = cuts["a"] < cuts["b"]
+        cuts = {c: v[some] for c, v in cuts.items()}
+    return cuts, {c: v[~after] for c, v in rows.items()}
+
+
+def dealt(rows: dict[str, np.ndarray], kind: int, buckets: int, passage_words: int) -> Iterator[tuple]:
+    """Packed rows of one part. What is surely later, whatever comes from other parts, is cut already: all runs after the
+    part's first, and the blocks and stretches after one in another text."""
+    order, first = first_of(rows)
+    rows = {c: v[order] for c, v in rows.items()}
+    other = (rows["d"] != rows["d"][first]) | (rows["k"] != rows["k"][first])
+    gone = other | (rows["a"] != rows["a"][first]) if kind == RUN else other
+    done = {c: v[gone] for c, v in rows.items()}
+    if kind != RUN:
+        done["b"] = done["a"] + done["b"] - 1 + passage_words
+    bucket = (rows["key"] % np.uint64(buckets)).astype(np.int64)
+    for what, which, these in ((CUT_RUN if kind == RUN else CUT_WORDS, bucket[gone], done),
+                               (kind, bucket[~gone], {c: v[~gone] for c, v in rows.items()})):
+        order = np.lexsort((these["d"], which))
+        cut = np.flatnonzero(np.diff(which[order], prepend=-1))
+        for x, y in zip(cut, [*cut[1:], len(order)]):
+            part = {c: v[order[x:y]] for c, v in these.items()}
+            yield int(which[order[x]]), what, int(y - x), pack(part)
+
+
+def parts(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The rows anew, as frames of about PART_CHARS characters of ``t``, one row at least."""
+    held, chars = [], 0
+    for frame in frames:
+        lengths = frame["t"].str.len().to_numpy()
+        start = 0
+        for k, n in enumerate(lengths):
+            chars += n
+            if chars >= PART_CHARS:
+                yield pd.concat([*held, frame.iloc[start:k + 1]])
+                held, start, chars = [], k + 1, 0
+        held.append(frame.iloc[start:])
+    if sum(map(len, held)):
+        yield pd.concat(held)
+
+
+def packed(work):
+    """A function for ``mapInPandas``: ``work`` on each part, which gives packed rows."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            parts = []
-            for d, k, t, a, n in zip(frame["d"], frame["k"], frame["t"], frame["a"], frame["n"]):
-                words = word_hashes(t)
-                at = np.concatenate([np.arange(x, x + y) for x, y in zip(a, n)])
-                h = run_hashes(words, at, at + passage_words)
-                parts.append((h.view(np.int64), np.full(len(at), d), (np.int64(k) << np.int64(32)) + at))
-            if parts:
-                h, d, at = (np.concatenate(x) for x in zip(*parts))
-                yield pd.DataFrame({"hash": h, "d": d, "at": at})
-
-    stretches = stored(rows.join(opened, ["d", "k"]).mapInPandas(run, "hash long, d long, at long"), "substring-stretches")
-    earliest = stored(stretches.groupBy("hash").agg(F.count("*").alias("n"), F.min(F.struct("d", "at")).alias("first"))
-                      .where("n > 1").select("hash", "first"), "substring-stretches-first")
-    later = (stretches.join(earliest, "hash").where("struct(d, at) <> first")
-             .select("d", "at", "first", F.lit(1).alias("n")).unionByName(again))
-    begin, same = F.col("at").bitwiseAND(0xFFFFFFFF), F.expr("d = first.d and shiftright(at, 32) = shiftright(first.at, 32)")
-    kept = F.when(same, F.col("first.at").bitwiseAND(0xFFFFFFFF) + passage_words).otherwise(0)
-    return later.select(F.col("d").alias("_span_d"), F.shiftright("at", 32).cast("int").alias("_span_k"),
-                        F.greatest(begin, kept).cast("int").alias("a"),
-                        (begin + F.col("n") - 1 + passage_words).cast("int").alias("b"))
-
-
-def find_runs(docs: DataFrame) -> DataFrame:
-    """All runs of all documents (_span_d, _span_k, text): hash, id, key and first unit, end unit."""
+        known = Words()
+        for part in parts(frames):
+            rows = list(work(part, known))
+            if rows:
+                yield pd.DataFrame(rows, columns=["bucket", "kind", "n", "data"])
+        del known
+        give_back()
+
+    return run
+
+
+def find_runs(docs: DataFrame, buckets: int, passage_words: int | None) -> DataFrame:
+    """Packed runs, and blocks of stretches of ``passage_words``, of all documents (d, k, t)."""
+
+    def work(part: pd.DataFrame, known: Words) -> Iterator[tuple]:
+        hashes, starts, texts_at = parse(part["t"].tolist(), known)
+        d, k = part["d"].to_numpy(), part["k"].to_numpy()
+        firsts = np.searchsorted(starts, texts_at)
+        ends = np.append(starts[1:], len(hashes))[:len(starts)]
+        a, b, key = spans(ends - starts, run_hashes(hashes, starts, ends), firsts)
+        of = np.searchsorted(firsts, a, side="right") - 1
+        yield from dealt({"key": key, "block": np.zeros(len(a), np.uint64), "d": d[of], "k": k[of], "a": a - firsts[of],
+                          "b": b - firsts[of]}, RUN, buckets, 0)
+        if passage_words is not None:
+            anchor, block, begin, n = blocks_of(hashes, texts_at, passage_words)
+            of = np.searchsorted(texts_at, begin, side="right") - 1
+            yield from dealt({"key": anchor, "block": block, "d": d[of], "k": k[of], "a": begin - texts_at[of], "b": n},
+                             BLOCK, buckets, passage_words)
+
+    return docs.mapInPandas(packed(work), PACKED)
+
+
+def find_stretches(opened: DataFrame, buckets: int, passage_words: int) -> DataFrame:
+    """Packed single stretches of the opened blocks (d, k, t, data)."""
+
+    def work(part: pd.DataFrame, known: Words) -> Iterator[tuple]:
+        hashes, _, texts_at = parse(part["t"].tolist(), known)
+        rows = {c: [] for c in ("d", "k", "a")}
+        for d, k, data, first in zip(part["d"], part["k"], part["data"], texts_at):
+            a, n = np.frombuffer(b"".join(data), "<i4").reshape(-1, 2).T
+            at = np.unique(np.repeat(a, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n))
+            for c, v in zip(rows, (np.full(len(at), d), np.full(len(at), k), at + first)):
+                rows[c].append(v)
+        rows = {c: np.concatenate(v) for c, v in rows.items()}
+        key = run_hashes(hashes, rows["a"], rows["a"] + passage_words)
+        rows["a"] = rows["a"] - texts_at[np.searchsorted(texts_at, rows["a"], side="right") - 1]
+        yield from dealt({**rows, "key": key, "block": np.zeros(len(key), np.uint64), "b": np.ones(len(key), np.int64)},
+                         STRETCH, buckets, passage_words)
+
+    return opened.mapInPandas(packed(work), PACKED)
+
+
+def resolve(rows: DataFrame, buckets: int, passage_words: int) -> DataFrame:
+    """Of packed rows what is cut from each text, and which of its blocks must be opened: rows (d, k, kind, data), one for a
+    text, kind and bucket."""
+
+    def by_text(kind: int, rows: dict[str, np.ndarray]) -> pd.DataFrame:
+        order = np.lexsort((rows["k"], rows["d"]))
+        d, k = rows["d"][order], rows["k"][order]
+        pairs = np.stack([rows["a"][order], rows["b"][order]], axis=1).astype("<i4")
+        cut = np.flatnonzero(np.append(True, (d[1:] != d[:-1]) | (k[1:] != k[:-1]))) if len(d) else []
+        raw = pairs.tobytes()
+        return pd.DataFrame({"d": d[cut], "k": k[cut], "kind": np.int32(kind),
+                             "data": [raw[x * 8:y * 8] for x, y in zip(cut, [*cut[1:], len(d)])]})
+
+    def work(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        for kind, part in frame.groupby("kind"):
+            rows = unpack(part["n"].tolist(), part["data"].tolist())
+            if kind in (CUT_RUN, CUT_WORDS):
+                out.append(by_text(kind, rows))
+                continue
+            cuts, rest = later(rows, kind, passage_words)
+            out.append(by_text(CUT_RUN if kind == RUN else CUT_WORDS, cuts))
+            if kind == BLOCK:  # blocks of anchors that have several: rows are in the order of anchors
+                anchor, block = rest["key"], rest["block"]
+                new = np.append(True, (anchor[1:] != anchor[:-1]) | (block[1:] != block[:-1])) if len(anchor) else np.zeros(0, bool)
+                rest = {c: v[new] for c, v in rest.items()}
+                _, back, n = np.unique(rest["key"], return_inverse=True, return_counts=True)
+                out.append(by_text(OPEN, {c: v[n[back] > 1] for c, v in rest.items()}))
+        return pd.concat(out)
+
+    return rows.repartition(buckets, "bucket").groupBy("bucket").applyInPandas(work, FOUND)
+
+
+def find_cuts(docs: DataFrame, passage_words: int | None) -> DataFrame:
+    """What is cut from the documents (_span_d, _span_k, text): rows (d, k, kind, data)."""
     text_batches(docs.sparkSession)
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            parts = []
-            for d, k, t in zip(frame["d"], frame["k"], frame["t"]):
-                _, words, hashes = units(t)
-                a, b, h = spans(words, hashes)
-                if len(a):
-                    parts.append((np.full(len(a), d), (np.int64(k) << np.int64(32)) + a, b, h.view(np.int64)))
-            if parts:
-                d, at, b, h = (np.concatenate(x) for x in zip(*parts))
-                yield pd.DataFrame({"hash": h, "d": d, "at": at, "b": b.astype(np.int32)})
-
     rows = docs.select(F.col("_span_d").alias("d"), F.col("_span_k").alias("k"), F.col("text").alias("t")).where("t <> ''")
-    return rows.mapInPandas(run, "hash long, d long, at long, b int")
-
-
-def remove(text: str, covered: list[tuple[int, int]], passages: list[tuple[int, int]] = ()) -> tuple[str, int]:
+    chars = rows.agg(F.sum(F.length("t"))).first()[0] or 0
+    buckets = 1 + chars // BUCKET_CHARS
+    found = stored(resolve(find_runs(rows, buckets, passage_words), buckets, passage_words or 0), "substring-found")
+    cuts = found.where(F.col("kind") != OPEN)
+    if passage_words is None:
+        return cuts
+    opened = found.where(F.col("kind") == OPEN).groupBy("d", "k").agg(F.collect_list("data").alias("data"))
+    stretches = find_stretches(rows.join(opened, ["d", "k"]), buckets, passage_words)
+    return cuts.unionByName(stored(resolve(stretches, buckets, passage_words), "substring-stretches"))
+
+
+def inside(runs: np.ndarray, n: int) -> np.ndarray:
+    """Which of ``n`` items the runs (first, end) cover."""
+    gone = np.zeros(n + 1, np.int64)
+    np.add.at(gone, runs[:, 0], 1)
+    np.add.at(gone, runs[:, 1], -1)
+    return np.cumsum(gone)[:-1] > 0
+
+
+def remove(text: str, covered: np.ndarray, passages: np.ndarray, known: Words) -> tuple[str, int]:
     """The text without the units in the covered runs and the words of the passages, and how many units lost words."""
-    starts, words, _ = units(text)
-
-    def inside(runs: list[tuple[int, int]], n: int) -> np.ndarray:
-        gone = np.zeros(n + 1, np.int64)
-        for a, b in runs:
-            gone[a] += 1
-            gone[b] -= 1
-        return np.cumsum(gone)[:-1] > 0
-
-    out = inside(covered, len(words))
-    if len(passages):
-        unit = np.repeat(np.arange(len(words)), words)
-        gone = out[unit] | inside(passages, len(unit))
-        lost = len(np.unique(unit[gone]))
-        starts, out = [m.start() for m in WORD.finditer(text)], gone
-    else:
-        lost = int(out.sum())
-    ends = [*starts[1:], len(text)]
-    kept = [text[s:e] for s, e, g in zip(starts, ends, out) if not g]
-    return "".join(kept).rstrip() if kept else "", lost
+    _, starts, (_, n) = parse([text], known)
+    unit = np.zeros(n, np.int64)
+    unit[starts[1:]] = 1
+    unit = np.cumsum(unit)
+    gone = inside(covered, len(starts))[unit] | inside(passages, n)
+    at = [m.start() for m in WORD.finditer(text)]
+    at.append(len(text))
+    # stretches of words that stay
+    edge = np.flatnonzero(np.diff(np.concatenate([[True], gone, [True]])))
+    kept = [text[at[x]:at[y]] for x, y in edge.reshape(-1, 2).tolist()]
+    return "".join(kept).rstrip(), len(np.unique(unit[gone]))
 
 
 def dedup(docs: DataFrame, passage_words: int | None = None) -> DataFrame:
@@ -259,26 +406,19 @@ def dedup(docs: DataFrame, passage_words: int | None = None) -> DataFrame:
     least = F.lit(-(1 << 63)).cast("long")
     # the text's hash tells rows with one id apart; rows that agree in id and text are one occurrence
     keyed = docs.withColumn("_span_d", F.coalesce(F.col("doc_id").cast("long"), least)).withColumn("_span_k", F.hash("text"))
-    runs = stored(find_runs(keyed), "substring-runs")
-    often = stored(runs.groupBy("hash").count().where("count > 1").select("hash"), "substring-often")
-    found = stored(runs.join(often, "hash"), "substring-found")
-    first = stored(found.groupBy("hash").agg(F.min(F.struct("d", "at")).alias("first")), "substring-first")
-    later = found.join(first, "hash").where("struct(d, at) <> first")
-    # `at` holds the text's hash and the first unit
-    cuts = later.select(F.col("d").alias("_span_d"), F.shiftright("at", 32).cast("int").alias("_span_k"),
-                        F.col("at").bitwiseAND(0xFFFFFFFF).cast("int").alias("a"), "b", F.lit(False).alias("exact"))
-    if passage_words is not None:
-        passages = find_passages(keyed, passage_words).where("a < b")
-        cuts = cuts.unionByName(passages.withColumn("exact", F.lit(True)))
-    cut = F.struct("a", "b")
-    covered = cuts.groupBy("_span_d", "_span_k").agg(F.collect_set(F.when(~F.col("exact"), cut)).alias("_span_cut"),
-                                                     F.collect_set(F.when(F.col("exact"), cut)).alias("_span_words"))
+    data = lambda kind: F.collect_list(F.when(F.col("kind") == kind, F.col("data")))
+    covered = (find_cuts(keyed, passage_words).groupBy(F.col("d").alias("_span_d"), F.col("k").alias("_span_k"))
+               .agg(data(CUT_RUN).alias("_span_cut"), data(CUT_WORDS).alias("_span_words")))
+    pairs = lambda x: np.frombuffer(b"".join(x), "<i4").reshape(-1, 2)
 
     @F.pandas_udf("text string, gone int")
-    def cleaned(texts: pd.Series, runs: pd.Series, passages: pd.Series) -> pd.DataFrame:
-        rows = [(t, 0) if r is None else remove(t, [(x["a"], x["b"]) for x in r], [(x["a"], x["b"]) for x in p])
-                for t, r, p in zip(texts, runs, passages)]
-        return pd.DataFrame(rows, columns=["text", "gone"])
+    def cleaned(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        known = Words()
+        for texts, runs, passages in batches:
+            rows = [(t, 0) if r is None else remove(t, pairs(r), pairs(p), known) for t, r, p in zip(texts, runs, passages)]
+            yield pd.DataFrame(rows, columns=["text", "gone"])
+        del known
+        give_back()
 
     cleaned = cleaned.asNondeterministic()  # else a filter on the result makes Spark cut every text twice
     joined = keyed.join(covered, ["_span_d", "_span_k"], "left").withColumn("_span_done", cleaned("text", "_span_cut", "_span_words"))
