@@ -400,15 +400,19 @@ def samples_from_bronze(telemetry: DataFrame) -> DataFrame:
         "tyre_compound", F.col("offset").alias("copy_no"))
 
 
-def gold_fact_lap(telemetry_parsed: DataFrame, events_parsed: DataFrame) -> DataFrame:
-    """A12 end to end from bronze: clean + dedup samples, as-of lap match on the
-    event-time clock, lap facts with payload times."""
-    lp = laps_from_events(events_parsed)
-    raw = samples_from_bronze(telemetry_parsed)
-    m = asof_forward_join(clean_telemetry(raw), lp, carry=["tyre_compound"]) \
+def facts_of(samples: DataFrame, laps: DataFrame, events: DataFrame) -> DataFrame:
+    """A12 from clean samples, the lap table and parsed events: as-of lap match on the event-time clock, lap facts with
+    payload times."""
+    m = asof_forward_join(samples, laps, carry=["tyre_compound"]) \
         .drop("lap_number", "tyre_compound") \
         .withColumnRenamed("asof_lap_number", "lap_number").withColumnRenamed("asof_tyre_compound", "tyre_compound")
-    return fact_lap(m, events_parsed, compound_per_lap=True)
+    return fact_lap(m, events, compound_per_lap=True)
+
+
+def gold_fact_lap(telemetry_parsed: DataFrame, events_parsed: DataFrame) -> DataFrame:
+    """A12 end to end from bronze: cleaned, deduplicated samples matched with the laps of the events."""
+    samples = clean_telemetry(samples_from_bronze(telemetry_parsed))
+    return facts_of(samples, laps_from_events(events_parsed), events_parsed)
 
 
 # ------------------------------------------------------------------ interval join (J5 periods)

@@ -289,13 +289,16 @@ def g5_edges(spark, sf_dir):
     return round_doubles(_edges(spark, sf_dir)[1])
 
 
-@register("g5_nodes", f"""{_L},
+NODES_SQL = f"""{_L},
  drv AS (SELECT driver_id, min(team_id) AS team_id FROM laps GROUP BY 1)
  SELECT driver_id AS id, 'Driver' AS label, team_id, NULL::BIGINT AS drivers, NULL::INT AS lap_number, NULL::BIGINT AS lap_time_ms,
   NULL::VARCHAR AS tyre_compound FROM drv
  UNION ALL SELECT session_id, 'Session', NULL, count(DISTINCT driver_id), NULL, NULL, NULL FROM laps GROUP BY 1
  UNION ALL SELECT team_id, 'Team', NULL, count(*), NULL, NULL, NULL FROM drv GROUP BY 1
- UNION ALL SELECT concat_ws('/', session_id, driver_id, lap_number::VARCHAR), 'Lap', NULL, NULL, lap_number, lap_time_ms, tyre_compound FROM laps""")
+ UNION ALL SELECT concat_ws('/', session_id, driver_id, lap_number::VARCHAR), 'Lap', NULL, NULL, lap_number, lap_time_ms, tyre_compound FROM laps"""
+
+
+@register("g5_nodes", NODES_SQL)
 def g5_nodes(spark, sf_dir):
     return _edges(spark, sf_dir)[0]
 

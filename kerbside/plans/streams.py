@@ -11,14 +11,14 @@ from pyspark.sql import functions as F
 
 from kerbside.operators import alerts, windows
 from kerbside.plans import alert_sql, oracle as O
-from kerbside.plans.ingest import _ISO, _MSG_SQL
-from kerbside.plans.race import _ASOF, _EDGES, _FACT_LAP, _GRAPH, _LT, _VALID
+from kerbside.plans.ingest import _EVT_SQL, _ISO, _MSG_SQL
+from kerbside.plans.race import _ASOF, _EDGES, _FACT_LAP, _GRAPH, _L, _LT, _VALID, NODES_SQL
 from kerbside.plans.registry import register, round_doubles
 from kerbside.session import checkpoint_dir
 from kerbside.sources import envelope, testbed
 from kerbside.sources.schemas import ENVELOPE_SCHEMA, RACE_EVENT_SCHEMA, TELEMETRY_SCHEMA
 from kerbside.sources.tables import load
-from kerbside.streaming import analytics, bronze, gold
+from kerbside.streaming import analytics, bronze, checkpoints, closed_laps, gold, lap_events, versions
 
 
 def _folder(spark: SparkSession) -> str:
@@ -142,8 +142,9 @@ def _run_gold(spark: SparkSession, sf_dir: str) -> str:
     _bronze(spark, sf_dir, base, topics)
     tel, ev = (f"{base}/bronze/{bronze.table_name(t, 'parsed')}" for t in topics)
     ids = [spark.readStream.schema("session_id string").parquet(p) for p in (tel, ev)]
+    versions.publish(testbed.drivers(spark, sf_dir, testbed.stored_laps(spark, sf_dir)), f"{base}/drivers", 0)
     gold.start_gold(spark, gold.touched_sessions(*ids), tel, ev, f"{base}/gold", f"{base}/gold-checkpoint",
-                    available_now=True).awaitTermination()
+                    available_now=True, drivers_path=f"{base}/drivers").awaitTermination()
     return f"{base}/gold"
 
 
@@ -153,12 +154,18 @@ def k7_stream_gold_fact_lap(spark, sf_dir):
     return round_doubles(spark.read.parquet(f"{_gold(spark, sf_dir)}/fact_lap").drop("generated_at", "stint_id"))
 
 
-@register("k8_stream_gold_edges", f"{_EDGES}\n SELECT src, dst, rel, session_id, lap_number, weight FROM edges WHERE rel <> 'RACES_FOR'")
+@register("k8_stream_gold_edges", f"{_EDGES}\n SELECT src, dst, rel, session_id, lap_number, weight FROM edges")
 def k8_stream_gold_edges(spark, sf_dir):
     out = spark.read.parquet(f"{_gold(spark, sf_dir)}/edges")
     return out.select("src", "dst", "rel", "session_id", "lap_number", "weight")
 
 
+@register("k8_stream_gold_nodes", NODES_SQL)
+def k8_stream_gold_nodes(spark, sf_dir):
+    """K8: nodes merged by bucket, as the newest manifest has them."""
+    return versions.read_merged(spark, f"{_gold(spark, sf_dir)}/nodes").drop("seen_batch")
+
+
 @register("g13_stream_passes", f"""{_GRAPH},
  q AS (SELECT *, lead(lap_number) OVER w AS nl, lead(gap_ms) OVER w AS ng, lead(behind_next_pos < ahead_next_pos) OVER w AS np
   FROM pairs WINDOW w AS (PARTITION BY session_id, ahead_id, behind_id ORDER BY lap_number))
@@ -178,3 +185,82 @@ def w8_stream_anomalies(spark, sf_dir):
     """W8 on the stream; sample times of the log are turned back into session times."""
     out = spark.read.parquet(f"{_gold(spark, sf_dir)}/speed_anomalies")
     return round_doubles(out.withColumn("t_ms", F.col("t_ms") - testbed.session_start_ms("session_id")))
+
+
+# ------------------------------------------------------------------ streams joined, enriched and kept as state
+def _parsed_stream(spark: SparkSession, sf_dir: str, base: str, topic: str, schema) -> DataFrame:
+    """A topic's log, landed as files and read as a stream of parsed messages."""
+    path = f"{base}/landing/{topic}"
+    _log(spark, sf_dir, topic).write.mode("ignore").parquet(path)
+    raw = envelope.raw_view(spark.readStream.schema(ENVELOPE_SCHEMA).parquet(path))
+    return envelope.parsed_view(raw, schema, topic)
+
+
+_ENDS = f"""{_L},
+ ends AS (SELECT *, make_timestamp((1709294400000 + CAST(substr(session_id, 2) AS BIGINT) * 3600000 + cum_ms) * 1000) AS lap_end FROM laps)"""
+
+
+@register("j5_stream_laps_events", f"""{_ENDS},
+ cut AS (SELECT least(max(lap_end), max(lap_end) FILTER (WHERE pit)) - INTERVAL 5 MINUTE AS t FROM ends)
+ SELECT session_id, driver_id, lap_number, lap_end, pit::BIGINT AS pit_stops, CASE WHEN pit THEN pit_duration_ms::BIGINT END AS pit_time_ms,
+  pit::BIGINT AS events FROM ends, cut WHERE pit OR lap_end < t""")
+def j5_stream_laps_events(spark, sf_dir):
+    """Two streams of the race events' topic, left-joined within a time bound; laps without an event come out when the
+    watermark has passed their bound."""
+    base = _folder(spark)
+    ends, others = (_parsed_stream(spark, sf_dir, base, testbed.EVENTS_TOPIC, RACE_EVENT_SCHEMA) for _ in range(2))
+    joined = lap_events.laps_with_events(lap_events.laps_stream(ends), lap_events.events_stream(others))
+    _run(joined, "append", base, _append)
+    return lap_events.per_lap(spark.read.parquet(f"{base}/out")).drop("penalty_seconds")
+
+
+@register("r12_stream_closed_laps", round_doubles.sql(f"""{_LT},\n {_VALID},\n {_ASOF},\n {_FACT_LAP},
+ e AS (SELECT session_id, driver_id, lap_number, 1709294400000 + CAST(substr(session_id, 2) AS BIGINT) * 3600000 + cum_ms AS lap_end_ms FROM laps)
+ SELECT session_id, driver_id, lap_number, lap_end_ms, lap_time_ms, avg_speed_kph, max_speed_kph, min_speed_kph, tyre_compound, fuel_used_kg,
+  battery_delta_pct, samples FROM fact_lap JOIN e USING (session_id, driver_id, lap_number)
+ WHERE lap_end_ms <= (SELECT max(lap_end_ms) FROM e) - 120000""", ["avg_speed_kph", "min_speed_kph", "max_speed_kph", "fuel_used_kg",
+                                                                   "battery_delta_pct"]))
+def r12_stream_closed_laps(spark, sf_dir):
+    """Lap facts from keyed state, each emitted when its lap is closed."""
+    base = _folder(spark)
+    tel = _parsed_stream(spark, sf_dir, base, testbed.TELEMETRY_TOPIC, TELEMETRY_SCHEMA)
+    ev = _parsed_stream(spark, sf_dir, base, testbed.EVENTS_TOPIC, RACE_EVENT_SCHEMA)
+    with closed_laps.configured(spark):
+        _run(closed_laps.closed_laps(closed_laps.open_rows(tel, ev)), "append", base, _append)
+    return round_doubles(spark.read.parquet(f"{base}/out").drop("batch"))
+
+
+@register("j4_stream_enriched", f"""{_L}
+ SELECT session_id, driver_id, lap_number, CASE WHEN driver_id = 'D19' THEN 'UNKNOWN' ELSE team_id END AS team_id FROM laps""")
+def j4_stream_enriched(spark, sf_dir):
+    """Laps with the team from the dimension version that is newest when the batch runs; one driver is unknown."""
+    base = _folder(spark)
+    drivers = testbed.drivers(spark, sf_dir, testbed.stored_laps(spark, sf_dir))
+    versions.publish(drivers.withColumn("team_id", F.lit("OLD")), f"{base}/drivers", 0)
+    versions.publish(drivers.where("driver_id <> 'D19'"), f"{base}/drivers", 1)
+    laps = _parsed_stream(spark, sf_dir, base, testbed.EVENTS_TOPIC, RACE_EVENT_SCHEMA).where("event_type = 'LAP_COMPLETION'")
+    write = versions.enriching_writer(spark, f"{base}/drivers", "driver_id", {"team_id": "UNKNOWN"},
+                                      lambda batch, n: _append(batch, f"{base}/out/batch={n}"))
+    (laps.select("session_id", "driver_id", "lap_number").writeStream.option("checkpointLocation", f"{base}/checkpoint")
+     .trigger(availableNow=True).foreachBatch(write).start().awaitTermination())
+    return spark.read.parquet(f"{base}/out").drop("batch")
+
+
+@register("q3_committed_offsets", f"""{_EVT_SQL},
+ m AS (SELECT "offset" % 5 < 3 AS was FROM evm)
+ SELECT 'race.events' AS topic, count(*) AS landed, count(*) FILTER (was) AS committed, 0::BIGINT AS lost, count(*) FILTER (NOT was) AS lag FROM m""")
+def q3_committed_offsets(spark, sf_dir):
+    """Q3 + Q4: what the bronze job has committed by its checkpoint, what of it the raw table lacks, and what was landed
+    after its last batch."""
+    base, topic = _folder(spark), testbed.EVENTS_TOPIC
+    log = _log(spark, sf_dir, topic)
+    log.where("offset % 5 < 3").write.parquet(f"{base}/landing")
+    for q in bronze.start_bronze(spark, {topic: RACE_EVENT_SCHEMA}, {}, f"{base}/bronze", f"{base}/checkpoints", path=f"{base}/landing",
+                                 available_now=True):
+        q.awaitTermination()
+    log.where("offset % 5 >= 3").write.mode("append").parquet(f"{base}/landing")
+    landed = spark.read.schema(ENVELOPE_SCHEMA).parquet(f"{base}/landing").select("topic", "partition", "offset",
+                                                                                  F.col("_metadata.file_path").alias("file"))
+    raw = gold.read_complete(spark, f"{base}/bronze/{bronze.table_name(topic, 'raw')}")
+    files = checkpoints.committed_files(spark, f"{base}/checkpoints/{bronze.table_name(topic, 'bronze')}")
+    return checkpoints.reconcile(landed, raw, files)

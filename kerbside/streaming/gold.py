@@ -10,20 +10,22 @@ written with dynamic partition overwrite by ``session_id``. A replayed batch, re
 messages or late telemetry rewrite the same partitions, so the job is idempotent and
 survives executor loss. Only bronze batches whose write is complete are read.
 
-Facts and edges of a session overwrite the session's partition. Nodes are upserted (K8)
-as versions: union of the current version and the batch's nodes, latest row per id,
-written as a new ``version=N`` folder.
+What several tables are derived from (laps, clean samples, race order, close pairs) is written once a batch to a work
+folder, which the batch deletes at its end. Facts and edges of a session overwrite the session's partition. Nodes with
+their properties are merged by bucket (K8, ``versions.merge``): a batch rewrites the buckets of its own nodes only.
 """
 
 from __future__ import annotations
 
 import os
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from kerbside.operators import graph, laps as L, quality
+from kerbside.streaming import versions
 
 # Gold trigger interval (design doc).
 GOLD_TRIGGER = "60 seconds"
@@ -34,51 +36,34 @@ def _write_sessions(df: DataFrame, path: str) -> None:
        .partitionBy("session_id").parquet(path))
 
 
-def gold_tables(telemetry: DataFrame, events: DataFrame) -> dict[str, DataFrame]:
-    """Gold facts from parsed bronze rows of some sessions (batch DataFrames)."""
-    telemetry = L.deduplicate(telemetry, ["partition", "offset"], "kafka_timestamp") \
-        if {"partition", "offset", "kafka_timestamp"} <= set(telemetry.columns) else telemetry
-    lp = L.laps_from_events(events)
+Keep = Callable[[DataFrame, str], DataFrame]
+
+
+def _as_is(df: DataFrame, name: str) -> DataFrame:
+    return df
+
+
+def gold_tables(telemetry: DataFrame, events: DataFrame, keep: Keep = _as_is) -> dict[str, DataFrame]:
+    """Gold facts from parsed bronze rows of some sessions (batch DataFrames). ``keep(df, name)`` may store what several
+    tables are derived from, and returns it. A message that was landed twice counts once: samples go by their time,
+    events by their id."""
+    lp = keep(L.laps_from_events(events), "laps")
+    samples = keep(L.clean_telemetry(L.samples_from_bronze(telemetry)), "samples")
     laps_w = lp.select("session_id", "driver_id", "lap_number", "lap_time_ms", "tyre_compound", "pit")
-    fact_lap = L.gold_fact_lap(telemetry, events)
     stints = L.with_stints(laps_w)
+    pos = keep(L.positions(laps_w), "lap_positions")
+    pairs = keep(graph.close_pairs(pos), "pairs")
+    fact_lap = keep(L.facts_of(samples, lp, events), "fact_lap")
     fact_stint = L.fact_stint(stints, fact_lap.select("session_id", "driver_id", "lap_number", "fuel_used_kg"))
-    pos = L.positions(laps_w)
-    pairs = graph.close_pairs(pos)
-    ovt = graph.overtakes(pairs)
-    btl = graph.battles(pairs)
     fact_lap = fact_lap.join(stints.select("session_id", "driver_id", "lap_number", "stint_id"),
                              ["session_id", "driver_id", "lap_number"], "left").withColumn(
         "generated_at", F.current_timestamp())
-    samples = L.clean_telemetry(L.samples_from_bronze(telemetry))
-    return {"fact_lap": fact_lap, "fact_stint": fact_stint, "fact_overtakes": ovt, "fact_battles": btl,
-            "lap_positions": pos, "speed_anomalies": quality.zscore_anomalies(samples),
+    return {"fact_lap": fact_lap, "fact_stint": fact_stint, "fact_overtakes": graph.overtakes(pairs),
+            "fact_battles": graph.battles(pairs), "lap_positions": pos,
+            "speed_anomalies": quality.zscore_anomalies(samples),
             "fact_passes": graph.pattern_close_alongside_ahead(pairs)}
 
 
-def upsert_versioned(spark: SparkSession, new_rows: DataFrame, path: str, key: list[str], order: str,
-                     version: int) -> None:
-    """K8 node upsert: latest row per key over (current version + new rows), written as
-    ``version=N``. Readers take the highest complete version."""
-    current = latest_version(spark, path)
-    merged = new_rows if current is None else current.unionByName(new_rows, allowMissingColumns=True)
-    out = L.latest_per_key(merged, key, [order])  # max(struct) aggregate, reduced map-side
-    out.write.mode("overwrite").parquet(os.path.join(path, f"version={version}"))
-
-
-def latest_version(spark: SparkSession, path: str) -> DataFrame | None:
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(jvm_path):
-        return None
-    versions = [int(s.getPath().getName().split("=", 1)[1]) for s in fs.listStatus(jvm_path)
-                if s.getPath().getName().startswith("version=")
-                and fs.exists(spark._jvm.org.apache.hadoop.fs.Path(s.getPath(), "_SUCCESS"))]
-    if not versions:
-        return None
-    return spark.read.parquet(os.path.join(path, f"version={max(versions)}"))
-
-
 def read_complete(spark: SparkSession, path: str) -> DataFrame:
     """A bronze table without the batch folders that a writer has not finished (no ``_SUCCESS``);
     tables without batch folders are read as they are."""
@@ -91,8 +76,9 @@ def read_complete(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("basePath", path).parquet(*done)
 
 
-def gold_edges(tables: dict[str, DataFrame]) -> DataFrame:
-    """Edges of the recomputed sessions: overtakes, battles, laps in order and their drivers."""
+def gold_edges(tables: dict[str, DataFrame], drivers: DataFrame | None = None) -> DataFrame:
+    """Edges of the recomputed sessions: overtakes, battles, laps in order and their drivers; with the driver dimension
+    (driver_id, team_id) also who races for which team, which belongs to no session."""
     lap = lambda no: F.concat_ws("/", "session_id", "driver_id", F.col(no).cast("string"))
 
     def rel(df, src, dst, name, lap_no, weight):
@@ -107,46 +93,74 @@ def gold_edges(tables: dict[str, DataFrame]) -> DataFrame:
                  c("lap_number"), F.lit(1.0)),
              rel(pos, lap("lap_number"), c("driver_id"), "COMPLETED_BY", c("lap_number"), F.lit(1.0)),
              rel(drove, c("driver_id"), c("session_id"), "DROVE_IN", F.lit(None), F.lit(1.0))]
+    if drivers is not None:
+        teams = drivers.where("team_id is not null").select("driver_id", "team_id", F.lit(None).cast("string").alias("session_id"))
+        parts.append(rel(teams, c("driver_id"), c("team_id"), "RACES_FOR", F.lit(None), F.lit(1.0)))
     edges = parts[0]
     for p in parts[1:]:
         edges = edges.unionByName(p)
     return edges
 
 
-def gold_nodes(pos: DataFrame, batch_id: int) -> DataFrame:
-    """Driver, Session and Lap nodes of the recomputed sessions, stamped with the batch."""
+NODES = ("id string, label string, team_id string, drivers bigint, lap_number int, lap_time_ms bigint, tyre_compound string, "
+         "seen_batch bigint")
+
+
+def gold_nodes(pos: DataFrame, batch_id: int, drivers: DataFrame | None = None) -> DataFrame:
+    """Driver, Session and Lap nodes of the recomputed sessions with their properties (a driver's team, a session's number
+    of drivers, a lap's number, time and compound), and the Team nodes of the driver dimension with their number of
+    drivers, all stamped with the batch."""
     lap = F.concat_ws("/", "session_id", "driver_id", F.col("lap_number").cast("string"))
-    rows = F.explode(F.array(F.struct(F.col("driver_id").alias("id"), F.lit("Driver").alias("label")),
-                             F.struct(F.col("session_id").alias("id"), F.lit("Session").alias("label")),
-                             F.struct(lap.alias("id"), F.lit("Lap").alias("label"))))
-    return pos.select(rows.alias("n")).select("n.id", "n.label").distinct().withColumn("seen_batch", F.lit(batch_id))
+    cast = {f.strip().split(" ")[0]: f.strip().split(" ")[1] for f in NODES.split(",")}
+
+    def node(df, label, **columns):
+        given = {"label": F.lit(label), "seen_batch": F.lit(batch_id), **columns}
+        return df.select(*[given.get(c, F.lit(None)).cast(kind).alias(c) for c, kind in cast.items()])
+
+    who = pos.select("driver_id").distinct()
+    who = (who.withColumn("team_id", F.lit(None).cast("string")) if drivers is None
+           else who.join(drivers.groupBy("driver_id").agg(F.min("team_id").alias("team_id")), "driver_id", "left"))
+    sessions = pos.select("session_id", "driver_id").distinct().groupBy("session_id").agg(F.count(F.lit(1)).alias("n"))
+    out = (node(who, "Driver", id=F.col("driver_id"), team_id=F.col("team_id"))
+           .unionByName(node(sessions, "Session", id=F.col("session_id"), drivers=F.col("n")))
+           .unionByName(node(pos, "Lap", id=lap, lap_number=F.col("lap_number"), lap_time_ms=F.col("lap_time_ms"),
+                             tyre_compound=F.col("tyre_compound"))))
+    if drivers is not None:
+        teams = drivers.where("team_id is not null").groupBy("team_id").agg(F.count_distinct("driver_id").alias("n"))
+        out = out.unionByName(node(teams, "Team", id=F.col("team_id"), drivers=F.col("n")))
+    return out
 
 
-def gold_writer(spark: SparkSession, bronze_telemetry: str, bronze_events: str, gold_base: str):
-    """The ``foreachBatch`` function: recompute the touched sessions from bronze."""
+def gold_writer(spark: SparkSession, bronze_telemetry: str, bronze_events: str, gold_base: str, drivers_path: str | None = None):
+    """The ``foreachBatch`` function: recompute the touched sessions from bronze. ``drivers_path``: a versioned dimension
+    (driver_id, team_id), read anew by each batch."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        work = os.path.join(gold_base, "_work", f"batch={batch_id}")
+
+        def keep(df: DataFrame, name: str) -> DataFrame:
+            df.write.mode("overwrite").parquet(os.path.join(work, name))
+            return spark.read.schema(df.schema).parquet(os.path.join(work, name))
+
         sessions = batch.select("session_id").where(F.col("session_id").isNotNull()).distinct().persist()
         try:
             if sessions.isEmpty():
                 return
+            drivers = versions.newest(spark, drivers_path) if drivers_path else None
             tel = read_complete(spark, bronze_telemetry).join(sessions, "session_id", "left_semi")
-            ev = read_complete(spark, bronze_events).join(sessions, "session_id", "left_semi")
-            tables = gold_tables(tel, ev)
+            ev = keep(read_complete(spark, bronze_events).join(sessions, "session_id", "left_semi"), "events")
+            tables = gold_tables(tel, ev, keep)
             for name, df in tables.items():
                 _write_sessions(df, os.path.join(gold_base, name))
-            # what follows reads the facts just written, not their derivation
-            # (a table may have no rows and so no files yet: its schema is declared)
-            stored = {name: spark.read.schema(tables[name].schema).parquet(os.path.join(gold_base, name))
-                      .join(sessions, "session_id", "left_semi")
-                      for name in ("fact_overtakes", "fact_battles", "lap_positions")}
-            _write_sessions(gold_edges(stored), os.path.join(gold_base, "edges"))
-            upsert_versioned(spark, gold_nodes(stored["lap_positions"], batch_id),
-                             os.path.join(gold_base, "nodes"), ["id", "label"], "seen_batch", batch_id)
+            _write_sessions(gold_edges(tables, drivers), os.path.join(gold_base, "edges"))
+            versions.merge(spark, gold_nodes(tables["lap_positions"], batch_id, drivers), os.path.join(gold_base, "nodes"),
+                           ["id", "label"], "seen_batch", batch_id)
             rejected = L.split_valid(L.samples_from_bronze(tel))[1]
             _write_sessions(rejected.where("session_id is not null"), os.path.join(gold_base, "quarantine"))
         finally:
             sessions.unpersist()
+            folder = spark._jvm.org.apache.hadoop.fs.Path(work)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
     return write
 
 
@@ -162,10 +176,10 @@ def touched_sessions(*streams: DataFrame) -> DataFrame:
 
 def start_gold(spark: SparkSession, touched: DataFrame, bronze_telemetry: str, bronze_events: str,
                gold_base: str, checkpoint: str, trigger: str = GOLD_TRIGGER,
-               available_now: bool = False) -> StreamingQuery:
+               available_now: bool = False, drivers_path: str | None = None) -> StreamingQuery:
     """S6 + R12: drive the gold recomputation from a stream whose rows name the sessions to
     recompute: a bronze stream, or ``touched_sessions`` of several."""
-    w = touched.writeStream.foreachBatch(gold_writer(spark, bronze_telemetry, bronze_events, gold_base))
+    w = touched.writeStream.foreachBatch(gold_writer(spark, bronze_telemetry, bronze_events, gold_base, drivers_path))
     w = w.option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=trigger)
     return w.start()

@@ -10,7 +10,7 @@ from paths import SMALL
 from kerbside.operators import alerts, laps as L, windows
 from kerbside.sources import envelope, testbed
 from kerbside.sources.schemas import ENVELOPE_SCHEMA, RACE_EVENT_SCHEMA, TELEMETRY_SCHEMA
-from kerbside.streaming import alerts as salerts, analytics, bronze, gold
+from kerbside.streaming import alerts as salerts, analytics, bronze, gold, versions
 
 
 def _write_chunks(df, path, order_col, chunks=4):
@@ -230,7 +230,7 @@ def test_batch_writers_are_idempotent_on_replay(spark, tmp_path):
     first = spark.read.parquet(str(tmp_path / "gold" / "fact_lap")).count()
     g(batch, 3)
     assert spark.read.parquet(str(tmp_path / "gold" / "fact_lap")).count() == first > 0
-    nodes = spark.read.parquet(str(tmp_path / "gold" / "nodes" / "version=3"))
+    nodes = versions.read_merged(spark, str(tmp_path / "gold" / "nodes"))
     assert nodes.where("label = 'Driver'").count() == batch.select("driver_id").distinct().count()
     assert nodes.where("label = 'Lap'").count() == lp.count()
 
