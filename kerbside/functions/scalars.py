@@ -115,3 +115,29 @@ def lower_columns(df: DataFrame) -> DataFrame:
 # F18 -- unit harmonisation.
 def kph_to_ms(c: str | Column) -> Column:
     return col_of(c) / F.lit(3.6)
+
+
+#: Fixed values: (from, to) -> factor and what is added then.
+UNITS = {("kph", "m/s"): (1 / 3.6, 0.0), ("kph", "mph"): (1 / 1.609344, 0.0), ("mph", "kph"): (1.609344, 0.0), ("m/s", "kph"): (3.6, 0.0),
+         ("c", "f"): (1.8, 32.0), ("c", "k"): (1.0, 273.15), ("f", "c"): (1 / 1.8, -32 / 1.8), ("bar", "kpa"): (100.0, 0.0),
+         ("bar", "psi"): (14.503773773, 0.0), ("psi", "bar"): (1 / 14.503773773, 0.0), ("kg", "lb"): (1 / 0.45359237, 0.0),
+         ("lb", "kg"): (0.45359237, 0.0), ("deg", "rad"): (0.017453292519943295, 0.0), ("ms", "s"): (0.001, 0.0), ("s", "ms"): (1000.0, 0.0)}
+
+
+def to_unit(c: str | Column, unit: str, to: str) -> Column:
+    """A value in another unit; null and NaN stay what they are."""
+    if unit == to:
+        return col_of(c).cast("double")
+    if (unit, to) not in UNITS:
+        raise ValueError(f"no conversion from {unit} to {to}")
+    factor, added = UNITS[unit, to]
+    out = col_of(c).cast("double") * F.lit(factor)
+    return out + F.lit(added) if added else out
+
+
+def harmonised(df: DataFrame, units: dict[str, tuple[str, str]]) -> DataFrame:
+    """columns by name with the unit they are in and the one they are to be in; others as they are."""
+    missing = [c for c in units if c not in df.columns]
+    if missing:
+        raise ValueError(f"no columns {missing}")
+    return df.select(*[to_unit(c, *units[c]).alias(c) if c in units else F.col(c) for c in df.columns])

@@ -287,3 +287,69 @@ def rivalry_communities(btl: DataFrame, threshold: float = 0.5) -> DataFrame:
         labels = moved.drop("changed")
         if moved.where("changed").isEmpty():
             return labels
+
+
+def lsh_links(btl: DataFrame, threshold: float = 0.5, tables: int = 24, features: int = 1 << 18) -> DataFrame:
+    """``rivalry_links`` by min-hash LSH: a driver's opponents become a binary vector, two drivers are candidates when one of
+    ``tables`` min-hash values agrees (a pair at the threshold is missed with a chance of (1 - threshold)^tables, 6e-8),
+    and candidates are verified on their whole sets. Drivers of different sessions have no element in common, as the
+    session is part of it."""
+    from pyspark.ml.feature import HashingTF, MinHashLSH
+    from pyspark.ml.functions import vector_to_array
+
+    both = (btl.select("session_id", F.col("driver_a").alias("driver_id"), F.col("driver_b").alias("opponent"))
+            .unionByName(btl.select("session_id", F.col("driver_b").alias("driver_id"), F.col("driver_a").alias("opponent"))))
+    sets = both.groupBy("session_id", "driver_id").agg(F.collect_set("opponent").alias("opponents"))
+    sets = sets.withColumn("items", F.transform("opponents", lambda o: F.concat_ws("\u0001", "session_id", o)))
+    vectors = reliable_checkpoint(HashingTF(inputCol="items", outputCol="vector", binary=True, numFeatures=features).transform(sets).drop("items"))
+    if vectors.isEmpty():
+        return vectors.select("session_id", F.col("driver_id").alias("src"), F.col("driver_id").alias("dst"), F.lit(1.0).alias("jaccard"))
+    model = MinHashLSH(inputCol="vector", outputCol="hashes", numHashTables=tables, seed=7).fit(vectors)
+    hashed = model.transform(vectors).select("session_id", "driver_id", "opponents", F.posexplode("hashes").alias("table", "h"))
+    hashed = hashed.withColumn("value", vector_to_array("h")[0])
+    left = hashed.select("session_id", "table", "value", F.col("driver_id").alias("src"), F.col("opponents").alias("__a"))
+    right = hashed.select("session_id", "table", "value", F.col("driver_id").alias("dst"), F.col("opponents").alias("__b"))
+    pairs = left.join(right, ["session_id", "table", "value"]).where(F.col("src") < F.col("dst"))
+    one = pairs.groupBy("session_id", "src", "dst").agg(F.first("__a").alias("__a"), F.first("__b").alias("__b"))
+    jaccard = F.size(F.array_intersect("__a", "__b")) / F.size(F.array_union("__a", "__b"))
+    return one.withColumn("jaccard", jaccard).where(F.col("jaccard") >= threshold).select("session_id", "src", "dst", "jaccard")
+
+
+def contracted_components(links: DataFrame, nodes: DataFrame) -> tuple[DataFrame, int]:
+    """Connected components in a number of rounds that grows with the logarithm of the nodes, and that number.
+
+    ``links`` (src, dst) without direction, ``nodes`` (node). In a round every node chooses, among itself and its neighbours,
+    the one whose hash of that round is smallest, and then that one's choice; the chosen nodes and the links between
+    them are the next round's graph. A chain shrinks to about a third, whatever the order of its names. When no link is
+    left, the choices are put together backwards and every component takes the name of its smallest node."""
+    checkpoint_dir(links.sparkSession)
+    both = links.select("src", "dst").unionByName(links.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
+    edges = reliable_checkpoint(both.where("src <> dst").distinct())
+    choices: list[DataFrame] = []
+    while not edges.isEmpty():
+        rank = lambda c: F.xxhash64(F.lit(len(choices)), c)  # noqa: B023, E731
+        own = edges.select("src").distinct().select(F.col("src").alias("node"), F.col("src").alias("seen"))
+        near = own.unionByName(edges.select(F.col("src").alias("node"), F.col("dst").alias("seen")))
+        first = near.groupBy("node").agg(F.min_by("seen", F.struct(rank(F.col("seen")), F.col("seen"))).alias("choice"))
+        first = reliable_checkpoint(first)
+        then = first.select(F.col("node").alias("choice"), F.col("choice").alias("rep"))
+        choice = reliable_checkpoint(first.join(then, "choice").select("node", "rep"))
+        a, b = (choice.select(F.col("node").alias(end), F.col("rep").alias("to_" + end)) for end in ("src", "dst"))
+        edges = reliable_checkpoint(edges.join(a, "src").join(b, "dst").select(F.col("to_src").alias("src"), F.col("to_dst").alias("dst"))
+                                    .where("src <> dst").distinct())
+        choices.append(choice)
+    root = nodes.select("node", F.col("node").alias("rep"))
+    for choice in choices:
+        onward = choice.select(F.col("node").alias("rep"), F.col("rep").alias("__next"))
+        root = root.join(onward, "rep", "left").select("node", F.coalesce("__next", "rep").alias("rep"))
+    name = root.groupBy("rep").agg(F.min("node").alias("component"))
+    return root.join(name, "rep").select("node", "component"), len(choices)
+
+
+def lsh_communities(btl: DataFrame, threshold: float = 0.5) -> DataFrame:
+    """G12 by min-hash LSH and contraction: the communities of ``rivalry_communities``."""
+    node = lambda d: F.struct("session_id", F.col(d).alias("driver_id"))
+    links = lsh_links(btl, threshold).select(node("src").alias("src"), node("dst").alias("dst"))
+    ends = btl.select("session_id", F.explode(F.array("driver_a", "driver_b")).alias("driver_id")).distinct()
+    found, _ = contracted_components(links, ends.select(node("driver_id").alias("node")))
+    return found.select("node.session_id", "node.driver_id", F.col("component.driver_id").alias("community"))

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from kerbside.functions.scalars import add_ms, iso_to_ts, kph_to_ms, ms_between
+from kerbside.functions.scalars import add_ms, harmonised, iso_to_ts, kph_to_ms, ms_between
 from kerbside.operators import laps as L, serve
 from kerbside.plans.ingest import _EVT_SQL, _MSG_SQL, _events_topic, _telemetry_topic
 from kerbside.plans.race import _ASOF, _FACT_LAP, _L, _LT, _VALID, _gold_fact_lap, _laps
@@ -191,6 +191,17 @@ def f18_speed_in_metres(spark, sf_dir):
         kph_to_ms(F.avg("speed_kph")).alias("avg_speed_ms"), kph_to_ms(F.max("speed_kph")).alias("max_speed_ms")))
 
 
+@register("f18_harmonised_units", round_doubles.sql(f"""{_LT},\n {_VALID}
+ SELECT session_id, driver_id, lap_number, avg(speed_kph / 1.609344) AS speed, avg(fuel_mass_kg / 0.45359237) AS fuel, max(t_ms * 0.001) AS t FROM clean
+ GROUP BY 1, 2, 3""", ["speed", "fuel", "t"]))
+def f18_harmonised_units(spark, sf_dir):
+    """speed in miles per hour, fuel in pounds, time in seconds."""
+    tel = L.clean_telemetry(testbed.stored_telemetry(spark, sf_dir))
+    x = harmonised(tel, {"speed_kph": ("kph", "mph"), "fuel_mass_kg": ("kg", "lb"), "t_ms": ("ms", "s")})
+    return round_doubles(x.groupBy("session_id", "driver_id", "lap_number").agg(
+        F.avg("speed_kph").alias("speed"), F.avg("fuel_mass_kg").alias("fuel"), F.max("t_ms").alias("t")))
+
+
 @register("w7_rolling_trends", round_doubles.sql(f"""{_LT},\n {_VALID},\n {_ASOF},\n {_FACT_LAP},
  d AS (SELECT *, lap_time_ms - lag(lap_time_ms) OVER w AS step FROM fact_lap WINDOW w AS (PARTITION BY session_id, driver_id ORDER BY lap_number))
  SELECT session_id, driver_id, lap_number, avg(step) OVER r AS degradation_ms_per_lap, avg(fuel_used_kg) OVER r AS fuel_per_lap_kg

@@ -104,7 +104,7 @@ def q2_parse_loss(spark, sf_dir):
 _NULL_COLS = [f.name for f in TELEMETRY_SCHEMA.fields]
 
 
-@register("a18_null_rates", round_doubles.sql(f"""{_MSG_SQL},
+NULL_RATES_SQL = round_doubles.sql(f"""{_MSG_SQL},
  parsed AS (SELECT session_id, driver_id, substr(driver_id, 2) AS car_number, lap_number, NULL::INT AS micro_sector_id,
    'x' AS timestamp_utc, speed_kph, throttle_pct, brake AS brake_pressure_bar, NULL AS steering_angle_deg, NULL AS gear,
    NULL AS engine_rpm, drs_state, NULL AS ers_mode, battery_pct, fuel_mass_kg, tyre_compound, 1 AS tyre_age_laps,
@@ -113,7 +113,10 @@ _NULL_COLS = [f.name for f in TELEMETRY_SCHEMA.fields]
    NULL AS weather_humidity_pct, NULL AS weather_wind_speed_kph, NULL AS weather_wind_direction_deg, 'testbed' AS source,
    'x' AS ingest_id FROM msg)
  SELECT column_name, null_rate FROM (UNPIVOT (SELECT {', '.join(f'avg(({c} IS NULL)::DOUBLE) AS {c}' for c in _NULL_COLS)} FROM parsed)
-  ON {', '.join(_NULL_COLS)} INTO NAME column_name VALUE null_rate)""", ["null_rate"]))
+  ON {', '.join(_NULL_COLS)} INTO NAME column_name VALUE null_rate)""", ["null_rate"])
+
+
+@register("a18_null_rates", NULL_RATES_SQL)
 def a18_null_rates(spark, sf_dir):
     return round_doubles(quality.null_rates(_telemetry_topic(spark, sf_dir)[0], _NULL_COLS))
 

@@ -569,6 +569,13 @@ def g12_rivalry_communities(spark, sf_dir):
     return graph.rivalry_communities(_race_graph(spark, sf_dir)[4])
 
 
+@register("g12_lsh_communities", f"""{_RIVALS}
+ SELECT session_id, src AS driver_id, min(dst) AS community FROM reach GROUP BY 1, 2""")
+def g12_lsh_communities(spark, sf_dir):
+    """G12 by min-hash LSH and contraction in logarithmic rounds."""
+    return graph.lsh_communities(_race_graph(spark, sf_dir)[4])
+
+
 @register("j3_driver_lookup", f"""{_LT},
  drv AS (SELECT driver_id, min(team_id) AS team_id FROM laps GROUP BY 1)
  SELECT t.session_id, t.driver_id, t.lap_number, t.sample_no, t.copy_no, d.team_id FROM telemetry t LEFT JOIN drv d USING (driver_id)""")

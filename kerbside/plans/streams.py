@@ -11,14 +11,14 @@ from pyspark.sql import functions as F
 
 from kerbside.operators import alerts, windows
 from kerbside.plans import alert_sql, oracle as O
-from kerbside.plans.ingest import _EVT_SQL, _ISO, _MSG_SQL
+from kerbside.plans.ingest import _EVT_SQL, _ISO, _MSG_SQL, NULL_RATES_SQL, _NULL_COLS
 from kerbside.plans.race import _ASOF, _EDGES, _FACT_LAP, _GRAPH, _L, _LT, _VALID, NODES_SQL
 from kerbside.plans.registry import register, round_doubles
 from kerbside.session import checkpoint_dir
 from kerbside.sources import envelope, testbed
 from kerbside.sources.schemas import ENVELOPE_SCHEMA, RACE_EVENT_SCHEMA, TELEMETRY_SCHEMA
 from kerbside.sources.tables import load
-from kerbside.streaming import analytics, bronze, checkpoints, closed_laps, gold, lap_events, versions
+from kerbside.streaming import analytics, bronze, checkpoints, closed_laps, compaction, gold, lap_events, observed, versions
 
 
 def _folder(spark: SparkSession) -> str:
@@ -264,3 +264,30 @@ def q3_committed_offsets(spark, sf_dir):
     raw = gold.read_complete(spark, f"{base}/bronze/{bronze.table_name(topic, 'raw')}")
     files = checkpoints.committed_files(spark, f"{base}/checkpoints/{bronze.table_name(topic, 'bronze')}")
     return checkpoints.reconcile(landed, raw, files)
+
+
+@register("a18_stream_null_rates", NULL_RATES_SQL)
+def a18_stream_null_rates(spark, sf_dir):
+    """A18 in the stream's own pass: nulls counted while the parsed rows are written."""
+    base = _folder(spark)
+    rows = observed.observe(_parsed_stream(spark, sf_dir, base, testbed.TELEMETRY_TOPIC, TELEMETRY_SCHEMA), _NULL_COLS)
+    q = (rows.select("session_id", "partition", "offset").writeStream.format("parquet").option("path", f"{base}/out")
+         .option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start())
+    q.awaitTermination()
+    return round_doubles(observed.null_rates(observed.progress_of(spark, q), _NULL_COLS))
+
+
+@register("k9_compacted_events", f"""{_EVT_SQL}
+ SELECT session_id, driver_id, lap_number, event_type, partition, "offset" FROM evm WHERE session_id IN ('S0', 'S1')""")
+def k9_compacted_events(spark, sf_dir):
+    """K9 + S9: batches of bronze merged into date and session folders, and two sessions read from them."""
+    base, topic = _folder(spark), testbed.EVENTS_TOPIC
+    path = f"{base}/bronze/{bronze.table_name(topic, 'parsed')}"
+    raw = envelope.raw_view(_log(spark, sf_dir, topic))
+    write = bronze.fan_out_writer(topic, RACE_EVENT_SCHEMA, f"{base}/bronze")
+    for n in range(4):
+        write(raw.where(F.col("offset") % 4 == n), n)
+        if n != 2:
+            compaction.compact(spark, path, "event_ts_utc", fanout=2)
+    wanted = compaction.read(spark, path, "event_ts_utc").where(F.col("session_id").isin("S0", "S1"))
+    return wanted.select("session_id", "driver_id", "lap_number", "event_type", "partition", "offset")
