@@ -9,11 +9,15 @@ so no single task receives a whole session.
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kerbside.session import checkpoint_dir, reliable_checkpoint
 
+_LOG = logging.getLogger(__name__)
+
 # Fixed values (design doc): proximity threshold and battle length.
 GAP_MS = 1000
 BATTLE_MIN_LAPS = 3
@@ -171,8 +175,20 @@ def pagerank(nodes: DataFrame, edges: DataFrame, iterations: int = PAGERANK_ITER
     sink's mass -- the ranks are referenced once, so the plan grows linearly. Lineage
     is cut with a reliable ``checkpoint()`` into ``spark.checkpoint.dir``.
     """
+    trans, ranks = _transitions(nodes, edges)
+    for it in range(iterations):
+        ranks = _round(trans, ranks, damping)
+        if checkpoint_every and (it + 1) % checkpoint_every == 0 and it + 1 < iterations:
+            ranks = reliable_checkpoint(ranks)
+    return ranks
+
+
+_SINK = "\u0000sink"
+
+
+def _transitions(nodes: DataFrame, edges: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The checkpointed transition table of ``pagerank`` and the even ranks (session_id, node, rank)."""
     checkpoint_dir(nodes.sparkSession)
-    sink = "\u0000sink"
     nodes = nodes.select("session_id", "node").distinct()
     n = nodes.groupBy("session_id").agg(F.count(F.lit(1)).cast("double").alias("n"))
     e = edges.groupBy("session_id", "src", "dst").agg(F.sum("weight").alias("w"))
@@ -181,22 +197,48 @@ def pagerank(nodes: DataFrame, edges: DataFrame, iterations: int = PAGERANK_ITER
         "session_id", "src", "dst", (F.col("w") / F.col("out_w")).alias("p"))
     selfs = nodes.select("session_id", F.col("node").alias("src"), F.col("node").alias("dst"), F.lit(0.0).alias("p"))
     dangling = (nodes.join(out_w.select("session_id", F.col("src").alias("node")), ["session_id", "node"], "left_anti")
-                .select("session_id", F.col("node").alias("src"), F.lit(sink).alias("dst"), F.lit(1.0).alias("p")))
+                .select("session_id", F.col("node").alias("src"), F.lit(_SINK).alias("dst"), F.lit(1.0).alias("p")))
     trans = reliable_checkpoint(moves.unionByName(selfs).unionByName(dangling).join(n, "session_id")
                                 .repartition("session_id", "src"))
-    ranks = nodes.join(n, "session_id").select("session_id", "node", (F.lit(1.0) / F.col("n")).alias("rank"))
+    return trans, nodes.join(n, "session_id").select("session_id", "node", (F.lit(1.0) / F.col("n")).alias("rank"))
+
+
+def _round(trans: DataFrame, ranks: DataFrame, damping: float) -> DataFrame:
     per_session = Window.partitionBy("session_id")
-    for it in range(iterations):
-        contrib = (trans.join(ranks.select("session_id", F.col("node").alias("src"), "rank"), ["session_id", "src"])
-                   .groupBy("session_id", "dst").agg(F.sum(F.col("rank") * F.col("p")).alias("c"), F.first("n").alias("n")))
-        mass = F.sum(F.when(F.col("dst") == sink, F.col("c")).otherwise(0.0)).over(per_session)
-        ranks = (contrib.withColumn("__d", mass).where(F.col("dst") != sink)
-                 .select("session_id", F.col("dst").alias("node"),
-                         ((F.lit(1 - damping) / F.col("n"))
-                          + F.lit(damping) * (F.col("c") + F.col("__d") / F.col("n"))).alias("rank")))
-        if checkpoint_every and (it + 1) % checkpoint_every == 0 and it + 1 < iterations:
-            ranks = reliable_checkpoint(ranks)
-    return ranks
+    contrib = (trans.join(ranks.select("session_id", F.col("node").alias("src"), "rank"), ["session_id", "src"])
+               .groupBy("session_id", "dst").agg(F.sum(F.col("rank") * F.col("p")).alias("c"), F.first("n").alias("n")))
+    mass = F.sum(F.when(F.col("dst") == _SINK, F.col("c")).otherwise(0.0)).over(per_session)
+    return (contrib.withColumn("__d", mass).where(F.col("dst") != _SINK)
+            .select("session_id", F.col("dst").alias("node"),
+                    ((F.lit(1 - damping) / F.col("n"))
+                     + F.lit(damping) * (F.col("c") + F.col("__d") / F.col("n"))).alias("rank")))
+
+
+def pagerank_until(nodes: DataFrame, edges: DataFrame, former: DataFrame | None = None, tolerance: float = 1e-6,
+                   most_rounds: int = 200, damping: float = DAMPING, every: int = 5) -> tuple[DataFrame, int]:
+    """G6 + G7: PageRank from ``former`` ranks (session_id, node, rank; those of an earlier graph of the sessions, say the one
+    before the latest laps) until no rank moves by more than ``tolerance`` in a round; the ranks and the rounds taken.
+
+    Nodes that ``former`` lacks begin with the even share, nodes that are gone are left out, and a session's ranks are
+    scaled to one. Ranks are cut with a reliable checkpoint every ``every`` rounds, and only there the largest move, one
+    number, is asked for. The fixed point does not depend on the start; a start near it saves rounds."""
+    trans, ranks = _transitions(nodes, edges)
+    if former is not None:
+        had = former.groupBy("session_id", "node").agg(F.max("rank").alias("had"))
+        both = ranks.join(had, ["session_id", "node"], "left").withColumn("start", F.coalesce("had", "rank"))
+        total = F.sum("start").over(Window.partitionBy("session_id"))
+        ranks = reliable_checkpoint(both.select("session_id", "node", (F.col("start") / total).alias("rank")))
+    for done in range(every, most_rounds + every, every):
+        for _ in range(every - 1):
+            ranks = _round(trans, ranks, damping)
+        before = reliable_checkpoint(ranks)
+        ranks = reliable_checkpoint(_round(trans, before, damping))
+        moved = (ranks.join(before.withColumnRenamed("rank", "__before"), ["session_id", "node"])
+                 .agg(F.max(F.abs(F.col("rank") - F.col("__before")))).first()[0])
+        if moved is None or moved <= tolerance:
+            _LOG.info("ranks moved by %s after %d rounds", moved, done)
+            return ranks, done
+    raise RuntimeError(f"ranks still move by {moved} after {most_rounds} rounds")
 
 
 def interaction_edges(ovt: DataFrame, btl: DataFrame) -> DataFrame:

@@ -319,17 +319,22 @@ def g6_last_laps_overtakes(spark, sf_dir):
     return graph.last_n_laps(ovt, lp)
 
 
-def _pagerank_sql(iterations: int = graph.PAGERANK_ITERATIONS, d: float = graph.DAMPING) -> str:
-    parts = [f"""{_GRAPH},
+def _rank_tables(ovt: str, btl: str) -> str:
+    """Nodes, transition shares and dangling nodes of the graph of overtakes and battles."""
+    return f"""
  nodes AS (SELECT DISTINCT session_id, driver_id AS node FROM laps),
  nn AS (SELECT session_id, count(*)::DOUBLE AS n FROM nodes GROUP BY 1),
- ie AS (SELECT session_id, passed_id AS src, passer_id AS dst, 1.0::DOUBLE AS w FROM ovt
-   UNION ALL SELECT session_id, driver_a, driver_b, interaction_strength FROM btl
-   UNION ALL SELECT session_id, driver_b, driver_a, interaction_strength FROM btl),
+ ie AS (SELECT session_id, passed_id AS src, passer_id AS dst, 1.0::DOUBLE AS w FROM {ovt}
+   UNION ALL SELECT session_id, driver_a, driver_b, interaction_strength FROM {btl}
+   UNION ALL SELECT session_id, driver_b, driver_a, interaction_strength FROM {btl}),
  e0 AS (SELECT session_id, src, dst, sum(w) AS w FROM ie GROUP BY 1, 2, 3),
  ow AS (SELECT session_id, src, sum(w) AS out_w FROM e0 GROUP BY 1, 2),
  e AS (SELECT e0.session_id, e0.src, e0.dst, w / out_w AS p FROM e0 JOIN ow USING (session_id, src)),
- dangling AS (SELECT nodes.* FROM nodes ANTI JOIN ow ON nodes.session_id = ow.session_id AND nodes.node = ow.src),
+ dangling AS (SELECT nodes.* FROM nodes ANTI JOIN ow ON nodes.session_id = ow.session_id AND nodes.node = ow.src)"""
+
+
+def _pagerank_sql(iterations: int = graph.PAGERANK_ITERATIONS, d: float = graph.DAMPING) -> str:
+    parts = [f"""{_GRAPH},{_rank_tables('ovt', 'btl')},
  base AS (SELECT nodes.*, nn.n FROM nodes JOIN nn USING (session_id)),
  r0 AS (SELECT session_id, node, 1.0 / n AS rank FROM base)"""]
     for i in range(1, iterations + 1):
@@ -355,6 +360,38 @@ def g7_pagerank(spark, sf_dir):
     return _pagerank(spark, sf_dir)
 
 
+# the graph of the last laps, kept short so that it differs from the whole one
+_WINDOW_LAPS = 30
+
+
+def _window_pagerank_sql(rounds: int = 160, d: float = graph.DAMPING) -> str:
+    return f"""{_GRAPH.replace('WITH', 'WITH RECURSIVE', 1)},
+ last AS (SELECT session_id, max(lap_number) - {_WINDOW_LAPS} AS after FROM laps GROUP BY 1),
+ wovt AS (SELECT o.* FROM ovt o JOIN last USING (session_id) WHERE o.lap_number > after),
+ wbtl AS (SELECT b.* FROM btl b JOIN last USING (session_id) WHERE b.start_lap > after),{_rank_tables('wovt', 'wbtl')},
+ m AS (SELECT session_id, src, dst, p FROM e UNION ALL SELECT session_id, node, node, 0.0 FROM nodes
+  UNION ALL SELECT g.session_id, g.node, b.node, 1.0 / nn.n FROM dangling g JOIN nodes b USING (session_id) JOIN nn USING (session_id)),
+ pr AS (SELECT 0 AS i, session_id, node, 1.0::DOUBLE / n AS rank FROM nodes JOIN nn USING (session_id)
+  UNION ALL SELECT r.i + 1, m.session_id, m.dst, (1 - {d}) / nn.n + {d} * sum(r.rank * m.p) FROM pr r
+   JOIN m ON r.session_id = m.session_id AND r.node = m.src JOIN nn ON nn.session_id = m.session_id WHERE r.i < {rounds}
+   GROUP BY r.i, m.session_id, m.dst, nn.n)
+ SELECT session_id, node AS driver_id, round(rank, 5) AS pagerank FROM pr WHERE i = {rounds}"""
+
+
+@register("g7_window_pagerank", _window_pagerank_sql())
+def g7_window_pagerank(spark, sf_dir):
+    """G6 + G7: influence on the graph of the last laps, from the ranks of the whole race on, until it moves no more."""
+    lp, _, _, ovt, btl = _race_graph(spark, sf_dir)
+    nodes = lp.select("session_id", F.col("driver_id").alias("node")).distinct()
+    recent = graph.last_n_laps(ovt, lp, _WINDOW_LAPS)
+    fights = graph.last_n_laps(btl.withColumn("lap_number", F.col("start_lap")), lp, _WINDOW_LAPS)
+    edges = graph.interaction_edges(recent.select("session_id", F.col("passed_id").alias("passer_id"),
+                                                  F.col("passer_id").alias("passed_id")), fights)
+    former = _pagerank(spark, sf_dir).select("session_id", F.col("driver_id").alias("node"), F.col("pagerank").alias("rank"))
+    ranks, _ = graph.pagerank_until(nodes, edges, former, tolerance=1e-9)
+    return ranks.select("session_id", F.col("node").alias("driver_id"), F.round("rank", 5).alias("pagerank"))
+
+
 @register("g8_weighted_degree", round_doubles.sql(f"""{_GRAPH},
  drvs AS (SELECT session_id, passer_id AS node FROM ovt UNION SELECT session_id, passed_id FROM ovt
    UNION SELECT session_id, driver_a FROM btl UNION SELECT session_id, driver_b FROM btl),

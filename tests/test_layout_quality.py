@@ -153,3 +153,28 @@ def test_one_slow_batch_is_not_hidden_by_the_average(spark):
     metrics = spark.createDataFrame(rows, "name string, batch_ts timestamp, duration_ms long, checked_at timestamp")
     r = quality.falling_behind(metrics, 30000).first()
     assert r.falling_behind and r.slow_batches == 1 and r.worst_duration_ms == 70000 and r.avg_duration_ms < 30000 and not r.stalled
+
+
+def test_ranks_until_they_rest(spark):
+    """The fixed point is that of a plain iteration; former ranks save rounds; gone and new nodes are taken."""
+    import random
+    rng = random.Random(8)
+    names = [f"D{i}" for i in range(12)]
+    edges = [("S", rng.choice(names), rng.choice(names[:9]), float(rng.randint(1, 4))) for _ in range(40)]
+    nodes = spark.createDataFrame([("S", n) for n in names] + [("E", "alone")], "session_id string, node string")
+    frame = spark.createDataFrame(edges, "session_id string, src string, dst string, weight double")
+    ranks = {n: 1 / 12 for n in names}
+    out = {n: sum(w for _, s, _, w in edges if s == n) for n in names}
+    for _ in range(300):
+        spread = sum(ranks[n] for n in names if not out[n]) / 12
+        ranks = {n: 0.15 / 12 + 0.85 * (spread + sum(ranks[s] * w / out[s] for _, s, d, w in edges if d == n)) for n in names}
+    got, cold = graph.pagerank_until(nodes, frame, tolerance=1e-10)
+    rows = {(r.session_id, r.node): r["rank"] for r in got.collect()}
+    assert all(abs(rows["S", n] - ranks[n]) < 1e-8 for n in names) and abs(rows["E", "alone"] - 1) < 1e-9
+    former = got.where("node <> 'D3'").unionByName(spark.createDataFrame([("S", "gone", 0.4)], "session_id string, node string, rank double"))
+    near, _ = graph.pagerank_until(nodes, frame, former, tolerance=1e-10)
+    assert all(abs(r["rank"] - rows[r.session_id, r.node]) < 1e-8 for r in near.collect()) and near.count() == 13
+    _, warm = graph.pagerank_until(nodes, frame, got, tolerance=1e-10)
+    assert warm < cold
+    with pytest.raises(RuntimeError):
+        graph.pagerank_until(nodes, frame, tolerance=0.0, most_rounds=5)
