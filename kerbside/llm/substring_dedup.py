@@ -367,7 +367,8 @@ def find_cuts(docs: DataFrame, passage_words: int | None) -> DataFrame:
     text_batches(docs.sparkSession)
     rows = docs.select(F.col("_span_d").alias("d"), F.col("_span_k").alias("k"), F.col("text").alias("t")).where("t <> ''")
     chars = rows.agg(F.sum(F.length("t"))).first()[0] or 0
-    buckets = 1 + chars // BUCKET_CHARS
+    # as many as a shuffle has partitions at least, so that small tables use all machines, too
+    buckets = max(1 + chars // BUCKET_CHARS, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     found = stored(resolve(find_runs(rows, buckets, passage_words), buckets, passage_words or 0), "substring-found")
     cuts = found.where(F.col("kind") != OPEN)
     if passage_words is None:
