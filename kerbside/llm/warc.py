@@ -40,6 +40,8 @@ from kerbside.llm.common import local_path, scratch, stored, text_batches
 
 #: Payloads from this size can be revisits. Bytes after which a task begins another archive. Lines of a block.
 MIN_REVISIT, ARCHIVE_BYTES, BLOCK_LINES = 100, 256 << 20, 500
+#: Lines of an index partition, about.
+INDEX_LINES = 50_000
 DATE = "2024-01-01T00:00:00Z"
 RECORD_ID = "<urn:page:{}>"
 # Fixed value: profile of revisit records.
@@ -144,8 +146,9 @@ def write_archives(pages: DataFrame, root: str) -> DataFrame:
 def write_index(captures: DataFrame, root: str) -> DataFrame:
     """Sorted, blocked index below ``root``; returns the manifest, stored."""
     target = local_path(root)
+    parts = 1 + captures.count() // INDEX_LINES
     ordered = (captures.withColumn("key", F.concat_ws(" ", "surt", F.lpad(F.coalesce("page_id", F.lit("")), 20, " ")))
-               .repartitionByRange("key", "archive", "offset").sortWithinPartitions("key", "archive", "offset"))
+               .repartitionByRange(parts, "key", "archive", "offset").sortWithinPartitions("key", "archive", "offset"))
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         store, base = fs.FileSystem.from_uri(target)
@@ -255,6 +258,9 @@ class Reader:
         return parse(self.range(archive, offset, length))
 
 
+#: Archived bytes that one task reads back, about.
+READ_BYTES = 8_000_000
+
 RESULT = "surt string, page_id string, payload_bytes long, payload_digest string, record_type string, refers_to string"
 
 
@@ -263,12 +269,15 @@ def page_of(urn: str | None) -> str | None:
     return value or None
 
 
-def lookup(spark: SparkSession, root: str, manifest: DataFrame, keys: DataFrame, payload: bool = False) -> DataFrame:
+def lookup(spark: SparkSession, root: str, manifest: DataFrame, keys: DataFrame, payload: bool = False,
+           tasks: int | None = None) -> DataFrame:
     """Records of (surt, page_id) keys, read through the index. The manifest, a row for each index partition, goes
-    to the tasks; directories are read as they are needed."""
+    to the tasks; directories are read as they are needed. ``tasks``: into how many the keys are dealt; by default Spark
+    chooses by the size of the keys, which says nothing of the records that they stand for."""
     shards = spark.sparkContext.broadcast([(r["first"], r["last"], r["shard"]) for r in manifest.collect()])
     ordered = (keys.select(F.concat_ws(" ", "surt", F.lpad(F.coalesce("page_id", F.lit("")), 20, " ")).alias("key"))
-               .distinct().repartitionByRange("key").sortWithinPartitions("key"))
+               .distinct())
+    ordered = (ordered.repartitionByRange("key") if tasks is None else ordered.repartitionByRange(tasks, "key")).sortWithinPartitions("key")
     schema = RESULT + (", payload binary" if payload else "")
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -298,6 +307,7 @@ def archive_and_read(pages: DataFrame) -> DataFrame:
     root = scratch(spark, "warc")
     captures = write_archives(pages, root)
     manifest = write_index(captures, root)
-    back = lookup(spark, root, manifest, captures.select("surt", "page_id"))
+    tasks = 1 + (captures.agg(F.sum("length")).first()[0] or 0) // READ_BYTES
+    back = lookup(spark, root, manifest, captures.select("surt", "page_id"), tasks=tasks)
     return back.select(F.col("page_id").cast("long").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
                        F.col("refers_to").cast("long").alias("refers_to"))
