@@ -7,8 +7,8 @@ repeat each so that the histogram of tail lengths is used up, the repeats are ro
 remain are packed greedily: laid end to end, longest first, and cut at the window's end. Only the
 last sequence of these can hold padding.
 
-Ranks of the tails of one length come from counts by (length, bucket) and a window inside each bucket,
-with about the square root of the number of tails in a bucket, so no length is gathered in one task
+Ranks of the tails of one length come from counts by (length, bucket) and a window inside each bucket (a hash of
+the id and the tail, so that rows without ids or with one id spread), with about the square root of the number of tails in a bucket, so no length is gathered in one task
 however many documents share it. The driver sees one histogram row for each length: at most a window's
 number of rows.
 
@@ -276,7 +276,7 @@ def pack(docs: DataFrame, window: int = WINDOW, vocabulary: str = TOKENIZER) ->
 
     if not by_length:
         return docs.sparkSession.createDataFrame([], PIECES)
-    keyed = tokens.withColumn("bucket", F.pmod(F.xxhash64("doc_id"), lookup(buckets)))
+    keyed = tokens.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "doc_tokens", "tail"), lookup(buckets)))
     in_length = Window.partitionBy("tail_length").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     bases = (keyed.groupBy("tail_length", "bucket")
              .agg(F.count("*").alias("docs"), F.sum(F.size("full_crcs")).alias("windows"))

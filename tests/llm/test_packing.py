@@ -83,3 +83,19 @@ def test_combinations_fill_the_window():
     want = {tuple(sorted((a, b, 64 - a - b), reverse=True)) for a in range(1, 63) for b in range(0, 64 - a) if 0 < 64 - a - b < 64 and a < 64 and (b > 0 or True)}
     want = {w for w in want if max(w) < 64}
     assert {tuple(c) for c in combos.tolist()} == want
+
+
+def test_rows_without_ids_or_with_one_id_spread(spark, monkeypatch):
+    """A third of the rows share an id, a third have none: the round trip holds, and no window partition gathers them."""
+    import random
+    rng = random.Random(6)
+    rows = [(7 if i % 3 == 0 else None if i % 3 == 1 else 1000 + i, " ".join(f"w{rng.randint(0, 99)}" for _ in range(20)), None, None, None)
+            for i in range(600)]
+    docs = frame(spark, rows, DOCS)
+    assert round_trip(rows, packing.pack(docs).collect()) < 1024
+    from pyspark.sql import functions as F
+    tokens = packing.tokenise(docs)
+    sizes = tokens.groupBy("tail_length", F.pmod(F.xxhash64("doc_id", "doc_tokens", "tail"), F.lit(16))).count()
+    by_id = tokens.groupBy("tail_length", F.pmod(F.xxhash64("doc_id"), F.lit(16))).count()
+    most = lambda df: df.agg(F.max("count")).first()[0]
+    assert most(sizes) * 2 < most(by_id)
