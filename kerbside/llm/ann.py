@@ -10,9 +10,12 @@ seen, to a recall well above the target.
 A partition is split into blocks of candidates and blocks of queries by a hash of the id, so that a task
 holds bounded numbers of both, however uneven the partitions or common a vector is.
 
+A query whose partitions hold fewer vectors than it asks for is searched again in all partitions.
+
 Definitions: see ``vectors.usable`` for rows that take no part. Distances are Euclidean, in double precision
-by differences of the original vectors; equal distances rank the smaller id first. A query gets fewer rows
-when there are fewer candidates; an empty table gives none. Other columns are ignored.
+by differences of the original vectors; equal distances rank the smaller id first. Very large and very small
+components are scaled before they are squared, so only a distance that no double holds is infinite. A query
+gets fewer rows when there are fewer candidates; an empty table gives none. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -102,16 +105,24 @@ def balanced_partition(graph: np.ndarray, parts: int, slack: float = 1.1, rounds
 
 @dataclass
 class Router:
-    """A network with one hidden layer from vectors to partition scores; ``visits``: partitions to search."""
+    """A network with one hidden layer from vectors to partition scores; ``visits``: partitions to search,
+    ``peak``: the usual largest component."""
 
     centre: np.ndarray
     scale: float
     layers: list[np.ndarray]
     visits: int
+    peak: float = 1.0
 
     def scores(self, x: np.ndarray) -> np.ndarray:
         w1, b1, w2, b2 = self.layers
-        return np.maximum((x - self.centre) / self.scale @ w1 + b1, 0.0) @ w2 + b2
+        return np.maximum((tamed(x, self.peak) - self.centre) / self.scale @ w1 + b1, 0.0) @ w2 + b2
+
+
+def tamed(x: np.ndarray, peak: float) -> np.ndarray:
+    """Vectors in units of ``peak``; components beyond 1000 of them count as 1000."""
+    with np.errstate(over="ignore"):
+        return np.clip(x / peak, -1000.0, 1000.0)
 
 
 def train_router(x: np.ndarray, wanted: np.ndarray, seed: int = 5) -> Router:
@@ -148,8 +159,10 @@ def fit(x: np.ndarray, total: int, target_recall: float = TARGET_RECALL) -> Rout
     """A router for ``total`` vectors of which ``x`` is a sample."""
     parts = max(1, min(MOST_PARTITIONS, round(total / PARTITION_ROWS), len(x) // (4 * NEIGHBOURS)))
     if parts == 1:
-        d = x.shape[1] if x.ndim == 2 else 0
+        d = x.shape[1]
         return Router(np.zeros(d), 1.0, [np.zeros((d, 1)), np.zeros(1), np.zeros((1, 1)), np.zeros(1)], 1)
+    peak = float(np.median(np.abs(x).max(axis=1)))
+    x = tamed(x, peak)
     seen = np.arange(len(x)) % 8 != 0
     known = x[seen]
     graph = neighbour_graph(known, np.arange(len(known)), NEIGHBOURS)
@@ -158,7 +171,7 @@ def fit(x: np.ndarray, total: int, target_recall: float = TARGET_RECALL) -> Rout
     np.add.at(wanted, (np.arange(len(known)), part), 1.0)
     np.add.at(wanted, (np.repeat(np.arange(len(known)), graph.shape[1]), part[graph.ravel()]), 1.0)
     router = train_router(known, wanted / wanted.sum(axis=1, keepdims=True))
-    # recall of unseen vectors' neighbours by partitions visited
+    # recall of unseen vectors' neighbours by partitions visited; ``x`` is in units of the peak already
     held = np.flatnonzero(~seen)
     near = neighbour_graph(x, held, NEIGHBOURS)
     filed = router.scores(x).argmax(axis=1)
@@ -167,29 +180,45 @@ def fit(x: np.ndarray, total: int, target_recall: float = TARGET_RECALL) -> Rout
     reached = np.cumsum(np.bincount(needed, minlength=parts)) / len(needed)
     router.visits = int(np.searchsorted(reached, target_recall) + 1)
     router.visits = min(router.visits, parts)
+    router.peak = peak
     return router
 
 
+def distances(x: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Euclidean distances of the rows of ``x`` from ``q``; squares that leave the range of doubles are avoided."""
+    with np.errstate(over="ignore", under="ignore"):
+        d = x - q
+        far = np.sqrt((d * d).sum(axis=1))
+        most = np.abs(d).max(axis=1, initial=0.0)
+        odd = ((far > 1e150) | (far < 1e-150)) & (most > 0) & np.isfinite(most)
+        if odd.any():
+            part = d[odd] / most[odd, None]
+            far[odd] = np.sqrt((part * part).sum(axis=1)) * most[odd]
+    return far
+
+
 def nearest(x: np.ndarray, ids: np.ndarray, q: np.ndarray, own: np.ndarray, k: int) -> list[tuple[int, int, float]]:
     """(query row, id, distance) of the k nearest rows of a block, exact; ties go to smaller ids. Rows are
     chosen by a fast estimate with a margin far above its rounding, and measured by differences."""
     out = []
-    norms = (x * x).sum(axis=1)
+    peak = max(np.abs(x).max(initial=0.0), np.abs(q).max(initial=0.0))
+    unit = 1.0 if 1e-100 < peak < 1e100 else peak  # the estimate's squares stay in range
+    small = x / unit
+    norms = (small * small).sum(axis=1)
     for at in range(0, len(q), 256):
-        part = q[at:at + 256]
+        part = q[at:at + 256] / unit
         lengths = (part * part).sum(axis=1)
-        rough = norms[None, :] + lengths[:, None] - 2.0 * (part @ x.T)
-        rough[ids[None, :] == own[at:at + 256, None]] = np.inf
+        rough = norms[None, :] + lengths[:, None] - 2.0 * (part @ small.T)
+        other = ids[None, :] != own[at:at + 256, None]
+        rough[~other] = np.inf
         for r in range(len(part)):
             row = rough[r]
-            if len(row) > k:
-                limit = np.partition(row, k - 1)[k - 1]
-                rows = np.flatnonzero(row <= limit + 1e-9 * (norms.max() + lengths[r]))
-            else:
-                rows = np.arange(len(row))
-            rows = rows[np.isfinite(row[rows])]
-            d = x[rows] - part[r]
-            far = np.sqrt((d * d).sum(axis=1))
+            rows = np.flatnonzero(other[r])
+            if len(rows) > k:
+                margin = 1e-9 * (norms + lengths[r]) + 1e-300
+                limit = np.partition(row + margin, k - 1)[k - 1]
+                rows = np.flatnonzero((row - margin <= limit) & other[r])
+            far = distances(x[rows], q[at + r])
             first = np.lexsort((ids[rows], far))[:k]
             out += [(at + r, int(ids[rows[j]]), float(far[j])) for j in first]
     return out
@@ -216,29 +245,41 @@ def search(rows: DataFrame, is_query: Column, k: int = NEIGHBOURS, sample: int =
     routed = stored(vecs.withColumn("query", F.coalesce(is_query, F.lit(False)))
                     .mapInPandas(route, "id long, vec array<double>, query boolean, parts array<int>"), "ann-routed")
     own = routed.select("id", "vec", F.element_at("parts", 1).alias("part"))
-    asked = routed.where("query").select("id", "vec", F.explode("parts").alias("part"))
-    # one row per partition, at most MOST_PARTITIONS
-    blocks = (own.groupBy("part").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("cs"))
-              .join(asked.groupBy("part").agg(F.ceil(F.count("*") / QUERY_BLOCK).cast("int").alias("qs")), "part"))
-    blocks = F.broadcast(blocks)
-
-    def dealt(side: DataFrame, mine: str, other: str, flag: bool) -> DataFrame:
-        return (side.join(blocks, "part")
-                .withColumn("mine", F.pmod(F.xxhash64("id"), F.col(mine)).cast("int"))
-                .withColumn("other", F.explode(F.sequence(F.lit(0), F.col(other) - 1)))
-                .select("part", F.col("other" if flag else "mine").alias("c"), F.col("mine" if flag else "other").alias("q"),
-                        F.lit(flag).alias("query"), "id", "vec"))
-
-    def work(cols: dict) -> tuple | None:
-        ask = cols["query"].astype(bool)
-        if not ask.any() or ask.all():
-            return None
-        own_ids = cols["id"][ask]
-        got = nearest(matrix(cols["vec"][~ask]), cols["id"][~ask], matrix(cols["vec"][ask]), own_ids, k)
-        return [int(own_ids[r]) for r, _, _ in got], [i for _, i, _ in got], [d for _, _, d in got]
-
-    found = by_group(dealt(own, "cs", "qs", False).unionByName(dealt(asked, "qs", "cs", True)), ["part", "c", "q"], work,
-                     "query_id long, vec_id long, score double")
+    sizes = stored(own.groupBy("part").agg(F.count("*").alias("rows")), "ann-sizes")  # at most MOST_PARTITIONS rows
+
+    def compared(asked: DataFrame) -> DataFrame:
+        """The k nearest of each block pair for ``asked`` (id, vec, part)."""
+        blocks = F.broadcast(sizes.select("part", F.ceil(F.col("rows") / BLOCK).cast("int").alias("cs"))
+                             .join(asked.groupBy("part").agg(F.ceil(F.count("*") / QUERY_BLOCK).cast("int").alias("qs")), "part"))
+
+        def dealt(side: DataFrame, mine: str, other: str, flag: bool) -> DataFrame:
+            return (side.join(blocks, "part")
+                    .withColumn("mine", F.pmod(F.xxhash64("id"), F.col(mine)).cast("int"))
+                    .withColumn("other", F.explode(F.sequence(F.lit(0), F.col(other) - 1)))
+                    .select("part", F.col("other" if flag else "mine").alias("c"), F.col("mine" if flag else "other").alias("q"),
+                            F.lit(flag).alias("query"), "id", "vec"))
+
+        def work(cols: dict) -> tuple | None:
+            ask = cols["query"].astype(bool)
+            if not ask.any() or ask.all():
+                return None
+            own_ids = cols["id"][ask]
+            got = nearest(matrix(cols["vec"][~ask]), cols["id"][~ask], matrix(cols["vec"][ask]), own_ids, k)
+            return [int(own_ids[r]) for r, _, _ in got], [i for _, i, _ in got], [d for _, _, d in got]
+
+        return by_group(dealt(own, "cs", "qs", False).unionByName(dealt(asked, "qs", "cs", True)), ["part", "c", "q"], work,
+                        "query_id long, vec_id long, score double")
+
+    asked = routed.where("query")
+    found = compared(asked.select("id", "vec", F.explode("parts").alias("part")))
+    if router.visits < len(router.layers[3]):  # some partitions were not visited
+        found = stored(found, "ann-found")
+        full = found.groupBy("query_id").count().where(F.col("count") >= min(k, total - 1)).select(F.col("query_id").alias("id"))
+        short = stored(asked.select("id", "vec").join(full, "id", "left_anti"), "ann-short")
+        if not short.isEmpty():
+            unseen = short.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(len(router.layers[3]) - 1))))
+            again = compared(unseen)
+            found = found.join(short.select(F.col("id").alias("query_id")), "query_id", "left_anti").unionByName(again)
     ranked = found.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id")))
     return ranked.where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int"), "vec_id", "score")
 

@@ -13,7 +13,8 @@ Shards beyond a bounded size are dealt into pairs of blocks. A link is counted i
 two ends share, and a shard gives out only counts and a spanning forest, so no pairs are written.
 
 Definitions: see ``vectors.usable`` for rows that link with nothing; they are their own component with no
-links. Similarity equal to the threshold links. Every input row gives one row; rows that share an id get the
+links. Vectors are scaled by their largest component before anything is squared, so very large and very small
+ones compare like others. Similarity equal to the threshold links. Every input row gives one row; rows that share an id get the
 same result. A null id is its own component. Other columns are ignored.
 """
 
@@ -305,9 +306,12 @@ def audit(classes: DataFrame, counts: DataFrame, threshold: float, most: int = A
 def dedup(rows: DataFrame, id_column: str = "vec_id", vector: str = "embedding", threshold: float = THRESHOLD) -> DataFrame:
     """vec_id, n_links, component_id, kept, and the class (smallest id of its direction) of every row."""
     vecs = usable(rows, id_column, vector)
+    # classes are of vectors that are equal when scaled to length 1; the largest component is scaled to 1 first, so
+    # that no square leaves the range of doubles
     norm = F.sqrt(F.aggregate("vec", F.lit(0.0), lambda a, v: a + v * v))
-    # classes are of vectors that are equal when scaled to length 1
-    whole = stored(vecs.withColumn("_norm", norm).withColumn("unit", F.transform("vec", lambda v: v / F.col("_norm")))
+    whole = stored(vecs.withColumn("_peak", F.array_max(F.transform("vec", lambda v: F.abs(v))))
+                   .withColumn("vec", F.transform("vec", lambda v: v / F.col("_peak")))
+                   .withColumn("_norm", norm).withColumn("unit", F.transform("vec", lambda v: v / F.col("_norm")))
                    .select("id", "unit"), "graph-vectors")
     classes = stored(whole.groupBy("unit").agg(F.min("id").alias("id"), F.count("*").alias("copies"))
                      .select("id", "copies", F.col("unit").alias("vec")), "graph-classes")

@@ -147,3 +147,51 @@ def test_all_are_compared_when_no_search_reaches_the_target(spark, monkeypatch):
     monkeypatch.setattr(embedding_dedup, "BLOCK", 40)
     got = {r["vec_id"]: r["n_links"] for r in embedding_dedup.dedup(frame(spark, rows)).collect()}
     assert linked.sum() > 100 and [got[i] for i in sorted(vecs)] == linked.tolist()
+
+
+WIDE = "vec_id long, embedding array<double>, label int"
+
+
+def test_neighbours_of_very_large_and_very_small_vectors(spark):
+    huge = spark.createDataFrame([(0, [1e160, 0.0], 0), (1, [1e160, 3e160], 0), (2, [-1e160, 0.0], 0)], WIDE)
+    got = {(r["query_id"], r["rank"]): (r["vec_id"], r["score"]) for r in ann.search(huge, F.lit(True)).collect()}
+    assert [got[0, k][0] for k in (1, 2)] == [2, 1] and got[0, 1][1] == 2e160 and got[0, 2][1] == 3e160
+    assert len(got) == 6
+    tiny = spark.createDataFrame([(0, [1e-200, 0.0], 0), (1, [1e-200, 3e-200], 0), (2, [-1e-200, 0.0], 0)], WIDE)
+    got = {(r["query_id"], r["rank"]): (r["vec_id"], r["score"]) for r in ann.search(tiny, F.lit(True)).collect()}
+    assert got[0, 1] == (2, 2e-200) and got[0, 2] == (1, 3e-200) and len(got) == 6
+
+
+def test_one_huge_vector_among_many(spark):
+    rng = np.random.default_rng(9)
+    rows = [(i, rng.normal(size=8).tolist(), 0) for i in range(3000)] + [(3000, [1e200] * 8, 0)]
+    vecs = {i: v for i, v, _ in rows}
+    got = {}
+    for r in ann.search(spark.createDataFrame(rows, WIDE), F.col("id") % 100 == 0).collect():
+        got.setdefault(r["query_id"], []).append(r["vec_id"])
+    assert sorted(got) == list(range(0, 3001, 100)) and {len(v) for v in got.values()} == {10}
+    hit = sum(len(set(got[q]) & {i for _, i in exact(vecs, q, 10)}) for q in got if q < 3000)
+    assert hit >= 0.9 * 10 * 30
+
+
+def test_queries_of_small_partitions_get_all_their_neighbours(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(500, 4))
+    x[:3, 0] += 100.0  # three vectors that the router files apart; it visits one partition only
+    layers = [np.eye(4, 1), np.array([-50.0]), np.array([[1.0, 0.0]]), np.array([0.0, 1.0])]
+    monkeypatch.setattr(ann, "fit", lambda *_: ann.Router(np.zeros(4), 1.0, layers, 1))
+    vecs = {i: v.tolist() for i, v in enumerate(x)}
+    got = {}
+    for r in ann.search(spark.createDataFrame([(i, v, 0) for i, v in vecs.items()], WIDE), F.col("id").isin(0, 7)).collect():
+        got.setdefault(r["query_id"], {})[r["rank"]] = r["vec_id"]
+    for q in (0, 7):
+        near = [i for _, i in exact(vecs, q, 11) if q == 0 or i > 2][:10]
+        assert [got[q][k] for k in range(1, 11)] == near
+
+
+def test_links_of_very_large_and_very_small_vectors(spark):
+    rows = [(0, [1e-200, 1e-200], 0), (1, [1.0, 1.0], 0), (2, [1e200, 1e200], 0), (3, [1e200, -1e200], 0),
+            (4, [5e-324, -5e-324], 0), (5, [1.7e308, 1.6e308], 0), (6, [-1.0, 1e-5], 0)]
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in
+           embedding_dedup.dedup(spark.createDataFrame(rows, WIDE)).collect()}
+    assert got == {0: (3, 0), 1: (3, 0), 2: (3, 0), 5: (3, 0), 3: (1, 3), 4: (1, 3), 6: (0, 6)}
