@@ -38,7 +38,7 @@ _SAMPLE = ["session_id", "driver_id", "lap_number", "sample_no", "copy_no", "t_m
  SELECT {", ".join("t." + c for c in _SAMPLE)}, air_temp_c, track_temp_c FROM telemetry t LEFT JOIN w USING (session_id)""",
                                                ["air_temp_c", "track_temp_c"]))
 def j2_weather_last(spark, sf_dir):
-    tel = testbed.stored_telemetry(spark, sf_dir).select(*_SAMPLE)
+    tel = testbed.read_telemetry(spark, sf_dir).select(*_SAMPLE)
     return round_doubles(L.attach_last_reading(tel, _weather(spark, sf_dir), "session_id", "read_ms", ["air_temp_c", "track_temp_c"]))
 
 
@@ -102,7 +102,7 @@ def j5_penalties(spark, sf_dir):
  SELECT session_id, driver_id, lap_number, CAST(coalesce(sum(dt) FILTER (blue), 0) AS BIGINT) AS blue_flag_ms FROM d
   WHERE session_id IS NOT NULL GROUP BY 1, 2, 3""")
 def a20_blue_flag(spark, sf_dir):
-    tel = testbed.stored_telemetry(spark, sf_dir).where("copy_no = 0 AND session_id IS NOT NULL").withColumn(
+    tel = testbed.read_telemetry(spark, sf_dir).where("copy_no = 0 AND session_id IS NOT NULL").withColumn(
         "flag_state", F.when((F.col("sample_no") + F.col("lap_number")) % 7 == 0, "BLUE"))
     return serve.blue_flag_exposure(tel)
 
@@ -165,7 +165,7 @@ def p3_ingest_stamps(spark, sf_dir):
 @register("p10_required_fields", f"""{_LT}
  SELECT driver_id, lap_number, sample_no, copy_no, t_ms, 'MISSING_SESSION_ID' AS reject_reason FROM telemetry WHERE session_id IS NULL""")
 def p10_required_fields(spark, sf_dir):
-    tel = testbed.stored_telemetry(spark, sf_dir)
+    tel = testbed.read_telemetry(spark, sf_dir)
     return L.split_required(tel, ["session_id", "driver_id", "t_ms"])[1].select(
         "driver_id", "lap_number", "sample_no", "copy_no", "t_ms", "reject_reason")
 
