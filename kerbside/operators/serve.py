@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from kerbside.operators.laps import dealt
+
 
 def top_overtakers(ovt: DataFrame, k: int = 3) -> DataFrame:
     """The ``k`` drivers with most overtakes in each session (ties by driver id)."""
@@ -114,10 +116,18 @@ def run_totals(telemetry: DataFrame, events: DataFrame, rejected: DataFrame) ->
                                       F.sum("errors").alias("errors"), F.count(F.lit(1)).alias("sessions"))
 
 
-def cap_per_session(df: DataFrame, n: int, order: list[str]) -> DataFrame:
-    """At most ``n`` rows per session (the ``--max-events`` cap), first by ``order``."""
-    w = Window.partitionBy("session_id").orderBy(*order)
-    return df.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") <= n).drop("__rn")
+def cap_per_session(df: DataFrame, n: int, order: list[str], within: list[str] | None = None, parts: int | None = None) -> DataFrame:
+    """At most ``n`` rows per session (the ``--max-events`` cap), first by ``order``. ``within``: columns that ``df`` is laid out
+    by beside the session; no group of theirs gives more than ``n`` rows, so only its first ``n`` travel to their session, dealt to
+    ``parts`` partitions."""
+
+    def first(rows: DataFrame, keys: list[str]) -> DataFrame:
+        w = Window.partitionBy(*keys).orderBy(*order)
+        return rows.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") <= n).drop("__rn")
+
+    if within:
+        df = first(df, ["session_id", *within])
+    return first(dealt(df, parts, "session_id"), ["session_id"])
 
 
 def pit_efficiency(pits: DataFrame) -> DataFrame:
