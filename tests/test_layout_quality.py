@@ -178,3 +178,14 @@ def test_ranks_until_they_rest(spark):
     assert warm < cold
     with pytest.raises(RuntimeError):
         graph.pagerank_until(nodes, frame, tolerance=0.0, most_rounds=5)
+
+
+def test_a_tier_that_fills_is_written_once(spark, tmp_path, monkeypatch):
+    path, written = str(tmp_path / "t"), []
+    write = compaction._write
+    monkeypatch.setattr(compaction, "_write", lambda rows, path, segment, *rest: (written.append(segment), write(rows, path, segment, *rest)))
+    for n in range(4):
+        _land(spark, path, n, [("S0", n, "2024-03-01T10:00:00+00:00")])
+        compaction.compact(spark, path, "at", fanout=2)
+        assert len(written) == n + 1 and compaction.read(spark, path, "at").count() == n + 1
+    assert compaction._segments(spark, path)[1][0]["tier"] == 2

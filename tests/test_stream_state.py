@@ -205,3 +205,51 @@ def test_offsets_of_a_log_source(spark, tmp_path):
         (ck / "commits" / str(batch)).write_text('v1\n{"nextBatchWatermarkMs":0}')
     got = sorted(map(tuple, checkpoints.last_offsets(spark, str(ck)).collect()))
     assert got == [(0, "t.raw", 0, 25, 2), (0, "t.raw", 1, 26, 2)]
+
+
+def test_a_key_reads_and_writes_its_state_once_a_call():
+    import pandas as pd
+
+    class Value:
+        held, calls = None, 0
+
+        def get(self):
+            self.calls += 1
+            return self.held
+
+        def update(self, row):
+            self.calls += 1
+            self.held = row
+
+    class Handle:
+        timers: list = []
+
+        def getValueState(self, name, schema):  # noqa: N802
+            return Value()
+
+        def registerTimer(self, at):  # noqa: N802
+            self.timers.append(at)
+
+        def deleteTimer(self, at):  # noqa: N802
+            self.timers.remove(at)
+
+    class Watermark:
+        def getCurrentWatermarkInMs(self):  # noqa: N802
+            return 1000
+
+    closer = closed_laps.LapCloser()
+    closer.init(Handle())
+    names = [x.split()[0] for x in closed_laps.ROWS.split(",")]
+    rows = [("S", "D", None, t, p, speed, 10.0 - t / 1000, None, None, None, None) for t, p, speed in (
+        (100, 2, 9.0), (100, 1, 5.0), (900, 3, None), (1500, 4, 7.0))]
+    rows += [("S", "D", None, end, None, None, None, None, n, None, "SOFT") for n, end in ((1, 500), (2, 1000), (3, 2000), (2, 1100))]
+    list(closer.handleInputRows(("S", "D"), iter([pd.DataFrame(rows, columns=names)]), None))
+    assert closer.handle.timers == [500] and closer.state.calls == 2
+    (out,) = closer.handleExpiredTimer(("S", "D"), Watermark(), None)
+    assert closer.state.calls == 4
+    assert out[["lap_number", "lap_end_ms", "samples"]].to_numpy().tolist() == [[1, 500, 1], [2, 1000, 1]]
+    assert out["avg_speed_kph"].tolist()[0] == 5.0 and pd.isna(out["avg_speed_kph"].tolist()[1])
+    late = [("S", "D", None, 950, 9, 1.0, 1.0, None, None, None, None), ("S", "D", None, 990, None, None, None, None, 9, None, None)]
+    list(closer.handleInputRows(("S", "D"), iter([pd.DataFrame(late, columns=names)]), None))
+    held, laps, closed, timer = closer._open()
+    assert held["t"].tolist() == [1500] and list(laps) == [3] and (closed, timer) == (1000, 2000)
