@@ -15,10 +15,15 @@ Reading a page takes time in proportion to its length: tags are found by one ind
 brackets, alignment looks for shapes that occur once on either side and leaves long stretches without any as
 optional. Elements below MOST_DEPTH open ones keep their text and no path of their own.
 
-A wrapper is fitted on at most PAGES_PER_HOST pages, of different hash buckets; it is applied to every page,
-whole. Pages of a host are never gathered: groups are pre-aggregated and wrappers are joined back to pages.
+A wrapper is fitted on all pages of its host and applied to every page, whole. Pages travel folded, their
+texts as lengths and digests, copies once; a host's pages are dealt to parts of about PART_CHARS by the pages'
+keys, each part gives a wrapper, and wrappers of parts meet FAN at a time until a host has one. A text that differs
+somewhere is a slot for good, so its characters leave the wrapper for a table of (host, region) that is added up
+apart. A wrapper of more than MOST_NODES nodes is made more general, not cut: stretches of optional nodes become
+one repeated group of the stretch's different patterns, then of its plain tags and one slot, so a wrapper's size is
+bounded by its host's shortest page, however many pages differ. Wrappers are joined back to pages.
 On a host without a marked region, a text is template if at least two different pages have its path and all
-pages that have the path, not only the fitted ones, have the text there; where all text of a host is so, none is.
+pages that have the path have the text there; where all text of a host is so, none is.
 
 Definitions: null html is empty and gives text '' with 0 characters; a null or odd url belongs to the host
 ''. Character references are decoded, white space inside a block becomes one space, blocks (paragraphs,
@@ -35,11 +40,11 @@ import json
 import re
 from bisect import bisect_left
 from collections import Counter, defaultdict
-from collections.abc import Iterator
-from dataclasses import dataclass, field
+from collections.abc import Iterable, Iterator
+from dataclasses import dataclass, field, replace
 from difflib import SequenceMatcher
-from functools import lru_cache
-from itertools import compress, count
+from functools import lru_cache, reduce
+from itertools import compress, count, groupby
 from operator import eq
 
 import pandas as pd
@@ -48,7 +53,13 @@ from pyspark.sql import functions as F
 
 from kerbside.llm.common import by_group, stored, text_batches
 
-PAGES_PER_HOST = 8
+#: Folded pages of a part of a host, in characters, and wrappers of parts that are merged at once.
+PART_CHARS = 1 << 17
+FAN = 8
+#: A wrapper of more nodes is made more general.
+MOST_NODES = 2000
+#: Longer texts stand in a wrapper as digests.
+LONGEST_VALUE = 40
 #: Longest pattern, in tokens, that folds into a repeated group.
 LONGEST_PATTERN = 24
 #: Open elements that a path tells apart.
@@ -275,17 +286,18 @@ def blocks(page: str) -> Iterator[tuple[str, object]]:
 
 # ---- wrappers ----------------------------------------------------------------------------------------------
 
-@dataclass
+@dataclass(slots=True)
 class Node:
-    """A token of a wrapper: a tag, text (None: a slot) with its path, or a group of nodes ('+', '?' or '*').
-    ``pages``: a bit for each page that has it; ``form``: the shape, in which all text is alike."""
+    """A token of a wrapper: a tag, text (None: a slot) with its characters by region, or a group of nodes ('+',
+    '?' or '*'). ``page``: the key of the only page that has it, None: several have; ``spare``: optional, while
+    wrappers are aligned; ``form``: the shape, in which all text is alike."""
 
     kind: str
     value: object = None
-    path: tuple[str, ...] = ()
-    chars: int = 0
+    places: dict[tuple[str, ...], int] = field(default_factory=dict)
     body: list["Node"] = field(default_factory=list)
-    pages: int = 1
+    page: int | None = None
+    spare: bool = False
     form: str = ""
 
     def shape(self) -> str:
@@ -300,11 +312,21 @@ class Node:
         return self.form
 
 
-def stream(page: str, number: int = 0) -> list[Node]:
+def key_of(*parts: str) -> int:
+    return int.from_bytes(hashlib.blake2b("\0".join(parts).encode("utf-8", "replace"), digest_size=8).digest(), "big", signed=True)
+
+
+def brief(text: str) -> str:
+    """A text's value in a wrapper."""
+    return text if len(text) <= LONGEST_VALUE else "~" + hashlib.blake2b(text.encode("utf-8", "replace"), digest_size=16).hexdigest()
+
+
+def stream(page: str) -> list[Node]:
     out = []
+    key = key_of(page)
     for kind, value in blocks(page):
         if kind == "text":
-            out.append(Node("text", value[1], value[0], len(value[1]), pages=1 << number))
+            out.append(Node("text", brief(value[1]), {region_of(value[0]): len(value[1])}, page=key))
         else:
             out.append(Node("tag", f"<{value}>" if kind == "open" else f"</{value}>"))
     return out
@@ -312,13 +334,17 @@ def stream(page: str, number: int = 0) -> list[Node]:
 
 def merge(a: Node, b: Node) -> Node:
     """Two nodes of one shape: text that differs becomes a slot, groups merge their bodies."""
+    spare = a.spare or b.spare
     if a.kind == "text":
-        return Node("text", a.value if a.value == b.value else None, a.path, a.chars + b.chars, pages=a.pages | b.pages)
+        places = dict(a.places)
+        for place, chars in b.places.items():
+            places[place] = places.get(place, 0) + chars
+        return Node("text", a.value if a.value == b.value else None, places, page=a.page if a.page == b.page else None, spare=spare)
     if a.kind == "group":
         marks = {a.value, b.value}
         mark = a.value if len(marks) == 1 else "*" if "*" in marks or marks == {"+", "?"} else "+"
-        return Node("group", mark, body=[merge(x, y) for x, y in zip(a.body, b.body)])
-    return a
+        return Node("group", mark, body=[merge(x, y) for x, y in zip(a.body, b.body)], spare=spare)
+    return a if a.spare == spare else b
 
 
 def fold(nodes: list[Node]) -> list[Node]:
@@ -348,19 +374,9 @@ def fold(nodes: list[Node]) -> list[Node]:
 
 def merged(nodes: list[Node]) -> Node:
     """Nodes of one shape as one."""
-    first = nodes[0]
-    if first.kind == "tag":
-        return first
-    if first.kind == "group":
-        out = first
-        for n in nodes[1:]:
-            out = merge(out, n)
-        return out
-    pages = 0
-    for n in nodes:
-        pages |= n.pages
-    alike = all(n.value == first.value for n in nodes)
-    return Node("text", first.value if alike else None, first.path, sum(n.chars for n in nodes), pages=pages)
+    if nodes[0].kind == "tag":
+        return nodes[0]
+    return reduce(merge, nodes)
 
 
 def balanced(shapes: list[str]) -> bool:
@@ -386,24 +402,30 @@ def patterns(nodes: list[Node]) -> set[tuple[str, ...]]:
     return found
 
 
-def regroup(nodes: list[Node], known: set[tuple[str, ...]]) -> list[Node]:
-    """Single occurrences of known patterns to groups, so that they meet the groups of other pages."""
-    by_first: dict[str, list[tuple[str, ...]]] = defaultdict(list)
+def by_first(known: set[tuple[str, ...]]) -> dict[str, list[tuple[str, ...]]]:
+    """Patterns by the shape they begin with, the longest first."""
+    out: dict[str, list[tuple[str, ...]]] = defaultdict(list)
     for pattern in sorted(known, key=lambda p: (-len(p), p)):
         if pattern:
-            by_first[pattern[0]].append(pattern)
+            out[pattern[0]].append(pattern)
+    return out
+
+
+def regroup(nodes: list[Node], known: dict[str, list[tuple[str, ...]]], own: tuple[str, ...] = ()) -> list[Node]:
+    """Single occurrences of known patterns but ``own`` to groups, so that they meet the groups of other pages."""
     out, at = [], 0
     shapes = [n.shape() for n in nodes]
     while at < len(nodes):
-        for pattern in by_first.get(shapes[at], ()):
-            if tuple(shapes[at:at + len(pattern)]) == pattern:
-                out.append(Node("group", "+", body=nodes[at:at + len(pattern)]))
+        for pattern in known.get(shapes[at], ()):
+            if tuple(shapes[at:at + len(pattern)]) == pattern and pattern != own:
+                body = nodes[at:at + len(pattern)]
+                out.append(Node("group", "+", body=[replace(n, spare=False) for n in body], spare=all(n.spare for n in body)))
                 at += len(pattern)
                 break
         else:
             n = nodes[at]
             if n.kind == "group":
-                n = Node("group", n.value, body=regroup(n.body, known - {tuple(x.shape() for x in n.body)}))
+                n = Node("group", n.value, body=regroup(n.body, known, tuple(x.shape() for x in n.body)), spare=n.spare)
             out.append(n)
             at += 1
     return joined(out)
@@ -415,7 +437,8 @@ def joined(nodes: list[Node]) -> list[Node]:
     for n in nodes:
         if out and n.kind == "group" and out[-1].kind == "group" and out[-1].shape() == n.shape():
             both = merge(out[-1], n)
-            out[-1] = Node("group", "+" if "+" in (out[-1].value, n.value) else "*", body=both.body)
+            out[-1] = Node("group", "+" if "+" in (out[-1].value, n.value) else "*", body=both.body,
+                           spare=out[-1].spare and n.spare)
         else:
             out.append(n)
     return out
@@ -424,7 +447,12 @@ def joined(nodes: list[Node]) -> list[Node]:
 def optional(n: Node) -> Node:
     if n.kind == "group":
         return Node("group", {"+": "*"}.get(str(n.value), n.value), body=n.body)
-    return Node("group", "?", body=[n])
+    return Node("group", "?", body=[replace(n, spare=False)])
+
+
+def bare(n: Node) -> Node:
+    """What an optional token is when it is there."""
+    return replace(n.body[0], spare=True) if n.kind == "group" and n.value == "?" and len(n.body) == 1 else n
 
 
 def matched(a: list[str], b: list[str]) -> Iterator[tuple[int, int, int, int, bool]]:
@@ -476,32 +504,71 @@ def matched(a: list[str], b: list[str]) -> Iterator[tuple[int, int, int, int, bo
         work += reversed(parts)
 
 
-def align(wrapper: list[Node], page: list[Node]) -> list[Node]:
-    """The wrapper that fits the page too."""
-    known = patterns(wrapper) | patterns(page)
-    bare = [n.body[0] if n.kind == "group" and n.value == "?" and len(n.body) == 1 else n for n in wrapper]
-    was_optional = [n is not b for n, b in zip(wrapper, bare)]
-    left, right = regroup(bare, known), regroup(page, known)
-    if len(left) != len(bare):
-        was_optional = [False] * len(left)
+def align(a: list[Node], b: list[Node]) -> list[Node]:
+    """The wrapper that fits what either of two wrappers, or folded pages, fits."""
+    known = by_first(patterns(a) | patterns(b))
+    left, right = (regroup([bare(n) for n in nodes], known) for nodes in (a, b))
     out: list[Node] = []
     for a0, a1, b0, b1, equal in matched([n.shape() for n in left], [n.shape() for n in right]):
         if equal:
-            for k in range(a1 - a0):
-                both = merge(left[a0 + k], right[b0 + k])
-                out.append(optional(both) if was_optional[a0 + k] else both)
+            both = [merge(x, y) for x, y in zip(left[a0:a1], right[b0:b1])]
+            out += [optional(n) if n.spare else n for n in both]
         else:
             out += [optional(n) for n in left[a0:a1]] + [optional(n) for n in right[b0:b1]]
     return joined(out)
 
 
+def width(nodes: list[Node]) -> int:
+    return sum(1 + width(n.body) for n in nodes)
+
+
+def loose(n: Node) -> bool:
+    return n.kind == "group" and n.value in ("?", "*")
+
+
+def any_of(nodes: list[Node], plain: bool) -> Node:
+    """A stretch of optional nodes as one repeated group of its patterns, all optional, which fits them in any
+    order; ``plain``: of its tags without marks and of text."""
+    found: dict[str, Node] = {}
+    work = list(reversed(nodes))
+    while work:
+        n = work.pop()
+        if n.kind == "group" and (plain or n.value == "?" or all(loose(x) for x in n.body)):
+            work += reversed(n.body)
+            continue
+        if plain and n.kind == "tag":
+            n = Node("tag", str(n.value).rstrip(">").split(".")[0] + ">")
+        shape = n.shape()
+        found[shape] = merge(found[shape], n) if shape in found else n
+    return Node("group", "*", body=[optional(n) for n in found.values()])
+
+
+def general(nodes: list[Node]) -> list[Node]:
+    """A wrapper of more than MOST_NODES nodes with its stretches of optional nodes each as one group."""
+    for plain in (False, True):
+        if width(nodes) <= MOST_NODES:
+            break
+        out: list[Node] = []
+        for spare, run in groupby(nodes, loose):
+            stretch = list(run)
+            out += [any_of(stretch, plain)] if spare and (len(stretch) > 1 or plain) else stretch
+        nodes = out
+    return nodes
+
+
+def united(wrappers: Iterable[list[Node]]) -> list[Node]:
+    """One wrapper of several, or of folded pages; those of one shape are merged first, text by text."""
+    alike: dict[tuple[str, ...], list[Node]] = {}
+    for nodes in wrappers:
+        # a group's shape does not tell how often it occurs
+        shape = tuple(f"{n.shape()}{n.value}" if n.kind == "group" else n.shape() for n in nodes)
+        alike[shape] = [merge(x, y) for x, y in zip(alike[shape], nodes)] if shape in alike else nodes
+    return reduce(lambda a, b: general(fold(align(a, b))), alike.values()) if alike else []
+
+
 def infer(pages: list[str]) -> list[Node]:
     """The wrapper of a host's pages; equal pages count once."""
-    wrapper: list[Node] = []
-    for k, page in enumerate(dict.fromkeys(pages)):
-        folded = fold(stream(page, k))
-        wrapper = folded if k == 0 else fold(align(wrapper, folded))
-    return wrapper
+    return united(fold(stream(page)) for page in dict.fromkeys(pages))
 
 
 def expression(nodes: list[Node]) -> str:
@@ -564,20 +631,32 @@ def rank_of(label: str) -> int:
     return int(bool(words & set(MAIN_WORDS)) and not words & {*PART_WORDS, *FRAME_WORDS, *DROP_WORDS})
 
 
+@lru_cache(maxsize=20_000)
+def region_of(path: tuple[str, ...]) -> tuple[str, ...]:
+    """The labels of a path down to the first element that may hold the article; () if there is none."""
+    for k in range(1, len(path) + 1):
+        if rank_of(path[k - 1]) and not dropped(path[:k], 0):
+            return path[:k]
+    return ()
+
+
 def region(places: dict[tuple[str, ...], int], varied: dict[tuple[str, ...], int] | None = None) -> tuple[str, ...]:
     """Labels that lead to the article, from characters by path: the plainest element that is not itself
     inside a dropped one, with most text, of equally plain ones that with most ``varied`` text; () if there is none."""
     weight: dict[tuple[str, ...], int] = defaultdict(int)
     slots_: dict[tuple[str, ...], int] = defaultdict(int)
     for path, chars in places.items():
-        for k in range(1, len(path) + 1):
-            if rank_of(path[k - 1]) and not dropped(path[:k], 0):
-                weight[path[:k]] += chars
-                slots_[path[:k]] += (varied or {}).get(path, 0)
-                break
+        place = region_of(path)
+        if place:
+            weight[place] += chars
+            slots_[place] += (varied or {}).get(path, 0)
     if not weight:
         return ()
-    return max(weight, key=lambda p: (max(rank_of(x) for x in p), slots_[p], weight[p], p))
+    return max(weight, key=lambda p: (plainness(p), slots_[p], weight[p], p))
+
+
+def plainness(place: tuple[str, ...]) -> int:
+    return max(map(rank_of, place))
 
 
 @dataclass
@@ -604,14 +683,57 @@ def mark(nodes: list[Node]) -> Wrapper:
     places: dict[tuple[str, ...], int] = defaultdict(int)
     varied: dict[tuple[str, ...], int] = defaultdict(int)
     for s in slots(nodes):
-        places[s.path] += s.chars
-        if s.value is None or s.pages.bit_count() < 2:  # other text is template
-            varied[s.path] += s.chars
+        for place, chars in s.places.items():
+            places[place] += chars
+            if s.value is None or s.page is not None:  # other text is template
+                varied[place] += chars
     return Wrapper(region(places, varied))
 
 
-def key_of(*parts: str) -> int:
-    return int.from_bytes(hashlib.blake2b("\0".join(parts).encode("utf-8", "replace"), digest_size=8).digest(), "big", signed=True)
+def settled(nodes: list[Node], last: bool) -> dict[tuple[str, ...], list[int]]:
+    """(varied, all) characters by region of the texts that no further page can change, which the wrapper gives
+    up: slots, and at the ``last`` merge all."""
+    out: dict[tuple[str, ...], list[int]] = defaultdict(lambda: [0, 0])
+    for s in slots(nodes):
+        if last or s.value is None:
+            for place, chars in s.places.items():
+                out[place][0] += chars if s.value is None or s.page is not None else 0
+                out[place][1] += chars
+            s.places = {}
+    out.pop((), None)
+    return out
+
+
+def packed(nodes: list[Node]) -> str:
+    """A wrapper as text: tags are strings, groups {mark: nodes}, texts [value, characters by region, page]."""
+    regions: dict[tuple[str, ...], int] = {}
+    owners: dict[int | None, int] = {}
+
+    def pack(n: Node) -> object:
+        if n.kind == "tag":
+            return n.value
+        if n.kind == "group":
+            return {n.value: [pack(x) for x in n.body]}
+        return [n.value, [x for place, chars in n.places.items() for x in (regions.setdefault(place, len(regions)), chars)],
+                owners.setdefault(n.page, len(owners))]
+
+    body = [pack(n) for n in nodes]
+    return json.dumps([list(regions), list(owners), body], separators=(",", ":"))
+
+
+def unpacked(text: str) -> list[Node]:
+    regions, owners, body = json.loads(text)
+    regions = [tuple(r) for r in regions]
+
+    def unpack(x: object) -> Node:
+        if isinstance(x, str):
+            return Node("tag", x)
+        if isinstance(x, dict):
+            (mark_, inner), = x.items()
+            return Node("group", mark_, body=[unpack(y) for y in inner])
+        return Node("text", x[0], {regions[r]: chars for r, chars in zip(x[1][::2], x[1][1::2])}, page=owners[x[2]])
+
+    return [unpack(x) for x in body]
 
 
 def extract(page: str | None, wrapper: Wrapper, template: frozenset[int] = frozenset()) -> str:
@@ -636,20 +758,54 @@ def host_of(url: str = "url"):
     return F.coalesce(F.regexp_extract(F.lower(url), r"^[a-z][a-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1), F.lit(""))
 
 
-def infer_wrappers(pages: DataFrame, per_host: int = PAGES_PER_HOST) -> DataFrame:
-    """(host, wrapper, expression): one page of each of ``per_host`` hash buckets of a host, aligned in the hash's
-    order; ``wrapper`` is what ``extract`` needs."""
-    h = F.xxhash64("page_id", "url")
-    picked = (pages.where("html is not null and html <> ''").select(host_of().alias("host"), h.alias("h"), "html")
-              .groupBy("host", F.pmod("h", F.lit(per_host)).alias("bucket"))
-              .agg(F.min(F.struct("h", "html")).alias("page")).select("host", "page.h", "page.html"))
+def folded_pages(pages: DataFrame) -> DataFrame:
+    """(host, page, nodes): the different pages of each host, folded."""
 
-    def work(cols: dict) -> tuple:
-        order = sorted(range(len(cols["h"])), key=lambda k: int(cols["h"][k]))
-        nodes = infer([cols["html"][k] for k in order])
-        return [cols["host"][0]], [mark(nodes).to_json()], [expression(nodes)]
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            yield pd.DataFrame({"host": frame["host"], "page": [key_of(page) for page in frame["html"]],
+                                "nodes": [packed(fold(stream(page))) for page in frame["html"]]})
+
+    return (pages.where("html is not null and html <> ''").select(host_of().alias("host"), "html")
+            .mapInPandas(run, "host string, page long, nodes string")
+            .groupBy("host", "page").agg(F.first("nodes").alias("nodes")))
 
-    return by_group(picked, ["host"], work, "host string, wrapper string, expression string")
+
+def infer_wrappers(pages: DataFrame, part_chars: int = PART_CHARS, fan: int = FAN) -> DataFrame:
+    """(host, wrapper, expression), fitted on all pages of a host: wrappers of its parts, of about ``part_chars``
+    characters of folded pages, are merged ``fan`` at a time; ``wrapper`` is what ``extract`` needs."""
+    folded = stored(folded_pages(pages), "html-folded")
+    parts = stored(folded.groupBy("host").agg(F.ceil(F.sum(F.length("nodes")) / part_chars).alias("parts")), "html-parts")
+    rows = folded.join(parts, "host").select("host", F.pmod("page", "parts").alias("part"), "parts", F.col("page").alias("at"), "nodes")
+
+    def work(cols: dict) -> tuple:
+        parts_ = int(cols["parts"][0])
+        order = sorted(range(len(cols["at"])), key=lambda k: int(cols["at"][k]))
+        nodes = united(unpacked(cols["nodes"][k]) for k in order)
+        tally = settled(nodes, parts_ == 1)
+        return ([cols["host"][0]], [int(cols["part"][0])], [parts_], [packed(nodes)],
+                [json.dumps([{"place": p, "rank": plainness(p), "varied": v, "chars": c} for p, (v, c) in tally.items()])],
+                [expression(nodes) if parts_ == 1 else None])
+
+    rounds = []
+    most = parts.agg(F.max("parts")).first()[0] or 1
+    while True:
+        done = stored(by_group(rows, ["host", "part"], work, "host string, part long, parts long, nodes string, tally string, "
+                                                             "expression string"), "html-round")
+        rounds.append(done)
+        if most == 1:
+            break
+        most = -(-most // fan)
+        rows = done.where("parts > 1").select("host", F.floor(F.col("part") / fan).alias("part"), F.ceil(F.col("parts") / fan).alias("parts"),
+                                              F.col("part").alias("at"), "nodes")
+    made = reduce(DataFrame.unionByName, rounds)
+    tally = F.from_json("tally", "array<struct<place: array<string>, rank: int, varied: long, chars: long>>")
+    mains = (made.select("host", F.inline(tally)).groupBy("host", "place", "rank")
+             .agg(F.sum("varied").alias("varied"), F.sum("chars").alias("chars"))
+             .groupBy("host").agg(F.max(F.struct("rank", "varied", "chars", "place")).alias("best")))
+    main = F.coalesce("best.place", F.array().cast("array<string>"))
+    return (made.where("parts = 1").select("host", "expression").join(mains, "host", "left")
+            .select("host", F.to_json(F.struct(main.alias("main"))).alias("wrapper"), "expression"))
 
 
 def template_texts(pages: DataFrame, hosts: DataFrame) -> DataFrame:
@@ -678,10 +834,10 @@ def template_texts(pages: DataFrame, hosts: DataFrame) -> DataFrame:
             .where("own").select("host", "template"))
 
 
-def main_text(pages: DataFrame, per_host: int = PAGES_PER_HOST) -> DataFrame:
+def main_text(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars of every page."""
     text_batches(pages.sparkSession)
-    wrappers = stored(infer_wrappers(pages, per_host).drop("expression"), "html-wrappers")
+    wrappers = stored(infer_wrappers(pages).drop("expression"), "html-wrappers")
     rows = pages.select("page_id", "url", "html", host_of().alias("host"))
     unmarked = wrappers.where(F.get_json_object("wrapper", "$.main") == "[]").select("host")
     template = F.lit(None).cast("string")

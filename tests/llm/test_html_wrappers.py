@@ -179,3 +179,73 @@ def test_text_below_the_deepest_path_stays():
     deep = W.MOST_DEPTH + 50
     page = "<body><article>" + "".join(f"<div>{k}" for k in range(deep)) + "</div>" * deep + "<p>end</p></article><footer>gone</footer></body>"
     assert W.extract(page, W.mark(W.infer([page]))) == "\n".join([*map(str, range(deep)), "end"])
+
+
+def mixed_page(rng, n):
+    """A page of a host without a common layout; labels may occur on it alone."""
+    parts = []
+    for _ in range(rng.randint(0, 25)):
+        name, own = rng.choice(["p", "h2", "div", "ul"]), rng.choice(["", " class=x", f" id={''.join(rng.choices('abcdef', k=7))}"])
+        inner = "".join(f"<li>{rng.randint(0, 9)}" for _ in range(rng.randint(1, 4))) if name == "ul" else f"text {rng.randint(0, 30)}"
+        parts.append(f"<{name}{own}>{inner}</{name}>")
+    head = rng.choice(["<div class=content><p>About us</p></div>", ""])
+    return f"<body>{head}<div class={rng.choice(['entry', 'post', 'story'])}>{''.join(parts)}</div><footer>{n}</footer></body>"
+
+
+def test_wrappers_are_fitted_on_all_pages(spark):
+    """Three of 300 pages have the plainest element for an article; the host's other pages do not tell of it."""
+    few = (17, 120, 233)
+    rows = [(n, f"http://h.example.com/{n}", f"<body><div class=content><p>Teaser {n}</p></div>"
+             + (f"<main><h1>Head {n}</h1><p>Long read {n}</p></main>" if n in few else "") + "</body>") for n in range(300)]
+    got = {r["page_id"]: r["text"] for r in W.main_text(frame(spark, rows)).collect()}
+    assert got == {n: f"Head {n}\nLong read {n}" if n in few else f"Teaser {n}" for n in range(300)}
+
+
+@pytest.mark.parametrize("part_chars, fan", [(1 << 20, 8), (2000, 2), (1, 3)])
+def test_parts_of_a_host_give_its_region(spark, part_chars, fan):
+    """Hosts of many parts, of copies and of one page: their regions are those of all their pages at once."""
+    rng = random.Random(11)
+    hosts = {"own": [f"<body><div class=content><p>{'Who we are and what we do. ' * 20}</p></div>"
+                     f"<div class=entry><h1>Head {n}</h1><p>Own text of page {n}</p></div></body>" for n in range(100)],
+             "copies": ["<body><div class=content><p>short</p></div><div class=entry><p>longer text</p></div></body>"] * 50
+                       + ["<body><div class=content><p>a text longer than both</p></div></body>"],
+             "one": [mixed_page(rng, 1)], "plain": ["<p>a</p>", "<p>b</p>"]}
+    rows = [(n, f"http://{h}/{n}", p) for h, pages in hosts.items() for n, p in enumerate(pages)] + [(1, "http://null/", None)]
+    got = {r["host"]: W.Wrapper.from_json(r["wrapper"]).main
+           for r in W.infer_wrappers(frame(spark, rows), part_chars, fan).collect()}
+    assert got == {h: W.mark(W.infer(pages)).main for h, pages in hosts.items()}
+    assert [got[h][-1:] for h in ("own", "copies", "plain")] == [("div.entry",), ("div.content",), ()]
+
+
+def test_wide_wrappers_become_general_and_lose_no_text(monkeypatch):
+    monkeypatch.setattr(W, "MOST_NODES", 150)
+    rng = random.Random(4)
+    pages = [mixed_page(rng, n) for n in range(400)]
+    want = {}
+    for page in dict.fromkeys(pages):
+        for kind, value in W.blocks(page):
+            if kind == "text" and W.region_of(value[0]):
+                want[W.region_of(value[0])] = want.get(W.region_of(value[0]), 0) + len(value[1])
+    whole = W.infer(pages)
+    assert W.width(whole) < 600
+    parts = [W.infer(pages[k:k + 50]) for k in range(0, 400, 50)]
+    tallies = [W.settled(nodes, False) for nodes in parts]
+    last = W.united(W.unpacked(W.packed(nodes)) for nodes in parts)
+    assert W.width(last) < 600
+    for many in [[W.settled(whole, True)], [*tallies, W.settled(last, True)]]:
+        got = {}
+        for tally in many:
+            for place, (varied, chars) in tally.items():
+                assert 0 <= varied <= chars
+                got[place] = got.get(place, 0) + chars
+        assert {p: c for p, c in got.items() if c} == want
+
+
+def test_wrappers_survive_packing():
+    rng = random.Random(9)
+    nodes = W.infer([mixed_page(rng, n) for n in range(12)] + ["<body><p>\u2028 &#0; \U0001f600 \"q\"</p></body>"])
+    assert W.unpacked(W.packed(nodes)) == [without_form(n) for n in nodes]
+
+
+def without_form(n):
+    return W.Node(n.kind, n.value, n.places, [without_form(x) for x in n.body], n.page)
