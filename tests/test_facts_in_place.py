@@ -63,3 +63,19 @@ def test_shuffles_go_with_the_write_of_a_stored_table(spark, monkeypatch):
     with pytest.raises(ValueError), shuffles_removed(spark):
         raise ValueError
     assert spark.conf.get(CLEANUP) == before
+
+
+def test_log_streams_are_rendered_as_they_are_read(spark):
+    from kerbside.plans import streams
+    from kerbside.sources.schemas import ENVELOPE_SCHEMA
+    fields = [f.name for f in ENVELOPE_SCHEMA.fields]
+    for topic, log in (("telemetry.raw", testbed.telemetry_log(spark, SMALL)), ("race.events", testbed.event_messages(spark, SMALL))):
+        got = []
+        stream = envelope.read_envelope(spark, topic, {}, log=testbed.log_stream(spark, SMALL, topic, files=3))
+        (stream.writeStream.trigger(availableNow=True).foreachBatch(lambda b, n: got.append([tuple(r) for r in b.collect()])).start()
+         .awaitTermination())
+        assert len(got) == 3  # eight files of laps
+        assert sorted(sum(got, []), key=str) == sorted((tuple(r) for r in log.select(*fields).collect()), key=str)
+    with pytest.raises(ValueError, match="latest"):
+        envelope.read_envelope(spark, topic, {"startingOffsets": "latest"}, log=stream)
+    assert not hasattr(streams, "_land")
