@@ -156,7 +156,7 @@ def s9_laps_by_round(spark, sf_dir):
   SELECT 'telemetry.raw' AS topic FROM ({_MSG_SQL} SELECT * FROM msg) UNION ALL SELECT 'race.events' FROM ({_EVT_SQL} SELECT * FROM evm)) GROUP BY 1, 2""")
 def p3_ingest_stamps(spark, sf_dir):
     """Every parsed row carries its topic's name and the time it was read."""
-    t, e = _telemetry_topic(spark, sf_dir)[0], _events_topic(spark, sf_dir)[0]
+    t, e = _telemetry_topic(spark, sf_dir, rendered=False)[0], _events_topic(spark, sf_dir, rendered=False)[0]
     cols = ["topic", "bronze_topic", "ingested_at"]
     return t.select(*cols).unionByName(e.select(*cols)).groupBy("topic", "bronze_topic").agg(
         F.count(F.lit(1)).alias("records"), F.count(F.when(F.col("ingested_at") <= F.current_timestamp(), 1)).alias("stamped"))

@@ -79,3 +79,13 @@ def test_log_streams_are_rendered_as_they_are_read(spark):
     with pytest.raises(ValueError, match="latest"):
         envelope.read_envelope(spark, topic, {"startingOffsets": "latest"}, log=stream)
     assert not hasattr(streams, "_land")
+
+
+@pytest.mark.parametrize("name", ["p2_parsed_telemetry", "a18_late_arrivals", "a18_null_rates", "q2_parse_loss"])
+def test_messages_are_rendered_in_a_step_of_their_own(spark, name):
+    plan = _plan(entry.queries()[name](spark, SMALL), "optimizedPlan")
+    assert not [line for line in plan.splitlines() if "from_json(" in line and "to_json(" in line]
+
+
+def test_stamps_need_no_rendered_message(spark):
+    assert "to_json(" not in _plan(entry.queries()["p3_ingest_stamps"](spark, SMALL), "optimizedPlan")
